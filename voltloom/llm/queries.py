@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .html_text import extract
 from .packing import pack
+from .quality import classify, fold, train
 from .tokens import count_tokens
 
 
@@ -27,8 +29,18 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    scored = classify(docs, train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    return scored.select("doc_id", (fold(F.col("doc_id")) == 1).alias("held_out"), "score", "predicted")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_token_counts, op3_packing)}
+    return {f.__name__: f for f in (op2_token_counts, op3_packing, op4_html_extraction, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
