@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import blocks_for
-from .tokens import encoder
+from .tokens import encoder, without_cycles
 
 #: Documents packed together. Padding is at most one sequence for each block.
 BLOCK = 1024
@@ -81,15 +81,16 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, capacity: int =
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc = encoder(tokenizer_path)
+        each = enc.width
         rng = np.random.default_rng(TaskContext.get().partitionId())  # the same rows for the same input when a task runs again
         for b in batches:
             out = []
             for doc, t in zip(b["doc_id"], b["text"], strict=True):
-                ids = np.append(enc.encode(t if isinstance(t, str) else ""), np.uint32(end_id))
-                wide = "<u2" if ids.max() < 1 << 16 else "<u4"
-                raw, each = ids.astype(wide).tobytes(), int(wide[2])
-                for start in range(0, len(ids), capacity):
-                    out.append((doc, start, min(capacity, len(ids) - start), raw[start * each : (start + capacity) * each], len(ids)))
+                with without_cycles():
+                    raw = enc.packed(t if isinstance(t, str) else "") + end_id.to_bytes(each, "little")
+                n = len(raw) // each
+                for start in range(0, n, capacity):
+                    out.append((doc, start, min(capacity, n - start), raw[start * each : (start + capacity) * each], n))
                 if len(out) >= 4000:
                     yield _frame(out, rng.integers(blocks, size=len(out)))
                     out = []

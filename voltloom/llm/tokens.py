@@ -12,12 +12,14 @@ through the library, so the result is the library's for every input.
 
 from __future__ import annotations
 
+import gc
+import json
 import os
 import re
 import unicodedata
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -51,8 +53,6 @@ class WholeTokenEncoder:
         self.library = Tokenizer.from_file(path)
         self.library.no_padding()
         self.library.no_truncation()
-        import json
-
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.suffix = spec["model"].get("end_of_word_suffix") or ""
@@ -61,12 +61,15 @@ class WholeTokenEncoder:
         self.fast = [s["type"] for s in steps] == NORMALISERS and split == SPLIT_PATTERN
         specials = [t["content"] for t in spec["added_tokens"]]
         self.specials = re.compile("|".join(map(re.escape, specials))) if specials else None
+        largest = max(spec["model"]["vocab"].values(), default=0) + 1 + len(specials)
+        self.width = 2 if largest < 1 << 16 else 4
+        self.code = [i.to_bytes(self.width, "little") for i in range(largest)]
         self.whole = self._prove_whole(spec["model"]["vocab"]) if self.fast else {}
-        self.memo: dict[str, tuple[int, ...]] = dict(self.whole)
+        self.memo: dict[str, bytes] = dict(self.whole)
         self.letters = {b: c for c, b in _byte_letters().items()}
         self.fast = self.fast and bool(self.suffix)
 
-    def _prove_whole(self, vocab: dict[str, int]) -> dict[str, tuple[int, ...]]:
+    def _prove_whole(self, vocab: dict[str, int]) -> dict[str, bytes]:
         """Vocabulary strings that the library encodes, alone, as exactly their own token."""
         alphabet = _byte_letters()
         words = []
@@ -80,7 +83,7 @@ class WholeTokenEncoder:
                 if _PLAIN.fullmatch(word) and self._normal(word) == word and _SPLIT.findall(word) == [word]:
                     words.append((word, vocab[token]))
         encoded = self.library.encode_batch([w for w, _ in words], add_special_tokens=False)
-        return {w: (i,) for (w, i), e in zip(words, encoded, strict=True) if e.ids == [i]}
+        return {w: self.code[i] for (w, i), e in zip(words, encoded, strict=True) if e.ids == [i]}
 
     @staticmethod
     def _normal(text: str) -> str:
@@ -88,18 +91,30 @@ class WholeTokenEncoder:
 
     def _learn(self, chunks: set[str]) -> None:
         """Merge chunks that neither table knows, pre-token by pre-token, with the library's own model."""
-        merge, letters = self.library.model.tokenize, self.letters
+        merge, letters, code, memo = self.library.model.tokenize, self.letters, self.code, self.memo
         for chunk in chunks:
-            words = (chunk,) if chunk.isalpha() else _SPLIT.findall(chunk)
-            self.memo[chunk] = tuple(
-                [t.id for w in words for t in merge(w if w.isascii() and w.isprintable() else w.encode().decode("latin-1").translate(letters))]
-            )
-
-    def _tuples(self, text: str) -> list[tuple[int, ...]] | None:
-        """The ids of each stretch between white space; None where only the library may decide."""
+            if chunk.isalpha():
+                raw = chunk if chunk.isascii() else chunk.encode().decode("latin-1").translate(letters)
+                memo[chunk] = b"".join([code[t.id] for t in merge(raw)])
+                continue
+            out = []
+            for w in _SPLIT.findall(chunk):
+                known = memo.get(w)
+                if known is None:
+                    raw = w if w.isascii() and w.isprintable() else w.encode().decode("latin-1").translate(letters)
+                    known = b"".join([code[t.id] for t in merge(raw)])
+                    if len(w) > 1 and len(memo) < MEMO:
+                        memo[w] = known
+                out.append(known)
+            memo[chunk] = b"".join(out)
+
+    def packed(self, text: str | None) -> bytes:
+        """Ids of the whole text, ``self.width`` little-endian bytes each; null is empty."""
+        if not text:
+            return b""
         if not self.fast or not _PLAIN.fullmatch(text) or (self.specials and "<|" in text and self.specials.search(text)):
-            return None
-        out: list[tuple[int, ...]] = []
+            return np.array(self.library.encode(text, add_special_tokens=False).ids, f"<u{self.width}").tobytes()
+        out = []
         words = self._normal(text).split()
         for at in range(0, len(words), CHUNKS):  # keeps the lists of a giant text small
             part = words[at : at + CHUNKS]
@@ -109,23 +124,30 @@ class WholeTokenEncoder:
                 if len(self.memo) + len(new) > MEMO:  # forget the rest, not what this part needs
                     self.memo = self.whole | {w: f for w, f in zip(part, found, strict=True) if f is not None}
                 self._learn(new)
-                found = list(map(self.memo.__getitem__, part))
-            out += found
-        return out
+                memo = self.memo
+                found = [memo[w] if f is None else f for w, f in zip(part, found, strict=True)]
+            out.append(b"".join(found))
+        return b"".join(out)
 
     def encode(self, text: str | None) -> np.ndarray:
-        """Ids of the whole text as unsigned 32-bit integers; null is empty."""
-        found = self._tuples(text) if text else []
-        if found is None:
-            return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
-        return np.fromiter(chain.from_iterable(found), np.uint32)
+        """Ids of the whole text."""
+        return np.frombuffer(self.packed(text), f"<u{self.width}")
 
     def count(self, text: str | None) -> int:
         """Number of ids of the whole text."""
-        found = self._tuples(text) if text else []
-        if found is None:
-            return len(self.library.encode(text, add_special_tokens=False).ids)
-        return sum(map(len, found))
+        return len(self.packed(text)) // self.width
+
+
+@contextmanager
+def without_cycles() -> Iterator[None]:
+    """Pause Python's search for cyclic garbage, which scans the whole memo again and again; nothing here is cyclic."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
 
 
 def _byte_letters() -> dict[str, int]:
@@ -156,7 +178,8 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int = 2048, text:
         enc = encoder(tokenizer_path)
         for b in batches:
             texts = [t if isinstance(t, str) else "" for t in b["text"]]
-            n = np.fromiter(map(enc.count, texts), np.int64, len(texts))
+            with without_cycles():
+                n = np.fromiter(map(enc.count, texts), np.int64, len(texts))
             size = np.fromiter((len(t) if t.isascii() else len(t.encode()) for t in texts), np.int64, len(texts))
             yield pd.DataFrame({"doc_id": b["doc_id"], "n_bytes": size, "n_tokens": n, "over_limit": n > limit})
 
