@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .html_text import extract
 from .packing import pack
 from .quality import classify, fold, train
+from .repeats import remove_repeats
 from .tokens import count_tokens
 
 
@@ -33,6 +34,11 @@ def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     scored = classify(docs, train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
@@ -40,7 +46,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_token_counts, op3_packing, op4_html_extraction, op10_quality)}
+    return {f.__name__: f for f in (op2_token_counts, op3_packing, op4_html_extraction, op5_suffix_dedup, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
