@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .html_text import extract
+from .neardup import near_duplicates
 from .packing import pack
 from .quality import classify, fold, train
 from .repeats import remove_repeats
@@ -39,6 +40,10 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "class_id", "class_size")
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     scored = classify(docs, train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
@@ -46,7 +51,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_token_counts, op3_packing, op4_html_extraction, op5_suffix_dedup, op10_quality)}
+    return {f.__name__: f for f in (op2_token_counts, op3_packing, op4_html_extraction, op5_suffix_dedup, op8_near_duplicates, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 #: Distinct stretches between white space that a worker remembers (about 200 bytes each), and how many it looks up
 #: at once.
-MEMO, CHUNKS = 400_000, 100_000
+MEMO, CHUNKS = 150_000, 100_000
 #: Fixed values of the tokenizer file that the fast path reproduces.
 SPLIT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 NORMALISERS = ["NFC", "Replace", "Lowercase"]
