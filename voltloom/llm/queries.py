@@ -12,6 +12,7 @@ from .neardup import near_duplicates
 from .packing import pack
 from .quality import classify, fold, train
 from .repeats import remove_repeats
+from .sharding import shard
 from .tokens import count_tokens
 
 
@@ -22,6 +23,11 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = shard(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return out.withColumn("grown_shard", F.lit(None).cast("int"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(spark.read.parquet(f"{sf_dir}/documents.parquet"), tokenizer("word_bpe_49k.json"))
 
@@ -51,7 +57,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_token_counts, op3_packing, op4_html_extraction, op5_suffix_dedup, op8_near_duplicates, op10_quality)}
+    return {f.__name__: f for f in (op1_sharding, op2_token_counts, op3_packing, op4_html_extraction, op5_suffix_dedup, op8_near_duplicates, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
