@@ -14,6 +14,7 @@ from .quality import classify, fold, train
 from .repeats import remove_repeats
 from .sharding import shard
 from .tokens import count_tokens
+from .vectors import search, voronoi_join
 
 
 def tokenizer(name: str) -> str:
@@ -46,6 +47,14 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op6_one_bit_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op7_voronoi_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return voronoi_join(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "class_id", "class_size")
 
@@ -57,8 +66,23 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sharding, op2_token_counts, op3_packing, op4_html_extraction, op5_suffix_dedup, op8_near_duplicates, op10_quality)}
+    return {f.__name__: f for f in (op1_sharding, op2_token_counts, op3_packing, op4_html_extraction, op5_suffix_dedup, op6_one_bit_codes, op7_voronoi_knn, op8_near_duplicates, op10_quality)}
+
+
+OP7_SQL = """
+with v as (
+  select row_number() over () as rid, vec_id, list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) as y
+  from embeddings
+  where vec_id is not null and embedding is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+), s as (
+  select q.rid as qr, q.vec_id as query_id, d.vec_id, d.rid as dr,
+         cast(list_sum(list_transform(list_zip(q.y, d.y), lambda z: z[1] * z[2])) as bigint) as score
+  from v q join v d on q.rid <> d.rid where q.vec_id % 20 = 0
+), r as (select *, row_number() over (partition by qr order by score desc, vec_id, dr) as rank from s)
+select query_id, cast(rank as integer) as rank, vec_id, score from r where rank <= 20
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_voronoi_knn": OP7_SQL}
