@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .html_text import extract
 from .neardup import near_duplicates
 from .packing import pack
+from .pieces import encode
 from .quality import classify, fold, train
 from .repeats import remove_repeats
 from .sharding import shard
@@ -59,6 +60,11 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "class_id", "class_size")
 
 
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = encode(spark.read.parquet(f"{sf_dir}/documents.parquet"), tokenizer("piece_bpe_32k.model"))
+    return coded.select("doc_id", "n_pieces", F.crc32("ids").alias("ids_crc32"), F.sha2(F.encode("decoded", "utf-8"), 256).alias("decoded_sha256"), "n_chunks")
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     scored = classify(docs, train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
@@ -66,7 +72,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sharding, op2_token_counts, op3_packing, op4_html_extraction, op5_suffix_dedup, op6_one_bit_codes, op7_voronoi_knn, op8_near_duplicates, op10_quality)}
+    return {f.__name__: f for f in (op1_sharding, op2_token_counts, op3_packing, op4_html_extraction, op5_suffix_dedup, op6_one_bit_codes, op7_voronoi_knn, op8_near_duplicates, op9_sentencepiece, op10_quality)}
 
 
 OP7_SQL = """

@@ -227,14 +227,15 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     return docs, found
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, text: str = "text", id_col: str = "doc_id") -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, text: str = "text", id_col: str = "doc_id", as_text: bool = False) -> DataFrame:
     """Remove every byte covered by a string of ``window`` bytes that starts at two or more places of the corpus.
 
     Places may lie in one document and may overlap; strings are judged on the input; none spans two documents. A null
     text counts as empty; texts shorter than the window stay whole; rows that are there twice are each other's repeats;
     null ids are an id like any other; an empty table gives an empty result.
 
-    Returns the input's columns with ``kept`` (binary, what remains), ``n_bytes``, ``n_removed`` and ``spans`` (maximal
+    Returns the input's columns with ``kept`` (what remains, binary; with ``as_text`` a string without the characters of
+    which a byte is gone), ``n_bytes``, ``n_removed`` and ``spans`` (maximal
     removed runs as start and end in bytes). They replace columns with those names.
     """
     others = [c for c in docs.columns if c not in ("kept", "n_bytes", "n_removed", "spans")]
@@ -265,13 +266,13 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, text
                             spans.append([low, high])
                     edges = [0, *(x for s in spans for x in s), len(raw)]
                     left = b"".join(raw[a:z] for a, z in zip(edges[::2], edges[1::2], strict=True))
-                    for column, x in zip(out, (left, len(raw), len(raw) - len(left), [{"start": a, "end": z} for a, z in spans]), strict=True):
+                    for column, x in zip(out, (left.decode("utf-8", "ignore") if as_text else left, len(raw), len(raw) - len(left), [{"start": a, "end": z} for a, z in spans]), strict=True):
                         column.append(x)
-                arrays = [part.column("row"), part.column("text"), pa.array(out[0], pa.binary()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()), pa.array(out[3], kind)]
+                arrays = [part.column("row"), part.column("text"), pa.array(out[0], pa.string() if as_text else pa.binary()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()), pa.array(out[3], kind)]
                 yield pa.RecordBatch.from_arrays(arrays, ["row", "text", "kept", "n_bytes", "n_removed", "spans"])
 
     row_type = kept.schema["row"].dataType.simpleString()
-    fields = f"row {row_type}, text string, kept binary, n_bytes long, n_removed long, spans array<struct<start:bigint,end:bigint>>"
+    fields = f"row {row_type}, text string, kept {'string' if as_text else 'binary'}, n_bytes long, n_removed long, spans array<struct<start:bigint,end:bigint>>"
     out = kept.mapInArrow(run, fields)
     columns = [F.col("text").alias(c) if c == text else F.col(f"row.`{c}`").alias(c) for c in others]
     return out.select(*columns, "kept", "n_bytes", "n_removed", "spans")
