@@ -150,7 +150,7 @@ def summary_counts(flat: DataFrame) -> DataFrame:
 
 def quality_pivot(flat: DataFrame, rows: str = "phase", grades: Sequence[str] = ("Good", "Medium", "Bad", "NaN")) -> DataFrame:
     """Counts of each grade, 0 where there are none."""
-    return flat.groupBy(rows).pivot("summary", list(grades)).agg(F.count("*")).fillna(0)
+    return flat.groupBy(rows).pivot("summary", list(grades)).agg(F.count(F.lit(1))).fillna(0)
 
 
 def classifier_categories(phases: DataFrame) -> DataFrame:
