@@ -19,10 +19,15 @@ from voltloom.llm.queries import tokenizer
 from voltloom.llm.repeats import remove_repeats
 
 
+def _whole_rows(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``text`` and the whole row as a struct, so that no column of the input meets one of an operator."""
+    return docs.select("doc_id", "text", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
     model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return classify(docs, model, keep=docs.columns).where("predicted = 1").select(*docs.columns)
+    return classify(_whole_rows(docs), model, keep=["row"]).where("predicted = 1").select("row.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,20 +35,21 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = near_duplicates(docs).where("doc_id <=> class_id and tid = class_tid")
     kept = found.groupBy(F.col("doc_id").alias("_id"), F.col("tid").alias("_tid")).agg(F.count("*").alias("_n"))
     kept = materialise(kept, "kept")
-    tid = F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (tid == F.col("_tid"))
-    once = docs.join(kept.where("_n = 1").hint("merge"), same, "left_semi")
-    again = docs.join(kept.where("_n > 1").hint("merge"), same).dropDuplicates(["_id", "_tid"]).select(*docs.columns)
-    return once.unionByName(again)
+    rows = _whole_rows(docs).withColumns({"doc_id": F.col("doc_id").cast("long"), "tid": F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")))})
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tid") == F.col("_tid"))
+    once = rows.join(kept.where("_n = 1").hint("merge"), same, "left_semi")
+    again = rows.join(kept.where("_n > 1").hint("merge"), same).dropDuplicates(["_id", "_tid"])  # rows that are there twice
+    return once.select("row.*").unionByName(again.select("row.*"))
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the text covered by strings of 400 bytes that repeat."""
-    cleaned = remove_repeats(docs, as_text=True)
-    out = cleaned.withColumn("text", F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text")))
+    out = remove_repeats(_whole_rows(docs), as_text=True)
+    cut = F.col("n_removed") > 0
+    row = F.col("row").withField("text", F.when(cut, F.col("kept")).otherwise(F.col("row.text")))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+        row = row.withField("n_chars", F.when(cut, F.length("kept").cast("long")).otherwise(F.col("row.n_chars")))
+    return out.select(row.alias("row")).select("row.*")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
