@@ -24,18 +24,19 @@ def reachable(edges: DataFrame, seeds: DataFrame, max_rounds: int = 1000) -> Dat
     edges: ``src``, ``dst``. A round joins only the newest frontier and drops what was seen; each round is checkpointed,
     so lineage and plans stay small.
     """
-    seen = seeds.select(F.col("seed"), F.col("seed").alias("node")).distinct()
+    edges = cut_lineage(edges)  # read in every round
+    seen = cut_lineage(seeds.select(F.col("seed"), F.col("seed").alias("node")).distinct())
     frontier = seen
     for _ in range(max_rounds):
         step = frontier.join(edges.withColumnRenamed("src", "node"), "node").select("seed", F.col("dst").alias("node")).distinct()
-        frontier = _cut(step.join(seen, ["seed", "node"], "left_anti"))
+        frontier = cut_lineage(step.join(seen, ["seed", "node"], "left_anti"))
         if frontier.isEmpty():
             return seen
-        seen = _cut(seen.unionByName(frontier))
+        seen = cut_lineage(seen.unionByName(frontier))
     raise RuntimeError("reachability didn't end")
 
 
-def _cut(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame) -> DataFrame:
     """Cut the lineage in the shared checkpoint folder, so that a lost executor costs no recomputation."""
     spark = df.sparkSession
     if not spark.sparkContext.getCheckpointDir():
@@ -54,12 +55,13 @@ def components(edges: DataFrame, nodes: DataFrame, max_rounds: int = 1000) -> Da
     Each round takes the smallest label among neighbours and then follows labels one step, so that the number of rounds
     is about the logarithm of the longest path.
     """
-    labels = _cut(nodes.select(F.col("node"), F.col("node").alias("component")).distinct())
+    edges = cut_lineage(edges)  # read in every round
+    labels = cut_lineage(nodes.select(F.col("node"), F.col("node").alias("component")).distinct())
     for _ in range(max_rounds):
         near = edges.join(labels.select(F.col("node").alias("dst"), F.col("component").alias("c")), "dst").groupBy("src").agg(F.min("c").alias("c"))
         low = labels.join(near.withColumnRenamed("src", "node"), "node", "left").select("node", F.col("component").alias("old"), F.least("component", "c").alias("component"))
         jump = low.select(F.col("node").alias("component"), F.col("component").alias("next"))
-        new = _cut(low.join(jump, "component", "left").select("node", "old", F.least("component", "next").alias("component")))
+        new = cut_lineage(low.join(jump, "component", "left").select("node", "old", F.least("component", "next").alias("component")))
         changed = not new.where("old != component").isEmpty()
         labels = new.select("node", "component")
         if not changed:
@@ -69,11 +71,12 @@ def components(edges: DataFrame, nodes: DataFrame, max_rounds: int = 1000) -> Da
 
 def simple_paths(edges: DataFrame, seeds: DataFrame, max_depth: int = 100) -> DataFrame:
     """All simple paths from seeds: ``seed``, ``node``, ``path`` (array), ``depth``. Exponential on meshed graphs."""
-    level = seeds.select(F.col("seed"), F.col("seed").alias("node"), F.array("seed").alias("path"), F.lit(0).alias("depth"))
+    edges = cut_lineage(edges)  # read in every round
+    level = cut_lineage(seeds.select(F.col("seed"), F.col("seed").alias("node"), F.array("seed").alias("path"), F.lit(0).alias("depth")))
     out = level
     for _ in range(max_depth):
         level = level.join(edges.withColumnRenamed("src", "node"), "node").where("not array_contains(path, dst)")
-        level = _cut(level.select("seed", F.col("dst").alias("node"), F.array_append("path", F.col("dst")).alias("path"), (F.col("depth") + 1).alias("depth")))
+        level = cut_lineage(level.select("seed", F.col("dst").alias("node"), F.array_append("path", F.col("dst")).alias("path"), (F.col("depth") + 1).alias("depth")))
         if level.isEmpty():
             return out
         out = out.unionByName(level)
