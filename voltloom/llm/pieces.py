@@ -19,6 +19,7 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 
+import ahocorasick
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -54,12 +55,17 @@ class Lattice:
         self.states = self.longest  # 0 to longest - 1 characters covered
         self.apart = not any((MARK in p[1:] and p.strip(MARK)) or "\n" in p for p in self.score)
         self.codes = [i.to_bytes(2 if n < 1 << 16 else 4, "little") for i in range(n)]
-        self.root: dict = {}  # a trie: character to (children, score or None, packed id)
+        self.root: dict = {}  # a trie: character to (children, score or None)
         for p in sorted(self.score, key=len):
             node = self.root
             for c in p[:-1]:
-                node = node.setdefault(c, ({}, None, b""))[0]
-            node[p[-1]] = (node.get(p[-1], ({},))[0], self.score[p][0], self.codes[self.score[p][1]])
+                node = node.setdefault(c, ({}, None))[0]
+            node[p[-1]] = (node.get(p[-1], ({},))[0], self.score[p][0])
+        self.alphabet = {p for p in self.score if len(p) == 1}
+        self.automaton = ahocorasick.Automaton()
+        for p, (x, i) in self.score.items():
+            self.automaton.add_word(p, (len(p), x, self.codes[i]))
+        self.automaton.make_automaton()
         self.bytes_of = [b"" if special[i] else p.encode("utf-8", "surrogatepass") for i, p in enumerate(self.piece)]
         for b, i in self.byte.items():
             self.bytes_of[i] = bytes([b])
@@ -91,7 +97,7 @@ class Lattice:
                 step = node.get(s[start + to])
                 if step is None:
                     break
-                node, score, _ = step
+                node, score = step
                 if score is not None:
                     single |= to == i
                     if here + score > best[to + 1]:
@@ -111,25 +117,19 @@ class Lattice:
         return [x for ids in reversed(out) for x in ids]
 
     def word(self, w: str) -> bytes:
-        """Packed ids of a stretch in which paths begin and end; the same search as ``forward`` makes."""
-        n, root, unknown = len(w), self.root, self.unknown
+        """Packed ids of a stretch in which paths begin and end: the search of ``forward`` over an automaton's matches.
+
+        Matches come by their ends, the longest first; so all that lead to a place are known before any goes on from it.
+        """
+        n = len(w)
+        if not self.alphabet.issuperset(w):  # only here can a character be uncovered
+            return self.code(self.path(w, 0, n, self.forward(w, 0, n)[1]))
         best, back, code = [0.0] + [LEAST] * n, [0] * (n + 1), [b""] * (n + 1)
-        for i in range(n):
-            here, node, to, single = best[i], root, i, False
-            for c in w[i : i + self.longest]:
-                step = node.get(c)
-                if step is None:
-                    break
-                to += 1
-                node, score, own = step
-                if score is not None:
-                    if to == i + 1:
-                        single = True
-                    x = here + score
-                    if x > best[to]:
-                        best[to], back[to], code[to] = x, i, own
-            if not single and here + unknown > best[i + 1]:
-                best[i + 1], back[i + 1], code[i + 1] = here + unknown, i, self.code(self.unknown_ids(w[i]))
+        for last, (length, score, own) in self.automaton.iter(w):
+            start = last + 1 - length
+            x = best[start] + score
+            if x > best[last + 1]:
+                best[last + 1], back[last + 1], code[last + 1] = x, start, own
         out = []
         while n:
             out.append(code[n])
