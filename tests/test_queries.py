@@ -3,6 +3,7 @@
 import glob
 import os
 
+import pandas as pd
 import pytest
 
 from voltloom.plans.queries import QUERIES, SQL
@@ -24,7 +25,7 @@ def rows(df):
     df = df[sorted(df.columns)]
 
     def text(v):
-        if v is None or v != v:
+        if v is None or pd.isna(v):
             return "NULL"
         return f"{float(v):.6g}" if isinstance(v, (float, int)) and not isinstance(v, bool) else str(v)
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import code, code_number, code_type, zero_to_null
+from .graph import cut_lineage
 from .upsert import insert_missing, make_current, merge, next_version
 
 _filled = lambda c: F.coalesce(F.col(c), F.lit("")) != ""
@@ -177,8 +178,9 @@ def ingest(topology: DataFrame, meters: DataFrame, level: str = "raw", grid: Gri
     nodes = _numbered(existing_nodes(node_codes(topology, meters), tables), ["node_type", "asset_id"], version)
     for kind, column in (("LvFeeder", "feeder_id"), ("Cabinet", "cabinet_id"), ("DeliveryPoint", "delivery_point_id")):
         nodes = nodes.withColumn(column, F.when(F.col("node_type") == kind, F.col("asset_id")))
+    nodes = cut_lineage(nodes)
     edges = resolved_edges(grouped_edges(topology, meters), nodes).dropDuplicates(["node1_id", "node2_id"])
-    edges = _numbered(edges, ["node1_id", "node2_id"], version)
+    edges = cut_lineage(_numbered(edges, ["node1_id", "node2_id"], version))
     known = cables(topology).withColumn("version", F.lit(version))
     parts = edge_cables(edges).where("cable_id is not null").withColumn("version", F.lit(version)).dropDuplicates(["edge_id", "cable_id"])
     check_edges(edges, nodes)

@@ -550,7 +550,6 @@ def topology_versions(spark: SparkSession, d: str) -> DataFrame:
 
 def _grid(spark: SparkSession, d: str) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
     g = topo.ingest(topology(spark, d), meter_rows(spark, d))
-    g.node, g.edge = graph.cut_lineage(g.node), graph.cut_lineage(g.edge)  # a store would have written them
     return g.assets, g.at()
 
 
