@@ -59,9 +59,9 @@ def test_typed_csv(spark, store, tmp_path):
 
 
 def test_streams(spark, store, tmp_path):
-    rows = measurement_stream(spark, f"file://{tmp_path}/in", ["voltage_l1"])
+    rows = measurement_stream(spark, f"file://{tmp_path}/in", ["timestamp_dst", "meter_number", "voltage_l1"])
     ingest_stream(rows, store, f"file://{tmp_path}/check").awaitTermination(120)
     assert spark.read.parquet(store.path("stream_stats", "batch=0")).agg(F.sum("total_rows")).first()[0] == 3
-    q = streaming_means(measurement_stream(spark, f"file://{tmp_path}/in", ["voltage_l1"]), ["voltage_l1"]).writeStream.outputMode("complete").format("memory").queryName("means").trigger(availableNow=True).start()
+    q = streaming_means(measurement_stream(spark, f"file://{tmp_path}/in", ["timestamp_dst", "meter_number", "voltage_l1"]), ["voltage_l1"]).writeStream.outputMode("complete").format("memory").queryName("means").trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert spark.table("means").count() == 3

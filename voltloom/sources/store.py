@@ -182,10 +182,10 @@ class Store:
     def write_snapshot(self, df: DataFrame, name: str, snapshot: str) -> None:
         """A table's new snapshot, then the pointer to it: readers see the old or the new one."""
         df.write.mode("errorifexists").parquet(self.path(name, snapshot))
-        self.write_json({"snapshot": snapshot}, name, "_current.json")
+        self.write_json({"snapshot": snapshot}, name, "current.json")
 
     def snapshot(self, name: str) -> DataFrame | None:
-        found = self.json(name, "_current.json")
+        found = self.json(name, "current.json")
         return self.spark.read.parquet(self.path(name, found["snapshot"])) if found else None
 
     def promote(self, staging: str, ready: str) -> list[str]:

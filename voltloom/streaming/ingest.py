@@ -14,11 +14,11 @@ from ..operators.upsert import merge_meter_stats
 from ..sources.store import Store, with_partitions
 
 
-def measurement_stream(spark: SparkSession, folder: str, columns: Sequence[str] = schemas.MEASUREMENTS, files_per_batch: int = 100) -> DataFrame:
-    """New CSV files of a folder as a stream of measurement rows."""
-    header = ["meter_number", "timestamp_dst", *columns]
-    text = spark.readStream.schema(", ".join(f"`{c}` string" for c in header)).options(header=True, maxFilesPerTrigger=files_per_batch).csv(folder)
-    rows = text.select(F.trim("meter_number").alias("meter_number"), F.try_to_timestamp("timestamp_dst").alias("timestamp"), *(F.col(c).try_cast("double").alias(c) for c in columns))
+def measurement_stream(spark: SparkSession, folder: str, header: Sequence[str] = ("timestamp_dst", "meter_number", *schemas.MEASUREMENTS), files_per_batch: int = 100) -> DataFrame:
+    """New CSV files of a folder as a stream of measurement rows. ``header``: the files' columns in their order."""
+    text = spark.readStream.schema(", ".join(f"`{c}` string" for c in header)).options(header=True, enforceSchema=False, maxFilesPerTrigger=files_per_batch).csv(folder)
+    values = [F.col(c).try_cast("double").alias(c) for c in header if c in schemas.MEASUREMENTS]
+    rows = text.select(F.trim("meter_number").alias("meter_number"), F.try_to_timestamp("timestamp_dst").alias("timestamp"), *values)
     return rows.where("timestamp is not null and meter_number is not null")
 
 
