@@ -61,6 +61,12 @@ class Lattice:
             for c in p[:-1]:
                 node = node.setdefault(c, ({}, None))[0]
             node[p[-1]] = (node.get(p[-1], ({},))[0], self.score[p][0])
+        # a character that no piece covers costs as much however many byte pieces write it: the first byte's piece counts
+        self.worth_of = np.array([self.score[p][0] if not special[i] else 0.0 for i, p in enumerate(self.piece)])
+        for b, i in self.byte.items():
+            self.worth_of[i] = self.unknown if b & 0xC0 != 0x80 else 0.0
+        if self.unknown_id >= 0 and len(self.byte) < 256:
+            self.worth_of[self.unknown_id] = self.unknown
         self.alphabet = {p for p in self.score if len(p) == 1}
         self.automaton = ahocorasick.Automaton()
         for p, (x, i) in self.score.items():
@@ -159,8 +165,8 @@ class Lattice:
         return b"".join(found)
 
     def worth(self, s: str) -> float:
-        """Score of the best path through a text in which paths begin and end."""
-        return sum(self.forward(w, 0, len(w))[0][len(w)] for w in self.words(s)) if s else 0.0
+        """Score of the best path through a text in which paths begin and end: that of its pieces."""
+        return float(self.worth_of[np.frombuffer(self.solved(s), f"<u{self.width}")].sum())
 
     # --- chunks ------------------------------------------------------------------------------------------------------
 
