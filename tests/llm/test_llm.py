@@ -55,6 +55,7 @@ def test_special_and_rare_characters(text):
 def test_memo_is_bounded(monkeypatch):
     enc = tokens.WholeTokenEncoder(WORD)
     monkeypatch.setattr(tokens, "MEMO", len(enc.whole) + 10)
+    monkeypatch.setattr(tokens, "RECENT", 5)
     monkeypatch.setattr(tokens, "CHUNKS", 7)
     text = " ".join(prose(np.random.default_rng(0), 3, 100))
     assert enc.encode(text).tolist() == enc.library.encode(text, add_special_tokens=False).ids

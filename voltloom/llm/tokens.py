@@ -26,9 +26,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Distinct stretches between white space that a worker remembers (about 200 bytes each), and how many it looks up
-#: at once.
-MEMO, CHUNKS = 150_000, 100_000
+#: Distinct stretches between white space that a worker remembers because they came back (about 200 bytes each), those
+#: it keeps until they might, and how many it looks up at once.
+MEMO, RECENT, CHUNKS = 200_000, 120_000, 100_000
 #: Fixed values of the tokenizer file that the fast path reproduces.
 SPLIT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 NORMALISERS = ["NFC", "Replace", "Lowercase"]
@@ -66,6 +66,7 @@ class WholeTokenEncoder:
         self.code = [i.to_bytes(self.width, "little") for i in range(largest)]
         self.whole = self._prove_whole(spec["model"]["vocab"]) if self.fast else {}
         self.memo: dict[str, bytes] = dict(self.whole)
+        self.recent: dict[str, bytes] = {}
         self.letters = {b: c for c, b in _byte_letters().items()}
         self.fast = self.fast and bool(self.suffix)
 
@@ -89,24 +90,38 @@ class WholeTokenEncoder:
     def _normal(text: str) -> str:
         return (text if text.isascii() else unicodedata.normalize("NFC", text)).lower()
 
-    def _learn(self, chunks: set[str]) -> None:
-        """Merge chunks that neither table knows, pre-token by pre-token, with the library's own model."""
-        merge, letters, code, memo = self.library.model.tokenize, self.letters, self.code, self.memo
+    def _merged(self, chunk: str) -> bytes:
+        """Ids of a stretch between white space, pre-token by pre-token, by the library's own merges."""
+        merge, letters, code = self.library.model.tokenize, self.letters, self.code
+        if chunk.isalpha():
+            return b"".join([code[t.id] for t in merge(chunk if chunk.isascii() else chunk.encode().decode("latin-1").translate(letters))])
+        out = []
+        for w in _SPLIT.findall(chunk):
+            known = self.memo.get(w)
+            if known is None:
+                raw = w if w.isascii() and w.isprintable() else w.encode().decode("latin-1").translate(letters)
+                known = b"".join([code[t.id] for t in merge(raw)])
+            out.append(known)
+        return b"".join(out)
+
+    def _learn(self, chunks: set[str]) -> dict[str, bytes]:
+        """Ids of stretches that aren't in the memo. One that was met a short while ago is remembered from now on; most
+        are met once and never again, and only pass through the list of recent ones."""
+        recent, out = self.recent, {}
         for chunk in chunks:
-            if chunk.isalpha():
-                raw = chunk if chunk.isascii() else chunk.encode().decode("latin-1").translate(letters)
-                memo[chunk] = b"".join([code[t.id] for t in merge(raw)])
-                continue
-            out = []
-            for w in _SPLIT.findall(chunk):
-                known = memo.get(w)
-                if known is None:
-                    raw = w if w.isascii() and w.isprintable() else w.encode().decode("latin-1").translate(letters)
-                    known = b"".join([code[t.id] for t in merge(raw)])
-                    if len(w) > 1 and len(memo) < MEMO:
-                        memo[w] = known
-                out.append(known)
-            memo[chunk] = b"".join(out)
+            known = recent.get(chunk)
+            if known is not None:
+                self.memo[chunk] = known
+            else:
+                known = self._merged(chunk)
+                if len(chunk) <= 64:
+                    recent[chunk] = known
+            out[chunk] = known
+        if len(recent) > RECENT:
+            recent.clear()
+        if len(self.memo) > MEMO:
+            self.memo = dict(self.whole)
+        return out
 
     def packed(self, text: str | None) -> bytes:
         """Ids of the whole text, ``self.width`` little-endian bytes each; null is empty."""
@@ -120,12 +135,8 @@ class WholeTokenEncoder:
             part = words[at : at + CHUNKS]
             found = list(map(self.memo.get, part))
             if None in found:
-                new = {w for w, f in zip(part, found, strict=True) if f is None}
-                if len(self.memo) + len(new) > MEMO:  # forget the rest, not what this part needs
-                    self.memo = self.whole | {w: f for w, f in zip(part, found, strict=True) if f is not None}
-                self._learn(new)
-                memo = self.memo
-                found = [memo[w] if f is None else f for w, f in zip(part, found, strict=True)]
+                new = self._learn({w for w, f in zip(part, found, strict=True) if f is None})
+                found = [new[w] if f is None else f for w, f in zip(part, found, strict=True)]
             out.append(b"".join(found))
         return b"".join(out)
 
