@@ -70,7 +70,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, capacity: int =
     A document is its ids without special tokens, then ``end_id``; a null or empty text is that one id. Every id lies
     in exactly one piece; pieces of one document may lie in several sequences. Repeated rows are packed once each, a
     null id stays null, an empty table gives no pieces, and other columns are ignored. A giant text becomes many full
-    pieces, which spread over all blocks. One shuffle moves the ids (two bytes each while they fit) dealt by a random
+    pieces, which spread over all blocks. Rows should come in the order of a stored table, as blocks are drawn in it. One shuffle moves the ids (two bytes each while they fit) dealt by a random
     block, so no key of the data can make a task large; a block's memory is bounded by ``BLOCK`` documents' tails.
 
     Returns the pieces: ``doc_id``, ``start`` (ids of the document before it), ``length``, ``ids`` (little-endian
