@@ -351,7 +351,7 @@ def result_rows(transformer: str, leaves: Sequence[Leaf], found: Evaluation | No
             if other:
                 row = row | {k: other[k] for k in ("true_feeder_id", "true_transformer_id")}
         normal = (row["true_transformer_id"], row["true_feeder_id"], row["feeder_phase"], row["transformer_phase"]) == (transformer, x.feeder, x.phase, x.phase)
-        said = [
+        said = [  # fixed values: the texts that results carry
             (normal, "Normal"), (x in unconnected, "SM Phase Unconnected"), (x in corrupt, "SM Phase Insufficient Data"), (x in found.twisted, "SM Phase Twist"), (x in found.doubled, "SM Phase Doubled"),
             (row["transformer_phase"] not in ("nan", row["feeder_phase"]), "Feeder Phase Twist"), (row["feeder_phase"] != "nan" and row["transformer_phase"] == "nan", "Unknown Feeder Phase"),
             (x in found.wrong_feeder, "Wrong Feeder"), (x in foreign, "Wrong Trafo"),
