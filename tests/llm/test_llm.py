@@ -401,6 +401,8 @@ LONG = "This is a sentence, with commas, of some length that reads like prose. "
         (page(f"<div class='sidebar'><p>{LONG}</p></div><div id=content><p>{LONG}</p><p>Short.</p><div class='comments'><p>{LONG}</p></div></div>"), f"{LONG.strip()} Short."),
         (page(f"<main><p>One<br>two<b>three</b>{LONG}</p><form>F</form><script>var x='</p>'</script></main>"), f"One twothree{LONG.strip()}"),
         (page(f"<article><p>{LONG}</p><!-- c <p>x</p> --><p>Cut <b>off"), f"{LONG.strip()} Cut off"),
+        (page(f"<article><p>{LONG}</p></article><ol class=commentlist><li><article class='comment-body'><p>{LONG}</p></article></li></ol>"), LONG.strip()),
+        (page(f"<div class=cookie-notice><p>{LONG}</p></div><div class=story><p>{LONG}</p><ul><li>point, one</li></ul><pre>x  = 1</pre></div>"), f"{LONG.strip()} point, one x = 1"),
         (page(f"<div class=ad>{LONG}</div><article><p>{LONG}</p><aside>no</aside></article>"), LONG.strip()),
     ],
 )

@@ -41,7 +41,9 @@ MARKS = set(
     "notice notices notification outbrain pager pagination paywall popup promo promotion related reply replies respond search share sharing shoutbox "
     "sidebar signup skyscraper social sponsor sponsored sponsors subscribe taboola toolbar tooltip widget widgets".split()
 )
-WRAPPERS = {"body", "html", "article", "main"}
+#: Beginnings of longer names with the same meaning, and marks of articles that are no main text.
+PREFIXES = ("comment", "advert", "adsby", "sidebar", "cookie", "newsletter", "breadcrumb", "sponsor", "footer", "navbar")
+ASIDE_ARTICLES = ("comment", "repl", "respon", "related", "promo", "sponsor", "advert")
 PARAGRAPHS = {"p", "pre", "blockquote", "td", "li", "dd", "h1", "h2", "h3", "div", "section", "article", "main", "body", "center"}
 #: Points that a container starts with.
 PRIOR = {"article": 15.0, "main": 10.0, "div": 2.0, "section": 2.0, "blockquote": 1.0, "form": -5.0, "ul": -3.0, "ol": -3.0, "td": 1.0, "th": -5.0}
@@ -64,12 +66,16 @@ def _marked(tag: str, attributes: dict[str, str], inside: bool) -> bool:
     """Whether an element and all below it is no main text; inside: below an article or main element."""
     if tag in DROPPED or (tag == "header" and not inside) or "hidden" in attributes or attributes.get("aria-hidden") == "true":
         return True
-    if tag in WRAPPERS:
+    if tag in ("body", "html"):
         return False
     said = f"{attributes.get('class', '')} {attributes.get('id', '')} {attributes.get('role', '')}"
     if said == "  ":
         return "display:none" in attributes.get("style", "").replace(" ", "")
     names = {x.lower() for x in _NAMES.findall(said)}
+    if tag in ("article", "main"):
+        return any(x.startswith(ASIDE_ARTICLES) for x in names)
+    if any(x.startswith(PREFIXES) for x in names):
+        return True
     return bool(names & (MARKS - {"header", "byline"} if inside else MARKS)) or "display:none" in attributes.get("style", "").replace(" ", "")
 
 
