@@ -185,13 +185,13 @@ def _normal_cdf(x: np.ndarray) -> np.ndarray:
     return np.interp(x, *_normal_table(), left=0.0, right=1.0)
 
 
-def truncated_normal(rng: np.random.Generator, mean: float, sd: float, low: float, high: float, size: int) -> np.ndarray:
-    """Draws between two limits, by inverting a tabulated distribution function."""
-    grid = np.linspace(low, high, 257)
-    cdf = _normal_cdf((grid - mean) / max(sd, 1e-9))
-    if cdf[-1] - cdf[0] < 1e-12:
-        return np.full(size, np.clip(mean, low, high))
-    return np.interp(rng.uniform(cdf[0], cdf[-1], size), cdf, grid)
+def truncated_normal(rng: np.random.Generator, mean: np.ndarray, sd: np.ndarray, low: float, high: float, size: int) -> np.ndarray:
+    """``size`` draws between two limits for each pair of parameters, by inverting the tabulated distribution function."""
+    x, cdf = _normal_table()
+    sd = np.maximum(sd, 1e-9)
+    first, last = _normal_cdf((low - mean) / sd), _normal_cdf((high - mean) / sd)
+    u = first[:, None] + rng.uniform(size=(len(mean), size)) * (last - first)[:, None]
+    return np.clip(mean[:, None] + sd[:, None] * np.interp(u, cdf, x), low, high)
 
 
 def thermal_prior(load: np.ndarray, hour: np.ndarray, bins: np.ndarray, cold: int, n_bins: int, top: float, steps: int, cfg: LabelConfig, rng: np.random.Generator) -> np.ndarray:
@@ -205,13 +205,13 @@ def thermal_prior(load: np.ndarray, hour: np.ndarray, bins: np.ndarray, cold: in
             seen = np.histogram(load[(hour == h) & (bins == t)], steps, (0, top))[0] + 1e-6
             seen /= seen.sum()
             mean, sd = rng.uniform(0, top, cfg.draws), rng.uniform(0, top / 4, cfg.draws)
-            distance = np.empty(cfg.draws)
-            for i in range(cfg.draws):
-                heat = truncated_normal(rng, mean[i], sd[i], 0, top, cfg.samples)
-                total = heat + (rng.choice(base, cfg.samples) if len(base) else 0)
-                guess = np.histogram(total, steps, (0, top))[0] + 1e-6
-                guess /= guess.sum()
-                distance[i] = (seen * np.log(seen / guess)).sum()
+            total = truncated_normal(rng, mean, sd, 0, top, cfg.samples)
+            if len(base):
+                total = total + rng.choice(base, total.shape)
+            place = np.minimum((total / top * steps).astype(int), steps - 1) + np.arange(cfg.draws)[:, None] * steps
+            guess = np.bincount(place[total <= top], minlength=cfg.draws * steps).reshape(cfg.draws, steps) + 1e-6
+            guess /= guess.sum(1, keepdims=True)
+            distance = (seen * np.log(seen / guess)).sum(1)
             best = np.argsort(distance, kind="stable")[: max(1, cfg.draws // 100)]
             m, s = mean[best].mean(), max(sd[best].mean(), 1e-9)
             density = np.exp(-0.5 * ((centre - m) / s) ** 2) / s
