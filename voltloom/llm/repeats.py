@@ -175,7 +175,8 @@ def _split_groups(rows: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
         F.sha1(F.substring("raw", F.col("i") + 1, F.lit(window))).alias("digest"),
     )
     equal = single.groupBy("anchor", "shift", "digest").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    single = single.where("copies = 1").join(equal, ["anchor", "shift", "digest"]).select("doc", "text_hash", "low", F.col("low").alias("high"))
+    equal = materialise(equal, "equal-windows")  # so that the join is between exchanges, which can be split
+    single = single.where("copies = 1").join(equal.hint("merge"), ["anchor", "shift", "digest"]).select("doc", "text_hash", "low", F.col("low").alias("high"))
     return same.unionByName(small).unionByName(single), stretches
 
 
