@@ -288,6 +288,25 @@ def test_near_duplicates_in_blocks(spark, docs, monkeypatch):
     assert got == brute_classes(rows)
 
 
+def test_near_duplicates_across_blocks_of_a_template(spark, docs, monkeypatch):
+    """Texts of one template are alike under the threshold; their near copies mostly lie in other blocks of a bucket."""
+    monkeypatch.setattr(neardup, "BLOCK", 8)
+    monkeypatch.setattr(neardup, "SIDE", 32)
+    rng = np.random.default_rng(21)
+    template = prose(rng, 1, 330)[0].split()
+    rows = []
+    for i in range(150):
+        own = [f"own{i}x{k}" for k in range(70)]
+        rows.append(" ".join(template + own))
+        if i % 5 == 0:
+            rows.append(" ".join(template + own[:35] + [f"new{i}x{k}" for k in range(35)]))
+    rows = list(enumerate(rows))
+    want = brute_classes(rows)
+    assert Counter(size for _, _, size in want) == {1: 120, 2: 60}
+    got = sorted(((r.doc_id, r.class_id, r.class_size) for r in neardup.near_duplicates(docs(rows)).collect()), key=str)
+    assert got == want
+
+
 def test_near_duplicates_odd_rows(spark, docs, odd_rows):
     got = sorted(((r.doc_id, r.class_id, r.class_size) for r in neardup.near_duplicates(docs(odd_rows)).collect()), key=str)
     assert got == brute_classes(odd_rows)

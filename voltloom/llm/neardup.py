@@ -13,7 +13,8 @@
 4. The candidate pairs are verified on the whole texts by weighted Jaccard similarity; classes are the connected
    components of what remains.
 5. Where a verified link is missing between classes of one bucket that may yet be similar, the texts meet in the bucket,
-   and all such pairs are tested there, from the likeliest on, until the classes are joined or no pair is left.
+   and all such pairs are tested there, from the likeliest on, until the classes are joined or no pair is left. Blocks of a
+   large bucket that holds several classes all meet, two by two; only blocks of the largest class don't meet each other.
 """
 
 from __future__ import annotations
@@ -42,6 +43,8 @@ IDF = 0.1
 HOPE = 0.5
 #: Texts of a bucket that are compared with each other at once.
 BLOCK = 256
+#: Texts of a block where all blocks of a large bucket meet, two by two.
+SIDE = 512
 #: Characters of text that one numpy pass takes.
 PASS = 1 << 20
 
@@ -276,42 +279,77 @@ def _compare(rows: DataFrame) -> DataFrame:
     return _dealt(rows).mapInPandas(run, "band long, a string, b string")
 
 
-def _hopeful(found: np.ndarray, root: np.ndarray) -> np.ndarray:
-    """Pairs of a group that may be similar and aren't in one class yet: how many samples agree, else 0."""
-    equal = _agreement(found)
+def _hopeful(found: np.ndarray, root: np.ndarray, own: np.ndarray, nth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a group that may be similar and aren't in one class yet, the likeliest first.
+
+    own: the text's block; where two blocks meet, only pairs across them count. nth: number of the band whose blocks meet,
+    so that a pair counts in the first band in which it agrees; -1 for a group that is compared by itself.
+    """
+    left = np.flatnonzero(own == own.min())
+    right = np.flatnonzero(own == own.max())
+    equal = np.zeros((len(left), len(right)), np.uint8)
+    for column in found.T:
+        equal += column[left][:, None] == column[right][None, :]
     names = np.unique(root, return_inverse=True)[1]
-    equal[(names[:, None] == names[None, :]) | (equal < np.ceil(HOPE * found.shape[1]))] = 0
-    return equal
+    equal[(names[left][:, None] == names[right][None, :]) | (equal < np.ceil(HOPE * found.shape[1]))] = 0
+    if own.min() == own.max():
+        equal = np.triu(equal, 1)
+    x, y = np.nonzero(equal)
+    order = np.argsort(-equal[x, y].astype(np.int16), kind="stable")
+    x, y = left[x[order]], right[y[order]]
+    if nth >= 0 and len(x):
+        agree = np.stack([(found[x, i * ROWS : (i + 1) * ROWS] == found[y, i * ROWS : (i + 1) * ROWS]).all(1) for i in range(BANDS)])
+        first = agree.argmax(0) == nth
+        x, y = x[first], y[first]
+    return x, y
+
+
+def _crossings(groups: DataFrame, root: DataFrame) -> DataFrame:
+    """All blocks of large buckets with several classes, two by two, as key, nth, own, tid and root. Texts of the bucket's
+    largest class, dealt into blocks of their own, meet all others but not each other."""
+    wide = groups.where((F.col("nth") >= 0) & (F.col("n") > BLOCK)).select("band", "nth", "tid")
+    wide = wide.join(root.withColumnRenamed("node", "tid").hint("merge"), "tid", "left").withColumn("root", F.coalesce("root", "tid"))
+    wide = materialise(wide, "wide")
+    classes = wide.groupBy("band", "root").agg(F.count("*").alias("m"))
+    most = F.max(F.struct("m", "root"))
+    open_ = classes.groupBy("band").agg(F.sum("m").alias("all"), most.alias("most")).where("most.m < all")
+    open_ = open_.select("band", F.ceil((F.col("all") - F.col("most.m")) / SIDE).alias("others"), F.ceil(F.col("most.m") / SIDE).alias("largest"), F.col("most.root").alias("most"))
+    rows = wide.join(open_.hint("merge"), "band").withColumn("main", F.col("root") == F.col("most"))
+    place = F.xxhash64(F.lit("third"), "tid")
+    own = F.when(F.col("main"), F.col("others") + F.pmod(place, "largest")).otherwise(F.pmod(place, "others"))
+    rows = rows.withColumn("own", own)
+    other = F.expr("explode(sequence(0L, if(main, others, others + largest) - 1))")
+    rows = rows.select("band", "nth", "tid", "root", "own", other.alias("other"))
+    key = F.xxhash64(F.lit("third"), "band", F.least("own", "other"), F.greatest("own", "other"))
+    return rows.select(key.alias("key"), "nth", "own", "tid", "root")
 
 
 def _unsettled(rows: DataFrame) -> DataFrame:
-    """Members of groups that may be similar to a member of another class. rows: key, tid, root, sketch."""
+    """Members of groups that may be similar to a member of another class. rows: key, nth, own, tid, root, sketch."""
 
     def found(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
-        for key, tid, root, sketches in _groups(batches, "key", "tid", "root", "sketch"):
+        for key, nth, own, tid, root, sketches in _groups(batches, "key", "nth", "own", "tid", "root", "sketch"):
             if (root != root[0]).any():
-                open_ = np.flatnonzero(_hopeful(_matrix(sketches), root).any(1))
-                yield from ((key[i], tid[i], root[i], sketches[i]) for i in open_.tolist())
+                open_ = np.unique(np.concatenate(_hopeful(_matrix(sketches), root, own, nth[0])))
+                yield from ((key[i], nth[i], own[i], tid[i], root[i], sketches[i]) for i in open_.tolist())
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        yield from _frames(found(batches), ["key", "tid", "root", "sketch"])
+        yield from _frames(found(batches), ["key", "nth", "own", "tid", "root", "sketch"])
 
-    return _dealt(rows).mapInPandas(run, "key long, tid string, root string, sketch binary")
+    return _dealt(rows).mapInPandas(run, "key long, nth int, own long, tid string, root string, sketch binary")
 
 
 def _settled(rows: DataFrame, idf: np.ndarray, threshold: float) -> DataFrame:
     """Verify, in a group, pairs of different classes from the likeliest on until all that are left are tested, and join
-    classes on the way. rows: key, tid, root, sketch, text. Returns the links (a, b)."""
+    classes on the way. rows: key, nth, own, tid, root, sketch, text. Returns the links (a, b)."""
 
     def found(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
         seen: dict[tuple[str, str], bool] = {}  # pairs meet in several bands
-        for _, tid, root, sketches, texts in _groups(batches, "key", "tid", "root", "sketch", "text"):
+        for _, nth, own, tid, root, sketches, texts in _groups(batches, "key", "nth", "own", "tid", "root", "sketch", "text"):
             root = root.copy()
-            equal = np.triu(_hopeful(_matrix(sketches), root), 1)
-            x, y = np.nonzero(equal)
-            pairs = [(int(x[k]), int(y[k])) for k in np.argsort(-equal[x, y], kind="stable")]
+            x, y = _hopeful(_matrix(sketches), root, own, nth[0])
             sets = None
-            for i, j in pairs:
+            for i, j in zip(x.tolist(), y.tolist(), strict=True):
                 if root[i] == root[j]:
                     continue
                 pair = (min(tid[i], tid[j]), max(tid[i], tid[j]))
@@ -337,16 +375,17 @@ def _settled(rows: DataFrame, idf: np.ndarray, threshold: float) -> DataFrame:
 
 
 def candidate_links(sketches: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs of texts (a < b) to verify, and the groups that were compared (key, band, tid).
+    """Pairs of texts (a < b) to verify, and the groups that were compared: key, band, tid, number of the band (-1 for groups of
+    centres) and texts of the bucket.
 
     sketches: one row for each text, ``tid`` and ``sketch``.
     """
     whole = F.col("sketch")
     keys = [F.xxhash64(F.lit(i), F.substring(whole, i * ROWS * 4 + 1, ROWS * 4)) for i in range(BANDS)]
-    bands = sketches.select("tid", F.explode(F.array(*keys)).alias("band"))
+    bands = sketches.select("tid", F.posexplode(F.array(*keys)).alias("nth", "band"))
     sizes = materialise(bands.groupBy("band").agg(F.count("*").alias("n")).where("n > 1"), "bands")
     block = F.pmod(F.xxhash64("tid", "band"), F.ceil(F.col("n") / BLOCK))
-    groups = materialise(bands.join(sizes.hint("merge"), "band").select(F.xxhash64("band", block).alias("key"), "band", "tid"), "groups")
+    groups = materialise(bands.join(sizes.hint("merge"), "band").select(F.xxhash64("band", block).alias("key"), "band", "tid", "nth", "n"), "groups")
     first = materialise(_compare(groups.join(sketches.hint("merge"), "tid")), "links")
 
     centres = first.where("b is null").join(sizes.where(F.col("n") > BLOCK).hint("merge"), "band").select("band", F.col("a").alias("tid"))
@@ -361,7 +400,7 @@ def candidate_links(sketches: DataFrame) -> tuple[DataFrame, DataFrame]:
         rows = rows.select("band", "tid", pair.alias("block"))
         rows = materialise(rows.select(F.xxhash64(F.lit("second"), "band", "block").alias("key"), "band", "tid"), "centre-groups")
         links = links.unionByName(_compare(rows.join(sketches.hint("merge"), "tid")).where("b is not null").select("a", "b"))
-        groups = groups.unionByName(rows)
+        groups = groups.unionByName(rows.withColumns({"nth": F.lit(-1), "n": F.lit(0).cast("long")}))
     return materialise(links.distinct(), "candidates"), groups
 
 
@@ -420,12 +459,20 @@ def near_duplicates(docs: DataFrame, threshold: float = SIMILAR, text: str = "te
     pairs = links.join(texts.select(F.col("tid").alias("a"), F.col("text").alias("text_a")).hint("merge"), "a")
     pairs = pairs.join(texts.select(F.col("tid").alias("b"), F.col("text").alias("text_b")).hint("merge"), "b").select("a", "b", "text_a", "text_b")
     near = materialise(_verified(pairs, idf, threshold).select("a", "b"), "near")
-    # a forest may miss a link that a failed one stood for: go back to groups whose classes may yet be similar. Whoever
-    # has such a partner is an end of a tested pair, so the texts are at hand.
+    # a forest may miss a link that a failed one stood for: go back to groups whose classes may yet be similar
     root = materialise(connected_components(near), "roots")
-    open_ = groups.join(sketches.hint("merge"), "tid").join(root.withColumnRenamed("node", "tid").hint("merge"), "tid", "left")
-    open_ = materialise(_unsettled(open_.select("key", "tid", F.coalesce("root", "tid").alias("root"), "sketch")), "unsettled")
-    more = materialise(_settled(open_.join(texts.hint("merge"), "tid"), idf, threshold).distinct(), "more")
+    met = groups.join(root.withColumnRenamed("node", "tid").hint("merge"), "tid", "left")
+    met = met.select("key", F.lit(-1).alias("nth"), F.lit(0).cast("long").alias("own"), "tid", F.coalesce("root", "tid").alias("root"))
+    met = met.unionByName(_crossings(groups, root))
+    open_ = materialise(_unsettled(met.join(sketches.hint("merge"), "tid")), "unsettled")
+    # whoever has such a partner in its own block is an end of a tested pair, so its text is at hand; others' are read now
+    absent = firsts.select("tid", "doc").join(open_.select("tid").distinct().hint("merge"), "tid", "left_semi")
+    absent = materialise(absent.join(texts.select("tid").hint("merge"), "tid", "left_anti"), "absent")
+    read = texts
+    if not absent.isEmpty():
+        late = own.join(absent.hint("merge"), ["tid", "doc"], "left_semi").groupBy("tid").agg(F.min("text").alias("text"))
+        read = texts.unionByName(materialise(late, "late"))
+    more = materialise(_settled(open_.join(read.hint("merge"), "tid"), idf, threshold).distinct(), "more")
     if not more.isEmpty():
         root = connected_components(near.unionByName(more))
     discard(firsts, texts, open_)
