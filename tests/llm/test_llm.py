@@ -402,6 +402,20 @@ def test_encode(spark, docs, odd_rows):
     assert pieces.encode(docs([]), path).count() == 0
 
 
+def test_encode_merges_by_rank_as_the_library(spark, docs, odd_rows):
+    from sentencepiece import SentencePieceProcessor
+
+    path = tokenizer("piece_bpe_32k.model")
+    library = SentencePieceProcessor(model_file=path)
+    given_ = [(r.doc_id, r.text) for r in spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text").collect()]
+    rows = [*given_, *odd_rows, (50, "une " * 200), (51, "  a\n\n b" * 100), (52, "▁d ▁▁ \t" * 60), (53, "日本語" * 100)]
+    want = sorted(((i, library.encode(t or "")) for i, t in rows), key=str)
+    for chunk in (200, pieces.CHUNK):
+        got = pieces.encode(docs(rows), path, chunk=chunk).collect()
+        assert sorted(((r.doc_id, np.frombuffer(r.ids, "<u4").tolist()) for r in got), key=str) == want
+        assert sorted((str(r.doc_id), r.decoded) for r in got) == sorted((str(i), (t or "").replace("▁", " ")) for i, t in rows)
+
+
 # --- pages ------------------------------------------------------------------------------------------------------------------
 
 

@@ -1,6 +1,9 @@
-"""SentencePiece encoding and decoding by a max-plus parallel scan.
+"""SentencePiece encoding and decoding: by a max-plus parallel scan, or by rank merges.
 
-A text's segmentation is the path of pieces with the largest sum of scores. A giant document is cut into chunks, at
+A BPE model merges neighbours by rank. No merge crosses a place whose two characters stand side by side in no piece; so a
+giant document is cut at such places only, and the library merges each chunk by itself. A stretch without one stays whole.
+
+In a unigram model, a text's segmentation is the path of pieces with the largest sum of scores. A giant document is cut into chunks, at
 any character. What a chunk does to a path is a matrix over boundary states: entry (i, j) is the best score of a path
 that enters when i characters of the chunk are already covered by a piece from before and leaves with j characters of
 the next chunk covered. Such matrices multiply associatively in the max-plus semiring, so a document's boundary states
@@ -213,6 +216,39 @@ class Lattice:
         return text[1:] if text.startswith(" ") else text
 
 
+class Merges(Lattice):
+    """The pieces of a BPE model, merged by rank as the library does."""
+
+    def __init__(self, path: str):
+        super().__init__(path)
+        from sentencepiece import SentencePieceProcessor
+
+        proto = _proto(path)
+        proto.normalizer_spec.add_dummy_prefix = False  # texts come with their mark
+        self.library = SentencePieceProcessor(model_proto=proto.SerializeToString())
+        self.pairs = {p[i : i + 2] for p in self.piece for i in range(len(p) - 1)}
+
+    def solved(self, s: str) -> bytes:
+        return np.array(self.library.encode(s), f"<u{self.width}").tobytes()
+
+    def _joined(self, pair: str) -> bool:
+        """Whether a merge may cross the place between two characters; unknown pieces side by side become one."""
+        return pair in self.pairs or (len(self.byte) < 256 and self.alphabet.isdisjoint(pair))
+
+    def edges(self, s: str, chunk: int) -> list[int]:
+        """Edges of chunks of at least about ``chunk`` characters that no merge crosses."""
+        n = max(1, len(s) // chunk)
+        out = [0]
+        for i in range(1, n):
+            at = max(out[-1] + 1, len(s) * i // n)
+            while at < len(s) and self._joined(s[at - 1 : at + 1]):
+                at += 1
+            if at >= len(s):
+                break
+            out.append(at)
+        return [*out, len(s)]
+
+
 def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Max-plus product."""
     return (a[:, :, None] + b[None, :, :]).max(1)
@@ -245,6 +281,26 @@ def lattice(path: str) -> Lattice:
     return Lattice(path)
 
 
+@lru_cache(maxsize=2)
+def merges(path: str) -> Merges:
+    return Merges(path)
+
+
+def _proto(path: str):
+    from sentencepiece import sentencepiece_model_pb2
+
+    proto = sentencepiece_model_pb2.ModelProto()
+    with open(path, "rb") as f:
+        proto.ParseFromString(f.read())
+    return proto
+
+
+def merges_by_rank(path: str) -> bool:
+    """Whether a model file is a BPE model."""
+    spec = _proto(path).trainer_spec
+    return spec.model_type == spec.BPE
+
+
 def marked(text: str | None) -> str:
     """Text with a space in front and spaces as marks; nothing for an empty one."""
     return MARK + text.replace(" ", MARK) if text else ""
@@ -265,6 +321,8 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", id_col: str = "
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     kind = "doc_id long, n_pieces long, ids binary, decoded string, n_chunks int"
     giant = F.length("text") >= chunk
+    by_rank = merges_by_rank(model_path)
+    load = merges if by_rank else lattice
 
     def result(m: Lattice, ids: list, packed: list[bytes], chunks: list[int]) -> pd.DataFrame:
         wide = [np.frombuffer(x, f"<u{m.width}").astype("<u4").tobytes() for x in packed]
@@ -272,7 +330,7 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", id_col: str = "
         return frame.assign(doc_id=frame["doc_id"].astype("Int64"))
 
     def whole(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        m = lattice(model_path)
+        m = load(model_path)
         for b in it:
             for at in range(0, len(b), 500):
                 part = b.iloc[at : at + 500]
@@ -281,14 +339,15 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", id_col: str = "
                 yield result(m, part["doc_id"].tolist(), packed, [1] * len(part))
 
     def cut(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        m = lattice(model_path)
+        m = load(model_path)
         for b in it:
             for doc, rid, t in zip(b["doc_id"], b["rid"], b["text"], strict=True):
                 s = marked(t)
                 n = max(1, len(s) // chunk)
-                edges = [len(s) * i // n for i in range(n + 1)]
-                for i in range(n):
-                    out = {"doc_id": [doc], "rid": [rid], "chunk": [i], "n": [edges[i + 1] - edges[i]], "s": [s[edges[i] : edges[i + 1] + m.longest - 1]]}
+                edges = m.edges(s, chunk) if by_rank else [len(s) * i // n for i in range(n + 1)]
+                over = 0 if by_rank else m.longest - 1
+                for i in range(len(edges) - 1):
+                    out = {"doc_id": [doc], "rid": [rid], "chunk": [i], "n": [edges[i + 1] - edges[i]], "s": [s[edges[i] : edges[i + 1] + over]]}
                     yield pd.DataFrame(out).astype({"doc_id": "Int64"})
 
     def matrices(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -309,15 +368,23 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", id_col: str = "
             ids = [m.between(s, n, a, z) for s, n, a, z in zip(b["s"], b["n"], b["enter"], b["leave"], strict=True)]
             yield pd.DataFrame({"rid": b["rid"], "doc_id": b["doc_id"].astype("Int64"), "chunk": b["chunk"], "packed": ids})
 
+    def merge(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        m = load(model_path)
+        for b in it:
+            yield pd.DataFrame({"rid": b["rid"], "doc_id": b["doc_id"].astype("Int64"), "chunk": b["chunk"], "packed": list(map(m.solved, b["s"]))})
+
     def join(b: pd.DataFrame) -> pd.DataFrame:
         b = b.sort_values("chunk")
         doc = b["doc_id"].iloc[0]
-        return result(lattice(model_path), [None if pd.isna(doc) else int(doc)], [b"".join(b["packed"])], [len(b)])
+        return result(load(model_path), [None if pd.isna(doc) else int(doc)], [b"".join(b["packed"])], [len(b)])
 
     short = rows.where(~giant).mapInPandas(whole, kind)
     long_ = rows.where(giant).withColumn("rid", F.monotonically_increasing_id())
     spread = F.xxhash64("rid", "chunk")
     chunks = materialise(long_.mapInPandas(cut, "doc_id long, rid long, chunk int, n int, s string"), "chunks").repartition(spread)
+    found = "rid long, doc_id long, chunk int, packed binary"
+    if by_rank:
+        return short.unionByName(chunks.mapInPandas(merge, found).groupBy("rid").applyInPandas(join, kind))
     states = chunks.mapInPandas(matrices, "rid long, chunk int, matrix binary").groupBy("rid").applyInPandas(scan, "rid long, chunk int, enter int, leave int")
-    traced = chunks.join(states, ["rid", "chunk"]).mapInPandas(trace, "rid long, doc_id long, chunk int, packed binary")
+    traced = chunks.join(states, ["rid", "chunk"]).mapInPandas(trace, found)
     return short.unionByName(traced.groupBy("rid").applyInPandas(join, kind))
