@@ -443,6 +443,23 @@ def test_main_text(html, want):
     assert main_text(html) == want
 
 
+@pytest.mark.parametrize(
+    "body",
+    [
+        *(f"<article class={name}><p>{LONG}</p></article>" for name in ("responsive", "commentary", "replay", "replacement")),
+        *(f"<div class='{name}'><p>{LONG}</p></div>" for name in ("page has-sidebar", "no-sidebar", "content with-sidebar", "hasSidebar", "legal")),
+        f"<div class=widget><h1></h1><p>{LONG}</p></div>",
+        f"<article><section id=related-work><h2 id=legal-status></h2><p id=search class=notice>{LONG}</p></section></article>",
+    ],
+)
+def test_names_keep_main_text(body):
+    assert main_text(page(body + "<div class=sidebar><p>Other.</p></div>" if "legal" not in body[:20] else body)) == LONG.strip()
+
+
+def test_headings_keep_their_text():
+    assert main_text(page(f"<article><h2 id=search>Search</h2><p>{LONG}</p><h2 class=related>Related work</h2><p>{LONG}</p></article>")) == f"Search {LONG.strip()} Related work {LONG.strip()}"
+
+
 def test_pages(spark):
     rows = [(1, "u", page(f"<article><p>{LONG}</p></article>"), "x"), (1, "u", None, "x"), (None, None, "", "x"), (2, "v", "<p>" * 3000 + "deep", "x")]
     out = extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string"))

@@ -41,9 +41,12 @@ MARKS = set(
     "notice notices notification outbrain pager pagination paywall popup promo promotion related reply replies respond search share sharing shoutbox "
     "sidebar signup skyscraper social sponsor sponsored sponsors subscribe taboola toolbar tooltip widget widgets".split()
 )
-#: Beginnings of longer names with the same meaning, and marks of articles that are no main text.
+#: Beginnings of longer names with the same meaning, whole names of articles that are no main text, words that say what a
+#: container has beside it, and elements that names don't drop.
 PREFIXES = ("comment", "advert", "adsby", "sidebar", "cookie", "newsletter", "breadcrumb", "sponsor", "footer", "navbar")
-ASIDE_ARTICLES = ("comment", "repl", "respon", "related", "promo", "sponsor", "advert")
+ASIDE_ARTICLES = set("advert adverts advertisement advertising comment comments promo promotion related replies reply respond response responses sponsor sponsored sponsors".split())
+BESIDE = {"no", "has", "with", "without"}
+TEXTUAL = {"h1", "h2", "h3", "h4", "h5", "h6", "p"}
 PARAGRAPHS = {"p", "pre", "blockquote", "td", "li", "dd", "h1", "h2", "h3", "div", "section", "article", "main", "body", "center"}
 #: Points that a container starts with.
 PRIOR = {"article": 15.0, "main": 10.0, "div": 2.0, "section": 2.0, "blockquote": 1.0, "form": -5.0, "ul": -3.0, "ol": -3.0, "td": 1.0, "th": -5.0}
@@ -59,24 +62,64 @@ class Node:
     __slots__ = ("children", "dead", "parent", "score", "tag")
 
     def __init__(self, tag: str, parent: Node | None):
-        self.tag, self.parent, self.children, self.dead, self.score = tag, parent, [], False, 0.0
+        self.tag, self.parent, self.children, self.dead, self.score = tag, parent, [], 0, 0.0
 
 
-def _marked(tag: str, attributes: dict[str, str], inside: bool) -> bool:
-    """Whether an element and all below it is no main text; inside: below an article or main element."""
+def _said(said: str) -> set[str]:
+    """Words of names; a word after "no", "has" or "with" in the same name tells of something else."""
+    out = set()
+    for name in said.split():
+        words = [x.lower() for x in _NAMES.findall(name)]
+        out.update(x for before, x in zip([""] + words, words) if before not in BESIDE)
+    return out
+
+
+def _marked(tag: str, attributes: dict[str, str], inside: bool) -> int:
+    """Whether an element and all below it is no main text: 0, 1 for its kind, 2 by its names; inside: below an article or
+    main element, where ids are of the text's parts."""
     if tag in DROPPED or (tag == "header" and not inside) or "hidden" in attributes or attributes.get("aria-hidden") == "true":
-        return True
+        return 1
     if tag in ("body", "html"):
-        return False
-    said = f"{attributes.get('class', '')} {attributes.get('id', '')} {attributes.get('role', '')}"
-    if said == "  ":
-        return "display:none" in attributes.get("style", "").replace(" ", "")
-    names = {x.lower() for x in _NAMES.findall(said)}
+        return 0
+    if "display:none" in attributes.get("style", "").replace(" ", "") and tag not in ("article", "main"):
+        return 1
+    if tag in TEXTUAL:
+        return 0
+    names = _said(f"{attributes.get('class', '')} {'' if inside else attributes.get('id', '')} {attributes.get('role', '')}")
     if tag in ("article", "main"):
-        return any(x.startswith(ASIDE_ARTICLES) for x in names)
+        return 2 * bool(names & ASIDE_ARTICLES)
     if any(x.startswith(PREFIXES) for x in names):
-        return True
-    return bool(names & (MARKS - {"header", "byline"} if inside else MARKS)) or "display:none" in attributes.get("style", "").replace(" ", "")
+        return 2
+    return 2 * bool(names & (MARKS - {"header", "byline"} if inside else MARKS))
+
+
+def _restore(root: Node) -> None:
+    """Keep what names drop if it holds most of the page's paragraph points, and either the page's heading, article or main
+    element or all points: then it is the main container."""
+    order, todo = [], [root]
+    while todo:
+        x = todo.pop()
+        if x.dead != 1:
+            order.append(x)
+            todo.extend(c for c in x.children if isinstance(c, Node))
+    if not any(x.dead for x in order):
+        return
+    points: dict[Node, float] = {}
+    holds: set[Node] = set()
+    for x in reversed(order):
+        if x.tag in PARAGRAPHS:
+            text, linked = _own_text(x)
+            if text:
+                points[x] = points.get(x, 0.0) + (1 + text.count(",") + text.count("，") + min(len(text) / 100, 3.0)) * (1 - linked / len(text))
+        if x.parent:
+            points[x.parent] = points.get(x.parent, 0.0) + points.get(x, 0.0)
+            if x in holds or x.tag in ("h1", "main") or (x.tag == "article" and not x.dead):
+                holds.add(x.parent)
+    total = points.get(root, 0.0)
+    for x in order:
+        mine = points.get(x, 0.0)
+        if x.dead and mine > total / 2 and (x in holds or mine > total - 1e-6):
+            x.dead = 0
 
 
 def parse(page: str) -> Node:
@@ -126,6 +169,7 @@ def parse(page: str) -> Node:
             at = page.find(">", shut.start()) + 1 or end if shut else end
         elif tag not in VOID:
             stack.append(node)
+    _restore(root)
     return root
 
 
