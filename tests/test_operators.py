@@ -366,3 +366,12 @@ def test_explorer_texts(spark):
     t = spark.createDataFrame([("A", "B"), ("A", "B")], "node1 string, node2 string")
     overlay = spark.createDataFrame([("A", 10, 3)], "node string, meters long, with_series long")
     assert explorer.graph_text(t, overlay) == 'graph grid {\n  "A" [color=red];\n  "B" [color=grey];\n  "A" -- "B";\n}'
+
+
+def test_thermal_labels_run_with_the_operators_defaults(monkeypatch):
+    from voltloom.plans import queries
+
+    monkeypatch.setattr(queries, "_hourly", lambda spark, d: None)
+    monkeypatch.setattr(queries.labeler, "label_heat_pumps", lambda hourly, cfg: cfg)
+    cfg = queries.QUERIES["thermal_labels"](None, "")
+    assert (cfg.max_bins, cfg.draws, cfg.samples) == (12, 100, 1000) and cfg == labeler.LabelConfig()

@@ -459,7 +459,7 @@ def phase_clusters(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def thermal_labels(spark: SparkSession, d: str) -> DataFrame:
     """Heat-pump labels of all meters by seeded sampling. Not expressible in SQL."""
-    return labeler.label_heat_pumps(_hourly(spark, d), labeler.LabelConfig(max_bins=2, draws=20, samples=100))
+    return labeler.label_heat_pumps(_hourly(spark, d), labeler.LabelConfig())
 
 
 # --- topology ---------------------------------------------------------------------------------------------------------------
