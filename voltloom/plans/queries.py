@@ -641,6 +641,13 @@ def export_topology(spark: SparkSession, d: str) -> DataFrame:
     return out.select("lv_feeder", "transformer", "secondary_substation", F.least("node1", "node2").alias("a"), F.greatest("node1", "node2").alias("b"), "cable_id")
 
 
+@query()
+def export_topology_edges(spark: SparkSession, d: str) -> DataFrame:
+    """All exported rows, those at delivery points too. Delivery points' codes have node numbers, which SQL can't give: no SQL."""
+    assets, g = _grid(spark, d)
+    return graph.export_topology(g, assets).select("lv_feeder", "transformer", "secondary_substation", F.least("node1", "node2").alias("a"), F.greatest("node1", "node2").alias("b"), "cable_id")
+
+
 @query(f"with {_REACH_SQL} select c_custkey as meter_number, 'Cabinet.' || c_nationkey as cabinet, 'LvFeeder.' || feeder_id as lv_feeder, c_mktsegment = 'BUILDING' as has_heat_pump from customer left join fm on meter_id = c_custkey where c_acctbal >= 0")
 def export_sm_cabinet(spark: SparkSession, d: str) -> DataFrame:
     assets, g = _grid(spark, d)
