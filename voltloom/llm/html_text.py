@@ -34,7 +34,7 @@ CLOSES_P = BLOCKS - {"body", "html", "td", "th", "tr", "tbody", "thead", "tfoot"
 SCOPE = {"table", "td", "th", "button", "object", "html"}
 
 #: Elements that never hold main text, and names in class, id or role that mark what surrounds it.
-DROPPED = RAW | set("nav footer aside form button select svg canvas object audio video dialog menu head input label datalist math".split())
+DROPPED = RAW | set("nav footer aside button select svg canvas object audio video dialog menu head input label datalist math".split())
 MARKS = set(
     "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs byline comment comments consent cookie "
     "cookies discuss disqus footer footnav gdpr header legal masthead menu menubar modal nav navbar navigation newsletter "
@@ -45,6 +45,7 @@ MARKS = set(
 #: container has beside it, and elements that names don't drop.
 PREFIXES = ("comment", "advert", "adsby", "sidebar", "cookie", "newsletter", "breadcrumb", "sponsor", "footer", "navbar")
 ASIDE_ARTICLES = set("advert adverts advertisement advertising comment comments promo promotion related replies reply respond response responses sponsor sponsored sponsors".split())
+COMMENTS = set("comment comments discuss disqus replies reply respond response responses shoutbox".split())
 BESIDE = {"no", "has", "with", "without"}
 TEXTUAL = {"h1", "h2", "h3", "h4", "h5", "h6", "p"}
 PARAGRAPHS = {"p", "pre", "blockquote", "td", "li", "dd", "h1", "h2", "h3", "div", "section", "article", "main", "body", "center"}
@@ -75,8 +76,8 @@ def _said(said: str) -> set[str]:
 
 
 def _marked(tag: str, attributes: dict[str, str], inside: bool) -> int:
-    """Whether an element and all below it is no main text: 0, 1 for its kind, 2 by its names; inside: below an article or
-    main element, where ids are of the text's parts."""
+    """Whether an element and all below it is no main text: 0, 1 for its kind, 2 by its names, 3 by names of comments; inside:
+    below an article or main element, where ids are of the text's parts. Forms count as named, as one may hold a page."""
     if tag in DROPPED or (tag == "header" and not inside) or "hidden" in attributes or attributes.get("aria-hidden") == "true":
         return 1
     if tag in ("body", "html"):
@@ -87,18 +88,23 @@ def _marked(tag: str, attributes: dict[str, str], inside: bool) -> int:
         return 0
     names = _said(f"{attributes.get('class', '')} {'' if inside else attributes.get('id', '')} {attributes.get('role', '')}")
     if tag in ("article", "main"):
-        return 2 * bool(names & ASIDE_ARTICLES)
-    if any(x.startswith(PREFIXES) for x in names):
+        return 3 * bool(names & ASIDE_ARTICLES)
+    if names & COMMENTS or any(x.startswith("comment") for x in names):
+        return 3
+    if tag == "form" or any(x.startswith(PREFIXES) for x in names):
         return 2
     return 2 * bool(names & (MARKS - {"header", "byline"} if inside else MARKS))
 
 
-def _restore(root: Node) -> None:
-    """Keep what names drop if it holds most of the page's paragraph points, and either the page's heading, article or main
-    element or all points: then it is the main container."""
+def _restore(root: Node, named: bool) -> None:
+    """Keep what names drop if it is the main container: it holds most of the page's paragraph points, and the page's heading,
+    article or main element, or all points, or, unless its names are of comments, three quarters. Without ``named``, names
+    drop nothing."""
     order, todo = [], [root]
     while todo:
         x = todo.pop()
+        if x.dead > 1 and not named:
+            x.dead = 0
         if x.dead != 1:
             order.append(x)
             todo.extend(c for c in x.children if isinstance(c, Node))
@@ -110,7 +116,7 @@ def _restore(root: Node) -> None:
         if x.tag in PARAGRAPHS:
             text, linked = _own_text(x)
             if text:
-                points[x] = points.get(x, 0.0) + (1 + text.count(",") + text.count("，") + min(len(text) / 100, 3.0)) * (1 - linked / len(text))
+                points[x] = points.get(x, 0.0) + _points(text, linked)
         if x.parent:
             points[x.parent] = points.get(x.parent, 0.0) + points.get(x, 0.0)
             if x in holds or x.tag in ("h1", "main") or (x.tag == "article" and not x.dead):
@@ -118,14 +124,57 @@ def _restore(root: Node) -> None:
     total = points.get(root, 0.0)
     for x in order:
         mine = points.get(x, 0.0)
-        if x.dead and mine > total / 2 and (x in holds or mine > total - 1e-6):
+        if x.dead and mine > total / 2 and (x in holds or mine > total - 1e-6 or (x.dead == 2 and mine > 0.75 * total)):
             x.dead = 0
 
 
+def _points(text: str, linked: int) -> float:
+    """What a paragraph earns for its length and its commas, less the share of it that lies in links."""
+    return (1 + text.count(",") + text.count("，") + min(len(text) / 100, 3.0)) * (1 - linked / len(text))
+
+
+class _Open:
+    """The open elements while a page is read, with the places of each tag, so that looking for one takes no walk."""
+
+    def __init__(self, root: Node):
+        self.nodes, self.places, self.blocks = [root], {}, []
+
+    def push(self, node: Node) -> None:
+        self.places.setdefault(node.tag, []).append(len(self.nodes))
+        if node.tag in BLOCKS:
+            self.blocks.append(len(self.nodes))
+        self.nodes.append(node)
+
+    def cut(self, k: int) -> None:
+        """Close the element at place ``k`` and all within it."""
+        for x in self.nodes[k:]:
+            self.places[x.tag].pop()
+            if x.tag in BLOCKS:
+                self.blocks.pop()
+        del self.nodes[k:]
+
+    def nearest(self, tags) -> int:
+        """The place of the innermost open element with one of the tags; 0 if there is none."""
+        return max((found[-1] for t in tags if (found := self.places.get(t))), default=0)
+
+    def imply(self, closed: set[str], beyond: set[str]) -> None:
+        """Close the innermost element of ``closed``, unless one of ``beyond`` is nearer."""
+        k = self.nearest(closed)
+        if k and k > self.nearest(beyond):
+            self.cut(k)
+
+    def end(self, tag: str) -> None:
+        """An end tag; that of an inline element closes no blocks."""
+        k = self.nearest((tag,))
+        if k and (tag in BLOCKS or not self.blocks or self.blocks[-1] <= k):
+            self.cut(k)
+
+
 def parse(page: str) -> Node:
     """The tree of a page; broken markup is closed the way browsers close it, a tag cut off at the end is dropped."""
     root = Node("html", None)
-    stack = [root]
+    open_ = _Open(root)
+    stack = open_.nodes
     at, end = 0, len(page)
     while at < end:
         m = _TOKEN.search(page, at)
@@ -152,45 +201,25 @@ def parse(page: str) -> Node:
             break  # the page ends within the tag
         at += 1
         if close:
-            _close(stack, tag)
+            open_.end(tag)
             continue
         if tag in ("html", "body"):
             continue
         if tag in CLOSES_P:
-            _implied(stack, {"p"}, SCOPE)
+            open_.imply({"p"}, SCOPE)
         if tag in CLOSES:
-            _implied(stack, *CLOSES[tag])
+            open_.imply(*CLOSES[tag])
         node = Node(tag, stack[-1])
-        inside = any(x.tag in ("article", "main") for x in stack)
-        node.dead = _marked(tag, attributes, inside)
+        node.dead = _marked(tag, attributes, open_.nearest(("article", "main")) > 0)
         stack[-1].children.append(node)
         if tag in RAW:
             shut = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.I).search(page, at)
             at = page.find(">", shut.start()) + 1 or end if shut else end
         elif tag not in VOID:
-            stack.append(node)
-    _restore(root)
+            open_.push(node)
     return root
 
 
-def _implied(stack: list[Node], closed: set[str], beyond: set[str]) -> None:
-    for k in range(len(stack) - 1, 0, -1):
-        if stack[k].tag in closed:
-            del stack[k:]
-            return
-        if stack[k].tag in beyond:
-            return
-
-
-def _close(stack: list[Node], tag: str) -> None:
-    for k in range(len(stack) - 1, 0, -1):
-        if stack[k].tag == tag:
-            del stack[k:]
-            return
-        if stack[k].tag in BLOCKS and tag not in BLOCKS:
-            return  # an inline element's end tag doesn't close blocks
-
-
 def _texts(node: Node, out: list[str]) -> None:
     """The text below a node; blocks and line breaks are set apart by white space."""
     todo: list = [node]
@@ -232,7 +261,12 @@ def main_text(page: str | None) -> str:
     """The main text of one page; empty for a null or empty page or one without text."""
     if not page:
         return ""
-    root = parse(page)
+    # where names leave nothing, they mislead
+    return _scored(parse(page), True) or _scored(parse(page), False)
+
+
+def _scored(root: Node, named: bool) -> str:
+    _restore(root, named)
     length: dict[Node, int] = {}
     links: dict[Node, int] = {}
     order: list[Node] = []
@@ -250,14 +284,10 @@ def main_text(page: str | None) -> str:
         text, linked = _own_text(x)
         if not text:
             continue
-        up, depth = x, 0
-        while up:
-            length[up] = length.get(up, 0) + len(text)
-            links[up] = links.get(up, 0) + linked
-            up = up.parent
+        length[x], links[x] = len(text), linked
         if x.tag not in PARAGRAPHS:
             continue
-        points = (1 + text.count(",") + text.count("，") + min(len(text) / 100, 3.0)) * (1 - linked / len(text))
+        points, depth = _points(text, linked), 0
         up = x if x.tag in ("div", "section", "article", "main", "body", "center", "td") else x.parent
         while up and depth < 5:
             if up not in scored:
@@ -267,6 +297,10 @@ def main_text(page: str | None) -> str:
             up, depth = up.parent, depth + 1
     if not scored:
         return text_of([root])
+    for x in reversed(order):  # parents come before their children
+        if x.parent and x in length:
+            length[x.parent] = length.get(x.parent, 0) + length[x]
+            links[x.parent] = links.get(x.parent, 0) + links[x]
     value = {x: x.score * (1 - links.get(x, 0) / max(1, length.get(x, 0))) if x.score > 0 else x.score for x in scored}
     best = max((x for x in order if x in value), key=lambda x: value[x])
     top, up = value[best], best.parent
@@ -290,8 +324,9 @@ def extract(pages: DataFrame, html: str = "html", id_col: str = "page_id", url:
     """The main text of every page from its whole html.
 
     Character references are decoded, white space inside a block becomes one space, blocks are joined in page order by
-    one space. A null or empty page gives an empty text; ids and urls pass through, null or repeated; an empty table
-    gives an empty result; other columns are ignored. Map-only.
+    one space. A null or empty page gives an empty text; ids and urls pass through, null or repeated; a page of any length
+    or nesting is read whole, in time in proportion to its length; ties between containers go to the first in page order;
+    an empty table gives an empty result; other columns are ignored. Map-only.
 
     Returns: ``page_id``, ``url``, ``text``, ``n_chars`` (code points).
     """
