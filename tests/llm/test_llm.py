@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -175,6 +176,22 @@ def brute_repeats(rows, window):
     return sorted(out, key=str)
 
 
+def brute_passages(rows, window, words, size):
+    """Runs of repeated windows with more than so many words, or so many bytes or more, by document."""
+    raws = [(t or "").encode() for _, t in rows]
+    count = Counter(r[i : i + window] for r in raws for i in range(len(r) - window + 1))
+    out = []
+    for (doc, _), r in zip(rows, raws, strict=True):
+        gone = np.zeros(len(r) + 2, int)
+        for i in range(len(r) - window + 1):
+            if count[r[i : i + window]] > 1:
+                gone[i + 1 : i + window + 1] = 1
+        edge = np.flatnonzero(np.diff(gone))
+        runs = [(int(a), int(z)) for a, z in zip(edge[::2], edge[1::2], strict=True)]
+        out.append((doc, [(a, z) for a, z in runs if z - a >= size or len(r[a:z].decode("utf-8", "ignore").split()) > words]))
+    return sorted(out, key=str)
+
+
 def got_repeats(df):
     return sorted(((r.doc_id, r.n_bytes, r.n_removed, len(r.spans), hashlib.sha256(r.kept).hexdigest()) for r in df.collect()), key=str)
 
@@ -196,6 +213,39 @@ def test_repeats(spark, docs, monkeypatch, group):
     assert got_repeats(repeats.remove_repeats(docs(rows).drop("kept", "n_bytes"))) == brute_repeats(rows, 400)
 
 
+def test_passages(spark, docs):
+    rng = np.random.default_rng(4)
+    a, b, c = prose(rng, 1, 55)[0][:340], prose(rng, 1, 30)[0], "x" * 250 + " " + "y" * 120  # of over 50 words; of fewer; of few words
+    assert len(a.split()) > 50 and len(a) < 400
+    texts = [f"{p} {x} {q}" for p, q, x in zip(prose(rng, 9, 40), prose(rng, 9, 60), [a, b, c] * 3, strict=True)]
+    rows = list(enumerate([*texts, *(t for _, t in planted(rng))]))
+    want = brute_passages(rows, 200, 50, 400)
+    out = repeats.remove_repeats(docs(rows).drop("kept", "n_bytes"), passages=(repeats.PASSAGE, repeats.PASSAGE_GRAM))
+    assert got_repeats(out) == brute_repeats(rows, 400)
+    assert sorted(((r.doc_id, [(x.start, x.end) for x in r.passages]) for r in out.collect()), key=str) == want
+    assert [bool(x) for i, x in want if i < 9] == [True, False, False] * 3
+    cut = repeats.remove_repeats(docs(rows).drop("kept", "n_bytes"), repeats.PASSAGE, repeats.PASSAGE_GRAM, least=repeats.LEAST)
+    assert sorted(((r.doc_id, [(x.start, x.end) for x in r.spans]) for r in cut.collect()), key=str) == want
+
+
+def test_passages_odd_rows(spark, docs, odd_rows):
+    out = repeats.remove_repeats(docs(odd_rows), passages=(200, 40))
+    assert got_repeats(out) == brute_repeats(odd_rows, 400)
+    assert sorted(((r.doc_id, [(x.start, x.end) for x in r.passages]) for r in out.collect()), key=str) == brute_passages(odd_rows, 200, 50, 400)
+    assert repeats.remove_repeats(docs([]), passages=(200, 40)).count() == 0
+
+
+def test_periodic_texts(spark, docs):
+    """Texts that repeat themselves all along, up to 10 MB of one byte, take few rows of the search and go as a whole."""
+    rows = [(1, "a" * 10_000_000), (2, "ab" * 300_000), (3, "q" * 399), (4, "abcdefghij" * 30_000), (5, "a" * 401), (6, "xyz" * 135)]
+    frames = list(repeats._segments(400, 64)(iter([pd.DataFrame({"doc": [1], "text_hash": [1], "text": [rows[0][1].encode()]})])))
+    assert sum(map(len, frames)) < 100
+    out = {r.doc_id: (r.n_bytes, r.n_removed) for r in repeats.remove_repeats(docs(rows).drop("kept", "n_bytes")).select("doc_id", "n_bytes", "n_removed").collect()}
+    assert out == {i: (len(t), 0 if i == 3 else len(t)) for i, t in rows}
+    small = [(1, "a" * 450), (2, "ab" * 350), (3, "abc" * 160 + "x" * 30), (4, "x" * 500 + "abc" * 50), (5, ("-" * 120 + "\n") * 6), (6, "z" + "-" * 399)]
+    assert got_repeats(repeats.remove_repeats(docs(small).drop("kept", "n_bytes"))) == brute_repeats(small, 400)
+
+
 def test_repeats_odd_rows(spark, docs, odd_rows):
     df = docs(odd_rows)
     out = repeats.remove_repeats(df)
@@ -578,7 +628,8 @@ def test_pipeline_stages(spark, tmp_path):
         if n == 1:
             assert sorted(r.doc_id for r in after) == sorted({c for _, c, _ in brute_classes([tuple(r) for r in before])})
         if n == 2:
-            want = {i: size - gone for i, size, gone, _, _ in brute_repeats([tuple(r) for r in before], 400)}
+            size = {r.doc_id: len((r.text or "").encode()) for r in before}
+            want = {i: size[i] - sum(z - a for a, z in runs) for i, runs in brute_passages([tuple(r) for r in before], 200, 50, 400)}
             assert {r.doc_id for r in after} == set(want)
             assert all(len(r.text.encode()) <= want[r.doc_id] and len(r.text.encode()) >= want[r.doc_id] - 8 for r in after)
             assert all(r.n_chars == len(r.text) for r in after if r.text is not None)

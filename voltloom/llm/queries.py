@@ -12,7 +12,7 @@ from .neardup import near_duplicates
 from .packing import pack
 from .pieces import encode
 from .quality import classify, fold, train
-from .repeats import remove_repeats
+from .repeats import PASSAGE, PASSAGE_GRAM, remove_repeats
 from .sharding import shard
 from .tokens import count_tokens
 from .vectors import search, voronoi_join
@@ -45,7 +45,9 @@ def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    out = remove_repeats(docs, passages=(PASSAGE, PASSAGE_GRAM))
+    n_spans, n_passages = (F.size(c).cast("long") for c in ("spans", "passages"))
+    return out.select("doc_id", "n_bytes", "n_removed", n_spans.alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), n_passages.alias("n_passages"))
 
 
 def op6_one_bit_codes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,8 @@ the window. Equal windows have equal anchors at the same place, so they meet in
 be compared only with each other. Neighbouring windows with one anchor form a *segment*.
 
 1. A pass over the texts lists segments: anchor, hash of the segment's bytes, document, place (about one for each 170
-   bytes; no text is moved).
+   bytes; no text is moved). Where a text repeats itself at a short distance, its equal segments follow each other and are
+   one row.
 2. Segments whose anchor occurs once are unique. Where all segments of an anchor have one hash, all their windows are
    repeated.
 3. Of the other anchors, one segment of each distinct hash is fetched, and a suffix sort within the group finds the
@@ -15,6 +16,9 @@ be compared only with each other. Neighbouring windows with one anchor form a *s
    resort into single windows, for which equality of the whole is all there is to find.
 4. The repeated windows of each document are joined to its text.
 
+A shorter window with a least number of words finds passages: all that two windows of the longer size share lies in runs of
+the shorter, so the search for the longer one then needs to read those runs only.
+
 Joins carry one row for each segment and split skewed keys at run time; a group of equal documents only adds to counts.
 """
 
@@ -24,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,7 +42,12 @@ GROUP, SPLIT = 256, 16
 #: Bytes of text that one numpy pass takes, and bytes of segments sorted together (a larger group goes alone).
 PASS, SORT = 1 << 20, 1 << 20
 
-_SEGMENT = "anchor long, piece long, doc long, text_hash long, start long, count int, shift int"
+#: Passages: runs of repeated strings of PASSAGE bytes (with anchors of PASSAGE_GRAM) that hold more than LEAST[0] words or have
+#: LEAST[1] bytes or more. One of over fifty words is found if its words have three letters or more on average.
+PASSAGE, PASSAGE_GRAM, LEAST = 200, 40, (50, WINDOW)
+
+#: A row stands for ``times`` equal segments of ``count`` windows that follow each other.
+_SEGMENT = "anchor long, piece long, doc long, text_hash long, start long, count int, times int, shift int"
 
 
 def _segments(window: int, gram: int):
@@ -45,8 +55,7 @@ def _segments(window: int, gram: int):
         for b in batches:
             held: list[tuple] = []
             size = 0
-            for doc, h, t in zip(b["doc"], b["text_hash"], b["text"], strict=True):
-                raw = t.encode("utf-8", "surrogatepass") if isinstance(t, str) else b""
+            for doc, h, raw in zip(b["doc"], b["text_hash"], b["text"], strict=True):
                 for at in range(0, max(1, len(raw) - window + 1), PASS):  # parts of a giant text overlap by a window less one byte
                     part = raw[at : at + PASS + window - 1]
                     if len(part) < window:
@@ -66,9 +75,16 @@ def _segments(window: int, gram: int):
         text, first, count, shift, anchor = anchors(np.frombuffer(buffer, np.uint8), starts, stops, window, gram)
         view = memoryview(buffer)
         piece = [xxhash.xxh3_64_intdigest(view[a:z]) for a, z in zip(first.tolist(), (first + count + window - 1).tolist(), strict=True)]
+        piece = np.array(piece, np.uint64).view(np.int64)
         doc, h, at = (np.array([x[i] for x in held], np.int64) for i in range(3))
+        again = first[1:] == first[:-1] + count[:-1]
+        for x in (text, anchor, piece, count, shift):
+            again &= x[1:] == x[:-1]
+        one = np.flatnonzero(np.concatenate([np.ones(min(1, len(first)), bool), ~again]))
+        times = np.diff(np.append(one, len(first)))
+        text = text[one]
         return pd.DataFrame(
-            {"anchor": anchor, "piece": np.array(piece, np.uint64).view(np.int64), "doc": doc[text], "text_hash": h[text], "start": first - starts[text] + at[text], "count": count.astype(np.int32), "shift": shift.astype(np.int32)}
+            {"anchor": anchor[one], "piece": piece[one], "doc": doc[text], "text_hash": h[text], "start": first[one] - starts[text] + at[text], "count": count[one].astype(np.int32), "times": times.astype(np.int32), "shift": shift[one].astype(np.int32)}
         )
 
     return run
@@ -122,11 +138,10 @@ def _cut(window: int, low: int, high: int):
         last = None
         for b in batches:
             out = []
-            for doc, h, t, wanted in zip(b["doc"], b["text_hash"], b["text"], b["wanted"], strict=True):
-                if (doc, h) == last or not isinstance(t, str):
+            for doc, h, raw, wanted in zip(b["doc"], b["text_hash"], b["text"], b["wanted"], strict=True):
+                if (doc, h) == last:
                     continue  # the same row again
                 last = (doc, h)
-                raw = t.encode("utf-8", "surrogatepass")
                 for w in wanted:
                     if low <= w["size"] <= high:
                         out.append((w["anchor"], doc, h, w["start"], w["count"], w["shift"], w["copies"], raw[w["start"] : w["start"] + w["count"] + window - 1]))
@@ -180,23 +195,23 @@ def _split_groups(rows: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
     return same.unionByName(small).unionByName(single), stretches
 
 
-def repeated_ranges(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> tuple[DataFrame, DataFrame | None]:
+def repeated_ranges(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> tuple[DataFrame, DataFrame]:
     """Find repeated windows.
 
-    docs: ``doc``, ``text_hash``, ``text``. Returns the documents with ``full`` (ranges of first and last starts of
-    repeated windows, or null) and ``wanted`` (null where nothing more can be found), and the ranges found by sorting for
-    the others (``doc``, ``text_hash``, ``found``).
+    docs: ``doc``, ``text_hash``, ``text`` (binary) and what else is to be kept. Returns the documents with ``full`` (ranges of
+    first and last starts of repeated windows, or null) and ``wanted`` (null where nothing more can be found), and the ranges
+    found by sorting for the others (``doc``, ``text_hash``, ``found``).
     """
-    segments = docs.where(F.octet_length("text") >= window).mapInPandas(_segments(window, gram), _SEGMENT)
+    segments = docs.where(F.octet_length("text") >= window).select("doc", "text_hash", "text").mapInPandas(_segments(window, gram), _SEGMENT)
     segments = materialise(segments, "segments")
-    repeated = segments.groupBy("anchor").agg(F.count("*").alias("n"), (F.min("piece") == F.max("piece")).alias("same"))
+    repeated = segments.groupBy("anchor").agg(F.sum("times").alias("n"), (F.min("piece") == F.max("piece")).alias("same"))
     repeated = materialise(repeated.where("n > 1").select("anchor", "same"), "anchors")
     hits = materialise(segments.join(repeated.hint("merge"), "anchor"), "hits")
     discard(segments, repeated)
-    ranges = ("doc", "text_hash", F.col("start").alias("low"), (F.col("start") + F.col("count") - 1).alias("high"))
+    ranges = ("doc", "text_hash", F.col("start").alias("low"), (F.col("start") + F.col("count").cast("long") * F.col("times") - 1).alias("high"))
     mixed = hits.where("not same")
     one = F.min(F.struct("doc", "text_hash", "start", "count", "shift")).alias("one")
-    pieces = materialise(mixed.groupBy("anchor", "piece").agg(F.count("*").alias("copies"), one), "pieces")
+    pieces = materialise(mixed.groupBy("anchor", "piece").agg(F.sum("times").alias("copies"), one), "pieces")
     copied = mixed.join(pieces.where("copies > 1").select("anchor", "piece").hint("merge"), ["anchor", "piece"])
     sizes = pieces.groupBy("anchor").agg(F.count("*").alias("size"), F.count_if(F.col("copies") == 1).alias("single"))
     groups = materialise(sizes.where("single > 0 and size > 1").select("anchor", "size"), "groups")
@@ -228,52 +243,113 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     return docs, found
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, text: str = "text", id_col: str = "doc_id", as_text: bool = False) -> DataFrame:
+def _joined(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """Documents with both kinds of ranges; only those that wait for sorted ranges are moved."""
+    done = docs.where("wanted is null").withColumn("found", F.lit(None).cast(found.schema["found"].dataType))
+    late = docs.where("wanted is not null").join(found.hint("merge"), ["doc", "text_hash"], "left")
+    return done.unionByName(late).drop("wanted")
+
+
+_SPANS = "array<struct<start:bigint,end:bigint>>"
+
+
+def _runs(full: list | None, found: list | None, window: int) -> list[dict]:
+    """Maximal runs of bytes covered by windows that start in the ranges."""
+    out: list[dict] = []
+    for low, high in sorted((x["low"], x["high"] + window) for x in (full or []) + (found or [])):
+        if out and low <= out[-1]["end"]:
+            out[-1]["end"] = max(out[-1]["end"], high)
+        else:
+            out.append({"start": low, "end": high})
+    return out
+
+
+def _passages(raw: bytes, runs: list[dict], least: tuple[int, int]) -> list[dict]:
+    """Runs with more than so many words, or so many bytes or more."""
+    words, size = least
+    return [r for r in runs if r["end"] - r["start"] >= size or len(raw[r["start"] : r["end"]].decode("utf-8", "ignore").split()) > words]
+
+
+_ARROW = {"string": pa.string(), "binary": pa.binary(), "long": pa.int64(), _SPANS: pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))}
+
+
+def _mapped(df: DataFrame, keep: list[str], fields: str, found) -> DataFrame:
+    """``keep`` and what ``found`` makes of each row, given as a dict of the other columns and the text."""
+    others = [c for c in df.columns if c not in keep or c == "text"]
+
+    def run(batches: Iterator) -> Iterator:
+        kinds = pa.schema([(f.split(" ", 1)[0], _ARROW[f.split(" ", 1)[1]]) for f in fields.split(", ")])
+        for b in batches:
+            for at in range(0, b.num_rows, 2000):
+                part = b.slice(at, 2000)
+                columns = [part.column(c).to_pylist() for c in others]
+                rows = [found(dict(zip(others, x, strict=True))) for x in zip(*columns, strict=True)]
+                made = [pa.array([r[i] for r in rows], k.type) for i, k in enumerate(kinds)]
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *made], [*keep, *kinds.names])
+
+    kept = ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in keep)
+    return df.mapInArrow(run, f"{kept}, {fields}")
+
+
+def remove_repeats(
+    docs: DataFrame, window: int = WINDOW, gram: int = GRAM, text: str = "text", id_col: str = "doc_id", as_text: bool = False, least: tuple[int, int] | None = None, passages: tuple[int, int] | None = None
+) -> DataFrame:
     """Remove every byte covered by a string of ``window`` bytes that starts at two or more places of the corpus.
 
     Places may lie in one document and may overlap; strings are judged on the input; none spans two documents. A null
     text counts as empty; texts shorter than the window stay whole; rows that are there twice are each other's repeats;
-    null ids are an id like any other; an empty table gives an empty result.
+    null ids are an id like any other; an empty table gives an empty result; a text of any length is searched whole, and one
+    that repeats itself at a short distance all along takes one row of the search for each such stretch.
+
+    With ``least``, words (parted by white space) and bytes, only runs of more words or of so many bytes are removed. With
+    ``passages``, a window no longer than the other and the length of its anchors, runs of that window for which ``LEAST``
+    holds are listed too; what is removed stays as the longer window says.
 
     Returns the input's columns with ``kept`` (what remains, binary; with ``as_text`` a string without the characters of
-    which a byte is gone), ``n_bytes``, ``n_removed`` and ``spans`` (maximal
-    removed runs as start and end in bytes). They replace columns with those names.
+    which a byte is gone), ``n_bytes``, ``n_removed``, ``spans`` (maximal removed runs as start and end in bytes) and, if asked
+    for, ``passages`` (the same of passages). They replace columns with those names.
     """
-    others = [c for c in docs.columns if c not in ("kept", "n_bytes", "n_removed", "spans")]
+    given = ("kept", "n_bytes", "n_removed", "spans", *(("passages",) if passages else ()))
+    others = [c for c in docs.columns if c not in given]
+    string = F.col(text).cast("string")
     rows = docs.select(
-        F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("doc"), F.xxhash64(F.col(id_col).isNull(), F.col(text).cast("string")).alias("text_hash"),
-        F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"), F.struct(*(F.col(f"`{c}`") for c in others if c != text)).alias("row") if len(others) > 1 else F.struct(F.lit(0).alias("_none")).alias("row"),
+        F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("doc"), F.xxhash64(F.col(id_col).isNull(), string).alias("text_hash"),
+        F.coalesce(string, F.lit("")).cast("binary").alias("text"), F.struct(*(F.col(f"`{c}`") for c in others if c != text)).alias("row") if len(others) > 1 else F.struct(F.lit(0).alias("_none")).alias("row"),
     )
-    rows, found = repeated_ranges(rows, window, gram)
-    done = rows.where("wanted is null").withColumn("found", F.lit(None).cast(found.schema["found"].dataType))
-    late = rows.where("wanted is not null").join(found.hint("merge"), ["doc", "text_hash"], "left")
-    kept = done.select("row", "text", "full", "found").unionByName(late.select("row", "text", "full", "found"))
-
-    def run(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
-        kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-        for b in batches:
-            for at in range(0, b.num_rows, 2000):
-                part = b.slice(at, 2000)
-                out = [], [], [], []
-                for t, full, more in zip(*(part.column(c).to_pylist() for c in ("text", "full", "found")), strict=True):
-                    raw = t.encode("utf-8", "surrogatepass")
-                    spans: list[list[int]] = []
-                    for low, high in sorted((x["low"], x["high"] + window) for x in (full or []) + (more or [])):
-                        if spans and low <= spans[-1][1]:
-                            spans[-1][1] = max(spans[-1][1], high)
-                        else:
-                            spans.append([low, high])
-                    edges = [0, *(x for s in spans for x in s), len(raw)]
-                    left = b"".join(raw[a:z] for a, z in zip(edges[::2], edges[1::2], strict=True))
-                    for column, x in zip(out, (left.decode("utf-8", "ignore") if as_text else left, len(raw), len(raw) - len(left), [{"start": a, "end": z} for a, z in spans]), strict=True):
-                        column.append(x)
-                arrays = [part.column("row"), part.column("text"), pa.array(out[0], pa.string() if as_text else pa.binary()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()), pa.array(out[3], kind)]
-                yield pa.RecordBatch.from_arrays(arrays, ["row", "text", "kept", "n_bytes", "n_removed", "spans"])
-
-    row_type = kept.schema["row"].dataType.simpleString()
-    fields = f"row {row_type}, text string, kept {'string' if as_text else 'binary'}, n_bytes long, n_removed long, spans array<struct<start:bigint,end:bigint>>"
-    out = kept.mapInArrow(run, fields)
-    columns = [F.col("text").alias(c) if c == text else F.col(f"row.`{c}`").alias(c) for c in others]
-    return out.select(*columns, "kept", "n_bytes", "n_removed", "spans")
+    size = passages[0] if passages else window
+    found = _joined(*repeated_ranges(rows, size, passages[1] if passages else gram))
+
+    def cut(raw: bytes, runs: list[dict]) -> tuple:
+        spans = _passages(raw, runs, least) if least else runs
+        edges = [0, *(x for s in spans for x in (s["start"], s["end"])), len(raw)]
+        left = b"".join(raw[a:z] for a, z in zip(edges[::2], edges[1::2], strict=True))
+        return left.decode("utf-8", "ignore") if as_text else left, len(raw), len(raw) - len(left), spans
+
+    result = f"kept {'string' if as_text else 'binary'}, n_bytes long, n_removed long, spans {_SPANS}"
+    if passages:
+        listed = lambda x: (runs := _runs(x["full"], x["found"], size), _passages(x["text"], runs, LEAST))
+        found = materialise(_mapped(found, ["doc", "text_hash", "text", "row"], f"runs {_SPANS}, passages {_SPANS}", listed), "runs")
+        long = _within(found, window, gram)
+        wide = F.exists("runs", lambda r: r["end"] - r["start"] >= window)
+        late = found.where(wide).join(long.hint("merge"), ["doc", "text_hash"], "left")
+        found = found.where(~wide).withColumn("full", F.lit(None).cast(long.schema["full"].dataType)).unionByName(late)
+        out = _mapped(found.drop("doc", "text_hash", "runs"), ["row", "text", "passages"], result, lambda x: cut(x["text"], _runs(x["full"], None, window)))
+    else:
+        out = _mapped(found.drop("doc", "text_hash"), ["row", "text"], result, lambda x: cut(x["text"], _runs(x["full"], x["found"], window)))
+    columns = [F.col("text").cast("string").alias(c) if c == text else F.col(f"row.`{c}`").alias(c) for c in others]
+    return out.select(*columns, *given)
+
+
+def _within(found: DataFrame, window: int, gram: int) -> DataFrame:
+    """Ranges of repeated windows of each document (``full``), searched for in its ``runs`` of that length or more."""
+    run = F.explode(F.filter("runs", lambda r: r["end"] - r["start"] >= window)).alias("run")
+    parts = found.select(F.col("doc").alias("of"), F.col("text_hash").alias("hash_of"), "text", run)
+    start = F.col("run.start")
+    parts = parts.select(
+        F.col("of").alias("doc"), F.xxhash64("hash_of", start).alias("text_hash"), F.expr("substring(text, cast(run.start + 1 as int), cast(run.end - run.start as int))").alias("text"), "hash_of", start.alias("base"),
+    )
+    got = _joined(*repeated_ranges(materialise(parts, "parts"), window, gram)).where("full is not null or found is not null")
+    each = F.explode(F.concat(F.coalesce("full", F.array()), F.coalesce("found", F.array()))).alias("r")
+    ranges = got.select("doc", F.col("hash_of").alias("text_hash"), "base", each)
+    ranges = ranges.select("doc", "text_hash", F.struct((F.col("base") + F.col("r.low")).alias("low"), (F.col("base") + F.col("r.high")).alias("high")).alias("r")).distinct()
+    return materialise(ranges.groupBy("doc", "text_hash").agg(F.collect_list("r").alias("full")), "long")
