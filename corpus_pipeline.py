@@ -16,7 +16,7 @@ from voltloom.llm.neardup import near_duplicates
 from voltloom.llm.packing import pack
 from voltloom.llm.quality import classify, train
 from voltloom.llm.queries import tokenizer
-from voltloom.llm.repeats import remove_repeats
+from voltloom.llm.repeats import LEAST, PASSAGE, PASSAGE_GRAM, remove_repeats
 
 
 def _whole_rows(docs: DataFrame) -> DataFrame:
@@ -25,13 +25,15 @@ def _whole_rows(docs: DataFrame) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts."""
+    """Documents that the quality classifier accepts. Null and empty texts are scored like any other; rows that are there twice
+    get one verdict; an empty table, or one without labels, scores 0.5 and keeps all."""
     model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return classify(_whole_rows(docs), model, keep=["row"]).where("predicted = 1").select("row.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of equal and near-equal texts: that with the smallest id."""
+    """One document of each class of equal and near-equal texts: that with the smallest id. Null and empty texts are one class;
+    of rows that are there twice one stays; null ids come after all others."""
     found = near_duplicates(docs).where("doc_id <=> class_id and tid = class_tid")
     kept = found.groupBy(F.col("doc_id").alias("_id"), F.col("tid").alias("_tid")).agg(F.count("*").alias("_n"))
     kept = materialise(kept, "kept")
@@ -43,8 +45,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the text covered by strings of 400 bytes that repeat."""
-    out = remove_repeats(_whole_rows(docs), as_text=True)
+    """All documents, without passages that repeat: runs of repeated strings of ``PASSAGE`` bytes that hold more than 50 words or
+    have 400 bytes or more. Null and empty texts stay as they are; so do ids and all other columns, ``n_chars`` apart."""
+    out = remove_repeats(_whole_rows(docs), PASSAGE, PASSAGE_GRAM, as_text=True, least=LEAST)
     cut = F.col("n_removed") > 0
     row = F.col("row").withField("text", F.when(cut, F.col("kept")).otherwise(F.col("row.text")))
     if "n_chars" in docs.columns:
@@ -53,7 +56,8 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences of at most 2048 tokens."""
+    """Pieces of documents in sequences of at most 2048 tokens. Null and empty texts have their end token alone; rows that are
+    there twice are packed twice."""
     pieces = pack(docs, tokenizer("word_bpe_49k.json"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
