@@ -11,18 +11,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import blocks_for, materialise
 
-#: Vectors of a data block, queries of a query block, and data blocks that one task goes through for a query block.
-BLOCK, QUERIES, RUN = 4096, 1024, 16
-#: Standard deviations of the code's error within which a vector is reranked.
-SIGMAS = 4.0
-#: Pivots of the Voronoi join at most; below that one for each block of vectors.
-PIVOTS = 256
+#: Vectors of a data block, and data blocks that one task goes through for a query block.
+BLOCK, RUN = 4096, 16
+#: Queries of a query block at most, and bytes of their vectors. All data goes to every query block, so few large blocks move less.
+QUERIES, HELD = 8192, 32 << 20
+#: Standard deviations of the code's error within which a vector is reranked, and bits to which queries are rounded.
+SIGMAS, PLANES = 3.0, 4
+#: Pivots of the Voronoi join at least and at most; between them as many as the root of the number of vectors.
+FEWEST, PIVOTS = 16, 256
 
 _PACKED = "block long, n int, rid binary, id binary, vec binary"
 
@@ -30,7 +31,7 @@ _PACKED = "block long, n int, rid binary, id binary, vec binary"
 def _usable(df: DataFrame, vector: str, id_col: str, zero: bool) -> DataFrame:
     """Rows whose vector takes part: ``rid`` (unique), ``id``, ``vec`` (array<double>), all of the commonest length."""
     v = F.col(vector).cast("array<double>")
-    rows = df.select(F.col(id_col).cast("long").alias("id"), v.alias("vec")).where("id is not null and vec is not null")
+    rows = df.select(F.col(id_col).cast("long").alias("id"), v.alias("vec")).where("id is not null and vec is not null")  # null ids name no row of a result
     fine = ~F.exists("vec", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     rows = rows.where((F.size("vec") > 0) & fine)
     if not zero:
@@ -59,15 +60,20 @@ def _grouped(it: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataFrame]:
         yield pd.concat(held, ignore_index=True)
 
 
-def _pack(rows: DataFrame, blocks: int) -> DataFrame:
-    """One row for each block: numbers and vectors as bytes (doubles), in the order of rid."""
+def _pack(rows: DataFrame, tasks: int, kind: str = "<f8") -> DataFrame:
+    """One row for each block: numbers and vectors as bytes of that kind, in the order of rid."""
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for g in _grouped(it, "block"):
-            vec = np.concatenate(g["vec"].to_numpy()).astype("<f8").tobytes()
+            vec = np.concatenate(g["vec"].to_numpy()).astype(kind).tobytes()
             yield pd.DataFrame({"block": [g["block"].iloc[0]], "n": [len(g)], "rid": [g["rid"].to_numpy("<i8").tobytes()], "id": [g["id"].to_numpy("<i8").tobytes()], "vec": [vec]})
 
-    return rows.select("block", "rid", "id", "vec").repartition(blocks, "block").sortWithinPartitions("block", "rid").mapInPandas(run, _PACKED)
+    return rows.select("block", "rid", "id", "vec").repartition(tasks, "block").sortWithinPartitions("block", "rid").mapInPandas(run, _PACKED)
+
+
+def _queries_held(dim: int, size: int = 8) -> int:
+    """Queries of a block, by the bytes of their vectors."""
+    return max(64, min(QUERIES, HELD // max(1, dim * size)))
 
 
 class Best:
@@ -99,7 +105,7 @@ def _ranked(found: DataFrame, k: int) -> DataFrame:
 
 
 def _unpacked(row, kind: str = "<f8") -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return np.frombuffer(row.rid, "<i8"), np.frombuffer(row.id, "<i8"), np.frombuffer(row.vec, kind).reshape(row.n, -1)
+    return np.frombuffer(row.rid, "<i8"), np.frombuffer(row.id, "<i8"), np.frombuffer(row.vec, kind).reshape(row.n, -1).astype(np.float64, copy=False)
 
 
 def rotation(d: int, seed: int = 20) -> np.ndarray:
@@ -109,26 +115,64 @@ def rotation(d: int, seed: int = 20) -> np.ndarray:
 
 
 def encode(vec: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """One-bit codes of vectors: packed signs after rotation, and two scalars.
+    """One-bit codes of vectors: signs after rotation packed into 64-bit words, and two scalars.
 
     With the unit vector u of a vector o, u' = u rotated, and x = sign(u') / sqrt(d): for a query q, <x, q'> / <x, u'>
     is an unbiased estimate of <u, q>, with error of the order |q| sqrt((1 - <x, u'>^2) / <x, u'>^2 / (d - 1)). Returns
-    the signs' bits, |o| / <x, u'> / sqrt(d), and |o| times that factor of the error.
+    the signs' words, |o| / <x, u'> / sqrt(d), and |o| times that factor of the error.
     """
     d = vec.shape[1]
     norm = np.sqrt((vec * vec).sum(1))
     turned = vec @ turn
     inner = np.abs(turned).sum(1) / norm / np.sqrt(d)
     error = norm * np.sqrt(np.maximum(1 - inner**2, 0) / inner**2 / max(1, d - 1))
-    return np.packbits(turned > 0, axis=1), norm / inner / np.sqrt(d), error
+    return _words(turned > 0), norm / inner / np.sqrt(d), error
+
+
+def _words(bits: np.ndarray) -> np.ndarray:
+    """Rows of booleans as rows of 64-bit words, the last filled up with zeros."""
+    packed = np.packbits(bits, axis=-1)
+    room = np.zeros((*packed.shape[:-1], -(-packed.shape[-1] // 8) * 8), np.uint8)
+    room[..., : packed.shape[-1]] = packed
+    return room.view("<u8")
+
+
+class Asked:
+    """Queries rounded to ``PLANES`` bits a component after rotation, as bit planes that meet codes by and-ing and counting bits."""
+
+    def __init__(self, q: np.ndarray, turn: np.ndarray):
+        turned = q @ turn
+        self.low, high = turned.min(1), turned.max(1)
+        self.step = np.where(high > self.low, (high - self.low) / ((1 << PLANES) - 1), 1.0)
+        level = np.rint((turned - self.low[:, None]) / self.step[:, None]).astype(np.uint8)
+        self.planes = np.stack([_words((level >> i & 1).astype(bool)) for i in range(PLANES)])
+        self.total = turned.sum(1)
+        self.length = np.sqrt((q * q).sum(1))
+        #: One standard deviation of what rounding adds, before a code's scale: components are off by up to half a step.
+        self.rounding = self.step * np.sqrt(q.shape[1] / 12)
+
+    def estimate(self, part: slice, words: np.ndarray, ones: np.ndarray, scale: np.ndarray, error: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Inner products of some queries with all codes, and ``SIGMAS`` deviations of their errors."""
+        dot = np.zeros((part.stop - part.start, len(words)), np.float32)
+        for i in range(PLANES):
+            for w in range(words.shape[1]):
+                dot += np.bitwise_count(self.planes[i, part, w, None] & words[None, :, w]) * np.float32(1 << i)
+        low, step, total = (x[part, None].astype(np.float32) for x in (self.low, self.step, self.total))
+        dot *= 2 * step
+        dot += 2 * low * ones
+        dot -= total
+        dot *= scale
+        wide = self.length[part, None].astype(np.float32) * error + self.rounding[part, None].astype(np.float32) * scale
+        return dot, np.float32(SIGMAS) * wide + np.float32(1e-6)
 
 
 def search(df: DataFrame, k: int = 20, every: int = 20, vector: str = "embedding", id_col: str = "vec_id") -> DataFrame:
     """The ``k`` largest inner products of each query with all other rows, found by randomly rotated one-bit codes.
 
     Queries are the rows whose id is divisible by ``every``. All vectors are encoded; a query's inner product with each
-    is estimated from its code; those whose estimate plus ``SIGMAS`` times its error reaches the k-th best are reranked in
-    double precision on the original vectors. Nothing is fitted: the rotation is drawn from a fixed seed.
+    is estimated from its packed bits and two scalars. In each block those with the highest estimates are taken exactly first;
+    then those whose estimate plus ``SIGMAS`` times its error reaches the exact k-th best so far are reranked in double
+    precision on the original vectors. Nothing is fitted: the rotation is drawn from a fixed seed.
 
     Vectors that are null, zero, empty, of another length than most, or hold null or non-finite components take no
     part, nor do null ids. Repeated ids are rows of their own; a row is never its own neighbour; ties go to the
@@ -137,26 +181,27 @@ def search(df: DataFrame, k: int = 20, every: int = 20, vector: str = "embedding
     Returns ``query_id``, ``rank`` (from 1), ``vec_id``, ``score``.
     """
     rows = materialise(_usable(df, vector, id_col, zero=False), "vectors")
-    n = rows.count()
-    data = _coded(_pack(_dealt(rows, BLOCK, n), blocks_for(n, BLOCK)))
+    n, dim = rows.agg(F.count("*"), F.coalesce(F.max(F.size("vec")), F.lit(1))).first()
+    kind = "<f4" if dict(df.dtypes)[vector] == "array<float>" else "<f8"  # as exact as the input, and no wider
+    data = _coded(_pack(_dealt(rows, BLOCK, n), blocks_for(n, BLOCK), kind), kind)
     wanted = rows.where(F.pmod("id", F.lit(every)) == 0)
-    m = wanted.count()
-    queries = _pack(_dealt(wanted, QUERIES, m), blocks_for(m, QUERIES))
-    found = _met(queries, data, blocks_for(m, QUERIES), blocks_for(n, BLOCK)).mapInPandas(_estimate(k), _FOUND.format("double"))
+    m, held = wanted.count(), _queries_held(dim)
+    queries = _pack(_dealt(wanted, held, m), blocks_for(m, held))
+    found = _met(queries, data, blocks_for(m, held), blocks_for(n, BLOCK)).mapInPandas(_estimate(k, kind), _FOUND.format("double"))
     return _ranked(found, k)
 
 
 _FOUND = "query_rid long, query_id long, rid long, vec_id long, score {}"
 
 
-def _coded(blocks: DataFrame) -> DataFrame:
+def _coded(blocks: DataFrame, kind: str) -> DataFrame:
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in it:
             out = []
             for row in b.itertuples():
-                _, _, vec = _unpacked(row)
-                bits, scale, error = encode(vec, rotation(vec.shape[1]))
-                out.append((bits.tobytes(), scale.astype("<f4").tobytes(), error.astype("<f4").tobytes()))
+                _, _, vec = _unpacked(row, kind)
+                words, scale, error = encode(vec, rotation(vec.shape[1]))
+                out.append((words.tobytes(), scale.astype("<f4").tobytes(), error.astype("<f4").tobytes()))
             yield b.assign(bits=[x[0] for x in out], scale=[x[1] for x in out], error=[x[2] for x in out])
 
     return blocks.mapInPandas(run, f"{_PACKED}, bits binary, scale binary, error binary")
@@ -168,19 +213,30 @@ def _met(queries: DataFrame, data: DataFrame, query_blocks: int, data_blocks: in
     The query set is stated and every row is a candidate, so each pair of blocks meets once; a row for each pair carries
     the data block, and the query block comes once for each run.
     """
-    runs = blocks_for(data_blocks, RUN)
+    runs = _runs(data.sparkSession, query_blocks, data_blocks)
     d = data.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)))).withColumn("run", (F.col("block") % runs).cast("int"))
     q = queries.withColumn("run", F.explode(F.sequence(F.lit(0), F.lit(runs - 1)))).withColumn("qb", F.col("block").cast("int"))
     names = [c for c in data.columns if c not in queries.columns]
     rows = q.withColumn("side", F.lit(0)).select("qb", "run", "side", *queries.columns, *(F.lit(None).cast("binary").alias(c) for c in names))
     rows = rows.unionByName(d.withColumn("side", F.lit(1)).select("qb", "run", "side", *queries.columns, *names))
-    rows = rows.withColumn("pair", F.col("qb") * F.lit(runs) + F.col("run"))
-    return rows.repartition(query_blocks * runs, "pair").sortWithinPartitions("pair", "side", "block")
+    return _by_pair(rows.withColumn("pair", F.col("qb") * F.lit(runs) + F.col("run")), query_blocks * runs)
+
+
+def _by_pair(rows: DataFrame, pairs: int) -> DataFrame:
+    """Each pair in a task, or a few where there are very many; dealt by number, as hashes of few numbers collide."""
+    tasks = min(pairs, 1 << 14)
+    return rows.repartitionById(tasks, F.pmod("pair", F.lit(tasks)).cast("int")).sortWithinPartitions("pair", "side", "block")
+
 
+def _runs(spark: SparkSession, query_blocks: int, data_blocks: int) -> int:
+    """Into how many runs the data blocks are dealt: of ``RUN`` blocks, or shorter ones where tasks are fewer than cores."""
+    busy = blocks_for(2 * spark.sparkContext.defaultParallelism, query_blocks)
+    return max(blocks_for(data_blocks, RUN), min(data_blocks, busy))
 
-def _estimate(k: int):
+
+def _estimate(k: int, kind: str):
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pair, best, q_rid, q_id, q, turned, length = None, None, None, None, None, None, None
+        pair, best, q_rid, q_id, q, asked = None, None, None, None, None, None
         for b in it:
             for row in b.itertuples():
                 if row.pair != pair:
@@ -189,34 +245,35 @@ def _estimate(k: int):
                     pair, best = row.pair, None
                 if row.side == 0:
                     q_rid, q_id, q = _unpacked(row)
-                    best = Best(len(q), k, float)
-                    turned, length = (q @ rotation(q.shape[1])).astype(np.float32), np.sqrt((q * q).sum(1))
+                    best, asked = Best(len(q), k, float), Asked(q, rotation(q.shape[1]))
                 elif best is not None:
-                    _rerank(best, q_rid, q, turned, length, row, k)
+                    _rerank(best, q_rid, q, asked, row, k, kind)
         if best is not None:
             yield best.frame(q_rid, q_id)
 
     return run
 
 
-def _rerank(best: Best, q_rid: np.ndarray, q: np.ndarray, turned: np.ndarray, length: np.ndarray, row, k: int) -> None:
-    rid, ids, vec = _unpacked(row)
+def _rerank(best: Best, q_rid: np.ndarray, q: np.ndarray, asked: Asked, row, k: int, kind: str) -> None:
+    rid, ids, vec = _unpacked(row, kind)
     scale, error = np.frombuffer(row.scale, "<f4"), np.frombuffer(row.error, "<f4")
-    bits = np.frombuffer(row.bits, np.uint8).reshape(row.n, -1)
-    signs = np.unpackbits(bits, axis=1, count=q.shape[1]).astype(np.float32) * 2 - 1
-    for at in range(0, len(q), 256):
-        to = min(at + 256, len(q))
-        guess = (turned[at:to] @ signs.T) * scale
-        wide = (SIGMAS * length[at:to, None]).astype(np.float32) * error + np.float32(1e-6)
-        upper = guess + wide
-        guess -= wide
-        for i in range(at, to):
-            least = best.score[i, k - 1] if best.n[i] == k else -np.inf
-            if row.n > k + 1:  # one of the best k + 1 may be the query itself
-                least = max(least, float(np.partition(guess[i - at], row.n - k - 1)[row.n - k - 1]))
-            near = np.flatnonzero((upper[i - at] >= least) & (rid != q_rid[i]))
+    words = np.frombuffer(row.bits, "<u8").reshape(row.n, -1)
+    ones = np.bitwise_count(words).sum(1, dtype=np.float32)
+    first = min(row.n, 2 * k)
+    for at in range(0, len(q), 64):
+        guess, wide = asked.estimate(slice(at, min(at + 64, len(q))), words, ones, scale, error)
+        top = np.argpartition(guess, row.n - first, axis=1)[:, row.n - first :]
+        wide += guess  # the upper bound
+        for j, i in enumerate(range(at, min(at + 64, len(q)))):
+            near = top[j][rid[top[j]] != q_rid[i]]
+            if best.n[i] < k or wide[j, near].max(initial=-np.inf) >= best.score[i, k - 1]:
+                best.add(i, vec[near] @ q[i], ids[near], rid[near])
+                wide[j, near] = -np.inf
+            least = best.score[i, k - 1] if best.n[i] == k else np.finfo(float).min
+            near = np.flatnonzero(wide[j] >= least)
+            near = near[rid[near] != q_rid[i]]
             if len(near):
-                best.add(i, (vec[near] * q[i]).sum(1), ids[near], rid[near])
+                best.add(i, vec[near] @ q[i], ids[near], rid[near])
 
 
 # --- exact Voronoi join ---------------------------------------------------------------------------------------------
@@ -248,15 +305,36 @@ def _assigned(rows: DataFrame, pivots: np.ndarray, top: float, query: bool) -> D
     return rows.mapInPandas(run, "rid long, id long, vec array<double>, cell int, far double")
 
 
+def choose_pivots(rows: DataFrame, n: int, top: float) -> np.ndarray:
+    """About the root of ``n`` pivots, ``FEWEST`` to ``PIVOTS`` where there are so many different vectors: those of the rows with
+    the smallest hashes. Of twice as many rows, repeated vectors count once."""
+    many = min(PIVOTS, max(FEWEST, int(n**0.5)))
+    sample = rows.select(F.xxhash64("rid").alias("h"), "rid", "vec").orderBy("h", "rid").limit(2 * many).collect()
+    different = list({tuple(r.vec): None for r in sample})[:many]
+    return _augmented(np.array(different), top)
+
+
+def _chain(between: np.ndarray, have: list[int]) -> list[int]:
+    """Cells so that neighbours follow each other: from each the nearest that is left."""
+    left, out = set(have), []
+    at = have[0]
+    while left:
+        at = min(left, key=lambda c: (between[at, c], c))
+        out.append(at)
+        left.discard(at)
+    return out
+
+
 def voronoi_join(df: DataFrame, k: int = 20, every: int = 20, scale: float = 64.0, vector: str = "embedding", id_col: str = "vec_id") -> DataFrame:
     """The exact ``k`` largest integer inner products of each query with all other rows.
 
     Components become floor(scale * x). With one more coordinate, which gives all data vectors one length, the largest
-    inner product is the smallest distance. Data and queries are grouped by their nearest of at most ``PIVOTS`` pivots (a
-    sample of the rows with the smallest hashes). From each cell's summary (its k + 1 smallest distances to the pivot) and each query
-    group's radius follows a bound on the distance of a query's k-th neighbour, and from that the ring of each cell
-    that can hold neighbours of the group; only those vectors are sent to the group, which solves its part by matrix
-    products. Cells and groups of any size are split into blocks.
+    inner product is the smallest distance. Data and queries are grouped by their nearest pivot (:func:`choose_pivots`). From
+    each cell's summary (its k + 1 smallest distances to the pivot) and each query group's radius follows a bound on the
+    distance of a query's k-th neighbour, and from that the ring of each cell that can hold neighbours of the group; only
+    those vectors are sent to the block that holds the group. There, cells come nearest first, and a query meets those of a
+    cell's vectors whose distance to the pivot differs from its own by no more than its k-th neighbour's so far (or its
+    bound); the rest is matrix products. Cells and groups of any size are split into blocks.
 
     Vectors that are null, empty, of another length than most, or hold null or non-finite components take no part, nor do
     null ids; a zero vector does. Repeated ids are rows of their own; a row is never its own neighbour; ties go to the
@@ -268,12 +346,11 @@ def voronoi_join(df: DataFrame, k: int = 20, every: int = 20, scale: float = 64.
     rows = rows.withColumn("vec", F.transform("vec", lambda x: F.floor(x * scale).cast("double")))
     rows = materialise(rows.select("rid", "id", "vec"), "vectors")
     square = F.aggregate("vec", F.lit(0.0), lambda s, x: s + x * x)
-    n, top = rows.agg(F.count("*"), F.max(square)).first()
+    n, top, most, dim = rows.agg(F.count("*"), F.max(square), F.max(F.array_max(F.transform("vec", F.abs))), F.max(F.size("vec"))).first()
     wanted = rows.where(F.pmod("id", F.lit(every)) == 0)
     if not n:
         return rows.selectExpr("id query_id", "0 rank", "id vec_id", "id score")
-    sample = rows.dropDuplicates(["vec"]).orderBy(F.xxhash64("rid"), "rid").limit(min(PIVOTS, blocks_for(n, BLOCK))).select("vec").collect()
-    pivots = _augmented(np.array([r.vec for r in sample]), top)
+    pivots = choose_pivots(rows, n, top)
     data = materialise(_assigned(rows, pivots, top, query=False), "cells")
     queries = materialise(_assigned(wanted, pivots, top, query=True), "groups")
 
@@ -282,22 +359,34 @@ def voronoi_join(df: DataFrame, k: int = 20, every: int = 20, scale: float = 64.
     summary = [(r.cell, r.far) for r in nearest.select("cell", "far").collect()]  # at most PIVOTS * (k + 1)
     sizes = {r.cell: r.n for r in data.groupBy("cell").agg(F.count("*").alias("n")).collect()}
     radius = {r.cell: (r.far, r.n) for r in queries.groupBy("cell").agg(F.max("far").alias("far"), F.count("*").alias("n")).collect()}
+    if not radius:
+        return rows.limit(0).selectExpr("id query_id", "0 rank", "id vec_id", "cast(id as long) score")
     between = _distances(pivots, pivots)
     slack = 1e-6 * (1 + float(np.sqrt(top)))
-    rings: dict[int, list[tuple[int, float, float]]] = {c: [] for c in sizes}
-    for group, (far, _) in radius.items():
-        bounds = np.sort([far + between[group, c] + d for c, d in summary])
+
+    # groups that are near each other share a block of queries; a larger group has blocks of its own
+    held, first, count, at, load = _queries_held(dim), {}, {}, 0, 0
+    for g in _chain(between, sorted(radius)):
+        m = radius[g][1]
+        if load and load + m > held:
+            at, load = at + 1, 0
+        first[g], count[g] = at, blocks_for(m, held)
+        load += m
+        if count[g] > 1:
+            at, load = at + count[g], 0
+    total_q = max(first[g] + count[g] for g in first)
+    rings: dict[tuple[int, int], list[float]] = {}  # of a cell and a block: the distances to the pivot that its groups ask for
+    for g, (far, _) in radius.items():
+        bounds = np.sort([far + between[g, c] + d for c, d in summary])
         reach = (bounds[k] if len(bounds) > k else np.inf) + far + slack
         for c in sizes:
-            rings[c].append((group, between[group, c] - reach, between[group, c] + reach))
-    query_blocks = {g: blocks_for(m, QUERIES) for g, (_, m) in radius.items()}
-    first = dict(zip(query_blocks, np.cumsum([0, *query_blocks.values()]).tolist(), strict=False))
+            for qb in range(first[g], first[g] + count[g]):
+                ring = rings.setdefault((c, qb), [np.inf, -np.inf, np.inf])
+                ring[:] = min(ring[0], between[g, c] - reach), max(ring[1], between[g, c] + reach), min(ring[2], between[g, c])
     data_blocks = {c: blocks_for(m, BLOCK) for c, m in sizes.items()}
     start = dict(zip(data_blocks, np.cumsum([0, *data_blocks.values()]).tolist(), strict=False))
-    total_q, total_d = sum(query_blocks.values()), sum(data_blocks.values())
-    if not total_q:
-        return rows.limit(0).selectExpr("id query_id", "0 rank", "id vec_id", "cast(id as long) score")
-    runs = blocks_for(total_d, RUN)
+    runs = _runs(df.sparkSession, total_q, blocks_for(n, BLOCK))
+    kind = "<i2" if most < 2**15 else "<f8"  # whole numbers, as narrow as they fit
 
     def numbered(df: DataFrame, begin: dict[int, int], count: dict[int, int]) -> DataFrame:
         """Rows with a ``block`` of their cell, dealt at random."""
@@ -311,29 +400,53 @@ def voronoi_join(df: DataFrame, k: int = 20, every: int = 20, scale: float = 64.
         """Slices of data blocks to the query blocks whose groups may have neighbours in them."""
         for g in _grouped(it, "block"):
             g = g.sort_values(["far", "rid"], kind="stable", ignore_index=True)
-            far, block = g["far"].to_numpy(), int(g["block"].iloc[0])
-            vec = np.stack(g["vec"].to_numpy()).astype("<f8")
-            for group, low, high in rings[cell_of[block]]:
+            far, block = g["far"].to_numpy("<f8"), int(g["block"].iloc[0])
+            vec = np.stack(g["vec"].to_numpy()).astype(kind)
+            cell = cell_of[block]
+            for qb in range(total_q):
+                low, high, distance = rings[cell, qb]
                 a, z = np.searchsorted(far, low - slack, "left"), np.searchsorted(far, high + slack, "right")
-                if a >= z:
-                    continue
-                raw = [g[c].to_numpy("<i8")[a:z].tobytes() for c in ("rid", "id")] + [vec[a:z].tobytes()]
-                qb = np.arange(first[group], first[group] + query_blocks[group])
-                yield pd.DataFrame({"pair": qb * runs + block % runs, "side": 1, "block": block, "n": int(z - a), "rid": raw[0], "id": raw[1], "vec": raw[2]})
-
-    kind = "pair long, side int, block long, n int, rid binary, id binary, vec binary"
-    dealt = numbered(data, start, data_blocks).repartition(total_d, "block").sortWithinPartitions("block", "rid")
-    sent = dealt.mapInPandas(send, kind)
-    asked = _pack(numbered(queries, first, query_blocks), total_q)
-    asked = asked.withColumn("run", F.explode(F.sequence(F.lit(0), F.lit(runs - 1))))
-    asked = asked.select((F.col("block") * runs + F.col("run")).alias("pair"), F.lit(0).alias("side"), "block", "n", "rid", "id", "vec")
-    met = asked.unionByName(sent).repartition(total_q * runs, "pair").sortWithinPartitions("pair", "side", "block")
-    return _ranked(met.mapInPandas(_solve(k), _FOUND.format("long")), k)
-
-
-def _solve(k: int):
+                if a < z:
+                    raw = [x[a:z].tobytes() for x in (g["rid"].to_numpy("<i8"), g["id"].to_numpy("<i8"), vec, far)]
+                    yield pd.DataFrame({"pair": qb * runs + block % runs, "side": [1 + distance], "block": block, "cell": cell, "n": int(z - a), "rid": raw[0], "id": raw[1], "vec": raw[2], "far": raw[3]})
+
+    fields = "pair long, side double, block long, cell int, n int, rid binary, id binary, vec binary, far binary"
+    dealt = numbered(data, start, data_blocks).repartition(blocks_for(n, BLOCK), "block").sortWithinPartitions("block", "rid")
+    asked = _pack(numbered(queries, first, count), total_q).withColumn("run", F.explode(F.sequence(F.lit(0), F.lit(runs - 1))))
+    asked = asked.select((F.col("block") * runs + F.col("run")).alias("pair"), F.lit(0.0).alias("side"), "block", F.lit(-1).alias("cell"), "n", "rid", "id", "vec", F.lit(None).cast("binary").alias("far"))
+    met = _by_pair(asked.unionByName(dealt.mapInPandas(send, fields)), total_q * runs)
+    bounds = np.array(sorted(summary), dtype=float).reshape(-1, 2)
+    return _ranked(met.mapInPandas(_solve(k, kind, pivots, bounds, slack), _FOUND.format("long")), k)
+
+
+class Group:
+    """The queries of a block, their distances to the pivots, and an upper bound on the distance of each one's k-th neighbour."""
+
+    def __init__(self, q: np.ndarray, k: int, pivots: np.ndarray, bounds: np.ndarray, slack: float):
+        self.q, self.k, self.slack, self.top = q, k, slack, float((pivots[0] * pivots[0]).sum())
+        self.length = (q * q).sum(1)
+        self.pivots = _distances(np.concatenate([q, np.zeros((len(q), 1))], 1), pivots)
+        self.reach = np.full(len(q), np.inf)
+        if len(bounds) > k:  # of k + 1 vectors that near, one may be the query itself
+            for at in range(0, len(q), 256):
+                far = self.pivots[at : at + 256][:, bounds[:, 0].astype(int)] + bounds[:, 1]
+                self.reach[at : at + 256] = np.partition(far, k, axis=1)[:, k] + slack
+
+    def within(self, best: Best, cell: int, far: np.ndarray) -> np.ndarray:
+        """Queries that some of a slice's vectors may be neighbours of; far: their ascending distances to the cell's pivot."""
+        full = best.n == self.k
+        # distance squared = |q|^2 + top - 2 * score, as all data vectors have one length
+        known = np.sqrt(np.maximum(self.length + self.top - 2.0 * np.where(full, best.score[:, self.k - 1], 0), 0)) + self.slack
+        reach = np.where(full, np.minimum(self.reach, known), self.reach)
+        own = self.pivots[:, cell]
+        return np.flatnonzero(np.searchsorted(far, own - reach, "left") < np.searchsorted(far, own + reach, "right"))
+
+
+def _solve(k: int, kind: str, pivots: np.ndarray, bounds: np.ndarray, slack: float):
+    none = np.iinfo(np.int64).min
+
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pair, best, q_rid, q_id, q = None, None, None, None, None
+        pair, best, q_rid, q_id, group = None, None, None, None, None
         for b in it:
             for row in b.itertuples():
                 if row.pair != pair:
@@ -342,21 +455,25 @@ def _solve(k: int):
                     pair, best = row.pair, None
                 if row.side == 0:
                     q_rid, q_id, q = _unpacked(row)
-                    best = Best(len(q), k, int)
-                    continue
-                if best is None:
-                    continue
-                rid, ids, vec = _unpacked(row)
-                exact = float(np.abs(q).max(initial=0) * np.abs(vec).max(initial=0) * q.shape[1]) < 2**53
-                score = (q @ vec.T if exact else q.astype(np.int64) @ vec.T.astype(np.int64)).astype(np.int64)
-                score[q_rid[:, None] == rid[None, :]] = np.iinfo(np.int64).min
-                least = np.partition(score, row.n - k, axis=1)[:, row.n - k] if row.n > k else np.full(len(q), np.iinfo(np.int64).min)
-                least = np.maximum(least, np.where(best.n == k, best.score[:, k - 1], np.iinfo(np.int64).min))
-                for i in range(len(q)):
-                    near = np.flatnonzero((score[i] >= least[i]) & (rid != q_rid[i]))
-                    if len(near):
-                        best.add(i, score[i, near], ids[near], rid[near])
+                    best, group = Best(len(q), k, int), Group(q, k, pivots, bounds, slack)
+                elif best is not None:
+                    rid, ids, vec = _unpacked(row, kind)
+                    open_ = group.within(best, row.cell, np.frombuffer(row.far, "<f8"))
+                    for at in range(0, len(open_), 512):
+                        some(best, group.q, q_rid, open_[at : at + 512], rid, ids, vec)
         if best is not None:
             yield best.frame(q_rid, q_id)
 
+    def some(best: Best, q: np.ndarray, q_rid: np.ndarray, open_: np.ndarray, rid: np.ndarray, ids: np.ndarray, vec: np.ndarray) -> None:
+        own, n = q[open_], len(rid)
+        exact = float(np.abs(own).max(initial=0) * np.abs(vec).max(initial=0) * q.shape[1]) < 2**53
+        score = (own @ vec.T if exact else own.astype(np.int64) @ vec.T.astype(np.int64)).astype(np.int64)
+        score[q_rid[open_][:, None] == rid[None, :]] = none
+        least = np.partition(score, n - k, axis=1)[:, n - k] if n > k else np.full(len(open_), none)
+        least = np.maximum(least, np.where(best.n[open_] == k, best.score[open_, k - 1], none))
+        for j in np.flatnonzero(score.max(1) >= least).tolist():
+            near = np.flatnonzero((score[j] >= least[j]) & (rid != q_rid[open_[j]]))
+            if len(near):
+                best.add(int(open_[j]), score[j, near], ids[near], rid[near])
+
     return run
