@@ -1,15 +1,15 @@
 """Near duplicates by improved consistent weighted sampling over TF-IDF shingles.
 
 1. One pass counts in how many documents shingles occur, in ``BUCKETS`` hashed counters, whose size doesn't depend on
-   the corpus. Equal texts count once each.
+   the corpus. Each of several equal texts counts.
 2. A second pass draws ``BANDS * ROWS`` weighted samples of each text: for each sample the shingle with the smallest
    ``ln a = ln c - r (t - beta) - r`` with ``t = floor(ln w / r + beta)``, where r and c follow Gamma(2, 1) and beta is
    uniform, all drawn from the shingle's hash. Two texts agree on a sample with the probability of their weighted
    Jaccard similarity.
 3. Equal texts become one. Texts that agree on all samples of a band meet in a bucket. Within a bucket, sketches are
    compared locally and a maximum spanning forest of the pairs that may be similar, and a star around the text closest
-   to all others, go on; the pairs of a bucket are never written out. Large buckets are dealt into blocks, whose
-   forests' centres are compared in a second step, block by block.
+   to all others, go on; the pairs of a bucket are never written out. Large buckets are dealt into blocks, and a few of
+   their texts (hubs) are in all blocks, so that what is alike all through a bucket becomes one class.
 4. The candidate pairs are verified on the whole texts by weighted Jaccard similarity; classes are the connected
    components of what remains.
 5. Where a verified link is missing between classes of one bucket that may yet be similar, the texts meet in the bucket,
@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks_for, discard, materialise
+from .common import discard, materialise
 from .components import connected_components
 from .shingles import mix, shingles
 
@@ -43,6 +43,8 @@ IDF = 0.1
 HOPE = 0.5
 #: Texts of a bucket that are compared with each other at once.
 BLOCK = 256
+#: Texts of a large bucket, on average, that are in all its blocks.
+HUBS = 16
 #: Texts of a block where all blocks of a large bucket meet, two by two.
 SIDE = 512
 #: Characters of text that one numpy pass takes.
@@ -187,13 +189,12 @@ def _agreement(found: np.ndarray) -> np.ndarray:
     return equal
 
 
-def _forest(ids: list, found: np.ndarray) -> tuple[list[tuple], list]:
-    """Links worth verifying among texts compared at once, and a centre of each group that they connect."""
+def _forest(ids: list, found: np.ndarray) -> list[tuple]:
+    """Links worth verifying among texts compared at once: a forest of the likeliest, and a star in each group that it connects."""
     m = len(ids)
     least = int(np.ceil(HOPE * found.shape[1]))
     if m == 2:
-        linked = int((found[0] == found[1]).sum()) >= least
-        return ([(min(ids), max(ids))], [ids[0]]) if linked else ([], ids)
+        return [(min(ids), max(ids))] if int((found[0] == found[1]).sum()) >= least else []
     equal = _agreement(found)
     x, y = np.nonzero(np.triu(equal >= least, 1))
     root = list(range(m))
@@ -218,12 +219,10 @@ def _forest(ids: list, found: np.ndarray) -> tuple[list[tuple], list]:
     groups: dict[int, list[int]] = {}
     for i in range(m):
         groups.setdefault(top(i), []).append(i)
-    centres = []
     for members in groups.values():
         hub = max(members, key=lambda i: (strength[i], -i))
-        centres.append(ids[hub])
         links |= {(min(i, hub), max(i, hub)) for i in members if i != hub and equal[i, hub] >= least}
-    return [(min(ids[a], ids[b]), max(ids[a], ids[b])) for a, b in links], centres
+    return [(min(ids[a], ids[b]), max(ids[a], ids[b])) for a, b in links]
 
 
 def _groups(batches: Iterator[pd.DataFrame], *columns: str) -> Iterator[list[np.ndarray]]:
@@ -265,18 +264,16 @@ def _dealt(rows: DataFrame) -> DataFrame:
 
 
 def _compare(rows: DataFrame) -> DataFrame:
-    """Links and centres of every group. rows: key, band, tid, sketch. Returns band, a, b; centres have no b."""
+    """Links (a, b) of every group. rows: key, tid, sketch."""
 
     def found(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
-        for _, band, tid, sketches in _groups(batches, "key", "band", "tid", "sketch"):
-            links, centres = _forest(tid.tolist(), _matrix(sketches))
-            yield from ((band[0], a, b) for a, b in links)
-            yield from ((band[0], c, None) for c in centres)
+        for _, tid, sketches in _groups(batches, "key", "tid", "sketch"):
+            yield from _forest(tid.tolist(), _matrix(sketches))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        yield from _frames(found(batches), ["band", "a", "b"])
+        yield from _frames(found(batches), ["a", "b"])
 
-    return _dealt(rows).mapInPandas(run, "band long, a string, b string")
+    return _dealt(rows).mapInPandas(run, "a string, b string")
 
 
 def _hopeful(found: np.ndarray, root: np.ndarray, own: np.ndarray, nth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -304,12 +301,10 @@ def _hopeful(found: np.ndarray, root: np.ndarray, own: np.ndarray, nth: int) ->
     return x, y
 
 
-def _crossings(groups: DataFrame, root: DataFrame) -> DataFrame:
+def _crossings(groups: DataFrame) -> DataFrame:
     """All blocks of large buckets with several classes, two by two, as key, nth, own, tid and root. Texts of the bucket's
     largest class, dealt into blocks of their own, meet all others but not each other."""
-    wide = groups.where((F.col("nth") >= 0) & (F.col("n") > BLOCK)).select("band", "nth", "tid")
-    wide = wide.join(root.withColumnRenamed("node", "tid").hint("merge"), "tid", "left").withColumn("root", F.coalesce("root", "tid"))
-    wide = materialise(wide, "wide")
+    wide = groups.where(F.col("home") & (F.col("n") > BLOCK)).select("band", "nth", "tid", "root")
     classes = wide.groupBy("band", "root").agg(F.count("*").alias("m"))
     most = F.max(F.struct("m", "root"))
     open_ = classes.groupBy("band").agg(F.sum("m").alias("all"), most.alias("most")).where("most.m < all")
@@ -375,8 +370,8 @@ def _settled(rows: DataFrame, idf: np.ndarray, threshold: float) -> DataFrame:
 
 
 def candidate_links(sketches: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs of texts (a < b) to verify, and the groups that were compared: key, band, tid, number of the band (-1 for groups of
-    centres) and texts of the bucket.
+    """Pairs of texts (a < b) to verify, and the groups that were compared: key, band, its number (nth) and texts (n), tid, and
+    whether the text is there as one of the block's own (home) or as a hub of the bucket.
 
     sketches: one row for each text, ``tid`` and ``sketch``.
     """
@@ -384,24 +379,15 @@ def candidate_links(sketches: DataFrame) -> tuple[DataFrame, DataFrame]:
     keys = [F.xxhash64(F.lit(i), F.substring(whole, i * ROWS * 4 + 1, ROWS * 4)) for i in range(BANDS)]
     bands = sketches.select("tid", F.posexplode(F.array(*keys)).alias("nth", "band"))
     sizes = materialise(bands.groupBy("band").agg(F.count("*").alias("n")).where("n > 1"), "bands")
-    block = F.pmod(F.xxhash64("tid", "band"), F.ceil(F.col("n") / BLOCK))
-    groups = materialise(bands.join(sizes.hint("merge"), "band").select(F.xxhash64("band", block).alias("key"), "band", "tid", "nth", "n"), "groups")
-    first = materialise(_compare(groups.join(sketches.hint("merge"), "tid")), "links")
-
-    centres = first.where("b is null").join(sizes.where(F.col("n") > BLOCK).hint("merge"), "band").select("band", F.col("a").alias("tid"))
-    centres = materialise(centres, "centres")
-    links = first.where("b is not null").select("a", "b")
-    if not centres.isEmpty():
-        again = materialise(centres.groupBy("band").agg(F.count("*").alias("n")).where("n > 1"), "centre-bands")
-        blocks = F.ceil(F.col("n") / (BLOCK // 2))
-        own = F.pmod(F.xxhash64(F.lit("second"), "tid"), F.col("blocks"))
-        rows = centres.join(again.hint("merge"), "band").withColumn("blocks", blocks).withColumn("own", own)
-        pair = F.expr("explode(transform(sequence(0L, blocks - 1), o -> least(o, own) * blocks + greatest(o, own)))")
-        rows = rows.select("band", "tid", pair.alias("block"))
-        rows = materialise(rows.select(F.xxhash64(F.lit("second"), "band", "block").alias("key"), "band", "tid"), "centre-groups")
-        links = links.unionByName(_compare(rows.join(sketches.hint("merge"), "tid")).where("b is not null").select("a", "b"))
-        groups = groups.unionByName(rows.withColumns({"nth": F.lit(-1), "n": F.lit(0).cast("long")}))
-    return materialise(links.distinct(), "candidates"), groups
+    blocks = F.ceil(F.col("n") / BLOCK)
+    own = F.pmod(F.xxhash64("tid", "band"), blocks)
+    hub = (F.col("n") > BLOCK) & (F.pmod(F.xxhash64(F.lit("hub"), "tid", "band"), F.greatest(F.lit(1), F.floor(F.col("n") / HUBS))) == 0)
+    groups = bands.join(sizes.hint("merge"), "band").withColumn("own", own).withColumn("hub", hub).withColumn("blocks", blocks)
+    groups = groups.withColumn("place", F.explode(F.expr("if(hub, sequence(0L, blocks - 1), array(own))")))
+    groups = groups.select(F.xxhash64("band", "place").alias("key"), "band", "tid", "nth", "n", (F.col("place") == F.col("own")).alias("home"))
+    groups = materialise(groups, "groups")
+    links = _compare(groups.select("key", "tid").join(sketches.hint("merge"), "tid")).distinct()
+    return materialise(links, "candidates"), groups
 
 
 def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -451,7 +437,8 @@ def near_duplicates(docs: DataFrame, threshold: float = SIMILAR, text: str = "te
     firsts = materialise(sketches, "sketches")
     sketches = firsts.drop("doc")
     links, groups = candidate_links(sketches)
-    needed = links.select(F.col("a").alias("tid")).union(links.select("b")).distinct()
+    # ends of links are read, and what large buckets hold, as any of it may meet any other later
+    needed = links.select(F.col("a").alias("tid")).union(links.select("b")).union(groups.where(F.col("n") > BLOCK).select("tid")).distinct()
     # one document stands for each text; so a large class of equal texts is dealt out by document
     needed = materialise(firsts.select("tid", "doc").join(needed.hint("merge"), "tid", "left_semi"), "needed")
     texts = own.join(needed.hint("merge"), ["tid", "doc"], "left_semi").groupBy("tid").agg(F.min("text").alias("text"))
@@ -461,18 +448,13 @@ def near_duplicates(docs: DataFrame, threshold: float = SIMILAR, text: str = "te
     near = materialise(_verified(pairs, idf, threshold).select("a", "b"), "near")
     # a forest may miss a link that a failed one stood for: go back to groups whose classes may yet be similar
     root = materialise(connected_components(near), "roots")
-    met = groups.join(root.withColumnRenamed("node", "tid").hint("merge"), "tid", "left")
-    met = met.select("key", F.lit(-1).alias("nth"), F.lit(0).cast("long").alias("own"), "tid", F.coalesce("root", "tid").alias("root"))
-    met = met.unionByName(_crossings(groups, root))
+    groups = groups.join(root.withColumnRenamed("node", "tid").hint("merge"), "tid", "left").withColumn("root", F.coalesce("root", "tid"))
+    groups = materialise(groups, "rooted")
+    met = groups.select("key", F.lit(-1).alias("nth"), F.lit(0).cast("long").alias("own"), "tid", "root")
+    met = met.unionByName(_crossings(groups))
+    # whoever has such a partner in its own block is an end of a tested pair, so its text is at hand
     open_ = materialise(_unsettled(met.join(sketches.hint("merge"), "tid")), "unsettled")
-    # whoever has such a partner in its own block is an end of a tested pair, so its text is at hand; others' are read now
-    absent = firsts.select("tid", "doc").join(open_.select("tid").distinct().hint("merge"), "tid", "left_semi")
-    absent = materialise(absent.join(texts.select("tid").hint("merge"), "tid", "left_anti"), "absent")
-    read = texts
-    if not absent.isEmpty():
-        late = own.join(absent.hint("merge"), ["tid", "doc"], "left_semi").groupBy("tid").agg(F.min("text").alias("text"))
-        read = texts.unionByName(materialise(late, "late"))
-    more = materialise(_settled(open_.join(read.hint("merge"), "tid"), idf, threshold).distinct(), "more")
+    more = materialise(_settled(open_.join(texts.hint("merge"), "tid"), idf, threshold).distinct(), "more")
     if not more.isEmpty():
         root = connected_components(near.unionByName(more))
     discard(firsts, texts, open_)
