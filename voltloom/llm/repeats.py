@@ -178,13 +178,17 @@ def _split_groups(rows: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
         F.substring("raw", (skip + 1).cast("int"), (near - far + window).cast("int")).alias("raw"),
     )
     stretches = materialise(stretches.withColumn("piece", F.xxhash64("raw", "shift")), "stretches")
-    groups = stretches.groupBy("anchor").agg(F.count("*").alias("size"), (F.min("piece") == F.max("piece")).alias("same"))
-    groups = materialise(groups.where("size > 1"), "stretch-groups")
-    met = stretches.join(groups.hint("merge"), "anchor")
-    ranges = ("doc", "text_hash", F.col("start").alias("low"), (F.col("start") + F.col("count") - 1).alias("high"))
-    same = met.where("same and copies = 1").select(*ranges)
-    small = _sort_groups(met.where(f"not same and size <= {GROUP}").select(*_CUT), window)
-    single = met.where(f"not same and size > {GROUP}").withColumn("i", F.explode(F.sequence(F.lit(0), F.col("count") - 1)))
+    # as among whole segments: equal stretches are repeated, and one of each goes on
+    one = F.min(F.struct("doc", "text_hash", "start", "count", "shift", "raw")).alias("one")
+    pieces = stretches.groupBy("anchor", "piece").agg(F.least(F.sum("copies"), F.lit(2)).cast("int").alias("copies"), one)
+    pieces = materialise(pieces.select("anchor", "piece", "copies", "one.*"), "stretch-pieces")
+    copied = stretches.where("copies = 1").join(pieces.where("copies > 1").select("anchor", "piece").hint("merge"), ["anchor", "piece"])
+    copied = copied.select("doc", "text_hash", F.col("start").alias("low"), (F.col("start") + F.col("count") - 1).alias("high"))
+    groups = pieces.groupBy("anchor").agg(F.count("*").alias("size"), F.count_if(F.col("copies") == 1).alias("single"))
+    groups = materialise(groups.where("size > 1 and single > 0").select("anchor", "size"), "stretch-groups")
+    met = pieces.join(groups.hint("merge"), "anchor")
+    small = _sort_groups(met.where(f"size <= {GROUP}").select(*_CUT), window)
+    single = met.where(f"size > {GROUP}").withColumn("i", F.explode(F.sequence(F.lit(0), F.col("count") - 1)))
     single = single.select(
         "doc", "text_hash", (F.col("start") + F.col("i")).alias("low"), "copies", "anchor", (F.col("shift") - F.col("i")).alias("shift"),
         F.sha1(F.substring("raw", F.col("i") + 1, F.lit(window))).alias("digest"),
@@ -192,7 +196,7 @@ def _split_groups(rows: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
     equal = single.groupBy("anchor", "shift", "digest").agg(F.count("*").alias("n")).where("n > 1").drop("n")
     equal = materialise(equal, "equal-windows")  # so that the join is between exchanges, which can be split
     single = single.where("copies = 1").join(equal.hint("merge"), ["anchor", "shift", "digest"]).select("doc", "text_hash", "low", F.col("low").alias("high"))
-    return same.unionByName(small).unionByName(single), stretches
+    return copied.unionByName(small).unionByName(single), stretches
 
 
 def repeated_ranges(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> tuple[DataFrame, DataFrame]:
