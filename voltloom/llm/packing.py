@@ -1,7 +1,7 @@
 """Cost-balanced packing of tokenised documents into sequences of fixed capacity.
 
 A document's ids are cut into full pieces of ``capacity`` ids, which are sequences of their own, and one tail. Tails
-are dealt at random into blocks of about ``BLOCK`` documents, and every block is packed alone: it opens as few
+are dealt by hashes into blocks of about ``BLOCK`` documents, and every block is packed alone: it opens as few
 sequences as its ids need, then takes its tails by descending length and puts each into the sequence with the lowest
 estimated cost among those with room for it. The cost of a piece of ``n`` ids is ``linear * n + quadratic * n * n``:
 the feed-forward part plus the attention within the piece. A tail for which no sequence has room is cut to fill the
@@ -11,11 +11,12 @@ cheapest one, and the rest goes on. So a block pads at most one sequence, whatev
 from __future__ import annotations
 
 import heapq
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark import TaskContext
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +29,7 @@ BLOCK = 1024
 LINEAR, QUADRATIC = 1.0, 1.0 / 4096
 #: Sequence ids: the block in the high bits, the sequence within the block in the low ones.
 LOCAL_BITS = 31
+_WORD = (1 << 64) - 1
 
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
@@ -70,8 +72,10 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, capacity: int =
     A document is its ids without special tokens, then ``end_id``; a null or empty text is that one id. Every id lies
     in exactly one piece; pieces of one document may lie in several sequences. Repeated rows are packed once each, a
     null id stays null, an empty table gives no pieces, and other columns are ignored. A giant text becomes many full
-    pieces, which spread over all blocks. Rows should come in the order of a stored table, as blocks are drawn in it. One shuffle moves the ids (two bytes each while they fit) dealt by a random
-    block, so no key of the data can make a task large; a block's memory is bounded by ``BLOCK`` documents' tails.
+    pieces, which spread over all blocks. One shuffle moves the ids (two bytes each while they fit), dealt by a hash of the
+    document's id, the piece's place and its ids; so the layout doesn't depend on how the rows are split over tasks. Equal
+    pieces of rows that are there several times are told apart by their number in a batch, so no key of the data can make a
+    task large; a block's memory is bounded by ``BLOCK`` documents' tails.
 
     Returns the pieces: ``doc_id``, ``start`` (ids of the document before it), ``length``, ``ids`` (little-endian
     unsigned 32-bit), ``doc_tokens``, ``sequence_id``, ``offset`` (place in the sequence, gapless from 0).
@@ -82,20 +86,23 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, capacity: int =
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc = encoder(tokenizer_path)
         each = enc.width
-        rng = np.random.default_rng(TaskContext.get().partitionId())  # the same rows for the same input when a task runs again
         for b in batches:
-            out = []
+            out, seen = [], Counter()
             for doc, t in zip(b["doc_id"], b["text"], strict=True):
                 with without_cycles():
                     raw = enc.packed(t if isinstance(t, str) else "") + end_id.to_bytes(each, "little")
                 n = len(raw) // each
                 for start in range(0, n, capacity):
-                    out.append((doc, start, min(capacity, n - start), raw[start * each : (start + capacity) * each], n))
+                    ids = raw[start * each : (start + capacity) * each]
+                    h = xxhash.xxh3_64_intdigest(ids, hash((none := bool(pd.isna(doc)), 0 if none else int(doc), start)) & _WORD)
+                    seen[h] += 1
+                    block = h if seen[h] == 1 else xxhash.xxh3_64_intdigest(seen[h].to_bytes(8, "little"), h)
+                    out.append((doc, start, min(capacity, n - start), ids, n, block % blocks))
                 if len(out) >= 4000:
-                    yield _frame(out, rng.integers(blocks, size=len(out)))
+                    yield _frame(out)
                     out = []
             if out:
-                yield _frame(out, rng.integers(blocks, size=len(out)))
+                yield _frame(out)
 
     def fill(key: tuple, b: pd.DataFrame) -> pd.DataFrame:
         b = b.sort_values(["doc_id", "start", "ids"], kind="stable", ignore_index=True)  # the order of arrival is not fixed
@@ -116,9 +123,9 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, capacity: int =
     return cuts.groupBy("block").applyInPandas(fill, PIECES)
 
 
-def _frame(rows: list[tuple], block: np.ndarray) -> pd.DataFrame:
-    out = pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids", "doc_tokens"])
-    return out.assign(doc_id=out["doc_id"].astype("Int64"), block=block)
+def _frame(rows: list[tuple]) -> pd.DataFrame:
+    out = pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids", "doc_tokens", "block"])
+    return out.assign(doc_id=out["doc_id"].astype("Int64"))
 
 
 def _widen(raw: bytes, n: int) -> bytes:
