@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import code
+from ..sources.scratch import discard, materialise
 
 
 def symmetric(edges: DataFrame, a: str = "node1_id", b: str = "node2_id") -> DataFrame:
@@ -21,47 +22,36 @@ def symmetric(edges: DataFrame, a: str = "node1_id", b: str = "node2_id") -> Dat
 def reachable(edges: DataFrame, seeds: DataFrame, max_rounds: int = 1000) -> DataFrame:
     """Nodes that each seed reaches (``seed``, ``node``), itself included, by breadth-first frontiers.
 
-    edges: ``src``, ``dst``. A round joins only the newest frontier and drops what was seen; each round is checkpointed,
-    so lineage and plans stay small.
+    edges: ``src``, ``dst``. A round joins only the newest frontier and drops what was seen; each round is written out and
+    read again, so lineage and plans stay small and nothing is computed twice.
     """
-    edges = cut_lineage(edges)  # read in every round
-    seen = cut_lineage(seeds.select(F.col("seed"), F.col("seed").alias("node")).distinct())
+    edges = materialise(edges, "graph")  # read in every round
+    seen = materialise(seeds.select(F.col("seed"), F.col("seed").alias("node")).distinct(), "seen")
     frontier = seen
     for _ in range(max_rounds):
         step = frontier.join(edges.withColumnRenamed("src", "node"), "node").select("seed", F.col("dst").alias("node")).distinct()
-        frontier = cut_lineage(step.join(seen, ["seed", "node"], "left_anti"))
-        if frontier.isEmpty():
+        new = materialise(step.join(seen, ["seed", "node"], "left_anti"), "frontier")
+        if new.isEmpty():
             return seen
-        seen = cut_lineage(seen.unionByName(frontier))
+        before, frontier = seen, new
+        seen = materialise(before.unionByName(new), "seen")
+        discard(before)
     raise RuntimeError("reachability didn't end")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Cut the lineage in the shared checkpoint folder, so that a lost executor costs no recomputation."""
-    spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:  # one machine, as in tests
-            import tempfile
-
-            folder = tempfile.mkdtemp(prefix="voltloom-")
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint()
-
-
 def components(edges: DataFrame, nodes: DataFrame, max_rounds: int = 1000) -> DataFrame:
     """Label every node with the smallest node of its component (``node``, ``component``).
 
     Each round takes the smallest label among neighbours and then follows labels one step, so that the number of rounds
     is about the logarithm of the longest path.
     """
-    edges = cut_lineage(edges)  # read in every round
-    labels = cut_lineage(nodes.select(F.col("node"), F.col("node").alias("component")).distinct())
+    edges = materialise(edges, "graph")  # read in every round
+    labels = materialise(nodes.select(F.col("node"), F.col("node").alias("component")).distinct(), "labels")
     for _ in range(max_rounds):
         near = edges.join(labels.select(F.col("node").alias("dst"), F.col("component").alias("c")), "dst").groupBy("src").agg(F.min("c").alias("c"))
         low = labels.join(near.withColumnRenamed("src", "node"), "node", "left").select("node", F.col("component").alias("old"), F.least("component", "c").alias("component"))
         jump = low.select(F.col("node").alias("component"), F.col("component").alias("next"))
-        new = cut_lineage(low.join(jump, "component", "left").select("node", "old", F.least("component", "next").alias("component")))
+        new = materialise(low.join(jump, "component", "left").select("node", "old", F.least("component", "next").alias("component")), "labels")
         changed = not new.where("old != component").isEmpty()
         labels = new.select("node", "component")
         if not changed:
@@ -71,12 +61,12 @@ def components(edges: DataFrame, nodes: DataFrame, max_rounds: int = 1000) -> Da
 
 def simple_paths(edges: DataFrame, seeds: DataFrame, max_depth: int = 100) -> DataFrame:
     """All simple paths from seeds: ``seed``, ``node``, ``path`` (array), ``depth``. Exponential on meshed graphs."""
-    edges = cut_lineage(edges)  # read in every round
-    level = cut_lineage(seeds.select(F.col("seed"), F.col("seed").alias("node"), F.array("seed").alias("path"), F.lit(0).alias("depth")))
+    edges = materialise(edges, "graph")  # read in every round
+    level = materialise(seeds.select(F.col("seed"), F.col("seed").alias("node"), F.array("seed").alias("path"), F.lit(0).alias("depth")), "paths")
     out = level
     for _ in range(max_depth):
         level = level.join(edges.withColumnRenamed("src", "node"), "node").where("not array_contains(path, dst)")
-        level = cut_lineage(level.select("seed", F.col("dst").alias("node"), F.array_append("path", F.col("dst")).alias("path"), (F.col("depth") + 1).alias("depth")))
+        level = materialise(level.select("seed", F.col("dst").alias("node"), F.array_append("path", F.col("dst")).alias("path"), (F.col("depth") + 1).alias("depth")), "paths")
         if level.isEmpty():
             return out
         out = out.unionByName(level)
@@ -152,7 +142,8 @@ def characterisation(meter_ids: DataFrame, chains: DataFrame, inventory: DataFra
     ordered = F.array_sort(F.collect_list(F.struct("depth", "feeder_id", "cabinet_id", "transformer_id", "secondary_substation_id")))
     lists = chains.groupBy("meter_id").agg(ordered.alias("c"))
     first = [F.get("c", F.lit(0))[n].alias(n) for n in ("secondary_substation_id", "transformer_id", "feeder_id", "cabinet_id")]
-    rest = [F.transform(F.slice("c", 2, F.greatest(F.size("c") - 1, F.lit(0))), lambda x, n=n: x[n]).alias(f"additional_{n}s") for n in ("feeder_id", "cabinet_id")]
+    further = F.slice("c", 2, F.greatest(F.size("c") - 1, F.lit(0)))
+    rest = [further[n].alias(f"additional_{n}s") for n in ("feeder_id", "cabinet_id")]
     chain = lists.select("meter_id", *first, *rest)
     return meter_ids.join(chain, "meter_id", "left").join(inventory, "meter_id", "left").join(records, "meter_id", "left")
 

@@ -8,19 +8,20 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import code, code_number, code_type, zero_to_null
-from .graph import cut_lineage
+from ..sources.scratch import materialise
 from .upsert import insert_missing, make_current, merge, next_version
 
 _filled = lambda c: F.coalesce(F.col(c), F.lit("")) != ""
 
 
 def assets(topology: DataFrame, meters: DataFrame) -> dict[str, DataFrame]:
-    """The asset tables that flat rows state, one row for each id (the smallest values where rows differ)."""
+    """The asset tables that flat rows state, one row for each id. A value that some of an id's rows leave out is that of the
+    others; rows that state different values are an error, raised when the table is read."""
     t, m = topology, meters
 
     def one(df: DataFrame, **columns) -> DataFrame:
         rows = df.select(*(c.alias(n) for n, c in columns.items())).where("id is not null")
-        return rows.groupBy("id").agg(*(F.min(n).alias(n) for n in columns if n != "id"))
+        return rows.groupBy("id").agg(*(_stated(n, "id") for n in columns if n != "id"))
 
     return {
         "secondary_substation": one(t, id=code_number(F.col("secondary_substation")), zip_code=F.nullif(F.col("zip_code_secondary_substation").cast("string"), F.lit(""))),
@@ -32,6 +33,13 @@ def assets(topology: DataFrame, meters: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+def _stated(column: str, key: str):
+    """The one value that a group's rows state."""
+    said = F.concat(F.lit(f"different values of {column} for {key} "), F.col(key).cast("string"))
+    one = F.min(column).eqNullSafe(F.max(column))
+    return F.when(one, F.min(column)).otherwise(F.raise_error(said)).alias(column)
+
+
 def upsert_assets(old: dict[str, DataFrame] | None, new: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Known assets take the new values; cabinets have none and are only added."""
     if not old:
@@ -87,12 +95,12 @@ def edge_cables(edges: DataFrame, key: str = "id") -> DataFrame:
 
 
 def cables(topology: DataFrame) -> DataFrame:
-    """Distinct cables with their properties; a property of 0 is unknown."""
+    """Distinct cables with their properties; a property of 0 is unknown, different ones are an error as in :func:`assets`."""
     t = topology.select(
         code_number(F.col("cable_id")).alias("cable_id"), "cable_type", zero_to_null(F.col("cable_length")).alias("cable_length_m"), zero_to_null(F.col("phase_size")).alias("phase_size"),
         "phase_material", zero_to_null(F.col("cable_capacity")).alias("capacity_a"), F.col("resistance").alias("resistance_ohm"), F.col("reactance").alias("reactance_ohm"),
     ).where("cable_id is not null")
-    return t.groupBy("cable_id").agg(*(F.min(c).alias(c) for c in t.columns if c != "cable_id"))
+    return t.groupBy("cable_id").agg(*(_stated(c, "cable_id") for c in t.columns if c != "cable_id"))
 
 
 def edge_kinds(edges: DataFrame) -> DataFrame:
@@ -168,8 +176,8 @@ class Grid:
 def ingest(topology: DataFrame, meters: DataFrame, level: str = "raw", grid: Grid | None = None) -> Grid:
     """Add a version of the graph, which becomes the current one.
 
-    Node ids are the ranks of node codes within the version, edge ids those of their ends; so the same files give the
-    same ids. The caller writes the returned tables as a new snapshot.
+    Nodes are numbered from 1 within the version, edges by their ends: in 256 hashed parts, in order within a part; so the
+    same files give the same ids. The caller writes the returned tables as a new snapshot.
     """
     grid = grid or Grid()
     spark = topology.sparkSession
@@ -178,9 +186,9 @@ def ingest(topology: DataFrame, meters: DataFrame, level: str = "raw", grid: Gri
     nodes = _numbered(existing_nodes(node_codes(topology, meters), tables), ["node_type", "asset_id"], version)
     for kind, column in (("LvFeeder", "feeder_id"), ("Cabinet", "cabinet_id"), ("DeliveryPoint", "delivery_point_id")):
         nodes = nodes.withColumn(column, F.when(F.col("node_type") == kind, F.col("asset_id")))
-    nodes = cut_lineage(nodes)
+    nodes = materialise(nodes, "nodes")
     edges = resolved_edges(grouped_edges(topology, meters), nodes).dropDuplicates(["node1_id", "node2_id"])
-    edges = cut_lineage(_numbered(edges, ["node1_id", "node2_id"], version))
+    edges = materialise(_numbered(edges, ["node1_id", "node2_id"], version), "edges")
     known = cables(topology).withColumn("version", F.lit(version))
     parts = edge_cables(edges).where("cable_id is not null").withColumn("version", F.lit(version)).dropDuplicates(["edge_id", "cable_id"])
     check_edges(edges, nodes)
@@ -194,7 +202,7 @@ def ingest(topology: DataFrame, meters: DataFrame, level: str = "raw", grid: Gri
 
 
 def _numbered(df: DataFrame, order: list[str], version: int) -> DataFrame:
-    """Ids from 1 in the order of columns. Numbers are given within hashed parts and offset by the parts' sizes."""
+    """Ids from 1 without gaps: in the order of columns within hashed parts, which are offset by the sizes of those before."""
     part = df.withColumn("_p", F.pmod(F.xxhash64(*order), F.lit(256)).cast("int"))
     sizes = part.groupBy("_p").agg(F.count("*").alias("_n"))
     before = F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # 256 rows
