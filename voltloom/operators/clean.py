@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import code_suffix
@@ -15,14 +15,8 @@ CATEGORIES = {"cable_type": CABLE_TYPES, "phase_material": PHASE_MATERIALS}
 
 
 def fill_numbers(df: DataFrame, columns: Sequence[str], group: str) -> DataFrame:
-    """Fill nulls with the group's mean, else the mean of all; both are rounded half to even to whole numbers.
-
-    Means come from two aggregations, joined back by the group; one row of overall means is broadcast.
-    """
-    means = df.where(F.col(group).isNotNull()).groupBy(group).agg(*(F.bround(F.avg(c), 0).alias(f"_g_{c}") for c in columns))
-    overall = df.agg(*(F.bround(F.avg(c), 0).alias(f"_a_{c}") for c in columns))
-    out = df.join(means, group, "left").crossJoin(F.broadcast(overall))
-    return out.withColumns({c: F.coalesce(F.col(c).cast("double"), f"_g_{c}", f"_a_{c}") for c in columns}).select(*df.columns)
+    """Fill nulls with the group's mean, else the mean of all; both are rounded half to even to whole numbers."""
+    return fill(df, columns, {}, group)
 
 
 def modes(df: DataFrame, column: str, domain: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -33,16 +27,47 @@ def modes(df: DataFrame, column: str, domain: Sequence[str], by: Sequence[str] =
     return counts.groupBy(*by).agg(best)
 
 
+def fill(df: DataFrame, numbers: Sequence[str], categories: dict[str, Sequence[str]], group: str) -> DataFrame:
+    """Fill nulls from the group, else from all rows: numbers as in :func:`fill_numbers`; categories with the mode (of equally
+    common values the first of the domain), where values outside the domain count as missing and the mode of all is that of
+    the rows that groups have filled.
+
+    One aggregation of the rows by group yields counts of the domains' values and sums; modes, means and the single row for
+    all rows, which is broadcast, follow from its result.
+    """
+    out = df.withColumns({c: F.when(F.col(c).isin(*d), F.col(c)) for c, d in categories.items()})
+    values = [(c, i, v) for c, domain in categories.items() for i, v in enumerate(domain)]
+    groups = out.groupBy(F.col(group).alias("_group")).agg(
+        F.count("*").alias("_rows"),
+        *(F.count_if(F.col(c) == v).alias(f"_n_{c}_{i}") for c, i, v in values),
+        *(f(F.col(c).cast("double")).alias(f"_{k}_{c}") for c in numbers for k, f in (("s", F.sum), ("m", F.count))),
+    )
+
+    def mode(c: str, count) -> Column:
+        ranked = [F.struct(count(c, i).alias("n"), F.lit(-i), F.lit(v).alias("v")) for i, v in enumerate(categories[c])]
+        return F.array_max(F.filter(F.array(*ranked), lambda x: x["n"] > 0))["v"]
+
+    grouped = F.col("_group").isNotNull()
+    groups = groups.withColumns({f"_g_{c}": F.when(grouped, mode(c, lambda c, i: F.col(f"_n_{c}_{i}"))) for c in categories})
+    groups = groups.withColumns({f"_g_{c}": F.when(grouped, F.bround(F.try_divide(f"_s_{c}", f"_m_{c}"), 0)) for c in numbers})
+
+    def filled(c: str, i: int):  # rows with a value after the group's mode is filled in
+        known = sum((F.col(f"_n_{c}_{j}") for j in range(len(categories[c]))), F.lit(0))
+        return F.coalesce(F.sum(F.col(f"_n_{c}_{i}") + F.when(F.col(f"_g_{c}") == categories[c][i], F.col("_rows") - known).otherwise(0)), F.lit(0))
+
+    overall = groups.agg(
+        *(mode(c, filled).alias(f"_a_{c}") for c in categories),
+        *(F.bround(F.try_divide(F.sum(f"_s_{c}"), F.sum(f"_m_{c}")), 0).alias(f"_a_{c}") for c in numbers),
+    )
+    columns = [*numbers, *categories]
+    means = groups.where(grouped).select(F.col("_group").alias(group), *(f"_g_{c}" for c in columns))
+    out = out.join(means, group, "left").crossJoin(F.broadcast(overall))
+    return out.withColumns({c: F.coalesce(F.col(c).cast("double") if c in numbers else F.col(c), f"_g_{c}", f"_a_{c}") for c in columns}).select(*df.columns)
+
+
 def fill_categories(df: DataFrame, categories: dict[str, Sequence[str]], group: str) -> DataFrame:
     """Values outside the domain count as missing; missing ones take the group's mode, else that of all rows."""
-    out = df.withColumns({c: F.when(F.col(c).isin(*d), F.col(c)) for c, d in categories.items()})
-    for c, domain in categories.items():
-        known = out.where(F.col(group).isNotNull())
-        per_group = modes(known, c, domain, [group])
-        filled = out.join(per_group, group, "left").withColumn(c, F.coalesce(c, f"_mode_{c}")).drop(f"_mode_{c}")
-        overall = modes(filled, c, domain)
-        out = filled.crossJoin(F.broadcast(overall)).withColumn(c, F.coalesce(c, f"_mode_{c}")).select(*df.columns)
-    return out
+    return fill(df, [], categories, group)
 
 
 def drop_parallel(df: DataFrame, keys: Sequence[str], capacity: str, order: Sequence[str]) -> DataFrame:
@@ -56,7 +81,7 @@ def clean_topology(topology: DataFrame) -> DataFrame:
     """All repairs of a flat topology file. Ends are compared by what follows their type, in the given direction."""
     helped = topology.withColumns({"_n1": code_suffix(F.col("node1")), "_n2": code_suffix(F.col("node2")), "_sub": code_suffix(F.col("secondary_substation"))})
     numbers = [c for c in NUMBERS if c in topology.columns]
-    helped = fill_categories(fill_numbers(helped, numbers, "_sub"), {c: d for c, d in CATEGORIES.items() if c in topology.columns}, "_sub")
+    helped = fill(helped, numbers, {c: d for c, d in CATEGORIES.items() if c in topology.columns}, "_sub")
     return drop_parallel(helped, ["_n1", "_n2"], "cable_capacity", ["cable_id"]).select(*topology.columns)
 
 
