@@ -1,8 +1,11 @@
 """Storage, batch and streaming ingestion on a temporary folder."""
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
+from voltloom.plans import ingest
 from voltloom.plans.ingest import ingest_files
 from voltloom.sources.store import Store, month_order, resolve_backend
 from voltloom.streaming.ingest import ingest_stream, measurement_stream, streaming_means
@@ -65,3 +68,118 @@ def test_streams(spark, store, tmp_path):
     q = streaming_means(measurement_stream(spark, f"file://{tmp_path}/in", ["timestamp_dst", "meter_number", "voltage_l1"]), ["voltage_l1"]).writeStream.outputMode("complete").format("memory").queryName("means").trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert spark.table("means").count() == 3
+
+
+class Crash(BaseException):
+    """The process ends here; no handler of the program runs."""
+
+
+STEPS = ["write_series", "glob", "promote", "delete", "commit", "_beside", "snapshot", "exists"]
+
+
+@pytest.mark.parametrize("name", STEPS)
+@pytest.mark.parametrize("after", [False, True])
+def test_a_lost_batch_is_replayed_without_counting_twice(spark, store, monkeypatch, name, after):
+    """Whatever call the process is lost in, before or after its work: the next try ends with each row counted once."""
+    own = getattr(Store, name)
+    for nth in (1, 2, 3):
+        calls = [0]
+
+        def crash(self, *args, **kwargs):
+            calls[0] += 1
+            if calls[0] == nth and not after:  # noqa: B023
+                raise Crash
+            out = own(self, *args, **kwargs)
+            if calls[0] == nth and after:  # noqa: B023
+                raise Crash
+            return out
+
+        with monkeypatch.context() as m:
+            m.setattr(Store, name, crash)
+            try:
+                ingest_files(store, "in/*.csv")
+            except Crash:
+                pass
+    ingest_files(store, "in/*.csv")
+    assert {r.meter_number: r.total_rows for r in store.snapshot("meter_stats").collect()} == {"100025": 2, "17": 1}
+    index = store.snapshot("file_index")
+    assert index.where("status = 'ready'").count() == 3 == index.count()
+    assert store.layer("raw").count() == 3 and not store.glob("staging/*")
+    assert {r.path.split(":")[-1] for r in index.collect()} == {p.split(":")[-1] for p in store.glob("raw/dt=*/shard=*/*.parquet")}
+    assert store.snapshot("ingest_batches").where("status = 'processed'").count() == 1
+    assert ingest_files(store, "in/*.csv")["files"] == []
+
+
+def test_a_failed_batch_is_recorded(spark, store, monkeypatch):
+    def fail(*args):
+        raise OSError("disk full")
+
+    with monkeypatch.context() as m:
+        m.setattr(Store, "promote", fail)
+        with pytest.raises(OSError):
+            ingest_files(store, "in/*.csv")
+    batch = store.snapshot("ingest_batches").first()
+    assert (batch.status, batch.error_log, batch.source) == ("failed", "disk full", "data_2024_1.csv")
+    assert not store.glob("staging/*") and store.snapshot("file_index") is None
+    assert len(ingest_files(store, "in/*.csv")["files"]) == 1
+    assert sorted(r.status for r in store.snapshot("ingest_batches").collect()) == ["failed", "processed"]
+
+
+def test_a_broken_pointer_is_an_error(spark, store, tmp_path):
+    assert store.snapshot("t") is None
+    store.write_snapshot(spark.range(3), "t", "a")
+    assert store.snapshot("t").count() == 3
+    store.commit({"t": spark.range(4), "u": spark.range(1)}, "b")
+    assert (store.snapshot("t").count(), store.snapshot("u").count(), len(store.commits())) == (4, 1, 2)
+    (tmp_path / "_commits/00000000000000000003.json").write_text('{"tables": {"t"')
+    with pytest.raises(ValueError):
+        store.snapshot("t")
+    (tmp_path / "broken.json").write_text("{")
+    assert store.json("broken.json") is None
+
+
+def test_two_writers_dont_both_commit(spark, store, monkeypatch):
+    store.write_snapshot(spark.range(3), "t", "a")
+    log = store.commits()
+    store.write_snapshot(spark.range(3), "t", "b")
+    monkeypatch.setattr(Store, "commits", lambda self: log)
+    with pytest.raises(RuntimeError):
+        store.write_snapshot(spark.range(3), "t", "c")
+
+
+def test_a_file_without_rows(spark, store, tmp_path):
+    (tmp_path / "in/data_2023_1.csv").write_text(CSV.split("\n")[0] + "\n")
+    assert len(ingest_files(store, "in/*.csv")["files"]) == 2
+    assert store.snapshot("meter_stats").agg(F.sum("total_rows")).first()[0] == 3
+
+
+def test_layers_and_lists(spark, store, tmp_path):
+    flags = spark.createDataFrame([("1", dt.datetime(2024, 1, 1), 0, "2024-01-01", 1)], "meter_number string, timestamp timestamp, voltage_l1_flag int, dt string, shard int")
+    store.write_layer(flags, "flags")
+    store.write_layer(flags, "flags")
+    assert store.layer("flags").count() == 1 and store.glob("flags/shard=1/dt=2024-01-01/*.parquet")
+    with pytest.raises(ValueError):
+        store.layer("other")
+    spark.range(1).write.parquet(store.path("old/meter_number=17"))
+    spark.range(1).write.parquet(store.path("old/meter_number=5"))
+    assert [r.meter_number for r in store.meters_by_folder("old").collect()] == ["17", "5"]
+    (tmp_path / "topo.csv").write_text("node1,node2,cable_id,cable_length\nLvFeeder.1,Cabinet.2,LvCable.3,4.5\n")
+    row = store.topology_csv("topo.csv").first()
+    assert (row.node1, row.node2, row.cable_id, float(row.cable_length), row.transformer) == ("LvFeeder.1", "Cabinet.2", "LvCable.3", 4.5, None)
+    store.copy(store.path("topo.csv"), store.path("copied.csv"))
+    assert store.exists("copied.csv") and store.delete("copied.csv") and not store.exists("copied.csv")
+
+
+def test_scratch_needs_a_shared_folder(spark, monkeypatch):
+    from voltloom.sources import scratch
+
+    class Away:
+        master = "spark://host:7077"
+
+    class Session:
+        sparkContext = Away()
+        conf = type("C", (), {"get": lambda self, key, default: default})()
+
+    with pytest.raises(RuntimeError):
+        scratch.shared_dir(Session())
+    assert scratch.materialise(spark.range(5), "t").count() == 5

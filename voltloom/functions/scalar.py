@@ -78,19 +78,27 @@ def mean_of(columns: list[Column]) -> Column:
     return F.when(n > 0, total / n)
 
 
-def shard_of(meter_ids: DataFrame, shards: int = SHARDS, column: str = "meter_number") -> DataFrame:
-    """The storage shard of each distinct meter: unsigned 64-bit xxHash with seed 0, modulo ``shards``.
+def shard(meter: Column, shards: int = SHARDS) -> Column:
+    """The storage shard of a meter: unsigned 64-bit xxHash of its text with seed 0, modulo ``shards``; null for null.
 
-    Spark's own ``xxhash64`` has another seed, so the hash runs in an Arrow batch over *distinct* ids only.
+    Spark's own ``xxhash64`` has another seed, so the hash runs in Arrow batches, once for each different id of a batch.
     """
 
-    def shard(ids: pd.Series) -> pd.Series:
+    def number(ids: pd.Series) -> pd.Series:
+        import numpy as np
         import xxhash
 
-        return ids.map(lambda m: xxhash.xxh64(m).intdigest() % shards).astype("int16")
+        codes, different = pd.factorize(ids)
+        found = np.array([xxhash.xxh64(m).intdigest() % shards for m in different] + [-1], np.int16)  # null has code -1
+        return pd.Series(found[codes]).astype("Int16").mask(codes < 0)
+
+    return F.pandas_udf(number, "smallint")(meter.cast("string"))
 
-    hashed = F.pandas_udf(shard, "smallint")
-    return meter_ids.select(F.col(column).cast("string").alias(column)).where(F.col(column).isNotNull()).distinct().withColumn("shard", hashed(column))
+
+def shard_of(meter_ids: DataFrame, shards: int = SHARDS, column: str = "meter_number") -> DataFrame:
+    """The storage shard of each distinct meter (see :func:`shard`)."""
+    ids = meter_ids.select(F.col(column).cast("string").alias(column)).where(F.col(column).isNotNull()).distinct()
+    return ids.withColumn("shard", shard(F.col(column), shards))
 
 
 def identity_hash(identity: dict) -> str:

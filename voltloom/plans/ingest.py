@@ -1,4 +1,4 @@
-"""Batch ingestion of measurement files: staging, statistics, file index, promotion."""
+"""Batch ingestion of measurement files: staging, promotion, statistics, file index, batch states."""
 
 from __future__ import annotations
 
@@ -7,20 +7,17 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.meta import meter_inventory, workflow_completed, workflow_name
+from ..operators.meta import mark_workflow, meter_inventory, promote_batch, set_batch_status, workflow_completed
 from ..operators.upsert import merge_meter_stats, next_sequence
 from ..sources.store import Store, month_order, scan_measurements, with_partitions
 
 INDEX = "dt string, shard int, seq long, path string, batch_id string, rows long, bytes long, first_seen timestamp, last_seen timestamp, status string, committed_at timestamp"
 STATES = "workflow string, completed boolean"
+BATCHES = "batch_id string, source string, status string, stats_json string, error_log string"
 
 
 def ingest_files(store: Store, pattern: str, dest: str = "raw", override: bool = False) -> dict[str, DataFrame | list[str]]:
-    """Ingest CSV files in order of month; a file that was ingested before is skipped.
-
-    Each file is one batch: its rows are written to a staging folder, read back once for statistics and the file index,
-    and moved to the ready folder; then the index, the statistics and the workflow state get new snapshots.
-    """
+    """Ingest CSV files in order of month; a file that was ingested before is skipped. Each file is one batch."""
     done = []
     for path in month_order(store.glob(pattern)):
         if ingest_file(store, path, dest, override):
@@ -28,31 +25,65 @@ def ingest_files(store: Store, pattern: str, dest: str = "raw", override: bool =
     return {"files": done, "index": store.snapshot("file_index"), "meters": store.snapshot("meter_stats")}
 
 
+def _table(store: Store, name: str, schema: str) -> DataFrame:
+    found = store.snapshot(name)
+    return found if found is not None else store.spark.createDataFrame([], schema)
+
+
 def ingest_file(store: Store, path: str, dest: str = "raw", override: bool = False) -> bool:
-    spark = store.spark
-    states = store.snapshot("workflow_states")
-    states = states if states is not None else spark.createDataFrame([], STATES)
+    """Ingest one file: False if it was ingested before.
+
+    The batch is recorded as in progress; its rows are staged and moved to the ready folder under names that begin with the
+    batch; then index, statistics, workflow state and batch change in one commit. A batch that fails is recorded with its
+    error; one that was lost on the way is found by the next try. What either has left is removed, so that a replay counts
+    no row twice.
+    """
     step = {"source": path.rsplit("/", 1)[-1]}
-    if workflow_completed(states, "ingest", step, override):
+    if workflow_completed(_table(store, "workflow_states", STATES), "ingest", step, override):
         return False
+    batches = _table(store, "ingest_batches", BATCHES)
+    lost = [r.batch_id for r in batches.where((F.col("source") == step["source"]) & (F.col("status") == "in_progress")).collect()]
+    for batch in lost:
+        clear(store, batch, dest)
+        batches = set_batch_status(batches, batch, "failed", error_log="lost")
     batch = uuid.uuid4().hex
-    staging = f"staging/run={batch}"
-    store.write_series(with_partitions(scan_measurements(spark, path)), staging)
-    staged = spark.read.parquet(store.path(staging))
-    files = staged.groupBy(F.col("_metadata.file_path").alias("staged"), F.col("_metadata.file_size").alias("bytes"), F.col("dt").cast("string").alias("dt"), F.col("shard").cast("int").alias("shard")).agg(
-        F.min("timestamp").alias("first_seen"), F.max("timestamp").alias("last_seen"), F.count("*").alias("rows")
-    )
-    tail = F.element_at(F.split("staged", "/"), -1)
-    files = files.withColumn("path", F.concat(F.lit(store.path(dest) + "/dt="), "dt", F.lit("/shard="), "shard", F.lit("/"), tail))
-    index = store.snapshot("file_index")
-    index = index if index is not None else spark.createDataFrame([], INDEX)
-    new = next_sequence(files, index, ["dt", "shard"], ["path"]).withColumns({"batch_id": F.lit(batch), "status": F.lit("ready"), "committed_at": F.current_timestamp()}).select(*index.columns)
-    old = store.snapshot("meter_stats")
-    stats = meter_inventory(staged.select("meter_number", "timestamp"))
-    stats = merge_meter_stats(old, stats) if old is not None else stats
-    store.write_snapshot(stats, "meter_stats", batch)
-    store.write_snapshot(index.unionByName(new), "file_index", batch)
-    store.promote(staging, dest)
-    row = spark.createDataFrame([(workflow_name("ingest", step), True)], STATES)
-    store.write_snapshot(states.unionByName(row).distinct(), "workflow_states", batch)
+    row = store.spark.createDataFrame([(batch, step["source"], "in_progress", None, None)], BATCHES)
+    store.commit({"ingest_batches": batches.unionByName(row)}, f"{batch}-begun")
+    try:
+        staging = f"staging/run={batch}"
+        store.write_series(with_partitions(scan_measurements(store.spark, path)), staging)
+        finish(store, batch, step, staging, dest)
+    except Exception as e:
+        clear(store, batch, dest)
+        store.commit({"ingest_batches": set_batch_status(store.snapshot("ingest_batches"), batch, "failed", error_log=str(e)[:1000])}, f"{batch}-failed")
+        raise
     return True
+
+
+def clear(store: Store, batch: str, dest: str) -> None:
+    """Remove what a batch that wasn't committed has left."""
+    store.delete(f"staging/run={batch}")
+    for left in store.glob(f"{dest}/dt=*/shard=*/{batch}-*"):
+        store.at(left).delete()
+
+
+def finish(store: Store, batch: str, step: dict, staging: str, dest: str) -> None:
+    """Move a staged batch to the ready folder and commit what it adds."""
+    spark = store.spark
+    prefix = f"{batch}-"
+    store.promote(staging, dest, prefix)
+    index, old = _table(store, "file_index", INDEX), store.snapshot("meter_stats")
+    added = store.glob(f"{dest}/dt=*/shard=*/{prefix}*.parquet")
+    rows = spark.read.option("basePath", store.path(dest)).parquet(*added) if added else None
+    stats = meter_inventory(rows.select("meter_number", "timestamp")) if added else None
+    if added:
+        files = rows.groupBy(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("bytes"), F.col("dt").cast("string").alias("dt"), F.col("shard").cast("int").alias("shard")).agg(
+            F.min("timestamp").alias("first_seen"), F.max("timestamp").alias("last_seen"), F.count("*").alias("rows")
+        )
+        new = next_sequence(files, index, ["dt", "shard"], ["path"]).withColumns({"batch_id": F.lit(batch), "status": F.lit("staged"), "committed_at": F.current_timestamp()}).select(*index.columns)
+        index = index.unionByName(new)
+    index, batches = promote_batch(index, store.snapshot("ingest_batches"), batch)
+    changed = {"file_index": index, "ingest_batches": batches, "workflow_states": mark_workflow(_table(store, "workflow_states", STATES), "ingest", step)}
+    if stats is not None:
+        changed["meter_stats"] = merge_meter_stats(old, stats) if old is not None else stats
+    store.commit(changed, batch)

@@ -6,20 +6,27 @@ Paths are URIs of any file system that Hadoop knows; nothing is opened by the dr
 from __future__ import annotations
 
 import json
+import logging
 import os
 import re
+import uuid
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions.scalar import nan_to_null, shard_of
+from ..functions.scalar import nan_to_null, shard
 
 #: Names of back ends and the URI schemes they stand for.
 BACKENDS = {"s3": "s3a", "minio": "s3a", "azure": "abfss", "az": "abfss", "azure_blob": "abfss", "local": "file", "file": "file"}
 LAYERS = ("raw", "flags", "corrections", "phase_map")
+#: Files moved at once.
+MOVERS = 12
+
+_log = logging.getLogger(__name__)
 
 
 def resolve_backend(backend: str | None = None, env: str = "STORAGE_BACKEND") -> str:
@@ -142,15 +149,19 @@ class Store:
         return df.select(F.try_to_timestamp("DateTime", F.lit(time_format)).alias("timestamp"), F.col("T").try_cast("double").alias("T")).where("timestamp is not null")
 
     def json(self, *parts: str):
-        """A JSON document; None if it is absent or broken."""
+        """A JSON document; None if it is absent or, with a log entry, broken."""
         if not self.exists(*parts):
             return None
-        text = self.spark.read.text(self.path(*parts), wholetext=True).first()
         try:
-            return json.loads(text[0]) if text else None
-        except ValueError:
+            return json.loads(self._text(*parts))
+        except ValueError as e:
+            _log.warning("%s is no JSON: %s", self.path(*parts), e)
             return None
 
+    def _text(self, *parts: str) -> str:
+        found = self.spark.read.text(self.path(*parts), wholetext=True).first()
+        return found[0] if found else ""
+
     def meters_by_folder(self, *parts: str) -> DataFrame:
         """Meters of a store with a folder for each (``meter_number=...``)."""
         names = [m[1] for p in self.glob("/".join([*parts, "meter_number=*"])) if (m := re.search(r"meter_number=([^/]+)$", p))]
@@ -171,34 +182,72 @@ class Store:
         df.write.mode(mode).partitionBy(*by).parquet(self.path(*parts))
 
     def write_json(self, data, *parts: str) -> None:
-        """One JSON document."""
+        """One JSON document; it is written beside its place and moved there, so that no reader sees a part of it."""
         fs, p = self._hadoop(self.path(*parts))
+        beside = self._beside(data, p)
+        fs.delete(p, False)
+        if not fs.rename(beside, p):
+            raise OSError(f"could not write {p.toString()}")
+
+    def _beside(self, data, place):
+        """Write a JSON document under another name in the folder of its place."""
+        fs, p = self._hadoop(f"{place.getParent().toString()}/.{place.getName()}-{uuid.uuid4().hex}")
         out = fs.create(p, True)
         try:
             out.write(bytearray(json.dumps(data, indent=2, default=str).encode()))
         finally:
             out.close()
+        return p
+
+    def commits(self) -> list[str]:
+        """The log of snapshots, oldest first: files that are never changed, each with the current snapshot of every table."""
+        return self.glob("_commits/[0-9]*.json")
+
+    def current(self) -> dict[str, str]:
+        """The current snapshot of every table. A broken entry of the log is an error, never an empty store."""
+        log = self.commits()
+        return json.loads(self._text("_commits", log[-1].rsplit("/", 1)[-1]))["tables"] if log else {}
+
+    def commit(self, frames: dict[str, DataFrame], snapshot: str) -> None:
+        """New snapshots of several tables, which readers see all at once or not at all.
+
+        Tables are written first; then one log entry names them all. It takes the next number, and moving it there fails if
+        another writer has taken that meanwhile.
+        """
+        log, tables = self.commits(), self.current()
+        for name, df in frames.items():
+            df.write.mode("errorifexists").parquet(self.path(name, snapshot))
+        number = int(log[-1].rsplit("/", 1)[-1].removesuffix(".json")) + 1 if log else 1
+        fs, p = self._hadoop(self.path("_commits", f"{number:020d}.json"))
+        beside = self._beside({"tables": tables | dict.fromkeys(frames, snapshot)}, p)
+        if fs.exists(p) or not fs.rename(beside, p):
+            fs.delete(beside, False)
+            raise RuntimeError(f"another writer has committed {p.getName()}")
 
     def write_snapshot(self, df: DataFrame, name: str, snapshot: str) -> None:
-        """A table's new snapshot, then the pointer to it: readers see the old or the new one."""
-        df.write.mode("errorifexists").parquet(self.path(name, snapshot))
-        self.write_json({"snapshot": snapshot}, name, "current.json")
+        """A table's new snapshot: readers see the old or the new one."""
+        self.commit({name: df}, snapshot)
 
     def snapshot(self, name: str) -> DataFrame | None:
-        found = self.json(name, "current.json")
-        return self.spark.read.parquet(self.path(name, found["snapshot"])) if found else None
-
-    def promote(self, staging: str, ready: str) -> list[str]:
-        """Move staged files to the ready folder, keeping date and shard; then drop the staging folder."""
-        moved = []
-        for source in self.glob(f"{staging}/dt=*/shard=*/*.parquet"):
-            tail = "/".join(source.split("/")[-3:])
+        found = self.current().get(name)
+        return self.spark.read.parquet(self.path(name, found)) if found else None
+
+    def promote(self, staging: str, ready: str, prefix: str = "") -> list[str]:
+        """Move staged files to the ready folder, keeping date and shard and setting ``prefix`` before their names, some at a
+        time; then drop the staging folder. Files that an earlier try has moved stay where they are."""
+
+        def move(source: str) -> str:
+            *place, name = source.split("/")[-3:]
+            target = self.path(ready, *place, prefix + name)
             fs, p = self._hadoop(source)
-            _, q = self._hadoop(self.path(ready, tail))
+            _, q = self._hadoop(target)
             fs.mkdirs(q.getParent())
             if not fs.rename(p, q):
                 raise OSError(f"could not move {source}")
-            moved.append(self.path(ready, tail))
+            return target
+
+        with ThreadPoolExecutor(MOVERS) as movers:
+            moved = list(movers.map(move, self.glob(f"{staging}/dt=*/shard=*/*.parquet")))
         if self.exists(staging):
             self.delete(staging)
         return moved
@@ -228,6 +277,6 @@ def scan_measurements(spark: SparkSession, path: str, ts: str = "timestamp_dst",
 
 
 def with_partitions(df: DataFrame) -> DataFrame:
-    """Add the date and the shard that rows are stored under."""
-    shards = shard_of(df)
-    return df.join(shards, "meter_number").withColumn("dt", F.date_format("timestamp", "yyyy-MM-dd"))
+    """Add the date and the shard that rows are stored under; rows without a meter have no place and go."""
+    known = df.where("meter_number is not null")
+    return known.withColumns({"shard": shard(F.col("meter_number")), "dt": F.date_format("timestamp", "yyyy-MM-dd")})
