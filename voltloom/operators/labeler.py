@@ -185,29 +185,46 @@ def _normal_cdf(x: np.ndarray) -> np.ndarray:
     return np.interp(x, *_normal_table(), left=0.0, right=1.0)
 
 
+#: Equal parts of probability in which quantiles are tabulated.
+QUANTILES = 1 << 16
+
+
+@lru_cache(maxsize=1)
+def _normal_quantiles() -> np.ndarray:
+    """The normal quantile in the middle of each of ``QUANTILES`` equal parts of probability."""
+    x, cdf = _normal_table()
+    return np.interp((np.arange(QUANTILES) + 0.5) / QUANTILES, cdf, x)
+
+
 def truncated_normal(rng: np.random.Generator, mean: np.ndarray, sd: np.ndarray, low: float, high: float, size: int) -> np.ndarray:
     """``size`` draws between two limits for each pair of parameters, by inverting the tabulated distribution function."""
-    x, cdf = _normal_table()
     sd = np.maximum(sd, 1e-9)
-    first, last = _normal_cdf((low - mean) / sd), _normal_cdf((high - mean) / sd)
-    u = first[:, None] + rng.uniform(size=(len(mean), size)) * (last - first)[:, None]
-    return np.clip(mean[:, None] + sd[:, None] * np.interp(u, cdf, x), low, high)
+    first, last = _normal_cdf((low - mean) / sd) * QUANTILES, _normal_cdf((high - mean) / sd) * QUANTILES
+    place = rng.random((len(mean), size), np.float32) * (last - first)[:, None].astype(np.float32) + first[:, None].astype(np.float32)
+    out = _normal_quantiles()[np.minimum(place.astype(np.int32), QUANTILES - 1)]
+    out *= sd[:, None]
+    out += mean[:, None]
+    return np.clip(out, low, high, out=out)
 
 
 def thermal_prior(load: np.ndarray, hour: np.ndarray, bins: np.ndarray, cold: int, n_bins: int, top: float, steps: int, cfg: LabelConfig, rng: np.random.Generator) -> np.ndarray:
     """Prior of the thermal load (steps, 24, bins) by rejection: of ``draws`` parameter pairs the closest hundredth, at
-    least one, to the observed histogram in Kullback-Leibler distance."""
+    least one, to the observed histogram in Kullback-Leibler distance. Hours and bins without rows stay even: no row asks for
+    them."""
     centre = np.linspace(0, top, steps, endpoint=False)
     out = np.full((steps, 24, n_bins), 1e-6)
     for h in range(24):
         base = load[(hour == h) & (bins == cold)]
         for t in range(n_bins):
-            seen = np.histogram(load[(hour == h) & (bins == t)], steps, (0, top))[0] + 1e-6
+            own = load[(hour == h) & (bins == t)]
+            if not len(own):
+                continue
+            seen = np.histogram(own, steps, (0, top))[0] + 1e-6
             seen /= seen.sum()
             mean, sd = rng.uniform(0, top, cfg.draws), rng.uniform(0, top / 4, cfg.draws)
             total = truncated_normal(rng, mean, sd, 0, top, cfg.samples)
             if len(base):
-                total = total + rng.choice(base, total.shape)
+                total += base[rng.integers(0, len(base), total.shape, np.uint32)]
             place = np.minimum((total / top * steps).astype(int), steps - 1) + np.arange(cfg.draws)[:, None] * steps
             guess = np.bincount(place[total <= top], minlength=cfg.draws * steps).reshape(cfg.draws, steps) + 1e-6
             guess /= guess.sum(1, keepdims=True)
