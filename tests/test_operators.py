@@ -375,3 +375,128 @@ def test_thermal_labels_run_with_the_operators_defaults(monkeypatch):
     monkeypatch.setattr(queries.labeler, "label_heat_pumps", lambda hourly, cfg: cfg)
     cfg = queries.QUERIES["thermal_labels"](None, "")
     assert (cfg.max_bins, cfg.draws, cfg.samples) == (12, 100, 1000) and cfg == labeler.LabelConfig()
+
+
+def test_conflicting_assets_are_refused(spark):
+    same = [("LvFeeder.1", "Cabinet.1", "LvCable.1", "LvFeeder.1"), ("LvFeeder.1", "Cabinet.2", "LvCable.2", "LvFeeder.1")]
+    meters = [{"meter_number": 1, "delivery_point_id": 7, "cabinet": c, "lv_feeder": "LvFeeder.1"} for c in ("Cabinet.1", None)]
+    t, m = flat(spark, same, meters)
+    assert values(topology.assets(t, m)["delivery_point"], "id", "cabinet_id") == [(7, 1)]  # a row that leaves it out agrees
+    t, m = flat(spark, same, [meters[0], meters[0] | {"cabinet": "Cabinet.2"}])
+    with pytest.raises(Exception, match="different values of cabinet_id for id 7"):
+        topology.assets(t, m)["delivery_point"].collect()
+    t = t.withColumn("transformer", F.concat(F.lit("Transformer."), F.col("cable_id").substr(9, 9)))
+    with pytest.raises(Exception, match="different values of transformer_id for id 1"):
+        topology.assets(t, m)["feeder"].collect()
+
+
+def test_fill_in_one_pass_against_loops(spark):
+    rng = np.random.default_rng(3)
+    pick = lambda xs: xs[int(rng.integers(0, len(xs)))]
+    rows = [(pick(["a", "b", "c", None]), pick(["AL", "CU", "junk", None]), pick([1.0, 2.0, 4.0, None]), i) for i in range(60)] + [("d", None, None, 60), ("e", "junk", None, 61)]
+    out = {r.i: (r.m, r.x) for r in clean.fill(spark.createDataFrame(rows, "g string, m string, x double, i int"), ["x"], {"m": ("CU", "AL")}, "g").collect()}
+
+    def mode(xs):
+        return max(("CU", "AL"), key=lambda v: (xs.count(v), v == "CU")) if xs else None
+
+    domain = [(g, m if m in ("CU", "AL") else None, x, i) for g, m, x, i in rows]
+    per = {g: (mode([m for h, m, _, _ in domain if h == g and m]), [x for h, _, x, _ in domain if h == g and x is not None]) for g in "abcde"}
+    first = [(g, m or (per[g][0] if g else None), x, i) for g, m, x, i in domain]
+    every = mode([m for _, m, _, _ in first if m]), float(round(np.mean([x for _, _, x, _ in rows if x is not None])))
+    for g, m, x, i in first:
+        mean = float(round(np.mean(per[g][1]))) if g and per[g][1] else every[1]
+        assert out[i] == (m or every[0], mean if x is None else x)
+    assert clean.fill(spark.createDataFrame([], "g string, m string, x double"), ["x"], {"m": ("CU",)}, "g").count() == 0
+
+
+def test_shard_column(spark):
+    df = spark.createDataFrame([("100025",), ("17",), (None,), ("42",), ("17",)], "meter_number string")
+    assert values(df.select("meter_number", scalar.shard(F.col("meter_number")).alias("s")), "meter_number", "s") == [("100025", 1), ("17", 2), (None, None), ("42", 2), ("17", 2)]
+
+
+def test_characterisation(spark):
+    ids = spark.createDataFrame([(10,), (11,)], "meter_id long")
+    chains = spark.createDataFrame([(10, 1, 2, 5, 6, 3), (10, 1, 2, 5, 8, 2), (10, 1, 2, 7, 9, 4)], "meter_id long, secondary_substation_id long, transformer_id long, feeder_id long, cabinet_id long, depth int")
+    inventory = spark.createDataFrame([(10, 96)], "meter_id long, total_rows long")
+    records = spark.createDataFrame([(10, True)], "meter_id long, has_heat_pump boolean")
+    out = graph.characterisation(ids, chains, inventory, records).orderBy("meter_id").collect()
+    assert (out[0].feeder_id, out[0].cabinet_id, out[0].transformer_id, out[0].secondary_substation_id) == (5, 8, 2, 1)
+    assert (out[0].additional_feeder_ids, out[0].additional_cabinet_ids) == ([5, 7], [6, 9])
+    assert (out[0].total_rows, out[0].has_heat_pump, out[1].feeder_id, out[1].total_rows) == (96, True, None, None)
+
+
+def test_id_lists(spark):
+    inv = spark.createDataFrame([("b", 2), ("a", 1), ("c", 0)], "meter_number string, total_rows long")
+    assert values(meta.with_rows(inv), "meter_number") == ["a", "b"]
+    assert values(graph.with_data(inv, spark.createDataFrame([("a",), ("c",), ("a",)], "meter_number string")), "meter_number") == ["a"]
+    subs = spark.createDataFrame([(1, "2600"), (2, "2800"), (3, None)], "id long, zip_code string")
+    assert sorted(values(graph.zip_codes(subs, spark.createDataFrame([(1,), (3,), (9,)], "id long")), "id", "zip_code")) == [(1, "2600"), (3, None)]
+    picked = values(explorer.sample_ids(inv, 2, 7), "meter_number")
+    assert len(set(picked)) == 2 and picked == values(explorer.sample_ids(inv, 2, 7), "meter_number")
+    assert sorted(values(explorer.sample_ids(inv, 9, 7), "meter_number")) == ["a", "b", "c"]
+    loaded, new = spark.createDataFrame([("a", 1)], "meter_number string, label int"), spark.createDataFrame([("a", 2), ("b", 3)], "meter_number string, label int")
+    assert sorted(values(meta.merge_labels(loaded, new), "meter_number", "label")) == [("a", 1), ("b", 3)]
+
+
+def test_phase_mappings_are_upserted(spark):
+    columns = "meter_id long, sm_phase string, feeder_id long, feeder_phase string, transformer_id long, transformer_phase string"
+    table = spark.createDataFrame([(1, "L1", 5, "L1", 9, "L1"), (2, "L2", 5, "L2", 9, "L2")], columns)
+    batch = spark.createDataFrame([("1", "l1", "6", "l2", None, None, 1), ("1.0", "L1", "7", "l3", "9", "l3", 2), ("3", "l3", "5", "nan", None, None, 3)], columns.replace("long", "string") + ", i int")
+    assert sorted(values(meta.upsert_phase_mappings(table, batch, "i"), "meter_id", "sm_phase", "feeder_id", "feeder_phase")) == [(1, "L1", 7, "L3"), (2, "L2", 5, "L2"), (3, "L3", 5, None)]
+
+
+def test_batches(spark):
+    files = spark.createDataFrame([("f", "b1", "staged"), ("g", "b2", "staged"), ("h", "b1", "ready")], "path string, batch_id string, status string")
+    batches = spark.createDataFrame([("b1", "in_progress", None), ("b2", "in_progress", None)], "batch_id string, status string, error_log string")
+    moved, done = meta.promote_batch(files, batches, "b1")
+    assert values(moved.orderBy("path"), "status") == ["ready", "staged", "ready"] and values(done.orderBy("batch_id"), "status") == ["processed", "in_progress"]
+    assert values(meta.set_batch_status(batches, "b2", "failed", error_log="x").orderBy("batch_id"), "status", "error_log") == [("in_progress", None), ("failed", "x")]
+
+
+def test_classifier_views(spark):
+    q = {v: {"summary": "Good" if v == "v" else "Bad", "null_frac": 0.25} for v in ("v", "p14", "p23", "q12", "q34")}
+    s = {v: {"min": 1.0, "max": 3.0, "mean": 2.0, "std": 0.5} for v in q}
+    one, many = "struct<summary:string,null_frac:double>", "struct<min:double,max:double,mean:double,std:double>"
+    kinds = [", ".join(f"{v}: {k}" for v in q) for k in (one, many)]
+    schema = f"meter_number string, phases map<string, struct<quality: struct<{kinds[0]}>, statistics: struct<{kinds[1]}>>>, connected_phases array<string>, connection_errors array<string>, switching_phases array<string>"
+    df = spark.createDataFrame([("m", {"l1": {"quality": q, "statistics": s}}, ["L1", "L2"], [], None)], schema)
+    flat_ = explorer.flat_quality(df)
+    assert sorted(values(flat_, "phase", "variable", "summary", "null_frac"))[-1] == ("l1", "V", "Good", 0.25) and flat_.count() == 5
+    assert sorted(values(explorer.summary_counts(flat_), "variable", "summary", "n"))[0] == ("P14", "Bad", 1)
+    assert values(explorer.flat_statistics(df).where("variable = 'Q34'"), "min", "max", "mean", "std") == [(1.0, 3.0, 2.0, 0.5)]
+    assert values(explorer.flat_connectivity(df), "connected_phases", "connection_errors", "switching_phases") == [("L1, L2", "", None)]
+
+
+def test_snapshot_preview(spark):
+    t = [dt.datetime(2024, 1, d) for d in (1, 2, 2)]
+    df = spark.createDataFrame([("b", t[0]), ("d", t[1]), ("c", t[2])], "meter_number string, updated_at timestamp")
+    assert values(explorer.snapshot_preview(df, limit=2), "meter_number") == ["c", "d"]
+
+
+def test_draws_follow_the_truncated_normal():
+    rng = np.random.default_rng(5)
+    mean, sd = np.array([500.0, 0.0, 2000.0]), np.array([200.0, 300.0, 100.0])
+    got = labeler.truncated_normal(rng, mean, sd, 0, 1000, 40_000)
+    assert got.min() >= 0 and got.max() <= 1000
+    for m, s, x in zip(mean, sd, got, strict=True):
+        cdf = lambda v: 0.5 * (1 + math.erf((v - m) / s / math.sqrt(2)))  # noqa: B023, E731
+        for v in (100, 300, 500, 800, 990):
+            if cdf(1000) - cdf(0) > 1e-6:
+                assert (x <= v).mean() == pytest.approx((cdf(v) - cdf(0)) / (cdf(1000) - cdf(0)), abs=0.02)
+
+
+def test_posterior_against_loops():
+    rng = np.random.default_rng(6)
+    n, steps, top, n_bins = 400, 5, 500.0, 2
+    load, hour, bins = rng.uniform(0, 499, n), rng.integers(0, 24, n), rng.integers(0, n_bins, n)
+    prior = rng.uniform(size=(steps, 24, n_bins))
+    prior /= prior.sum(0)
+    got = labeler.thermal_posterior(prior, load, hour, bins, 1, top, steps)
+    for h in range(24):
+        base = [sum(1 for x, k, b in zip(load, hour, bins, strict=True) if k == h and b == 1 and s * 100 <= x < (s + 1) * 100) for s in range(steps)]
+        for t in range(n_bins):
+            for seen in range(steps):
+                joint = [base[min(max(seen - thermal, 0), steps - 1)] * prior[thermal, h, t] for thermal in range(steps)]
+                total = sum(joint)
+                want = [(j / total if total else 0.0) + 1e-6 for j in joint]
+                assert got[:, seen, h, t] == pytest.approx(np.array(want) / sum(want))
