@@ -2,63 +2,12 @@
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_written: list[tuple[SparkSession, str]] = []
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share (``spark.checkpoint.dir``).
-
-    Only where the setting is absent, as in tests on one machine, a temporary folder takes its place.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        if not getattr(spark, "_voltloom_dir", None):
-            spark._voltloom_dir = "file://" + tempfile.mkdtemp(prefix="voltloom-")
-        found = spark._voltloom_dir
-    return found.rstrip("/")
-
-
-def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back.
-
-    This cuts the lineage: a lost executor costs a re-read, never a recomputation of what came before, and every
-    later reader sees the same rows. The table goes when the driver ends or :func:`discard` is called.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/voltloom-{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    _written.append((spark, path))
-    out = spark.read.schema(df.schema).parquet(path)
-    out._voltloom_path = path
-    return out
-
-
-def discard(*frames: DataFrame) -> None:
-    """Delete tables of :func:`materialise` that nothing reads any more."""
-    for df in frames:
-        _delete(df.sparkSession, df._voltloom_path)
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-
+from ..sources.scratch import discard, materialise
 
-@atexit.register
-def _clean() -> None:
-    for spark, path in _written:
-        try:
-            _delete(spark, path)
-        except Exception:  # noqa: BLE001  the session may be gone already; the folder's owner then cleans up
-            return
+__all__ = ["blocks_for", "discard", "materialise", "utf8_bytes"]
 
 
 def utf8_bytes(text: Column) -> Column:

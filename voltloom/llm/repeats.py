@@ -40,7 +40,7 @@ WINDOW, GRAM = 400, 64
 #: Distinct segments of one anchor that are sorted together, and windows of a stretch where there are more.
 GROUP, SPLIT = 256, 16
 #: Bytes of text that one numpy pass takes, and bytes of segments sorted together (a larger group goes alone).
-PASS, SORT = 1 << 20, 1 << 20
+PASS, SORT = 1 << 19, 1 << 19
 
 #: Passages: runs of repeated strings of PASSAGE bytes (with anchors of PASSAGE_GRAM) that hold more than LEAST[0] words or have
 #: LEAST[1] bytes or more. One of over fifty words is found if its words have three letters or more on average.
