@@ -134,8 +134,7 @@ def plain_classes(texts, similar=0.8, damp=0.1):
 
     every = [words(t) for t in texts]
     seen = Counter(s for c in every for s in c)
-    n = max(2, len(texts))
-    weigh = {s: 1 + damp * np.log1p(n / k) / np.log1p(n) for s, k in seen.items()}
+    weigh = {s: 1 + damp * min(1, np.log1p(len(texts) / k) / np.log1p(512)) for s, k in seen.items()}
     bags = [{s: k * weigh[s] for s, k in c.items()} for c in every]
     have = defaultdict(list)
     for i, b in enumerate(bags):

@@ -1,7 +1,7 @@
 """Near duplicates by improved consistent weighted sampling over TF-IDF shingles.
 
 1. One pass counts in how many documents shingles occur, in ``BUCKETS`` hashed counters, whose size doesn't depend on
-   the corpus. Each of several equal texts counts.
+   the corpus; a weight depends on the share of documents. Each of several equal texts counts.
 2. A second pass draws ``BANDS * ROWS`` weighted samples of each text: for each sample the shingle with the smallest
    ``ln a = ln c - r (t - beta) - r`` with ``t = floor(ln w / r + beta)``, where r and c follow Gamma(2, 1) and beta is
    uniform, all drawn from the shingle's hash. Two texts agree on a sample with the probability of their weighted
@@ -36,9 +36,10 @@ WORDS, SIMILAR = 5, 0.8
 ROWS, BANDS = 3, 12
 #: Hashed document counters, and the counters of one row when tasks' counts are added up.
 BUCKETS, STRIPE = 1 << 18, 1 << 12
-#: Weight of a shingle: its count times 1 + IDF * log(1 + documents / frequency) / log(1 + documents). The factor is
-#: small, so that in a large class of near copies the common text is not outweighed by the few words that differ.
-IDF = 0.1
+#: Weight of a shingle: its count times 1 + IDF * log(1 + documents / frequency) / log(1 + RARE), at most 1 + IDF. The factor is
+#: small, so that in a large class of near copies the common text is not outweighed by the few words that differ. Counters
+#: hold about 500 shingles of each document at every size of the corpus, so shares of documents under one of 500 all look alike.
+IDF, RARE = 0.1, 512
 #: Share of equal samples from which a pair is verified: 4.5 standard deviations below the threshold.
 HOPE = 0.5
 #: Texts of a bucket that are compared with each other at once.
@@ -76,9 +77,9 @@ def weights(h: np.ndarray, count: np.ndarray, idf: np.ndarray) -> np.ndarray:
 
 
 def idf_table(frequency: np.ndarray, documents: int) -> np.ndarray:
-    """Inverse document frequency of each hashed counter, damped to 1 to 1 + IDF."""
-    n = max(2, documents)
-    return (1 + IDF * np.log1p(n / np.maximum(frequency, 1)) / np.log1p(n)).astype(np.float32)
+    """Inverse document frequency of each hashed counter, damped to 1 to 1 + IDF; it depends on shares of documents only."""
+    share = np.maximum(frequency, 1) / max(1, documents)
+    return (1 + IDF * np.minimum(1, np.log1p(1 / share) / np.log1p(RARE))).astype(np.float32)
 
 
 def sketch(text: np.ndarray, h: np.ndarray, w: np.ndarray, n_texts: int) -> np.ndarray:
