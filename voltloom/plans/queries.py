@@ -2,33 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalar
 from ..operators import clean, explorer, graph, labeler, levels, mapping, meta, phasemap, quality, resample, upsert
 from ..operators import topology as topo
+from ..schemas import METER_CABINET
 from .frames import GRID_SQL, PHASE_OF, PHASE_SQL, POWER_SQL, events, meter_rows, phase_events, power, table, topology
-
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    def add(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
-def _time(c: str = "timestamp"):
-    return F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c)
+from .registry import QUERIES, SQL, query
+from .registry import time_text as _time
 
 
 def _r(c: str, digits: int = 6):
@@ -513,7 +496,8 @@ def edge_cables(spark: SparkSession, d: str) -> DataFrame:
     li = table(spark, d, "lineitem")
     text = lambda prefix, c: F.concat(F.lit(prefix + "."), F.col(c).cast("string"))
     rows = li.select(text("LvFeeder", "l_suppkey").alias("node1"), text("Cabinet", "l_partkey").alias("node2"), text("LvCable", "l_orderkey").alias("cable_id"))
-    edges = topo.grouped_edges(rows, meter_rows(spark, d).limit(0)).withColumn("id", F.struct("n1_code", "n2_code"))
+    no_meters = spark.createDataFrame([], METER_CABINET)  # their edges have no cables
+    edges = topo.grouped_edges(rows, no_meters).withColumn("id", F.struct("n1_code", "n2_code"))
     return topo.edge_cables(edges).select("edge_id.n1_code", "edge_id.n2_code", "code", "cable_id", F.col("seq_no").cast("int").alias("seq_no"))
 
 
@@ -902,3 +886,6 @@ def slope_pivot(spark: SparkSession, d: str) -> DataFrame:
 @query("select event_id, cast(regexp_extract(props, '-?[0-9]+') as double) as number, split_part(event_type || '_x', '_', 1) as feature from events")
 def scalar_parsing(spark: SparkSession, d: str) -> DataFrame:
     return events(spark, d).select("event_id", scalar.first_number(F.col("props")).alias("number"), scalar.feature_name(F.concat("event_type", F.lit("_x"))).alias("feature"))
+
+
+from . import stored  # noqa: E402, F401  registers the queries over files and states
