@@ -211,6 +211,7 @@ def test_estimates_stay_within_their_errors():
         asked = vectors.Asked(q, turn)
         ones = np.bitwise_count(words).sum(1, dtype=np.float32)
         got, wide = asked.estimate(slice(0, 70), words, ones, scale, error)
+        q /= np.sqrt((q * q).sum(1))[:, None]
         off = np.abs(got - q @ vec.T) / wide
         assert (off > 1).mean() < 0.01 and (off > 1 / vectors.SIGMAS).mean() > 0.1
         # the bits say the same as signs multiplied out
@@ -218,6 +219,17 @@ def test_estimates_stay_within_their_errors():
         assert got == pytest.approx((q @ turn @ signs.T) * scale, abs=float(5 * (asked.rounding[:, None] * scale).max()))
 
 
+def test_very_large_and_small_vectors(spark):
+    rng = np.random.default_rng(36)
+    base = rng.normal(size=(200, 16))
+    for size in (1e-140, 1e-30, 1e30, 1e150):
+        data = [(i, (v * size).tolist()) for i, v in enumerate(base)]
+        got = vectors.search(spark.createDataFrame(data, "vec_id long, embedding array<double>"), k=5).collect()
+        score = base @ base.T
+        want = {(i, j) for i in range(0, 200, 20) for j in sorted(range(200), key=lambda j: (-score[i, j], j) if j != i else (9e9, 0))[:5]}  # noqa: B023
+        assert len({(r.query_id, r.vec_id) for r in got} & want) >= 0.98 * len(want)
+
+
 def test_pivots_and_pruning(spark, monkeypatch):
     df = spark.read.parquet(f"{SMALL}/embeddings.parquet")
     rows = df.selectExpr("vec_id rid", "transform(embedding, x -> cast(floor(64 * cast(x as double)) as double)) vec").where("embedding is not null")

@@ -122,11 +122,13 @@ def encode(vec: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     the signs' words, |o| / <x, u'> / sqrt(d), and |o| times that factor of the error.
     """
     d = vec.shape[1]
+    largest = np.abs(vec).max(1)  # squares of very large or small components would leave the range of numbers
+    vec = vec / largest[:, None]
     norm = np.sqrt((vec * vec).sum(1))
     turned = vec @ turn
     inner = np.abs(turned).sum(1) / norm / np.sqrt(d)
     error = norm * np.sqrt(np.maximum(1 - inner**2, 0) / inner**2 / max(1, d - 1))
-    return _words(turned > 0), norm / inner / np.sqrt(d), error
+    return _words(turned > 0), largest * norm / inner / np.sqrt(d), largest * error
 
 
 def _words(bits: np.ndarray) -> np.ndarray:
@@ -138,21 +140,25 @@ def _words(bits: np.ndarray) -> np.ndarray:
 
 
 class Asked:
-    """Queries rounded to ``PLANES`` bits a component after rotation, as bit planes that meet codes by and-ing and counting bits."""
+    """Queries of unit length, rounded to ``PLANES`` bits a component after rotation, as bit planes that meet codes by and-ing and
+    counting bits."""
 
     def __init__(self, q: np.ndarray, turn: np.ndarray):
-        turned = q @ turn
+        largest = np.abs(q).max(1)
+        q = q / largest[:, None]
+        norm = np.sqrt((q * q).sum(1))
+        self.length = largest * norm
+        turned = q @ turn / norm[:, None]
         self.low, high = turned.min(1), turned.max(1)
         self.step = np.where(high > self.low, (high - self.low) / ((1 << PLANES) - 1), 1.0)
         level = np.rint((turned - self.low[:, None]) / self.step[:, None]).astype(np.uint8)
         self.planes = np.stack([_words((level >> i & 1).astype(bool)) for i in range(PLANES)])
         self.total = turned.sum(1)
-        self.length = np.sqrt((q * q).sum(1))
         #: One standard deviation of what rounding adds, before a code's scale: components are off by up to half a step.
         self.rounding = self.step * np.sqrt(q.shape[1] / 12)
 
     def estimate(self, part: slice, words: np.ndarray, ones: np.ndarray, scale: np.ndarray, error: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Inner products of some queries with all codes, and ``SIGMAS`` deviations of their errors."""
+        """Inner products of some queries, at unit length, with all codes, and ``SIGMAS`` deviations of their errors."""
         dot = np.zeros((part.stop - part.start, len(words)), np.float32)
         for i in range(PLANES):
             for w in range(words.shape[1]):
@@ -162,8 +168,8 @@ class Asked:
         dot += 2 * low * ones
         dot -= total
         dot *= scale
-        wide = self.length[part, None].astype(np.float32) * error + self.rounding[part, None].astype(np.float32) * scale
-        return dot, np.float32(SIGMAS) * wide + np.float32(1e-6)
+        wide = error + self.rounding[part, None].astype(np.float32) * scale
+        return dot, np.float32(SIGMAS) * wide + np.float32(1e-5) * scale
 
 
 def search(df: DataFrame, k: int = 20, every: int = 20, vector: str = "embedding", id_col: str = "vec_id") -> DataFrame:
@@ -201,7 +207,7 @@ def _coded(blocks: DataFrame, kind: str) -> DataFrame:
             for row in b.itertuples():
                 _, _, vec = _unpacked(row, kind)
                 words, scale, error = encode(vec, rotation(vec.shape[1]))
-                out.append((words.tobytes(), scale.astype("<f4").tobytes(), error.astype("<f4").tobytes()))
+                out.append((words.tobytes(), scale.astype("<f8").tobytes(), error.astype("<f8").tobytes()))
             yield b.assign(bits=[x[0] for x in out], scale=[x[1] for x in out], error=[x[2] for x in out])
 
     return blocks.mapInPandas(run, f"{_PACKED}, bits binary, scale binary, error binary")
@@ -256,7 +262,9 @@ def _estimate(k: int, kind: str):
 
 def _rerank(best: Best, q_rid: np.ndarray, q: np.ndarray, asked: Asked, row, k: int, kind: str) -> None:
     rid, ids, vec = _unpacked(row, kind)
-    scale, error = np.frombuffer(row.scale, "<f4"), np.frombuffer(row.error, "<f4")
+    scale, error = np.frombuffer(row.scale, "<f8"), np.frombuffer(row.error, "<f8")
+    unit = float(scale.max())
+    scale, error = (scale / unit).astype(np.float32), (error / unit).astype(np.float32)
     words = np.frombuffer(row.bits, "<u8").reshape(row.n, -1)
     ones = np.bitwise_count(words).sum(1, dtype=np.float32)
     first = min(row.n, 2 * k)
@@ -265,12 +273,13 @@ def _rerank(best: Best, q_rid: np.ndarray, q: np.ndarray, asked: Asked, row, k:
         top = np.argpartition(guess, row.n - first, axis=1)[:, row.n - first :]
         wide += guess  # the upper bound
         for j, i in enumerate(range(at, min(at + 64, len(q)))):
+            size = float(asked.length[i]) * unit  # of what stands at 1 in the estimates
+            bound = lambda: best.score[i, k - 1] / size if best.n[i] == k and 0 < size < np.inf else np.finfo(np.float32).min  # noqa: B023, E731
             near = top[j][rid[top[j]] != q_rid[i]]
-            if best.n[i] < k or wide[j, near].max(initial=-np.inf) >= best.score[i, k - 1]:
+            if wide[j, near].max(initial=-np.inf) >= bound():
                 best.add(i, vec[near] @ q[i], ids[near], rid[near])
                 wide[j, near] = -np.inf
-            least = best.score[i, k - 1] if best.n[i] == k else np.finfo(float).min
-            near = np.flatnonzero(wide[j] >= least)
+            near = np.flatnonzero(wide[j] >= bound())
             near = near[rid[near] != q_rid[i]]
             if len(near):
                 best.add(i, vec[near] @ q[i], ids[near], rid[near])
