@@ -436,6 +436,20 @@ def test_chunks(text, n):
     assert worth(m, got) == worth(m, m.solved(s))
 
 
+def test_matrices_of_space_free_chunks(unigram):
+    m = pieces.lattice(unigram[1])
+    rng = np.random.default_rng(37)
+    letters = "abcdefghijklmnopqrstuvwxyzé日"
+    for n in (1, 3, m.states, 90):
+        for over in (0, 2, m.longest - 1):
+            s = "".join(rng.choice(list(letters), n + over))
+            want = np.full((m.states, m.states), pieces.LEAST)
+            for i in range(min(m.states, n + 1)):
+                best = m.forward(s, i, n)[0][n - i :][: m.states]
+                want[i, : len(best)] = best
+            assert np.array_equal(m.transfer(s, n), want)
+
+
 def test_max_plus_products_are_associative():
     rng = np.random.default_rng(11)
     a, b, c = (rng.integers(-9, 9, (4, 4)).astype(float) for _ in range(3))

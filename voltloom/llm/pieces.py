@@ -185,7 +185,6 @@ class Lattice:
     def transfer(self, s: str, n: int) -> np.ndarray:
         """Matrix of a chunk of ``n`` characters; ``s`` goes on into the next chunk by ``longest - 1`` characters."""
         k = self.states
-        out = np.full((k, k), LEAST)
         cuts = self._cuts(s, n)
         if cuts:
             first, last = cuts
@@ -194,10 +193,28 @@ class Lattice:
             best = self.forward(s, last, n)[0]
             leave[: len(best) - (n - last)] = best[n - last :][:k]
             return enter[:, None] + self.worth(s[first:last]) + leave[None, :]
-        for i in range(min(k, n + 1)):
-            best = self.forward(s, i, n)[0][n - i :][:k]
-            out[i, : len(best)] = best
-        return out
+        return self._from_all(s, n)
+
+    def _from_all(self, s: str, n: int) -> np.ndarray:
+        """The matrix by one pass, in which every place holds the best scores from all entry states."""
+        k = self.states
+        until = min(len(s), n + k - 1)
+        best = np.full((n + k, k), LEAST)
+        entries = np.arange(min(k, n + 1))
+        best[entries, entries] = 0.0
+        for i in range(n):
+            here, node, single = best[i], self.root, False
+            for to in range(i, until):
+                step = node.get(s[to])
+                if step is None:
+                    break
+                node, score = step
+                if score is not None:
+                    single |= to == i
+                    np.maximum(best[to + 1], here + score, out=best[to + 1])
+            if not single:
+                np.maximum(best[i + 1], here + self.unknown, out=best[i + 1])
+        return best[n:].T.copy()
 
     def between(self, s: str, n: int, enter: int, leave: int) -> bytes:
         """Packed ids of the pieces that begin in a chunk, given its boundary states."""
