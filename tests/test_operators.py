@@ -425,6 +425,15 @@ def test_characterisation(spark):
     assert (out[0].total_rows, out[0].has_heat_pump, out[1].feeder_id, out[1].total_rows) == (96, True, None, None)
 
 
+def test_nested_mapping(spark):
+    import json
+
+    rows = [("2600", "1", "2", "3", "4", "10"), ("2600", "1", "2", "3", "4", "11"), ("2600", "1", "2", "3", "5", "12"), ("2800", "9", "8", "7", "6", "13")]
+    long = spark.createDataFrame(rows, "zip_code string, secondary_substation string, transformer string, lv_feeder string, cabinet string, meter_number string")
+    got = {r.zip_code: json.loads(r.mapping) for r in mapping.nested_json(long).collect()}
+    assert got == {"2600": {"1": {"2": {"3": {"4": ["10", "11"], "5": ["12"]}}}}, "2800": {"9": {"8": {"7": {"6": ["13"]}}}}}
+
+
 def test_id_lists(spark):
     inv = spark.createDataFrame([("b", 2), ("a", 1), ("c", 0)], "meter_number string, total_rows long")
     assert values(meta.with_rows(inv), "meter_number") == ["a", "b"]

@@ -115,8 +115,12 @@ def topology_chain(meter_ids: DataFrame, graph: dict[str, DataFrame], assets: di
     start = meter_ids.join(assets["meter"].select(F.col("id").alias("meter_id"), "delivery_point_id"), "meter_id")
     points = nodes.where("node_type = 'DeliveryPoint'").select(F.col("node").alias("seed"), "delivery_point_id")
     start = start.join(points, "delivery_point_id")
-    paths = simple_paths(symmetric(graph["edge"]), start.select("seed").distinct())
-    ends = paths.join(nodes.where("node_type = 'LvFeeder'").select("node", "feeder_id"), "node")
+    feeders = nodes.where("node_type = 'LvFeeder'").select("node", "feeder_id")
+    edges = symmetric(graph["edge"])
+    # no path to a feeder leads through a node with one neighbour, such as other delivery points
+    through = edges.groupBy(F.col("src").alias("dst")).agg(F.count("*").alias("n")).where("n > 1").select("dst").union(feeders.select("node"))
+    paths = simple_paths(edges.join(through.distinct(), "dst", "left_semi").select("src", "dst"), start.select("seed").distinct())
+    ends = paths.join(feeders, "node")
     steps = ends.select("seed", "feeder_id", "path", "depth", F.posexplode("path").alias("pos", "step")).where("pos > 0")
     steps = steps.join(nodes.where("node_type = 'Cabinet'").select(F.col("node").alias("step"), "cabinet_id"), "step")
     first = steps.groupBy("seed", "path").agg(F.min_by("cabinet_id", "pos").alias("cabinet_id"))
