@@ -137,13 +137,14 @@ def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total, n = np.zeros(BUCKETS, np.int64), 0
         for b in batches:
-            t = _strings(b["text"])
-            n += len(t)
+            n += len(b)
+            found = b["text"].value_counts(sort=False)  # copies in a batch are read once
+            t, copies = found.index.tolist(), found.to_numpy()
             for at, to in _passes(t):
                 text, h, _ = shingles(t[at:to], WORDS)
                 bucket = (h & np.uint64(BUCKETS - 1)).astype(np.int64)
                 seen = np.unique(text * BUCKETS + bucket)  # a document counts once for a counter
-                total += np.bincount(seen % BUCKETS, minlength=BUCKETS)
+                total += np.bincount(seen % BUCKETS, copies[at + seen // BUCKETS], BUCKETS).astype(np.int64)
         part = TaskContext.get().partitionId()
         if n:
             rows = total.reshape(-1, STRIPE)
@@ -167,6 +168,7 @@ def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
 def _sketches(texts: DataFrame, idf: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
+            b = b.sort_values("doc", kind="stable").drop_duplicates("tid")  # one of a batch's copies
             t, ids, docs = _strings(b["text"]), b["tid"].to_numpy(), b["doc"].to_numpy()
             for at, to in _passes(t):
                 text, h, count = shingles(t[at:to], WORDS)
