@@ -262,3 +262,30 @@ def test_pivots_and_pruning(spark, monkeypatch):
         near = sorted((-x, j) for j, x in zip(ids.tolist(), s.tolist(), strict=True) if j != i)[:20]
         want += [(int(i), r, j, -x) for r, (x, j) in enumerate(near, 1)]
     assert got == sorted(want)
+
+
+# --- sharding ---------------------------------------------------------------------------------------------------------------
+
+
+def test_few_edges_are_cut(spark, docs):
+    """Edges between equal texts that shards cut, against plain counting and dealing at random; sizes against their mean."""
+    from voltloom.llm import sharding
+
+    rng = np.random.default_rng(38)
+    texts = prose(rng, 400, 50)
+    for i in range(60):
+        texts += [texts[i]] * int(rng.integers(1, 6))
+    rows = list(enumerate(texts))
+    got = {r.doc_id: (r.shard, r.size) for r in sharding.shard(docs(rows).repartition(3), 8).collect()}
+    same = defaultdict(list)
+    for i, t in rows:
+        same[t].append(i)
+    edges = [(a, b) for m in same.values() for a in m for b in m if a < b]
+    dealt = rng.integers(0, 8, len(rows))
+    cut, at_random = sum(got[a][0] != got[b][0] for a, b in edges), sum(dealt[a] != dealt[b] for a, b in edges)
+    assert at_random > 0.8 * len(edges) and cut < 0.1 * len(edges)
+    load = Counter()
+    for shard, size in got.values():
+        load[shard] += size
+    mean = sum(load.values()) / 8
+    assert max(abs(x - mean) for x in load.values()) < 0.05 * mean
