@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .html_text import extract
+from .merkle import manifest
 from .neardup import near_duplicates
 from .packing import pack
 from .pieces import encode
@@ -73,8 +74,14 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold(F.col("doc_id")) == 1).alias("held_out"), "score", "predicted")
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    return manifest(docs, found=F.when(tampered, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sharding, op2_token_counts, op3_packing, op4_html_extraction, op5_suffix_dedup, op6_one_bit_codes, op7_voronoi_knn, op8_near_duplicates, op9_sentencepiece, op10_quality)}
+    return {f.__name__: f for f in (op1_sharding, op2_token_counts, op3_packing, op4_html_extraction, op5_suffix_dedup, op6_one_bit_codes, op7_voronoi_knn, op8_near_duplicates, op9_sentencepiece, op10_quality, op13_merkle)}
 
 
 OP7_SQL = """
@@ -92,5 +99,38 @@ select query_id, cast(rank as integer) as rank, vec_id, score from r where rank
 """
 
 
+def _merkle_sql(levels: int = 30) -> str:
+    """Levels of all trees one after the other: groups of one node stay as they are; 3 ** 30 leaves have 30 levels."""
+    field = lambda c: f"coalesce(strlen(cast({c} as varchar)) || ':' || cast({c} as varchar), '-')"
+    fields = lambda t: " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars", t))
+
+    def tree(name: str, group: str) -> str:
+        # {name}0 has {group}, q (number in the group) and h; path {name}p has {group}, q and the lists l and r of siblings by level
+        w = f"(partition by {group}, q // 3 order by q)"
+        out = f"{name}p0 as (select {group}, q, q as at, cast([] as varchar[]) as l, cast([] as varchar[]) as r from {name}0)"
+        for k in range(levels):
+            here = f"{name}{k}"
+            out += f""", {here}s as materialized (select *, count(*) over (partition by {group}) as m, concat(lag(h, 2) over {w}, lag(h, 1) over {w}) as left_, concat(lead(h, 1) over {w}, lead(h, 2) over {w}) as right_ from {here}),
+{name}{k + 1} as materialized (select {group}, q // 3 as q, case when any_value(m) = 1 then any_value(h) else sha256(string_agg(h, '' order by q)) end as h from {here}s group by {group}, q // 3),
+{name}p{k + 1} as materialized (select p.{group}, p.q, p.at // 3 as at, case when m = 1 then l else list_append(l, left_) end as l, case when m = 1 then r else list_append(r, right_) end as r
+  from {name}p{k} p join {here}s s on p.{group} is not distinct from s.{group} and p.at = s.q)"""
+        return out
+
+    return f"""
+with tbl as (select list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)), lambda c, i: case when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end)) as t),
+crc as (select doc_id, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(cast(doc_id as varchar), ''), lambda x: ascii(x))), lambda c, x: xor(c // 256, t[xor(c % 256, x) + 1])), 4294967295) as c
+  from (select distinct doc_id from documents where doc_id is not null), tbl),
+docs as (select d.*, case when c % 2 = 0 then replace(text, chr(10), '') else text end as found from documents d left join crc using (doc_id)),
+leaves as materialized (select doc_id, source, sha256({fields("text")}) as leaf, sha256({fields("found")}) as other from docs),
+a as materialized (select *, row_number() over (partition by source order by doc_id nulls first, leaf, other) - 1 as q from leaves),
+a0 as (select source, q, leaf as h from a), {tree("a", "source")},
+b0 as (select 0 as one, source, row_number() over (order by source nulls first) - 1 as q, h as subroot, h from a{levels}), {tree("b", "one")},
+paths as (select a.doc_id, a.leaf, a.other, b0.subroot, list_concat(x.l, y.l) as l, list_concat(x.r, y.r) as r from a join a{"p"}{levels} x on a.source is not distinct from x.source and a.q = x.q
+  join b0 on a.source is not distinct from b0.source join bp{levels} y on y.q = b0.q),
+f as (select *, (select h from b{levels}) as root, list_reduce(list_prepend(other, list_transform(list_zip(l, r), lambda z: z[1] || '|' || z[2])), lambda h, z: sha256(split_part(z, '|', 1) || h || split_part(z, '|', 2))) as folded_root from paths)
+select doc_id, leaf, subroot, root, sha256(list_reduce(list_prepend('', list_transform(list_zip(l, r), lambda z: z[1] || z[2])), lambda x, z: x || z)) as proof_sha256, folded_root, folded_root = root as verified from f
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op7_voronoi_knn": OP7_SQL}
+    return {"op7_voronoi_knn": OP7_SQL, "op13_merkle": _merkle_sql()}
