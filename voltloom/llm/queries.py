@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,7 @@ from .quality import classify, fold, train
 from .repeats import PASSAGE, PASSAGE_GRAM, remove_repeats
 from .sharding import shard
 from .tokens import count_tokens
+from .vafile import book_text, compress
 from .vectors import search, voronoi_join
 
 
@@ -74,6 +76,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold(F.col("doc_id")) == 1).alias("held_out"), "score", "predicted")
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = compress(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return coded.select("vec_id", "code", "error", "label_error", F.lit(hashlib.sha256(book_text(books).encode()).hexdigest()).alias("codebooks_sha256"))
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
@@ -81,7 +88,7 @@ def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sharding, op2_token_counts, op3_packing, op4_html_extraction, op5_suffix_dedup, op6_one_bit_codes, op7_voronoi_knn, op8_near_duplicates, op9_sentencepiece, op10_quality, op13_merkle)}
+    return {f.__name__: f for f in (op1_sharding, op2_token_counts, op3_packing, op4_html_extraction, op5_suffix_dedup, op6_one_bit_codes, op7_voronoi_knn, op8_near_duplicates, op9_sentencepiece, op10_quality, op11_vector_codes, op13_merkle)}
 
 
 OP7_SQL = """
@@ -99,6 +106,32 @@ select query_id, cast(rank as integer) as rank, vec_id, score from r where rank
 """
 
 
+def _codes_sql(rounds: int = 6) -> str:
+    """Rounds of assignment (a) and new codebooks (c), one after the other."""
+    sql = """
+with v as (
+  select row_number() over () as rid, vec_id, label, list_transform(embedding, lambda x: cast(floor(4096 * cast(x as double)) as bigint)) as y from embeddings
+  where embedding is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+), p as materialized (select rid, vec_id, part, list_slice(y, part * (len(y) // 8) + 1, (part + 1) * (len(y) // 8)) as x from v, (select unnest(range(8)) as part)),
+few as (select rid, row_number() over (order by vec_id, y) - 1 as entry from v qualify entry < 16),
+c0 as materialized (select part, entry, x as c from p join few using (rid))"""
+    for k in range(rounds + 1):
+        sql += f""",
+d{k} as (select rid, part, entry, cast(list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) as bigint) as d from p join c{k} using (part)),
+a{k} as materialized (select rid, part, entry, d from d{k} qualify row_number() over (partition by rid, part order by d, entry) = 1)"""
+        if k < rounds:
+            sql += f""",
+s{k} as (select part, entry, unnest(range(1, len(x) + 1)) as i, unnest(x) as x from p join a{k} using (rid, part)),
+m{k} as (select part, entry, i, cast(sum(x) as bigint) as s, count(*) as n from s{k} group by all),
+n{k} as (select part, entry, list((s - ((s % n) + n) % n) // n order by i) as c from m{k} group by part, entry),
+c{k + 1} as materialized (select part, entry, coalesce(n{k}.c, c{k}.c) as c from c{k} left join n{k} using (part, entry))"""
+    return sql + f""",
+e as (select rid, string_agg(printf('%02x', entry), '' order by part) as code, cast(sum(d) as bigint) as error from a{rounds} group by rid)
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error,
+       (select sha256(string_agg(array_to_string(c, ','), ',' order by part, entry)) from c{rounds}) as codebooks_sha256
+from e join v using (rid)"""
+
+
 def _merkle_sql(levels: int = 30) -> str:
     """Levels of all trees one after the other: groups of one node stay as they are; 3 ** 30 leaves have 30 levels."""
     field = lambda c: f"coalesce(strlen(cast({c} as varchar)) || ':' || cast({c} as varchar), '-')"
@@ -133,4 +166,4 @@ select doc_id, leaf, subroot, root, sha256(list_reduce(list_prepend('', list_tra
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_voronoi_knn": OP7_SQL, "op13_merkle": _merkle_sql()}
+    return {"op7_voronoi_knn": OP7_SQL, "op11_vector_codes": _codes_sql(), "op13_merkle": _merkle_sql()}
