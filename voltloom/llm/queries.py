@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .html_text import extract
 from .merkle import manifest
 from .neardup import near_duplicates
+from .overlap import overlap_join
 from .packing import pack
 from .pieces import encode
 from .quality import classify, fold, train
@@ -81,6 +82,10 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("vec_id", "code", "error", "label_error", F.lit(hashlib.sha256(book_text(books).encode()).hexdigest()).alias("codebooks_sha256"))
 
 
+def op12_overlap_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overlap_join(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
@@ -88,7 +93,7 @@ def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sharding, op2_token_counts, op3_packing, op4_html_extraction, op5_suffix_dedup, op6_one_bit_codes, op7_voronoi_knn, op8_near_duplicates, op9_sentencepiece, op10_quality, op11_vector_codes, op13_merkle)}
+    return {f.__name__: f for f in (op1_sharding, op2_token_counts, op3_packing, op4_html_extraction, op5_suffix_dedup, op6_one_bit_codes, op7_voronoi_knn, op8_near_duplicates, op9_sentencepiece, op10_quality, op11_vector_codes, op12_overlap_join, op13_merkle)}
 
 
 OP7_SQL = """
@@ -132,6 +137,24 @@ select vec_id, code, error, cast(sum(error) over (partition by label) as bigint)
 from e join v using (rid)"""
 
 
+OP12_SQL = """
+with recursive w as materialized (
+  select doc_id, row_number() over () as rid, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents
+), g as materialized (
+  select doc_id, rid, list_distinct(case when len(w) = 0 then [] when len(w) < 4 then [array_to_string(w, ' ')]
+    else list_transform(range(1, len(w) - 2), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3]) end) as s from w
+), sets as materialized (select s, min(rid) as sid, len(s) as n from (select rid, list_sort(s) as s from g where len(s) > 0) group by s),
+u as materialized (select sid, n, unnest(s) as x from sets),
+o as (select a.sid as a, b.sid as b, a.n as na, b.n as nb, count(*) as k from u a join u b on a.x = b.x and a.sid < b.sid and 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n) group by all),
+l as materialized (select a, b from o where 100 * k >= 85 * (na + nb - k)),
+way as materialized (select a, b from l union all select b, a from l),
+reach as (select sid as a, sid as b from sets union select r.a, e.b from reach r join way e on r.b = e.a),
+root as materialized (select a as sid, min(b) as root from reach group by a),
+members as materialized (select g.doc_id, g.rid, len(g.s) as n, root from g left join sets on list_sort(g.s) = sets.s left join root using (sid))
+select doc_id, n as n_shingles, case when n = 0 then doc_id else min(doc_id) over (partition by root) end as component_id from members
+"""
+
+
 def _merkle_sql(levels: int = 30) -> str:
     """Levels of all trees one after the other: groups of one node stay as they are; 3 ** 30 leaves have 30 levels."""
     field = lambda c: f"coalesce(strlen(cast({c} as varchar)) || ':' || cast({c} as varchar), '-')"
@@ -166,4 +189,4 @@ select doc_id, leaf, subroot, root, sha256(list_reduce(list_prepend('', list_tra
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_voronoi_knn": OP7_SQL, "op11_vector_codes": _codes_sql(), "op13_merkle": _merkle_sql()}
+    return {"op7_voronoi_knn": OP7_SQL, "op11_vector_codes": _codes_sql(), "op12_overlap_join": OP12_SQL, "op13_merkle": _merkle_sql()}
