@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import discard, materialise
 from .components import connected_components
 from .shingles import _PLACES, mix
 from .suffix_kernel import _table, prefix_hash
@@ -43,6 +43,8 @@ SMALL, SIDE, COLUMNS = 64, 1024, 4096
 ENTRIES, RUN = 1 << 16, 1 << 16
 #: 64-bit words of a parity signature.
 SIGNATURE = 8
+#: Names of sets that are sent to all tasks at most, some 50 bytes each.
+SENT = 200_000
 #: Bytes of text that one numpy pass takes.
 PASS = 1 << 22
 
@@ -135,27 +137,32 @@ def _first(n: int) -> int:
 
 
 def _documents(rows: DataFrame, counts: np.ndarray) -> DataFrame:
-    """Rows (doc_id, doc, tid, text) with the number of shingles, the set's digest, and its first n-grams in order (once for each set
-    of a batch); no digest for a text without words."""
+    """Rows (doc_id, doc, tid, text) with the number of shingles, the set's digest, and, once for each set of a batch, its first n-grams in
+    order and its signature (parity of the shingles in each hashed place); no digest for a text without words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from hashlib import blake2b
 
         for b in batches:
-            sizes, digests, prefixes, seen = [], [], [], set()
+            sizes, digests, prefixes, signs, seen = [], [], [], [], set()
             for at, to, raw, stops in _passes(b):
                 text, h = shingle_sets(raw, stops)
                 order = np.lexsort((h, counts[(h & np.uint64(COUNTERS - 1)).astype(np.int64)], text))
                 ranked, edge = h[order], _edges(text, to - at)
-                for a, z in zip(edge[:-1], edge[1:], strict=True):
+                bits = 64 * SIGNATURE
+                place = text * bits + ((h >> np.uint64(40)) % np.uint64(bits)).astype(np.int64)
+                signature = np.packbits((np.bincount(place, minlength=(to - at) * bits) & 1).astype(np.uint8).reshape(to - at, bits), axis=1)
+                for sign, a, z in zip(signature, edge[:-1], edge[1:], strict=True):
                     name = blake2b(h[a:z].tobytes(), digest_size=16).digest() if z > a else None
                     sizes.append(z - a)
                     digests.append(name)
-                    prefixes.append(ranked[a : a + _first(z - a)].tobytes() if name and name not in seen else None)
+                    new = name is not None and name not in seen
+                    prefixes.append(ranked[a : a + _first(z - a)].tobytes() if new else None)
+                    signs.append(sign.tobytes() if new else None)
                     seen.add(name)
-            yield pa.record_batch({"doc_id": b["doc_id"], "doc": b["doc"], "tid": b["tid"], "n": pa.array(sizes, pa.int64()), "digest": pa.array(digests, pa.binary()), "prefix": pa.array(prefixes, pa.binary())})
+            yield pa.record_batch({"doc_id": b["doc_id"], "doc": b["doc"], "tid": b["tid"], "n": pa.array(sizes, pa.int64()), "digest": pa.array(digests, pa.binary()), "prefix": pa.array(prefixes, pa.binary()), "signature": pa.array(signs, pa.binary())})
 
-    return rows.mapInArrow(run, "doc_id long, doc long, tid string, n long, digest binary, prefix binary")
+    return rows.mapInArrow(run, "doc_id long, doc long, tid string, n long, digest binary, prefix binary, signature binary")
 
 
 def _columns(sets: DataFrame, counts: np.ndarray) -> DataFrame:
@@ -164,23 +171,24 @@ def _columns(sets: DataFrame, counts: np.ndarray) -> DataFrame:
     Only columns that counters allow more than ``RUN`` rows are counted apart and joined, so that their rows may lie in many tasks.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for at in range(0, b.num_rows, 1000):
-                part = b.slice(at, 1000)
-                lists = [np.frombuffer(p, "<u8") for p in part["prefix"].to_pylist()]
-                each = np.array([len(x) for x in lists])
-                pos = np.concatenate([np.arange(k) for k in each])
-                g = np.concatenate(lists)
-                often = counts[(g & np.uint64(COUNTERS - 1)).astype(np.int64)] > RUN
-                row = np.repeat(np.arange(len(lists)), each)
-                yield pa.record_batch({"g": pa.array(g.view(np.int64)), "sid": part["sid"].take(pa.array(row)), "n": part["n"].take(pa.array(row)), "pos": pa.array(pos), "often": pa.array(often)})
-
-    rows = sets.select("sid", "n", "prefix").mapInArrow(run, "g long, sid long, n long, pos long, often boolean")
-    few = materialise(rows, "entries")
-    many = few.where("often").drop("often")
+    def entries(often: bool) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for at in range(0, b.num_rows, 1000):
+                    part = b.slice(at, 1000)
+                    lists = [np.frombuffer(p, "<u8") for p in part["prefix"].to_pylist()]
+                    each = np.array([len(x) for x in lists])
+                    g = np.concatenate(lists)
+                    keep = np.flatnonzero((counts[(g & np.uint64(COUNTERS - 1)).astype(np.int64)] > RUN) == often)
+                    pos = np.concatenate([np.arange(k) for k in each])[keep]
+                    row = pa.array(np.repeat(np.arange(len(lists)), each)[keep])
+                    yield pa.record_batch({"g": pa.array(g[keep].view(np.int64)), "sid": part["sid"].take(row), "n": part["n"].take(row).cast(pa.int32()), "pos": pa.array(pos, pa.int32())})
+
+        return sets.select("sid", "n", "prefix").mapInArrow(run, "g long, sid long, n int, pos int")
+
+    many = entries(True)
     sizes = many.groupBy("g").agg(F.count("*").alias("m")).where("m > 1")
-    few = few.where("not often").drop("often").withColumn("m", F.count("*").over(Window.partitionBy("g"))).where("m > 1")
+    few = entries(False).withColumn("m", F.count("*").over(Window.partitionBy("g"))).where("m > 1")
     return few.unionByName(many.join(sizes.hint("merge"), "g"))
 
 
@@ -204,37 +212,40 @@ def _pairs_ahead(columns: DataFrame) -> DataFrame:
     return pairs.select(F.least("sid", "sid_b").alias("a"), F.greatest("sid", "sid_b").alias("b")).distinct()
 
 
-def _rows(texts: DataFrame) -> DataFrame:
-    """Whole sets: sid, n, s0 to s7 (parity of the shingles in each of 512 hashed places), grams (sorted hashes)."""
+def _signed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs whose signatures leave a link possible, with the number of bits in which they differ."""
+    words = [F.conv(F.hex(F.substring("signature", 8 * k + 1, 8)), 16, -10).cast("long") for k in range(SIGNATURE)]
+    signs = sets.select("sid", "n", *(w.alias(f"s{k}") for k, w in enumerate(words)))
+    side = lambda c: signs.select(F.col("sid").alias(c), F.col("n").alias(f"n_{c}"), *(F.col(f"s{k}").alias(f"s{k}_{c}") for k in range(SIGNATURE))).hint("merge")
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    apart = sum((F.bit_count(F.col(f"s{k}_a").bitwiseXOR(F.col(f"s{k}_b"))) for k in range(1, SIGNATURE)), F.bit_count(F.col("s0_a").bitwiseXOR(F.col("s0_b"))))
+    n, other = F.col("n_a"), F.col("n_b")
+    return both.select("a", "b", apart.alias("apart"), n, other).where(F.col("apart") <= n + other - 2 * _need(n, other)).select("a", "b", "apart")
+
+
+def _whole(ends: DataFrame, sets: DataFrame, rows: DataFrame) -> DataFrame:
+    """Whole sets (sid, grams: sorted hashes) of the rows of ``ends``, from the text of one document each. Up to ``SENT`` names are sent to all
+    tasks; beyond, texts are joined by name."""
+    needed = materialise(sets.join(ends.hint("merge"), "sid", "left_semi").select("sid", "own.tid", "own.doc"), "needed")
+    names = F.broadcast(needed) if needed.count() <= SENT else needed.hint("merge")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at, to, raw, stops in _passes(b):
                 text, h = shingle_sets(raw, stops)
                 edge = _edges(text, to - at)
-                bits = 64 * SIGNATURE
-                place = text * bits + ((h >> np.uint64(40)) % np.uint64(bits)).astype(np.int64)
-                odd = (np.bincount(place, minlength=(to - at) * bits) & 1).astype(np.uint8)
-                words = np.packbits(odd).view("<i8").reshape(to - at, SIGNATURE)
                 grams = [h[a:z].tobytes() for a, z in zip(edge[:-1], edge[1:], strict=True)]
-                cells = {f"s{k}": pa.array(words[:, k]) for k in range(SIGNATURE)}
-                yield pa.record_batch({"sid": b["sid"].slice(at, to - at), "n": pa.array(np.diff(edge), pa.int64()), **cells, "grams": pa.array(grams, pa.binary())})
+                yield pa.record_batch({"sid": b["sid"].slice(at, to - at), "grams": pa.array(grams, pa.binary())})
 
-    return texts.select("sid", "text").mapInArrow(run, "sid long, n long, " + "".join(f"s{k} long, " for k in range(SIGNATURE)) + "grams binary")
-
-
-def _signed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs whose signatures leave a link possible, with the number of bits in which they differ."""
-    side = lambda c: sets.select(F.col("sid").alias(c), F.col("n").alias(f"n_{c}"), *(F.col(f"s{k}").alias(f"s{k}_{c}") for k in range(SIGNATURE))).hint("merge")
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
-    apart = sum((F.bit_count(F.col(f"s{k}_a").bitwiseXOR(F.col(f"s{k}_b"))) for k in range(1, SIGNATURE)), F.bit_count(F.col("s0_a").bitwiseXOR(F.col("s0_b"))))
-    n, other = F.col("n_a"), F.col("n_b")
-    return both.select("a", "b", apart.alias("apart"), n, other).where(F.col("apart") <= n + other - 2 * _need(n, other)).select("a", "b", "apart")
+    found = rows.join(names, ["tid", "doc"]).select("sid", "text").mapInArrow(run, "sid long, grams binary")
+    return materialise(found.groupBy("sid").agg(F.min("grams").alias("grams")), "grams")  # a row may be there twice
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs of sets that link."""
-    side = lambda c: sets.select(F.col("sid").alias(c), F.col("grams").alias(f"grams_{c}")).hint("merge")
+def _verified(pairs: DataFrame, sets: DataFrame, rows: DataFrame) -> DataFrame:
+    """Pairs of sets that link, by the overlap of the whole sets."""
+    pairs = materialise(pairs.select("a", "b"), "pairs")
+    whole = _whole(pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct(), sets, rows)
+    side = lambda c: whole.select(F.col("sid").alias(c), F.col("grams").alias(f"grams_{c}")).hint("merge")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -245,7 +256,9 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 linked.append((100 + SHARE) * shared >= SHARE * (len(x) + len(y)))
             yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
-    return pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "a long, b long")
+    found = materialise(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "a long, b long"), "links")
+    discard(pairs, whole)
+    return found
 
 
 def _pairs_across(columns: DataFrame) -> DataFrame:
@@ -354,28 +367,29 @@ def overlap_join(docs: DataFrame, text: str = "text", id_col: str = "doc_id") ->
     rows = rows.withColumn("tid", F.md5("text")).withColumn("doc", F.coalesce("doc_id", F.lit(-1)))
     counts = shingle_counts(rows)
     found = materialise(_documents(rows.select("doc_id", "doc", "tid", "text"), counts), "documents")
-    sets = found.where("digest is not null").groupBy("digest").agg(F.max("prefix").alias("prefix"), F.first("n").alias("n"), F.min(F.struct("tid", "doc")).alias("own"))
+    sets = found.where("digest is not null").groupBy("digest").agg(F.max("prefix").alias("prefix"), F.max("signature").alias("signature"), F.first("n").alias("n"), F.min(F.struct("tid", "doc")).alias("own"))
     sets = materialise(sets.withColumn("sid", F.monotonically_increasing_id()), "sets")
+    ids = materialise(found.select("doc_id", "n", "digest"), "ids")
+    discard(found)
     columns = materialise(_columns(sets, counts), "columns")
-    # whole sets of rows that share a column, from the text of one document
-    needed = materialise(sets.join(columns.select("sid").distinct().hint("merge"), "sid", "left_semi").select("sid", "own.tid", "own.doc"), "needed")
-    texts = rows.join(needed.hint("merge"), ["tid", "doc"]).groupBy("sid").agg(F.min("text").alias("text"))
-    whole = materialise(_rows(texts), "whole")
+    sets, wide = materialise(sets.drop("prefix"), "names"), sets
+    discard(wide)
     closest = Window.partitionBy("a").orderBy("apart", "b")
-    ahead = _signed(_pairs_ahead(columns), whole).withColumn("nth", F.row_number().over(closest)).where(F.col("nth") <= PARTNERS)
-    near = materialise(_verified(ahead, whole), "near")
+    ahead = _signed(_pairs_ahead(columns), sets).withColumn("nth", F.row_number().over(closest)).where(F.col("nth") <= PARTNERS)
+    near = _verified(ahead, sets, rows)
     roots = materialise(connected_components(near), "roots")
-    columns = columns.join(roots.withColumnRenamed("node", "sid").hint("merge"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-    columns = materialise(columns, "rooted")
-    across = _pairs_across(columns).union(_pairs_of_blocks(columns)).distinct()
-    more = materialise(_verified(_signed(across, whole), whole), "more")
+    rooted = columns.join(roots.withColumnRenamed("node", "sid").hint("merge"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
+    rooted = materialise(rooted, "rooted")
+    discard(columns)
+    across = _pairs_across(rooted).union(_pairs_of_blocks(rooted)).distinct()
+    more = _verified(_signed(across, sets), sets, rows)
     if not more.isEmpty():
         roots = materialise(connected_components(near.union(more)), "roots")
+    discard(rooted)
     named = sets.select("digest", "sid").join(roots.withColumnRenamed("node", "sid").hint("merge"), "sid", "left")
-    named = named.select("digest", F.coalesce("root", "sid").alias("root"))
-    ids = found.groupBy("digest").agg(F.min("doc_id").alias("first")).join(named.hint("merge"), "digest")
-    ids = materialise(ids, "ids")
-    names = ids.groupBy("root").agg(F.min("first").alias("component_id"))
-    ids = materialise(ids.join(names.hint("merge"), "root").select("digest", "component_id"), "components")
-    out = found.select("doc_id", "n", "digest").join(ids.hint("merge"), "digest", "left")
+    firsts = ids.groupBy("digest").agg(F.min("doc_id").alias("first")).join(named.select("digest", F.coalesce("root", "sid").alias("root")).hint("merge"), "digest")
+    firsts = materialise(firsts, "firsts")
+    names = firsts.groupBy("root").agg(F.min("first").alias("component_id"))
+    firsts = materialise(firsts.join(names.hint("merge"), "root").select("digest", "component_id"), "components")
+    out = ids.join(firsts.hint("merge"), "digest", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
