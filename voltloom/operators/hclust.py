@@ -6,29 +6,44 @@ import numpy as np
 
 
 def complete_linkage(distance: np.ndarray) -> np.ndarray:
-    """Merge the two clusters with the smallest largest distance until one is left.
+    """Complete linkage by chains of nearest neighbours, in quadratic time.
 
-    Returns a row for each merge, as (left, right, height, size) with left < right; leaves are 0 to n - 1 and merge i makes
-    cluster n + i. Of equal heights the merge with the smaller cluster numbers comes first.
+    A chain goes from a cluster to its nearest one until two are each other's nearest; these merge, as no later merge can
+    come between them. Of equally near clusters the one before in the chain is taken, else the one with the smallest leaf number
+    of those that hold places in the matrix. Returns a row for each merge by rising height, as (left, right, height, size)
+    with left < right; leaves are 0 to n - 1 and merge i makes cluster n + i.
     """
     n = len(distance)
     d = np.array(distance, float)
     np.fill_diagonal(d, np.inf)
-    name, size = np.arange(n), np.ones(n, int)
-    alive = np.ones(n, bool)
-    out = np.empty((max(0, n - 1), 4))
-    for k in range(n - 1):
-        low = d.min()
-        pairs = np.argwhere(np.isclose(d, low, rtol=0, atol=0))
-        i, j = min(pairs.tolist(), key=lambda p: tuple(sorted((name[p[0]], name[p[1]]))))
-        a, b = sorted((int(name[i]), int(name[j])))
-        out[k] = a, b, low, size[i] + size[j]
-        d[i] = np.maximum(d[i], d[j])
-        d[:, i] = d[i]
-        d[i, i] = np.inf
-        d[j], d[:, j] = np.inf, np.inf
-        alive[j] = False
-        name[i], size[i] = n + k, size[i] + size[j]
+    chain: list[int] = []
+    gone = np.zeros(n, bool)
+    merges = []
+    for _ in range(n - 1):
+        if not chain:
+            chain.append(int(np.argmin(gone)))
+        while True:
+            i = chain[-1]
+            j = int(d[i].argmin())
+            if len(chain) > 1 and d[i, chain[-2]] <= d[i, j]:
+                j = chain[-2]
+                break
+            chain.append(j)
+        del chain[-2:]
+        a, b = sorted((i, j))
+        merges.append((d[a, b], a, b))
+        far = np.maximum(d[a], d[b])
+        far[a] = np.inf
+        d[a], d[:, a] = far, far
+        d[b], d[:, b] = np.inf, np.inf
+        gone[b] = True
+    name, size = list(range(n)), [1] * n
+    out = np.empty((len(merges), 4))
+    for k, (height, a, b) in enumerate(sorted(merges, key=lambda m: m[0])):  # stable: parts of a merge come before it
+        x, y = sorted((name[a], name[b]))
+        size[a] += size[b]
+        name[a] = n + k
+        out[k] = x, y, height, size[a]
     return out
 
 

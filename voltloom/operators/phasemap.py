@@ -1,8 +1,8 @@
 """Phase identification: which feeder and transformer phase each meter phase is connected to.
 
-Voltages of meter phases on one feeder phase move alike. Preparation (windows of corrupt data, differences, scaling,
-correlation) is a plan over all transformers; the clustering of one transformer's few hundred phases and the rules on its
-tree run in one grouped Arrow batch for each transformer.
+Voltages of meter phases on one feeder phase move alike. Preparation (windows of corrupt data, differences, ranks and their
+products) is a plan over all transformers (``phaseprep``); the clustering of one transformer's distance matrix and the rules
+on its tree run in one grouped Arrow batch for each transformer.
 """
 
 from __future__ import annotations
@@ -19,7 +19,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import PHASES
+from ..sources.scratch import materialise
 from .hclust import complete_linkage, cut, leaves_of, spearman_distance
+from .phaseprep import assemble, distance_blocks, rank_vectors, usable
 
 
 @dataclass(frozen=True)
@@ -360,17 +362,23 @@ def result_rows(transformer: str, leaves: Sequence[Leaf], found: Evaluation | No
     return pd.DataFrame(out, columns=RESULT_COLUMNS, dtype=object)
 
 
+def map_leaves(transformer: str, leaves: Sequence[Leaf], kept: Sequence[Leaf], distance: np.ndarray, unconnected: Iterable[Leaf] = (), cfg: PhaseConfig = PhaseConfig()) -> pd.DataFrame:
+    """Cluster the kept phases of one transformer and apply the rules, twice."""
+    unconnected = set(unconnected)
+    corrupt = [x for x in leaves if x not in unconnected and x not in set(kept)]
+    tree = Tree(kept, complete_linkage(distance), cfg)
+    first = tree.evaluate()
+    found = tree.evaluate(consistent_wrong_feeders(first.wrong_feeder, corrupt))
+    return result_rows(transformer, leaves, found, corrupt, unconnected)
+
+
 def identify_transformer(transformer: str, wide: pd.DataFrame, unconnected: Iterable[Leaf] = (), cfg: PhaseConfig = PhaseConfig()) -> pd.DataFrame:
-    """Map one transformer. wide: a row for each time, a column for each leaf's label."""
+    """Map one transformer in memory. wide: a row for each time, a column for each leaf's label."""
     leaves, unconnected = [parse_label(c) for c in wide.columns], set(unconnected)
     used = [x for x in leaves if x not in unconnected]
     clean, keep = clean_unit(wide[[x.label for x in used]].to_numpy(float), cfg)
-    corrupt = [x for x, k in zip(used, keep, strict=True) if not k]
     kept = [x for x, k in zip(used, keep, strict=True) if k]
-    tree = Tree(kept, complete_linkage(spearman_distance(prepare_unit(clean))), cfg)
-    first = tree.evaluate()
-    found = tree.evaluate(consistent_wrong_feeders(first.wrong_feeder, corrupt))
-    return result_rows(transformer, leaves, found, corrupt, unconnected)
+    return map_leaves(transformer, leaves, kept, spearman_distance(prepare_unit(clean)), unconnected, cfg)
 
 
 def identify_phases(voltages: DataFrame, places: DataFrame, unconnected: DataFrame | None = None, cfg: PhaseConfig = PhaseConfig()) -> DataFrame:
@@ -378,31 +386,45 @@ def identify_phases(voltages: DataFrame, places: DataFrame, unconnected: DataFra
 
     voltages: meter_number, timestamp, voltage_l1, _l2, _l3 (repeated rows: the largest value counts); places: transformer_id,
     meter_number, feeder_id, cabinet_id; unconnected: meter_number, phase. A transformer that can't be mapped gives rows with
-    status 'failed: <reason>' and does not stop the others. A group is one transformer's series.
+    status 'failed: <reason>' and does not stop the others. One task holds a transformer's distances, never its series.
     """
     ids = [F.col(c).cast("string").alias(c) for c in ("transformer_id", "meter_number", "feeder_id")]
     where = places.select(*ids, F.coalesce(F.col("cabinet_id").cast("string"), F.lit("nan")).alias("cabinet_id"))
+    off = F.array().cast("array<string>").alias("off")
+    if unconnected is None:
+        where = where.select("*", off)
+    else:
+        lists = unconnected.groupBy(F.col("meter_number").cast("string").alias("meter_number")).agg(F.collect_set(F.lower("phase")).alias("off"))
+        where = where.join(lists, "meter_number", "left").withColumn("off", F.coalesce("off", off))
     v = voltages.withColumn("meter_number", F.col("meter_number").cast("string"))
     v = v.groupBy("meter_number", "timestamp").agg(*(F.max(f"voltage_{p}").alias(p) for p in PHASES))
-    gone = F.array().cast("array<string>")
-    if unconnected is not None:
-        lists = unconnected.groupBy(F.col("meter_number").cast("string").alias("meter_number")).agg(F.collect_set(F.lower("phase")).alias("gone"))
-        where = where.join(lists, "meter_number", "left").withColumn("gone", F.coalesce("gone", gone))
-    else:
-        where = where.withColumn("gone", gone)
-    rows = v.join(where, "meter_number")
-
-    def run(key: tuple, b: pd.DataFrame) -> pd.DataFrame:
-        long = b.melt(["timestamp", "meter_number", "cabinet_id", "feeder_id"], list(PHASES), "phase", "v")
-        long["label"] = [Leaf(*x).label for x in zip(long["phase"], long["meter_number"], long["cabinet_id"], long["feeder_id"], strict=True)]
-        wide = long.pivot(index="timestamp", columns="label", values="v").sort_index()
-        wide = wide[sorted(wide.columns)]
-        off = {Leaf(p, *x[:3]) for x in zip(b["meter_number"], b["cabinet_id"], b["feeder_id"], b["gone"], strict=True) for p in x[3]}
+    phase = F.explode(F.array(*(F.lit(p) for p in PHASES))).alias("phase")
+    label = F.concat_ws("_", F.lit("voltage"), "phase", "meter_number", "cabinet_id", "feeder_id").alias("label")
+    names = where.join(v.select("meter_number").distinct(), "meter_number", "left_semi").select(F.col("transformer_id").alias("unit"), "*", phase)
+    names = names.select("unit", "meter_number", "phase", label, (~F.array_contains("off", F.col("phase"))).alias("used")).distinct()
+    names = materialise(names.withColumn("leaf", F.monotonically_increasing_id()), "names")
+    series = F.explode(F.array(*(F.struct(F.lit(p).alias("phase"), F.when(~F.isnan(p), F.col(p)).alias("v")) for p in PHASES)))
+    rows = v.select("meter_number", "timestamp", series.alias("s")).select("meter_number", "timestamp", "s.*")
+    long = materialise(rows.join(names, ["meter_number", "phase"]).select("unit", "leaf", "timestamp", "v", "used"), "voltages")
+    phases, differences = usable(long, cfg)
+    phases = materialise(phases, "phases")
+    leaves = names.join(phases, ["unit", "leaf"], "left")
+    leaves = materialise(leaves.join(phases.select("unit").distinct().withColumn("some", F.lit(True)), "unit", "left"), "leaves")
+    kept = Window.partitionBy("unit")
+    numbers = leaves.where("k > choice").select("unit", "leaf", (F.row_number().over(kept.orderBy("label")) - 1).alias("idx"), F.count("*").over(kept).alias("size"))
+    blocks = distance_blocks(rank_vectors(differences), numbers)
+
+    def run(key: tuple, own: pd.DataFrame, blocks: pd.DataFrame) -> pd.DataFrame:
+        own = own.sort_values("label")
+        names = [parse_label(x) for x in own["label"]]
+        gone = {x for x, used in zip(names, own["used"], strict=True) if not used}
+        k, choice = own["k"].to_numpy(float), own["choice"].to_numpy(float)
         try:
-            return identify_transformer(key[0], wide, off, cfg)
+            if np.isnan(choice).all():
+                raise RuntimeError("no usable phase is left" if own["some"].notna().any() else "a transformer without any voltage")
+            kept = [x for x, ok in zip(names, k > choice, strict=True) if ok]
+            return map_leaves(key[0], names, kept, assemble(len(kept), blocks), gone, cfg)
         except (ValueError, RuntimeError) as e:
-            leaves = [parse_label(c) for c in wide.columns]
-            out = result_rows(key[0], leaves, None, leaves)
-            return out.assign(status=f"failed: {e}")
+            return result_rows(key[0], names, None, names).assign(status=f"failed: {e}")
 
-    return rows.groupBy("transformer_id").applyInPandas(run, RESULT)
+    return leaves.groupBy("unit").cogroup(blocks.groupBy("unit")).applyInPandas(run, RESULT)

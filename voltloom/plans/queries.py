@@ -9,7 +9,7 @@ from ..functions import scalar
 from ..operators import clean, explorer, graph, labeler, levels, mapping, meta, phasemap, quality, resample, upsert
 from ..operators import topology as topo
 from ..schemas import METER_CABINET
-from .frames import GRID_SQL, PHASE_OF, PHASE_SQL, POWER_SQL, events, meter_rows, phase_events, power, table, topology
+from .frames import GRID_SQL, PHASE_OF, PHASE_SQL, PHASES_SQL, POWER_SQL, events, meter_places, meter_rows, phase_events, planted_voltages, power, recorded_places, table, topology
 from .registry import QUERIES, SQL, query
 from .registry import time_text as _time
 
@@ -430,13 +430,11 @@ def majority_phase(spark: SparkSession, d: str) -> DataFrame:
     return phasemap.majority(events(spark, d), "event_type", 0.25, ["meter_number"], "event_id")
 
 
-@query()
+@query(PHASES_SQL)
 def phase_clusters(spark: SparkSession, d: str) -> DataFrame:
-    """Phase identification over all meters: nations are transformers, suppliers' numbers cabinets. Iterative: no SQL."""
-    w = resample.resample_mean(events(spark, d), ["value"], by=["meter_number", "event_type"], unit="day")
-    v = w.groupBy("meter_number", "timestamp").agg(*(F.max(F.when(F.col("event_type") == t, F.col("value"))).alias(f"voltage_{p}") for t, p in PHASE_OF.items()))
-    places = table(spark, d, "customer").select(F.col("c_nationkey").alias("transformer_id"), F.col("c_custkey").cast("string").alias("meter_number"), F.col("c_mktsegment").alias("feeder_id"), F.col("c_nationkey").alias("cabinet_id"))
-    return phasemap.identify_phases(v, places, cfg=phasemap.PhaseConfig(window=2, low=0.0, step=1e9, rows=10, rows_step=2, tolerance=0.97))
+    """Phase identification over all meters with the mapper's own limits, but for the rows asked for: the tables hold 30 days of hours."""
+    off = meter_places(spark, d).where("kind = 'unconnected'").select(F.col("meter").alias("meter_number"), F.lit("L2").alias("phase"))
+    return phasemap.identify_phases(planted_voltages(spark, d), recorded_places(spark, d), off, phasemap.PhaseConfig(rows=500))
 
 
 @query()
