@@ -76,7 +76,7 @@ def test_reader_comments_are_not_the_main_text():
     assert main_text(f"<body><div class=story><p>{text}</p><p>{text}</p></div><div id=comments>{comments}</div></body>") == f"{text} {text}"
 
 
-@pytest.mark.parametrize("piece", ["<div>ab", "<li>x<div>", "<p><b>a", "<table><tr><td>a", "<span>a", "<div class=comment>a", "<a href=x>", "</div>"])
+@pytest.mark.parametrize("piece", ["<div>ab", "<li>x<div>", "<p><b>a", "<table><tr><td>a", "<span>a", "<div class=comment>a", "<div class=related>a", "<a href=x>", "</div>"])
 def test_deep_pages_take_linear_time(piece):
     from time import process_time
 

@@ -524,6 +524,29 @@ def test_headings_keep_their_text():
     assert main_text(page(f"<article><h2 id=search>Search</h2><p>{LONG}</p><h2 class=related>Related work</h2><p>{LONG}</p></article>")) == f"Search {LONG.strip()} Related work {LONG.strip()}"
 
 
+TEXTY = "commentary legal-analysis search-results response-time social-history related-work subscribe-rate reply-rate cookie-recipe notification-theory banner-year sponsorship-history share-price"
+FOUR = "One more sentence, of the article. Another one follows it, and then a third. This is the fourth of them, the last in this part of the text, which ends with a full stop."
+
+
+@pytest.mark.parametrize("outer", ["<article>{}</article>", "<div class=story>{}</div>", "<main>{}</main>"])
+@pytest.mark.parametrize("part", [*(f"<section class={n}>" for n in TEXTY.split()), *(f"<section id={n}>" for n in ("related-work", "legal", "search", "commentary")), *(f"<div class={n}>" for n in ("legal", "search", "related", "social", "share", "header"))])
+def test_parts_of_the_article_stay_whatever_they_are_called(outer, part):
+    body = f"<h1>Head</h1><p>{LONG}</p><p>{LONG}</p>{part}<p>{FOUR}</p></section></div><p>{LONG}</p>".replace("</div>" if "section" in part else "</section>", "")
+    beside = f"<div class=comments><p>{LONG}</p></div><div class=advert><p>{LONG}</p></div><div class=related-posts><p>{LONG}</p></div><div class=sidebar><p>{LONG}</p></div>"
+    assert main_text(page(outer.format(body) + beside)) == " ".join(["Head", LONG.strip(), LONG.strip(), FOUR, LONG.strip()])
+
+
+@pytest.mark.parametrize("name", "comment comments comment-list commentlist post-comments comments-area ad ad-slot advert cookie-notice cookie-banner notice newsletter-box left-sidebar site-footer top-nav main-menu pagination promo sponsored-links related-links share-buttons social-links search-form page-widget breadcrumbs".split())
+def test_surroundings_go_by_whole_names(name):
+    links = "<a href=x>Other text</a> <a href=y>More of it</a>"
+    assert main_text(page(f"<article><p>{LONG}</p><p>{LONG}</p><div class={name}>{links}</div></article>")) == f"{LONG.strip()} {LONG.strip()}"
+    assert main_text(page(f"<div class=story><p>{LONG}</p><p>{LONG}</p></div><div class={name}><p>{FOUR}</p></div>")) == f"{LONG.strip()} {LONG.strip()}"
+
+
+def test_labels_and_formulas_in_paragraphs_stay():
+    assert main_text(page(f"<article><p>{LONG}</p><p>A <label>word</label> and <math><mi>x</mi><mo>=</mo><mn>1</mn></math> here, in a line.</p></article>")) == f"{LONG.strip()} A word and x=1 here, in a line."
+
+
 def test_pages(spark):
     rows = [(1, "u", page(f"<article><p>{LONG}</p></article>"), "x"), (1, "u", None, "x"), (None, None, "", "x"), (2, "v", "<p>" * 3000 + "deep", "x")]
     out = extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string"))

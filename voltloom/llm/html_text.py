@@ -34,19 +34,26 @@ CLOSES_P = BLOCKS - {"body", "html", "td", "th", "tr", "tbody", "thead", "tfoot"
 SCOPE = {"table", "td", "th", "button", "object", "html"}
 
 #: Elements that never hold main text, and names in class, id or role that mark what surrounds it.
-DROPPED = RAW | set("nav footer aside button select svg canvas object audio video dialog menu head input label datalist math".split())
+DROPPED = RAW | set("nav footer aside button select svg canvas object audio video dialog menu head input datalist".split())
+#: Words of names in class or id that mark what surrounds the main text: always, as reader comments, and where the element doesn't read
+#: like text itself. A name counts only if all its words are such words or say what kind of container it is; so "related-posts" does,
+#: "related-work" and "has-sidebar" don't.
 MARKS = set(
-    "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs byline comment comments consent cookie "
-    "cookies discuss disqus footer footnav gdpr header legal masthead menu menubar modal nav navbar navigation newsletter "
-    "notice notices notification outbrain pager pagination paywall popup promo promotion related reply replies respond search share sharing shoutbox "
-    "sidebar signup skyscraper social sponsor sponsored sponsors subscribe taboola toolbar tooltip widget widgets".split()
+    "ad ads adv advert adverts advertisement advertisements advertising adsbygoogle banner breadcrumb breadcrumbs consent cookie "
+    "cookies footer footnav gdpr masthead menu menubar menus modal nav navbar navigation navs newsletter "
+    "notice notices notification notifications outbrain pagination paywall popup promo promos promotion promotions shoutbox "
+    "sidebar skyscraper sponsor sponsored sponsors taboola toolbar tooltip".split()
 )
-#: Beginnings of longer names with the same meaning, whole names of articles that are no main text, words that say what a
-#: container has beside it, and elements that names don't drop.
-PREFIXES = ("comment", "advert", "adsby", "sidebar", "cookie", "newsletter", "breadcrumb", "sponsor", "footer", "navbar")
-ASIDE_ARTICLES = set("advert adverts advertisement advertising comment comments promo promotion related replies reply respond response responses sponsor sponsored sponsors".split())
-COMMENTS = set("comment comments discuss disqus replies reply respond response responses shoutbox".split())
-BESIDE = {"no", "has", "with", "without"}
+COMMENTS = set("comment commentlist comments discuss disqus replies reply respond response responses shoutbox".split())
+UNSURE = set("byline header legal pager related search share sharing signup social subscribe widget widgets".split())
+KINDS = set(
+    "area bar block blocks body bottom box button buttons card cards container content control controls entry feed footer form group header icon icons inner item items left "
+    "link links list main meta outer page panel post posts primary articles stories right row secondary section site slot story thread top unit wrap wrapper".split()
+)
+ADVERTS = set("advert adverts advertisement advertising promo promotion sponsor sponsored sponsors".split())
+ROLES = set("alertdialog banner complementary contentinfo dialog menu menubar navigation search toolbar tooltip".split())
+#: Characters outside links, and share of text in links, from which an element with an unsure name reads like text.
+READS, LINKED = 160, 0.3
 TEXTUAL = {"h1", "h2", "h3", "h4", "h5", "h6", "p"}
 PARAGRAPHS = {"p", "pre", "blockquote", "td", "li", "dd", "h1", "h2", "h3", "div", "section", "article", "main", "body", "center"}
 #: Points that a container starts with.
@@ -60,24 +67,25 @@ _NAMES = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 class Node:
     """An element with its children: text or nodes, in page order."""
 
-    __slots__ = ("children", "dead", "parent", "score", "tag")
+    __slots__ = ("children", "dead", "low", "parent", "score", "tag")
 
     def __init__(self, tag: str, parent: Node | None):
-        self.tag, self.parent, self.children, self.dead, self.score = tag, parent, [], 0, 0.0
+        self.tag, self.parent, self.children, self.dead, self.low, self.score = tag, parent, [], 0, False, 0.0
 
 
-def _said(said: str) -> set[str]:
-    """Words of names; a word after "no", "has" or "with" in the same name tells of something else."""
-    out = set()
+def _named(said: str, marks: set[str]) -> bool:
+    """Whether a name says what ``marks`` say: one of its words does, and its other words only name kinds of containers."""
     for name in said.split():
-        words = [x.lower() for x in _NAMES.findall(name)]
-        out.update(x for before, x in zip([""] + words, words) if before not in BESIDE)
-    return out
+        words = {x.lower() for x in _NAMES.findall(name)}
+        if words & marks and words <= marks | MARKS | COMMENTS | UNSURE | KINDS:
+            return True
+    return False
 
 
 def _marked(tag: str, attributes: dict[str, str], inside: bool) -> int:
-    """Whether an element and all below it is no main text: 0, 1 for its kind, 2 by its names, 3 by names of comments; inside:
-    below an article or main element, where ids are of the text's parts. Forms count as named, as one may hold a page."""
+    """Whether an element and all below it is no main text: 0, 1 for its kind, 2 by its names, 3 by names of comments, 4 by unsure
+    names; inside: below an article or main element, where ids, as those of all sections, are of the text's parts. Forms count as
+    named, as one may hold a page."""
     if tag in DROPPED or (tag == "header" and not inside) or "hidden" in attributes or attributes.get("aria-hidden") == "true":
         return 1
     if tag in ("body", "html"):
@@ -86,18 +94,40 @@ def _marked(tag: str, attributes: dict[str, str], inside: bool) -> int:
         return 1
     if tag in TEXTUAL:
         return 0
-    names = _said(f"{attributes.get('class', '')} {'' if inside else attributes.get('id', '')} {attributes.get('role', '')}")
-    if tag in ("article", "main"):
-        return 3 * bool(names & ASIDE_ARTICLES)
-    if names & COMMENTS or any(x.startswith("comment") for x in names):
+    names, own = attributes.get("class", ""), attributes.get("id", "")
+    if _named(f"{names} {'' if inside else own}", COMMENTS):
         return 3
-    if tag == "form" or any(x.startswith(PREFIXES) for x in names):
+    if tag in ("article", "main"):
+        return 2 * _named(names, ADVERTS)
+    if not inside and tag != "section":
+        names += " " + own
+    if tag == "form" or attributes.get("role", "").strip().lower() in ROLES or _named(names, MARKS):
         return 2
-    return 2 * bool(names & (MARKS - {"header", "byline"} if inside else MARKS))
+    return 4 * _named(names, UNSURE - {"header", "byline"} if inside else UNSURE)
+
+
+def _revive(order: list[Node]) -> None:
+    """Keep elements with unsure names that hold text of some length, little of it in links; their score is lowered. order: parents
+    before their children."""
+    if not any(x.dead == 4 for x in order):
+        return
+    link: dict[Node, bool] = {}
+    plain: dict[Node, int] = {}
+    linked: dict[Node, int] = {}
+    for x in order:
+        link[x] = x.tag == "a" or (x.parent is not None and link.get(x.parent, False))
+        n = sum(len(" ".join(c.split())) for c in x.children if isinstance(c, str))
+        plain[x], linked[x] = (0, n) if link[x] else (n, 0)
+    for x in reversed(order):
+        if x.parent in plain and x.dead not in (2, 3):
+            plain[x.parent] += plain[x]
+            linked[x.parent] += linked[x]
+        if x.dead == 4 and plain[x] >= READS and linked[x] < LINKED * (plain[x] + linked[x]):
+            x.dead, x.low = 0, True
 
 
 def _restore(root: Node, named: bool) -> None:
-    """Keep what names drop if it is the main container: it holds most of the page's paragraph points, and the page's heading,
+    """Keep elements with unsure names that read like text, with a lowered score, and keep what names drop if it is the main container: it holds most of the page's paragraph points, and the page's heading,
     article or main element, or all points, or, unless its names are of comments, three quarters. Without ``named``, names
     drop nothing."""
     order, todo = [], [root]
@@ -108,6 +138,7 @@ def _restore(root: Node, named: bool) -> None:
         if x.dead != 1:
             order.append(x)
             todo.extend(c for c in x.children if isinstance(c, Node))
+    _revive(order)
     if not any(x.dead for x in order):
         return
     points: dict[Node, float] = {}
@@ -301,7 +332,7 @@ def _scored(root: Node, named: bool) -> str:
         if x.parent and x in length:
             length[x.parent] = length.get(x.parent, 0) + length[x]
             links[x.parent] = links.get(x.parent, 0) + links[x]
-    value = {x: x.score * (1 - links.get(x, 0) / max(1, length.get(x, 0))) if x.score > 0 else x.score for x in scored}
+    value = {x: x.score * (1 - links.get(x, 0) / max(1, length.get(x, 0))) * (0.25 if x.low else 1) if x.score > 0 else x.score for x in scored}
     best = max((x for x in order if x in value), key=lambda x: value[x])
     top, up = value[best], best.parent
     while up:  # an article or main element around the best container is the container
@@ -312,7 +343,7 @@ def _scored(root: Node, named: bool) -> str:
         return text_of([best])
     kept = []
     for x in best.parent.children:
-        if isinstance(x, str) or x.dead:
+        if isinstance(x, str) or x.dead or (x.low and x is not best):
             continue
         density = links.get(x, 0) / max(1, length.get(x, 0))
         if x is best or (value.get(x, -1.0) >= max(10.0, 0.2 * top) and density < 0.5) or (x.tag == "p" and length.get(x, 0) > 80 and density < 0.25 and best.tag not in ("article", "main")):
