@@ -9,11 +9,11 @@ Rows are distinct shingle sets; a row's n-grams are put in order of rising frequ
    components are taken: a class of many near copies becomes one component by links in proportion to its rows.
 3. *The rest.* Only pairs of rows in different components can add anything. In columns of up to ``SMALL`` rows they are joined. Rows of
    larger columns are dealt into blocks (rows of a large component into blocks of their own, which don't meet each other), blocks
-   that share a column meet, and their incidence matrices are multiplied, some columns at a time: the product holds how many
-   of these columns each pair shares.
-4. Bounds that sizes give discard pairs: the ratio of sizes, the n-grams left after the place of a shared one, the sum of shared columns
-   and of all n-grams not yet seen, and the bits in which two parity signatures differ, which is at most the size of the
-   symmetric difference. Pairs that are left are verified by the overlap of the whole sets.
+   that share a column meet, and the incidence matrices of their whole sets are multiplied, some columns at a time: the product
+   accumulates the overlap of every pair. Of the pairs that link, those that join components go on, not all.
+4. Bounds that sizes give discard pairs: the ratio of sizes, the n-grams left after the place of a shared one, and the bits in which
+   two parity signatures differ, which is at most the size of the symmetric difference. Pairs of the skeleton and of small
+   columns that are left are verified by the overlap of the whole sets.
 """
 
 from __future__ import annotations
@@ -40,7 +40,7 @@ AHEAD, PARTNERS = 8, 4
 #: Rows of a column that is joined as it is; rows of a block of larger columns; columns multiplied at once.
 SMALL, SIDE, COLUMNS = 64, 1024, 4096
 #: Entries of a block, and rows of a column that one task puts in order.
-ENTRIES, RUN = 1 << 16, 1 << 16
+ENTRIES, RUN = 1 << 18, 1 << 16
 #: 64-bit words of a parity signature.
 SIGNATURE = 8
 #: Names of sets that are sent to all tasks at most, some 50 bytes each.
@@ -304,53 +304,67 @@ def multiply(columns: tuple[np.ndarray, np.ndarray], rows: tuple[np.ndarray, np.
     return out
 
 
-def _pairs_of_blocks(columns: DataFrame) -> DataFrame:
-    """Pairs (a < b) of rows of different components in columns of many rows, by products of blocks. columns: with ``root``."""
+def _joining(a: np.ndarray, b: np.ndarray, root_a: np.ndarray, root_b: np.ndarray) -> np.ndarray:
+    """Which of the links (a, b) join components that those before leave apart."""
+    names, at = np.unique(np.concatenate([root_a, root_b]), return_inverse=True)
+    up = list(range(len(names)))
+
+    def top(i: int) -> int:
+        while up[i] != i:
+            up[i] = up[up[i]]
+            i = up[i]
+        return i
+
+    keep = []
+    for k, (x, y) in enumerate(zip(at[: len(a)].tolist(), at[len(a) :].tolist(), strict=True)):
+        x, y = top(x), top(y)
+        if x != y:
+            up[x] = y
+            keep.append(k)
+    return np.array(keep, np.int64)
+
+
+def _links_of_blocks(columns: DataFrame, sets: DataFrame, rows: DataFrame) -> DataFrame:
+    """Links (a < b) between components in columns of many rows, by products of blocks: enough to join all components that
+    links of these columns join. columns: with ``root``."""
     wide = columns.where(F.col("m") > SMALL)
-    lead = F.min(F.struct("pos", "g")).alias("lead")
-    own = wide.groupBy("sid").agg(lead, F.count("*").alias("shared"), F.first("n").alias("n"), F.first("root").alias("root")).withColumn("home", F.col("lead.g"))
-    own = materialise(own.drop("lead"), "rows")
-    classes = own.groupBy("home", "root").agg(F.count("*").alias("k"), F.sum("shared").alias("e"))
+    own = wide.groupBy("sid").agg(F.min(F.struct("pos", "g")).alias("lead"), F.first("n").alias("n"), F.first("root").alias("root"))
+    own = materialise(own.withColumn("home", F.col("lead.g")).drop("lead"), "rows")
+    classes = own.groupBy("home", "root").agg(F.count("*").alias("k"), F.sum("n").alias("e"))
     parts = lambda k, e: F.greatest(F.ceil(k / SIDE), F.ceil(e / ENTRIES))
     big = classes.where(F.col("k") >= SIDE // 4).select("home", "root", F.col("root").alias("alone"), parts(F.col("k"), F.col("e")).alias("parts"))
     rest = classes.where(F.col("k") < SIDE // 4).groupBy("home").agg(parts(F.sum("k"), F.sum("e")).alias("others"))
-    own = own.join(big.hint("merge"), ["home", "root"], "left").join(rest.hint("merge"), "home", "left")
+    placed = own.join(big.hint("merge"), ["home", "root"], "left").join(rest.hint("merge"), "home", "left")
     block = F.xxhash64("home", "alone", F.pmod(F.xxhash64("sid"), F.coalesce("parts", "others")))
-    own = materialise(own.select("sid", "n", "shared", "root", "alone", block.alias("block")), "blocks")
-    entries = materialise(wide.select("g", "sid").join(own.hint("merge"), "sid"), "entries")
-    held = entries.select("g", "block", "alone").distinct()
+    placed = materialise(placed.select("sid", "root", "alone", block.alias("block")), "blocks")
+    held = materialise(wide.select("g", "sid").join(placed.hint("merge"), "sid").select("g", "block", "alone").distinct(), "held")
     other = held.select("g", F.col("block").alias("block_b"), F.col("alone").alias("alone_b"))
     meet = held.join(other.hint("merge"), "g").where((F.col("block") <= F.col("block_b")) & F.coalesce(F.col("alone") != F.col("alone_b"), F.lit(True)))
     meet = materialise(meet.select("block", "block_b").distinct().withColumn("key", F.monotonically_increasing_id()), "meetings")
     ends = F.expr("if(block = block_b, array(named_struct('block', block, 'side', 0)), array(named_struct('block', block, 'side', 0), named_struct('block', block_b, 'side', 1)))")
     sides = meet.select("key", (F.col("block") == F.col("block_b")).alias("same"), F.explode(ends).alias("end")).select("key", "same", "end.*")
+    whole = _whole(placed.join(sides.select("block").distinct().hint("merge"), "block", "left_semi").select("sid"), sets, rows)
 
-    def side(t: pa.Table, which: int) -> dict[str, np.ndarray]:
+    def side(t: pa.Table, which: int) -> tuple[np.ndarray, ...]:
         own = t.filter(pa.array(t["side"].to_numpy() == which))
-        sid, first, row = np.unique(own["sid"].to_numpy(), return_index=True, return_inverse=True)
-        n, shared, root = (own[c].to_numpy()[first] for c in ("n", "shared", "root"))
-        prefix = n + (-SHARE * n // 100) + 1
-        return {"sid": sid, "row": row, "g": own["g"].to_numpy(), "n": n, "root": root, "unseen": prefix - shared, "behind": n - prefix}
+        grams = [np.frombuffer(g, "<u8") for g in own["grams"].to_pylist()]
+        n = np.array([len(g) for g in grams], np.int64)
+        return own["sid"].to_numpy(), own["root"].to_numpy(), n, np.concatenate([np.empty(0, "<u8"), *grams]), np.repeat(np.arange(len(n)), n)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _groups(batches, "key"):
-            x = side(t, 0)
-            y = x if t["same"][0].as_py() else side(t, 1)
-            if not len(x["sid"]) or not len(y["sid"]):
-                continue
-            shared = multiply((x["g"], y["g"]), (x["row"], y["row"]), (len(x["sid"]), len(y["sid"])))
-            outer = lambda f, c: f(x[c][:, None], y[c][None, :])  # noqa: B023, E731
-            most = shared + outer(np.minimum, "unseen") + outer(np.maximum, "behind")
-            total = outer(np.add, "n")
-            ok = (shared > 0) & (most >= -(-SHARE * total // (100 + SHARE))) & outer(np.not_equal, "root") & (100 * outer(np.minimum, "n") >= SHARE * outer(np.maximum, "n"))
-            if y is x:
-                ok = np.triu(ok, 1)
+            sid_a, root_a, n_a, g_a, row_a = side(t, 0)
+            sid_b, root_b, n_b, g_b, row_b = side(t, 0 if t["same"][0].as_py() else 1)
+            shared = multiply((g_a, g_b), (row_a, row_b), (len(n_a), len(n_b)))
+            n, other = n_a[:, None], n_b[None, :]
+            ok = ((100 + SHARE) * shared.astype(np.int64) >= SHARE * (n + other)) & (root_a[:, None] != root_b[None, :])
             i, j = np.nonzero(ok)
-            a, b = x["sid"][i], y["sid"][j]
+            keep = _joining(i, j, root_a[i], root_b[j])
+            a, b = sid_a[i[keep]], sid_b[j[keep]]
             yield pa.record_batch({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b))})
 
-    rows = entries.select("g", "sid", "n", "shared", "root", "block").join(sides.hint("merge"), "block").drop("block")
-    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(run, "a long, b long").distinct()
+    rows = placed.select("sid", "root", "block").join(whole.hint("merge"), "sid").join(sides.hint("merge"), "block").drop("block")
+    return materialise(rows.repartition("key").sortWithinPartitions("key").mapInArrow(run, "a long, b long").distinct(), "joined")
 
 
 def overlap_join(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -381,8 +395,7 @@ def overlap_join(docs: DataFrame, text: str = "text", id_col: str = "doc_id") ->
     rooted = columns.join(roots.withColumnRenamed("node", "sid").hint("merge"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     rooted = materialise(rooted, "rooted")
     discard(columns)
-    across = _pairs_across(rooted).union(_pairs_of_blocks(rooted)).distinct()
-    more = _verified(_signed(across, sets), sets, rows)
+    more = materialise(_verified(_signed(_pairs_across(rooted), sets), sets, rows).union(_links_of_blocks(rooted, sets, rows)), "more")
     if not more.isEmpty():
         roots = materialise(connected_components(near.union(more)), "roots")
     discard(rooted)
