@@ -303,6 +303,60 @@ def test_anova_against_known_values():
     assert labeler.f_survival(4.9646, 1, 10) == pytest.approx(0.05, abs=1e-4)
 
 
+def test_anova_of_all_meters_against_least_squares(spark):
+    """Unbalanced cells, cells and whole levels missing, factors that don't connect, one level, no freedom left."""
+    rng = np.random.default_rng(21)
+    rows = []
+    for m in range(7):
+        for i in range(40):
+            a, b = int(rng.integers(0, 4)), int(rng.integers(0, 3))
+            if m == 1 and a == 2 and b == 1:
+                continue
+            if m == 2:
+                b = a % 2  # levels of one factor see one level of the other
+            if m == 3:
+                a = 1
+            if m == 4 and i >= 3:
+                continue
+            rows.append((f"m{m}", a, b, float(rng.normal(a + 2 * b * (m == 5), 1))))
+    rows += [("m5", None, 1, 5.0), ("m5", 1, None, 5.0), ("m5", 1, 1, None)]
+    df = spark.createDataFrame(rows, "meter_number string, a int, b int, y double")
+    got = {r.meter_number: r for r in labeler.anova(df, "y", "a", "b").collect()}
+    for m in range(7):
+        own = [r for r in rows if r[0] == f"m{m}" and None not in r]
+        want = labeler.two_way_anova(np.array([r[3] for r in own]), np.array([r[1] for r in own]), np.array([r[2] for r in own])) if own else None
+        assert (want is None) == (f"m{m}" not in got)
+        if want is None:
+            continue
+        out = got[f"m{m}"]
+        for name in ("a", "b", "interaction"):
+            ss, free, f, p = want[name]
+            assert out[f"ss_{name}"] == pytest.approx(ss, abs=1e-8) and out[f"df_{name}"] == free
+            if want["residual"][1] > 0 and free:
+                assert out[f"f_{name}"] == pytest.approx(f, rel=1e-6, abs=1e-9) and out[f"p_{name}"] == pytest.approx(p, rel=1e-5, abs=1e-9)
+            else:
+                assert out[f"f_{name}"] is None
+        assert (out.ss_residual, out.df_residual) == (pytest.approx(want["residual"][0], abs=1e-8), want["residual"][1])
+
+
+def test_bin_search_against_trying_each_number(spark):
+    rng = np.random.default_rng(22)
+    rows, want = [], {}
+    for m in range(5):
+        n = (600, 300, 100, 20, 48)[m]
+        t = np.round(rng.normal(5, 8, n), 3 if m < 4 else 0)
+        hour = rng.integers(0, 24, n) if m < 4 else np.arange(48) % 24
+        loads = [np.round(np.maximum(0, 100 + 10 * t + rng.normal(0, 200, n)), 2) for _ in range(3)]
+        for i in range(n):
+            rows.append((f"m{m}", dt.datetime(2024, 1, 1, int(hour[i])) + dt.timedelta(days=i), float(t[i]), *(float(x[i]) if x[i] else None for x in loads)))
+        _, cold, k = labeler.temperature_bins(t, hour, loads, labeler.LabelConfig())
+        want |= {(f"m{m}", p): (k, c) for p, c in zip(("l1", "l2", "l3"), cold)}
+    rows.append(("m9", dt.datetime(2024, 1, 1), None, 1.0, 1.0, 1.0))
+    out = labeler.search_bins(spark.createDataFrame(rows, "meter_number string, timestamp timestamp, T double, l1 double, l2 double, l3 double"))
+    assert {(r.meter_number, r.phase): (r.n_bins, r.bin) for r in out.collect()} == want
+    assert len({k for k, _ in want.values()}) > 2
+
+
 def test_sampling_is_reproducible():
     import pandas as pd
 

@@ -1,6 +1,6 @@
 """Statistical labels of meters: holiday homes and heat pumps, from active power and outdoor temperature.
 
-The deterministic parts are window and aggregate plans over all meters. The sampling of base and thermal loads has no
+The deterministic parts are window and aggregate plans over all meters, the analysis of variance too. The sampling of base and thermal loads has no
 relational form; it runs once for each meter and phase in a grouped Arrow batch, seeded by the run's seed, the meter and the phase.
 """
 
@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import PHASES
+from ..sources.scratch import materialise
 
 
 @dataclass(frozen=True)
@@ -128,6 +129,32 @@ def coldest_bins(binned: DataFrame, by: Sequence[str] = ("meter_number",), ts: s
     return best.select(*by, "phase", F.col("_b.bin").alias("bin"), F.col("_b.mean").alias("mean"), (F.col("_b.hours") == 24).alias("all_hours"))
 
 
+def search_bins(hourly: DataFrame, cfg: LabelConfig = LabelConfig(), by: Sequence[str] = ("meter_number",), ts: str = "timestamp") -> DataFrame:
+    """The largest number of quantile bins of temperature for which the coldest-load bin of every phase covers all hours of the day.
+
+    All numbers are tried at once: one aggregation finds the edges of all, each row is placed in every division, and the
+    divisions are judged by aggregates. A division whose edges coincide doesn't count; where none is left there is one bin, whatever hours it
+    covers. Rows without a temperature have no bin; a missing load counts as 0.
+
+    Returns for each key and phase ``n_bins`` and the number of its ``bin``.
+    """
+    numbers = range(cfg.max_bins, max(cfg.min_bins, 1) - 1, -1)
+    rows = hourly.where("T is not null").select(*by, F.hour(ts).alias("_h"), "T", *(F.coalesce(F.col(p), F.lit(0.0)).alias(p) for p in PHASES))
+    edges = rows.groupBy(*by).agg(*(F.percentile("T", F.array(*(F.lit(i / n) for i in range(n + 1)))).alias(f"_e{n}") for n in numbers))
+    tried = [F.struct(F.lit(n).alias("n"), F.col(f"_e{n}").alias("e")) for n in numbers]
+    edges = edges.select(*by, F.array(*tried).alias("_tried")).select(*by, F.filter("_tried", lambda t: F.size(F.array_distinct(t["e"])) == t["n"] + 1).alias("_tried"))
+    placed = rows.join(edges, list(by)).withColumn("_d", F.explode("_tried"))
+    inner = F.slice("_d.e", 2, F.col("_d.n") - 1)
+    placed = placed.select(*by, "_h", *PHASES, F.col("_d.n").alias("n_bins"), F.when(F.col("_d.n") > 1, F.size(F.filter(inner, lambda e: e < F.col("T")))).otherwise(0).alias("bin"))
+    bins = placed.groupBy(*by, "n_bins", "bin").agg(F.countDistinct("_h").alias("hours"), *(F.avg(p).alias(p) for p in PHASES))
+    cold = bins.groupBy(*by, "n_bins").agg(*(F.min(F.struct(p, "bin", "hours")).alias(p) for p in PHASES))
+    whole = F.greatest(*(F.col(f"{p}.hours") < 24 for p in PHASES)) == F.lit(False)
+    best = cold.groupBy(*by).agg(F.max(F.when(whole, F.struct("n_bins", *(F.col(f"{p}.bin").alias(p) for p in PHASES)))).alias("_b"))
+    best = rows.select(*by).distinct().join(best, list(by), "left")
+    phases = F.explode(F.array(*(F.struct(F.lit(p).alias("phase"), F.coalesce(F.col(f"_b.{p}"), F.lit(0)).alias("bin")) for p in PHASES)))
+    return best.select(*by, F.coalesce("_b.n_bins", F.lit(1)).alias("n_bins"), phases.alias("_p")).select(*by, "n_bins", "_p.*")
+
+
 def temperature_slope(loads: DataFrame, by: Sequence[str] = ("meter_number", "phase"), load: str = "load", limit: int = 3) -> DataFrame:
     """Least-squares slope of load on the rounded temperature up to ``limit`` degrees, and the line's value at the lowest
     temperature of all rows. A phase without such rows has 0 for both."""
@@ -316,6 +343,75 @@ def two_way_anova(y: np.ndarray, a: np.ndarray, b: np.ndarray) -> dict[str, tupl
     return out
 
 
+def explained_by(c: np.ndarray, q: np.ndarray) -> tuple[float, int]:
+    """q' times the solution of c x = q, and the rank of the positive semidefinite ``c``, by Cholesky factors with pivots."""
+    c, q = np.array(c, float), np.array(q, float)
+    least = 1e-10 * max(1.0, float(np.diag(c).max(initial=0.0)))
+    out, rank = 0.0, 0
+    left = list(range(len(q)))
+    while left:
+        k = max(left, key=lambda i: c[i, i])
+        if c[k, k] <= least:
+            break
+        left.remove(k)
+        out += q[k] ** 2 / c[k, k]
+        rank += 1
+        f = c[:, k] / c[k, k]
+        q = q - f * q[k]
+        c = c - np.outer(f, c[k])
+    return float(out), rank
+
+
+def anova(df: DataFrame, y: str, a: str, b: str, by: Sequence[str] = ("meter_number",)) -> DataFrame:
+    """Type II analysis of variance with interaction for each key, from sufficient statistics.
+
+    The rows give counts, sums and squares by cell of both factors, nothing else; any number of rows for a key is pre-aggregated
+    before a shuffle. What the second factor adds to the first solves the normal equations that are left when the first is
+    eliminated, one row and column for each level of the second. Rows with a null in y or a factor don't count; keys for
+    which a factor has one level have no row.
+
+    Returns sum of squares, freedom, F and p of ``a``, ``b`` and ``interaction`` (null where undefined), ``ss_residual`` and ``df_residual``.
+    """
+    keys = list(by)
+    cells = df.where(F.col(y).isNotNull() & F.col(a).isNotNull() & F.col(b).isNotNull()).select(*keys, F.col(a).alias("_a"), F.col(b).alias("_b"), F.col(y).cast("double").alias("_y"))
+    cells = materialise(cells.groupBy(*keys, "_a", "_b").agg(F.count("*").alias("n"), F.sum("_y").alias("s"), F.sum(F.col("_y") * F.col("_y")).alias("q")), "cells")
+    square = (F.col("s") * F.col("s") / F.col("n")).alias("x")
+    whole = cells.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("q").alias("q"), F.sum("s").alias("s"), F.count("*").alias("cells"), F.sum(F.col("s") * F.col("s") / F.col("n")).alias("full"))
+    first = cells.groupBy(*keys, "_a").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
+    second = cells.groupBy(*keys, "_b").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
+    sums = [x.select(*keys, square).groupBy(*keys).agg(F.sum("x").alias(f"by_{c}"), F.count("*").alias(f"levels_{c}")) for x, c in ((first, "a"), (second, "b"))]
+    with_a = cells.select(*keys, "_a", "_b", F.col("n").alias("m")).join(first, [*keys, "_a"])
+    lost = with_a.groupBy(*keys, "_b").agg(F.sum(F.col("m") * F.col("s") / F.col("n")).alias("lost"))
+    right = second.join(lost, [*keys, "_b"]).groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_b", (F.col("s") - F.col("lost")).alias("v")))).alias("right"))
+    other = cells.select(*keys, "_a", F.col("_b").alias("_c"), F.col("n").alias("k"))
+    shared = with_a.join(other, [*keys, "_a"]).groupBy(*keys, "_b", "_c").agg(F.sum(F.col("m") * F.col("k") / F.col("n")).alias("w"))
+    left = shared.groupBy(*keys).agg(F.collect_list(F.struct("_b", "_c", "w")).alias("left"))
+    own = second.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_b", "n"))).alias("own"))
+
+    def solve(own: list, left: list, right: list) -> tuple[float, int]:
+        at = {r[0]: i for i, r in enumerate(own)}
+        c = np.diag([float(r[1]) for r in own])
+        for x, z, w in left:
+            c[at[x], at[z]] -= w
+        return explained_by(c, np.array([r[1] for r in right]))
+
+    def tail(f: float | None, d1: int, d2: int) -> float | None:
+        return None if f is None else f_survival(f, d1, d2)
+
+    solved = F.udf(solve, "added double, rank int")("own", "left", "right").alias("m")
+    out = whole.join(sums[0], keys).join(sums[1], keys).join(own, keys).join(left, keys).join(right, keys).where("levels_a > 1 and levels_b > 1")
+    out = out.select(*keys, "n", "q", "cells", "full", "by_a", "by_b", "levels_a", "levels_b", solved)
+    main, rank = F.col("by_a") + F.col("m.added"), F.col("levels_a") + F.col("m.rank")
+    residual, free = F.greatest(F.lit(0.0), F.col("q") - F.col("full")), F.col("n") - F.col("cells")
+    scale = F.when((free > 0) & (residual > 0), residual / F.when(free > 0, free))
+    parts = {"a": (main - F.col("by_b"), rank - F.col("levels_b")), "b": (F.col("m.added"), F.col("m.rank").cast("long")), "interaction": (F.col("full") - main, F.col("cells") - rank)}
+    columns = []
+    for name, (ss, df_) in parts.items():
+        f = F.when(df_ > 0, ss / F.when(df_ > 0, df_) / scale)
+        columns += [ss.alias(f"ss_{name}"), df_.alias(f"df_{name}"), f.alias(f"f_{name}"), F.udf(tail, "double")(f, df_, free).alias(f"p_{name}")]
+    return out.select(*keys, *columns, residual.alias("ss_residual"), free.alias("df_residual"))
+
+
 def f_survival(f: float, d1: float, d2: float) -> float:
     """Upper tail of the F distribution, by the incomplete beta function's continued fraction."""
     from math import exp, lgamma, log
@@ -345,15 +441,15 @@ def f_survival(f: float, d1: float, d2: float) -> float:
 
 
 def sample_meter(rows: pd.DataFrame, meter: str, cfg: LabelConfig) -> pd.DataFrame:
-    """Base and thermal load of every hour and phase of one meter, with the p value of the phase effect."""
+    """Base and thermal load of every hour and phase of one meter."""
     rows = rows.dropna(subset=["T"]).sort_values("timestamp", ignore_index=True)
     if not len(rows):
-        return pd.DataFrame(columns=["meter_number", "timestamp", "phase", "T", "load", "base", "thermal", "dead", "p_phase"])
+        return pd.DataFrame(columns=["meter_number", "timestamp", "phase", "T", "load", "base", "thermal", "dead"])
     hour, t = pd.to_datetime(rows["timestamp"]).dt.hour.to_numpy(), rows["T"].to_numpy(float)
     loads = [rows[p].fillna(0).to_numpy(float) for p in PHASES]
     bins, cold, n = temperature_bins(t, hour, loads, cfg)
     sums = [x.sum() for x in loads]
-    parts, thermals = [], []
+    parts = []
     for i, p in enumerate(PHASES):
         rng = seeded(cfg.seed, meter, p)
         base = base_load(loads[i], hour, bins, cold[i], rng)
@@ -367,17 +463,11 @@ def sample_meter(rows: pd.DataFrame, meter: str, cfg: LabelConfig) -> pd.DataFra
             at = np.clip((loads[i] / 100).astype(int), 0, steps - 1)
             cumulative = post[:, at, hour, bins].cumsum(0)
             thermal = 100.0 * (rng.uniform(size=len(rows))[None, :] > cumulative / cumulative[-1]).sum(0)
-        thermals.append(thermal)
         parts.append(pd.DataFrame({"meter_number": meter, "timestamp": rows["timestamp"], "phase": p, "T": t, "load": loads[i], "base": base, "thermal": thermal, "dead": dead}))
-    cool = np.round(t) <= cfg.filter_temp
-    y = np.concatenate([x[cool] for x in thermals])
-    result = two_way_anova(y, np.tile(np.round(t)[cool], len(PHASES)), np.repeat(np.arange(len(PHASES)), cool.sum())) if cool.any() else None
-    out = pd.concat(parts, ignore_index=True)
-    out["p_phase"] = result["b"][3] if result else np.nan
-    return out
+    return pd.concat(parts, ignore_index=True)
 
 
-SAMPLED = "meter_number string, timestamp timestamp, phase string, T double, load double, base double, thermal double, dead boolean, p_phase double"
+SAMPLED = "meter_number string, timestamp timestamp, phase string, T double, load double, base double, thermal double, dead boolean"
 
 
 def label_heat_pumps(hourly: DataFrame, cfg: LabelConfig = LabelConfig()) -> DataFrame:
@@ -390,12 +480,13 @@ def label_heat_pumps(hourly: DataFrame, cfg: LabelConfig = LabelConfig()) -> Dat
         return sample_meter(rows, key[0], cfg)
 
     rows = hourly.select(F.col("meter_number").cast("string").alias("meter_number"), F.col("timestamp").cast("timestamp").alias("timestamp"), *PHASES, "T")
-    sampled = rows.groupBy("meter_number").applyInPandas(run, SAMPLED)
+    sampled = materialise(rows.groupBy("meter_number").applyInPandas(run, SAMPLED), "sampled")
     live = F.when(~F.col("dead"), F.col("thermal"))
     slopes = temperature_slope(sampled.withColumn("_live", live), load="_live", limit=cfg.filter_temp)
     errors = absolute_error(sampled.withColumn("_p", F.col("base") + F.col("thermal")), "_p", "load", ["meter_number", "phase"])
-    p = sampled.groupBy("meter_number").agg(F.first("p_phase", ignorenulls=True).alias("p_phase"))
-    out = heat_pump_phases(slopes, cfg).join(errors, ["meter_number", "phase"]).join(p, "meter_number")
+    cool = sampled.withColumn("_t", F.bround("T", 0)).where(F.col("_t") <= cfg.filter_temp)
+    p = anova(cool, "thermal", "_t", "phase").select("meter_number", F.col("p_b").alias("p_phase"))
+    out = heat_pump_phases(slopes, cfg).join(errors, ["meter_number", "phase"]).join(p, "meter_number", "left")
     # where phases don't differ, they are all labelled alike, by the number of indicators
     alike = F.coalesce(F.col("p_phase") > cfg.anova_p, F.lit(False))
     return out.withColumn("heat_pump", F.when(alike, F.col("indicators") >= 2).otherwise(F.col("heat_pump")))

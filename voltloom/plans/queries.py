@@ -355,6 +355,54 @@ def coldest_bin(spark: SparkSession, d: str) -> DataFrame:
     return out.select("meter_number", "phase", _r("mean"), "all_hours")
 
 
+def _grouped_hourly(spark: SparkSession, d: str) -> DataFrame:
+    """Hours of eight groups of meters, each long enough for several bins that cover the day."""
+    p = power(spark, d).withColumn("meter_number", (F.col("meter_number").cast("long") % 8).cast("string"))
+    return labeler.with_weather(resample.resample_mean(p, ["l1", "l2", "l3"], unit="hour"), _weather(spark, d))
+
+
+_SEARCH_SQL = f"""pw as ({POWER_SQL}), hr as (select cast(cast(meter_number as bigint) % 8 as varchar) as meter_number, date_trunc('hour', "timestamp") as t, avg(l1) as l1, avg(l2) as l2, avg(l3) as l3 from pw group by all),
+we as (select date_trunc('hour', ts) as t, avg(value) / 10 - 5 as temp from events group by 1),
+h as (select hr.*, hour(t) as hh, temp from hr join we using (t) where not (l1 = 0 and l2 = 0 and l3 = 0)),
+""" + ", ".join(f"e{n} as (select meter_number, {n} as n, quantile_cont(temp, [{', '.join(f'{i} / {n}.0' for i in range(n + 1))}]) as e from h group by 1)" for n in range(12, 0, -1)) + """,
+e as (""" + " union all ".join(f"select * from e{n}" for n in range(12, 0, -1)) + """),
+p as (select h.meter_number, n, hh, l1, l2, l3, len(list_filter(e[2:n], lambda x: x < temp)) as bin from h join e using (meter_number) where len(list_distinct(e)) = n + 1),
+l as (select meter_number, n, hh, bin, unnest(['l1', 'l2', 'l3']) as phase, unnest([l1, l2, l3]) as load from p),
+m as (select meter_number, n, phase, bin, avg(load) as mean, count(distinct hh) as hours from l group by all),
+c as (select * from m qualify row_number() over (partition by meter_number, n, phase order by mean, bin) = 1),
+w as (select meter_number, max(n) as n from (select meter_number, n from c group by all having min(hours) = 24) q group by 1)
+select meter_number, c.phase, cast(coalesce(w.n, 1) as integer) as n_bins, cast(coalesce(c.bin, 0) as integer) as bin
+from (select distinct meter_number, unnest(['l1', 'l2', 'l3']) as phase from h) k left join w using (meter_number) left join c using (meter_number, n, phase)"""
+
+
+@query("with " + _SEARCH_SQL.replace("c.phase", "k.phase"))
+def temperature_bin_search(spark: SparkSession, d: str) -> DataFrame:
+    return labeler.search_bins(_grouped_hourly(spark, d)).select("meter_number", "phase", "n_bins", "bin")
+
+
+@query(f"""with r as (select meter_number, isodow("timestamp") as a, phase as b, p14 as y from ({PHASE_SQL}) q),
+cells as (select meter_number as k, a, b, count(*) as n, sum(y) as s, sum(y * y) as q from r group by all),
+fa as (select k, a, sum(n) as n, sum(s) as s from cells group by all), fb as (select k, b, sum(n) as n, sum(s) as s from cells group by all),
+tot as (select k, sum(n) as n, sum(q) as q, count(*) as cells, sum(s * s / n) as full_ from cells group by k),
+xa as (select k, sum(s * s / n) as xa, count(*) as la from fa group by k), xb as (select k, sum(s * s / n) as xb, count(*) as lb from fb group by k),
+lost as (select c.k, c.b, sum(c.n * fa.s / fa.n) as lost from cells c join fa using (k, a) group by all),
+rhs as (select k, b, s - lost as v from fb join lost using (k, b)),
+wt as (select c.k, c.b, d.b as c, sum(c.n * d.n / fa.n) as w from cells c join cells d using (k, a) join fa using (k, a) group by all),
+co as (select fb.k, max(case when b = 'l1' then n end) - max(case when b = 'l1' then w11 end) as c11, max(case when b = 'l2' then n end) - max(case when b = 'l2' then w22 end) as c22, -max(w12) as c12 from fb
+  join (select k, max(w) filter (b = 'l1' and c = 'l1') as w11, max(w) filter (b = 'l2' and c = 'l2') as w22, coalesce(max(w) filter (b = 'l1' and c = 'l2'), 0) as w12 from wt group by k) z using (k) group by fb.k),
+qs as (select k, max(v) filter (b = 'l1') as q1, max(v) filter (b = 'l2') as q2 from rhs group by k),
+m as (select k, (q1 * q1 * c22 - 2 * q1 * q2 * c12 + q2 * q2 * c11) / (c11 * c22 - c12 * c12) as added from co join qs using (k)),
+o as (select tot.k, q - full_ as rss, n - cells as free, xa + added - xb as ss_a, la - 1 as df_a, added as ss_b, 2 as df_b, full_ - xa - added as ss_i, cells - la - 2 as df_i from tot join xa using (k) join xb using (k) join m using (k) where la > 1 and lb = 3)
+select k as meter_number, cast(cast(ss_a as real) as double) as ss_a, cast(df_a as bigint) as df_a, round(ss_a / df_a / (rss / free), 5) as f_a, cast(cast(ss_b as real) as double) as ss_b, cast(df_b as bigint) as df_b, round(ss_b / df_b / (rss / free), 5) as f_b,
+  cast(cast(ss_i as real) as double) as ss_interaction, cast(df_i as bigint) as df_interaction, round(ss_i / df_i / (rss / free), 5) as f_interaction, cast(cast(rss as real) as double) as ss_residual, cast(free as bigint) as df_residual from o""")
+def anova_type2(spark: SparkSession, d: str) -> DataFrame:
+    """Variance of the loads of each meter by weekday and phase."""
+    rows = phase_events(spark, d).withColumn("weekday", F.weekday("timestamp"))
+    out = labeler.anova(rows, "p14", "weekday", "phase")
+    parts = ("a", "b", "interaction")
+    return out.select("meter_number", *(_f(f"ss_{x}") for x in (*parts, "residual")), *_long(*(f"df_{x}" for x in (*parts, "residual"))), *(_r(f"f_{x}", 5) for x in parts))
+
+
 def _phase_loads(spark: SparkSession, d: str) -> DataFrame:
     h = _hourly(spark, d)
     rows = F.explode(F.array(*(F.struct(F.lit(p).alias("phase"), F.col(p).alias("load")) for p in ("l1", "l2", "l3"))))
