@@ -183,3 +183,93 @@ def test_scratch_needs_a_shared_folder(spark, monkeypatch):
     with pytest.raises(RuntimeError):
         scratch.shared_dir(Session())
     assert scratch.materialise(spark.range(5), "t").count() == 5
+
+
+def test_commits_cost_what_they_add(spark, store, monkeypatch):
+    """Parts are added, merged when they are read, put together now and then; old entries go, and no entry names more than it must."""
+    from voltloom.sources import store as module
+
+    monkeypatch.setattr(module, "COMPACT", 4)
+    monkeypatch.setitem(module.RULES, "kept", lambda rows: rows.groupBy("k").agg(F.max_by("v", "_part").alias("v")))
+    read = []
+    entry = Store._entry
+    monkeypatch.setattr(Store, "_entry", lambda self, path: (read.append(path), entry(self, path))[1])
+    for i in range(11):
+        store.commit({}, f"c{i}", {"kept": spark.createDataFrame([(i % 3, i)], "k int, v int"), "all": spark.range(i, i + 1)})
+        read.clear()
+        assert {r.k: r.v for r in store.snapshot("kept").collect()} == {k: max(j for j in range(i + 1) if j % 3 == k) for k in range(min(i + 1, 3))}
+        assert len(read) <= 4
+        assert sorted(r.id for r in store.snapshot("all").collect()) == list(range(i + 1))
+        assert len(store.commits()) <= 8 and len(store.current()["all"]) <= 4
+    store.commit({"all": spark.range(2)}, "replaced")
+    assert store.snapshot("all").count() == 2
+
+
+def test_two_writers_on_a_store_that_moves_over_files(spark, store, monkeypatch):
+    """Both see no entry, and moving refuses nothing: the claim lets one of them through."""
+
+    class Careless:
+        def __init__(self, fs):
+            self.fs = fs
+
+        def __getattr__(self, name):
+            return getattr(self.fs, name)
+
+        def exists(self, p):
+            return False if p.getName().endswith(".json") else self.fs.exists(p)
+
+        def rename(self, a, b):
+            self.fs.delete(b, False)
+            return self.fs.rename(a, b)
+
+    hadoop = Store._hadoop
+    monkeypatch.setattr(Store, "_hadoop", lambda self, path: (Careless(hadoop(self, path)[0]), hadoop(self, path)[1]))
+    log = store.commits()
+    store.write_snapshot(spark.range(3), "t", "a")
+    monkeypatch.setattr(Store, "commits", lambda self: log)
+    with pytest.raises(RuntimeError):
+        store.write_snapshot(spark.range(5), "t", "b")
+    monkeypatch.undo()
+    assert store.snapshot("t").count() == 3
+
+
+def test_a_claim_that_was_left_is_followed_by_the_next(spark, store, monkeypatch):
+    from voltloom.sources import store as module
+
+    fs, p = store._hadoop(store.path("_commits", f"{1:020d}.json"))
+    assert store._claim(fs, p) and not store._claim(fs, p)
+    with pytest.raises(RuntimeError):
+        store.write_snapshot(spark.range(3), "t", "a")
+    monkeypatch.setattr(module, "CLAIM", 0)
+    store.write_snapshot(spark.range(3), "t", "b")
+    assert store.snapshot("t").count() == 3
+
+
+def test_many_files_are_one_batch(spark, store, tmp_path):
+    (tmp_path / "in/data_2024_2.csv").write_text(CSV.replace("100025", "8"))
+    out = ingest_files(store, "in/*.csv", together=True)
+    assert len(out["files"]) == 2 and ingest_files(store, "in/*.csv")["files"] == []
+    assert {r.meter_number: r.total_rows for r in out["meters"].collect()} == {"100025": 2, "17": 2, "8": 2}
+    assert [(r.status, r.source) for r in store.snapshot("ingest_batches").collect()] == [("processed", "data_2024_1.csv,data_2024_2.csv")]
+
+
+def test_large_days_are_written_by_several_tasks(spark, store):
+    rows = spark.range(200_000).select(F.lit("2024-01-01").alias("dt"), F.lit(0).alias("shard"), F.xxhash64("id").cast("string").alias("meter_number"), F.lit(dt.datetime(2024, 1, 1)).alias("timestamp"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "500k")
+    try:
+        store.write_series(rows.repartition(8), "big")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(store.glob("big/dt=*/shard=*/*.parquet")) > 1
+    one = spark.read.parquet(store.glob("big/dt=*/shard=*/*.parquet")[0])
+    ids = [r.meter_number for r in one.collect()]
+    assert ids == sorted(ids) and store.parquet("big").count() == 200_000
+
+
+def test_a_document_survives_a_lost_writer(store, monkeypatch):
+    store.write_json({"a": 1}, "x.json")
+    fs, p = store._hadoop(store.path("x.json"))
+    fs.rename(p, store._hadoop(store.path("x.json.old"))[1])
+    assert store.json("x.json") == {"a": 1}
+    store.write_json({"a": 2}, "x.json")
+    assert store.json("x.json") == {"a": 2} and not store.exists("x.json.old")

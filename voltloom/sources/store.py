@@ -9,8 +9,9 @@ import json
 import logging
 import os
 import re
+import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -25,13 +26,20 @@ BACKENDS = {"s3": "s3a", "minio": "s3a", "azure": "abfss", "az": "abfss", "azure
 LAYERS = ("raw", "flags", "corrections", "phase_map")
 #: Files moved at once.
 MOVERS = 12
+#: Every so many commits an entry of the log names whole tables, and tables of several parts are written as one.
+COMPACT = 32
+#: Seconds after which a number that a writer has claimed without using it may be claimed again.
+CLAIM = 600
+#: How the parts of a table become its rows, by the table's name; others are the union of their parts. The rows have ``_part``, which
+#: rises with the commits.
+RULES: dict[str, Callable[[DataFrame], DataFrame]] = {}
 
 _log = logging.getLogger(__name__)
 
 
-def resolve_backend(backend: str | None = None, env: str = "STORAGE_BACKEND") -> str:
-    """URI scheme of a back end: the argument, else the environment's, else S3."""
-    name = (backend or os.environ.get(env) or "s3").lower()
+def resolve_backend(backend: str | None = None, env: Sequence[str] = ("STORAGE_BACKEND", "OBJECT_STORAGE_BACKEND")) -> str:
+    """URI scheme of a back end: the argument, else the first variable of the environment that is set, else S3."""
+    name = (backend or next(filter(None, map(os.environ.get, env)), None) or "s3").lower()
     if name not in BACKENDS:
         raise ValueError(f"unknown storage backend {name!r}")
     return BACKENDS[name]
@@ -151,7 +159,10 @@ class Store:
     def json(self, *parts: str):
         """A JSON document; None if it is absent or, with a log entry, broken."""
         if not self.exists(*parts):
-            return None
+            *folder, name = parts
+            if not self.exists(*folder, name + ".old"):  # a writer was lost between its two moves
+                return None
+            parts = (*folder, name + ".old")
         try:
             return json.loads(self._text(*parts))
         except ValueError as e:
@@ -170,24 +181,29 @@ class Store:
     # --- sinks -----------------------------------------------------------------------------------------------------------
 
     def write_series(self, df: DataFrame, *parts: str, mode: str = "append", row_group: int = 1_000_000) -> None:
-        """Series by date and shard, sorted by meter and time within files."""
-        df = df.repartition("dt", "shard").sortWithinPartitions("dt", "shard", "meter_number", "timestamp")
+        """Series by date and shard, sorted by meter and time within files. Rows of a date and shard come together; what is larger
+        than a task should hold is split at run time, what is small is put together."""
+        df = df.hint("rebalance", "dt", "shard").sortWithinPartitions("dt", "shard", "meter_number", "timestamp")
         df.write.mode(mode).option("compression", "zstd").option("parquet.block.row.count.limit", row_group).partitionBy("dt", "shard").parquet(self.path(*parts))
 
     def write_layer(self, df: DataFrame, name: str) -> None:
         """Replace flags or corrections, nested by shard, then date."""
-        df.repartition("shard", "dt").write.mode("overwrite").option("compression", "zstd").partitionBy("shard", "dt").parquet(self.path(name))
+        df.hint("rebalance", "shard", "dt").write.mode("overwrite").option("compression", "zstd").partitionBy("shard", "dt").parquet(self.path(name))
 
     def write_parquet(self, df: DataFrame, *parts: str, mode: str = "overwrite", by: Sequence[str] = ()) -> None:
         df.write.mode(mode).partitionBy(*by).parquet(self.path(*parts))
 
     def write_json(self, data, *parts: str) -> None:
-        """One JSON document; it is written beside its place and moved there, so that no reader sees a part of it."""
+        """One JSON document; it is written beside its place and moved there, so that no reader sees a part of it. The document before
+        stays beside it until the new one is in place: a reader that finds none takes that one."""
         fs, p = self._hadoop(self.path(*parts))
-        beside = self._beside(data, p)
-        fs.delete(p, False)
+        beside, (_, old) = self._beside(data, p), self._hadoop(self.path(*parts) + ".old")
+        if fs.exists(p):
+            fs.delete(old, False)
+            fs.rename(p, old)
         if not fs.rename(beside, p):
             raise OSError(f"could not write {p.toString()}")
+        fs.delete(old, False)
 
     def _beside(self, data, place):
         """Write a JSON document under another name in the folder of its place."""
@@ -200,37 +216,93 @@ class Store:
         return p
 
     def commits(self) -> list[str]:
-        """The log of snapshots, oldest first: files that are never changed, each with the current snapshot of every table."""
+        """The log, oldest entry first: files that are never changed. An entry tells which parts commits add to tables or put in
+        their place; every ``COMPACT``-th names all parts of all tables, and entries before the last but one of those are gone."""
         return self.glob("_commits/[0-9]*.json")
 
-    def current(self) -> dict[str, str]:
-        """The current snapshot of every table. A broken entry of the log is an error, never an empty store."""
-        log = self.commits()
-        return json.loads(self._text("_commits", log[-1].rsplit("/", 1)[-1]))["tables"] if log else {}
-
-    def commit(self, frames: dict[str, DataFrame], snapshot: str) -> None:
-        """New snapshots of several tables, which readers see all at once or not at all.
-
-        Tables are written first; then one log entry names them all. It takes the next number, and moving it there fails if
-        another writer has taken that meanwhile.
+    def _entry(self, path: str) -> dict:
+        return json.loads(self._text("_commits", path.rsplit("/", 1)[-1]))
+
+    def current(self) -> dict[str, list[str]]:
+        """The parts of every table. At most ``COMPACT`` entries are read, however long the log has become. A broken entry of the
+        log is an error, never an empty store."""
+        entries: list[dict] = []
+        for path in reversed(self.commits()):
+            entries.append(self._entry(path))
+            if entries[-1].get("whole"):
+                break
+        tables: dict[str, list[str]] = {}
+        for e in reversed(entries):
+            tables |= e["tables"]
+            for name, part in e.get("added", {}).items():
+                tables[name] = [*tables.get(name, []), part]
+        return tables
+
+    def commit(self, frames: dict[str, DataFrame], snapshot: str, added: dict[str, DataFrame] | None = None) -> None:
+        """Put ``frames`` in the place of tables and add the rows of ``added`` to tables; readers see all of it at once or nothing.
+
+        Parts are written first; then one log entry names them. Its number is claimed by a file that only one writer can create,
+        and the entry is written beside its place and moved there. What a commit writes is in proportion to its own rows; the parts of
+        a table are put together by every ``COMPACT``-th commit.
         """
-        log, tables = self.commits(), self.current()
-        for name, df in frames.items():
-            df.write.mode("errorifexists").parquet(self.path(name, snapshot))
+        log, tables, added = self.commits(), self.current(), added or {}
         number = int(log[-1].rsplit("/", 1)[-1].removesuffix(".json")) + 1 if log else 1
+        part = f"{number:020d}-{snapshot}"
+        whole = number % COMPACT == 0
+        if whole:
+            frames = dict(frames)
+            for name, held in tables.items():
+                if name not in frames and len(held) + (name in added) > 1:
+                    rows = self._rows(name, held)
+                    frames[name] = self._ruled(name, rows.unionByName(added[name].withColumn("_part", F.lit(part))) if name in added else rows)
+            added = {n: df for n, df in added.items() if n not in frames}
+        for name, df in (frames | added).items():
+            df.write.mode("errorifexists").parquet(self.path(name, part))
+        entry = {"tables": {name: [part] for name in frames}, "added": dict.fromkeys(added, part)}
+        if whole:
+            entry = {"whole": True, "tables": tables | {n: [*tables.get(n, []), part] for n in added} | entry["tables"]}
         fs, p = self._hadoop(self.path("_commits", f"{number:020d}.json"))
-        beside = self._beside({"tables": tables | dict.fromkeys(frames, snapshot)}, p)
-        if fs.exists(p) or not fs.rename(beside, p):
+        beside = self._beside(entry, p)
+        if not self._claim(fs, p) or fs.exists(p) or not fs.rename(beside, p):
             fs.delete(beside, False)
             raise RuntimeError(f"another writer has committed {p.getName()}")
+        if whole:
+            for old in log:
+                if int(old.rsplit("/", 1)[-1].removesuffix(".json")) < number - COMPACT:
+                    fs.delete(self._hadoop(old)[1], False)
+
+    def _claim(self, fs, place) -> bool:
+        """Claim an entry's number, by creating a file exclusively; a claim that has been left unused for long is followed by the next."""
+        folder, name = place.getParent().toString(), place.getName()
+        for nth in range(100):
+            _, p = self._hadoop(f"{folder}/.{name}.{nth}.claim")
+            try:
+                fs.create(p, False).close()
+                return True
+            except Exception as e:  # noqa: BLE001  only what says that the file is there
+                if not fs.exists(p):
+                    raise
+                _log.info("%s is claimed: %s", name, e)
+            if time.time() - fs.getFileStatus(p).getModificationTime() / 1000 < CLAIM:
+                return False
+        return False
+
+    def _rows(self, name: str, parts: list[str]) -> DataFrame:
+        """The rows of all parts with the name of their part."""
+        df = self.spark.read.parquet(*(self.path(name, p) for p in parts))
+        return df.withColumn("_part", F.regexp_extract(F.col("_metadata.file_path"), rf"/{name}/([^/]+)/[^/]*$", 1))
+
+    def _ruled(self, name: str, rows: DataFrame) -> DataFrame:
+        return (RULES[name](rows) if name in RULES else rows).drop("_part")
 
     def write_snapshot(self, df: DataFrame, name: str, snapshot: str) -> None:
         """A table's new snapshot: readers see the old or the new one."""
         self.commit({name: df}, snapshot)
 
     def snapshot(self, name: str) -> DataFrame | None:
+        """A table's rows, by the rule for its parts; None if it was never written."""
         found = self.current().get(name)
-        return self.spark.read.parquet(self.path(name, found)) if found else None
+        return self._ruled(name, self._rows(name, found)) if found else None
 
     def promote(self, staging: str, ready: str, prefix: str = "") -> list[str]:
         """Move staged files to the ready folder, keeping date and shard and setting ``prefix`` before their names, some at a
@@ -263,10 +335,10 @@ def month_order(paths: Sequence[str]) -> list[str]:
     return sorted(paths, key=key)
 
 
-def scan_measurements(spark: SparkSession, path: str, ts: str = "timestamp_dst", keep_bad: bool = False) -> DataFrame:
+def scan_measurements(spark: SparkSession, path: str | Sequence[str], ts: str = "timestamp_dst", keep_bad: bool = False) -> DataFrame:
     """Measurement rows of CSV files. Everything is read as text first, so ids keep their form; times without zone are
     UTC; rows with bad times or without a meter are left out."""
-    text = spark.read.option("header", True).csv(path)
+    text = spark.read.option("header", True).csv(path if isinstance(path, str) else list(path))
     numbers = [c for c in schemas.MEASUREMENTS if c in text.columns]
     out = text.select(
         F.trim("meter_number").alias("meter_number"), F.try_to_timestamp(ts).alias("timestamp"),
