@@ -19,11 +19,12 @@ Rows are distinct shingle sets; a row's n-grams are put in order of rising frequ
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import discard, materialise
@@ -45,8 +46,8 @@ ENTRIES, RUN = 1 << 18, 1 << 16
 SIGNATURE = 8
 #: Names of sets that are sent to all tasks at most, some 50 bytes each.
 SENT = 200_000
-#: Bytes of text that one numpy pass takes.
-PASS = 1 << 22
+#: Bytes of text that one numpy pass takes, and whole sets in one Arrow batch.
+PASS, SETS = 1 << 22, 64
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -99,6 +100,18 @@ def _passes(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.nd
         at = to
 
 
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """While it lasts, tables are written with ``SETS`` rows in an Arrow batch: whole sets of long documents are large rows."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, SETS)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _edges(text: np.ndarray, n: int) -> list[int]:
     return np.searchsorted(text, np.arange(n + 1)).tolist()
 
@@ -256,7 +269,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, rows: DataFrame) -> DataFrame:
                 linked.append((100 + SHARE) * shared >= SHARE * (len(x) + len(y)))
             yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
-    found = materialise(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "a long, b long"), "links")
+    with _small_batches(rows.sparkSession):
+        found = materialise(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "a long, b long"), "links")
     discard(pairs, whole)
     return found
 
@@ -363,8 +377,9 @@ def _links_of_blocks(columns: DataFrame, sets: DataFrame, rows: DataFrame) -> Da
             a, b = sid_a[i[keep]], sid_b[j[keep]]
             yield pa.record_batch({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b))})
 
-    rows = placed.select("sid", "root", "block").join(whole.hint("merge"), "sid").join(sides.hint("merge"), "block").drop("block")
-    return materialise(rows.repartition("key").sortWithinPartitions("key").mapInArrow(run, "a long, b long").distinct(), "joined")
+    members = placed.select("sid", "root", "block").join(sides.hint("merge"), "block").drop("block").join(whole.hint("merge"), "sid")
+    with _small_batches(rows.sparkSession):
+        return materialise(members.repartition("key").sortWithinPartitions("key").mapInArrow(run, "a long, b long").distinct(), "joined")
 
 
 def overlap_join(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
