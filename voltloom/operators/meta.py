@@ -112,6 +112,27 @@ def set_batch_status(batches: DataFrame, batch_id: str, status: str, **values) -
     return batches.withColumns(change | {c: F.when(hit, F.lit(v)).otherwise(F.col(c)) for c, v in values.items()})
 
 
+def named_workflows(base: str, identities: DataFrame) -> DataFrame:
+    """The rows of ``identities`` with the name of the step that works on each (see :func:`workflow_name`), as ``workflow``."""
+    names = list(identities.columns)
+    of = F.udf(lambda *values: f"{base}:{identity_hash(dict(zip(names, values, strict=True)))}", "string")
+    return identities.withColumn("workflow", of(*names))
+
+
+def mark_workflows(states: DataFrame, base: str, identities: DataFrame, completed: bool = True) -> DataFrame:
+    """Add or update the states of many steps at once; repeated identities count once."""
+    new = named_workflows(base, identities.distinct()).select("workflow", F.lit(completed).alias("completed"))
+    return merge(states, new, ["workflow"])
+
+
+def completed_workflows(states: DataFrame, base: str, identities: DataFrame) -> DataFrame:
+    """Whether the step of each identity is completed, by its own name or, for all, by the bare one."""
+    whole = F.lit(workflow_completed(states.where(F.col("workflow") == base), base, None))
+    known = states.where("completed").select("workflow", F.lit(True).alias("_done"))
+    out = named_workflows(base, identities).join(known, "workflow", "left")
+    return out.select(*identities.columns, "workflow", (F.coalesce("_done", F.lit(False)) | whole).alias("completed"))
+
+
 def promote_batch(files: DataFrame, batches: DataFrame, batch_id: str) -> tuple[DataFrame, DataFrame]:
     """Make a batch's staged files ready and the batch processed; write both as one new snapshot."""
     staged = (F.col("batch_id") == batch_id) & (F.col("status") == "staged")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +12,9 @@ from ..functions import scalar
 from ..operators import clean, explorer, graph, labeler, levels, mapping, meta, phasemap, quality, resample, upsert
 from ..operators import topology as topo
 from ..schemas import METER_CABINET
+from ..sources.scratch import shared_dir
+from ..sources.store import Store
+from . import grid as stored_topologies
 from .frames import GRID_SQL, PHASE_OF, PHASE_SQL, PHASES_SQL, POWER_SQL, events, meter_places, meter_rows, phase_events, planted_voltages, power, recorded_places, table, topology
 from .registry import QUERIES, SQL, query
 from .registry import time_text as _time
@@ -578,9 +584,20 @@ def topology_versions(spark: SparkSession, d: str) -> DataFrame:
     return explorer.versions_newest_first(upsert.make_current(v, upsert.latest_version(v, "raw")))
 
 
+_STORES: dict[tuple[str, str], Store] = {}
+
+
+def _stored(spark: SparkSession, d: str) -> Store:
+    """A store in the shared folder with the tables' grid. It is written once for a session, by the first query that asks for it."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _STORES or not _STORES[key].exists("_commits"):
+        _STORES[key] = Store(spark, f"{shared_dir(spark)}/voltloom-grid-{uuid.uuid4().hex}")
+        stored_topologies.ingest_topology(_STORES[key], topology(spark, d), meter_rows(spark, d))
+    return _STORES[key]
+
+
 def _grid(spark: SparkSession, d: str) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
-    g = topo.ingest(topology(spark, d), meter_rows(spark, d))
-    return g.assets, g.at()
+    return stored_topologies.grid_at(_stored(spark, d))
 
 
 #: Every meter of every feeder: component labels of the symmetric edges, by recursion over the forest.
@@ -591,10 +608,7 @@ _REACH_SQL = "recursive " + _REACH_SQL.lstrip()
 
 @query(f"with {_REACH_SQL} select feeder_id, meter_id from fm")
 def meters_by_feeder(spark: SparkSession, d: str) -> DataFrame:
-    assets, g = _grid(spark, d)
-    points = g["node"].where("node_type = 'DeliveryPoint'").select(F.col("id").alias("node"), "delivery_point_id")
-    out = graph.feeders_of_nodes(g).join(points, "node").join(assets["meter"].select(F.col("id").alias("meter_id"), "delivery_point_id"), "delivery_point_id")
-    return out.select("feeder_id", "meter_id")
+    return stored_topologies.feeder_meters(_stored(spark, d)).select("feeder_id", "meter_id")
 
 
 def _under(where: str) -> str:
@@ -603,32 +617,43 @@ def _under(where: str) -> str:
 
 @query(_under("n_nationkey = 3"))
 def meters_for_feeder(spark: SparkSession, d: str) -> DataFrame:
-    assets, g = _grid(spark, d)
-    return graph.meters_of("feeder", 3, g, assets).select("id")
+    return stored_topologies.meters_for(_stored(spark, d), "feeder", 3).select("id")
 
 
 @query(_under("n_nationkey = 7"))
 def meters_for_transformer(spark: SparkSession, d: str) -> DataFrame:
-    assets, g = _grid(spark, d)
-    return graph.meters_of("transformer", 7, g, assets).select("id")
+    return stored_topologies.meters_for(_stored(spark, d), "transformer", 7).select("id")
 
 
 @query(_under("n_regionkey = 2"))
 def meters_for_substation(spark: SparkSession, d: str) -> DataFrame:
-    assets, g = _grid(spark, d)
-    return graph.meters_of("secondary_substation", 2, g, assets).select("id")
+    return stored_topologies.meters_for(_stored(spark, d), "secondary_substation", 2).select("id")
 
 
 @query("select c_custkey as id from customer where c_nationkey = 4 and c_acctbal >= 0")
 def meters_for_cabinet(spark: SparkSession, d: str) -> DataFrame:
-    assets, g = _grid(spark, d)
-    return graph.meters_of("cabinet", 4, g, assets).select("id")
+    return stored_topologies.meters_for(_stored(spark, d), "cabinet", 4).select("id")
 
 
 @query("select c_custkey as id from customer where c_custkey = 17")
 def meters_for_delivery_point(spark: SparkSession, d: str) -> DataFrame:
-    assets, g = _grid(spark, d)
-    return graph.meters_of("delivery_point", 17, g, assets).select("id")
+    return stored_topologies.meters_for(_stored(spark, d), "delivery_point", 17).select("id")
+
+
+_REACHED = "select {} as version, feeder_id, count(*) as meters from (with " + _REACH_SQL + " select distinct feeder_id, meter_id from fm) q group by feeder_id"
+
+
+@query(f"""select cast(version as integer) as version, feeder_id, meters from ({_REACHED.format(1)} union all
+  {_REACHED.format(2).replace("from supplier join nation on s_nationkey = n_nationkey", "from supplier join nation on s_nationkey = n_nationkey where s_acctbal < 0").replace("code in (select lv_feeder from topo)", "code in (select 'LvFeeder.' || s_nationkey from supplier)")}) v""")
+def meters_by_version(spark: SparkSession, d: str) -> DataFrame:
+    """Meters that each feeder reaches in two versions of the grid, both read from one store after the second was added. Feeders of
+    the first stay known, so the second has nodes for those of its meters."""
+    store = Store(spark, f"{shared_dir(spark)}/voltloom-versions-{uuid.uuid4().hex}")
+    rows, meters = topology(spark, d), meter_rows(spark, d)
+    for part in (rows, rows.where("cable_length < 0")):
+        stored_topologies.ingest_topology(store, part, meters)
+    parts = [stored_topologies.feeder_meters(store, v).groupBy("feeder_id").agg(F.count("*").alias("meters")).withColumn("version", F.lit(v)) for v in (1, 2)]
+    return parts[0].unionByName(parts[1]).select("version", "feeder_id", "meters")
 
 
 @query("select c_custkey as id from customer where c_mktsegment = 'BUILDING'")
@@ -664,11 +689,15 @@ _EXPORT_SQL = f"""{_REACH_SQL}, nf as (select distinct node, seed as feeder from
 
 @query(f"""with {_EXPORT_SQL}, l as (select coalesce(f1, f2) as lv_feeder, n1_code, n2_code, cable_id from ex)
 select lv_feeder, 'Transformer.' || n_nationkey as transformer, 'SecondarySubstation.' || n_regionkey as secondary_substation, least(n1_code, n2_code) as a, greatest(n1_code, n2_code) as b, cable_id
-from l left join nation on 'LvFeeder.' || n_nationkey = lv_feeder where n1_code not like 'DeliveryPoint%' and n2_code not like 'DeliveryPoint%'""")
+from l left join nation on 'LvFeeder.' || n_nationkey = lv_feeder""")
 def export_topology(spark: SparkSession, d: str) -> DataFrame:
+    """All exported rows. The export names a delivery point's node by its number, which ingestion gives; here by its point."""
     assets, g = _grid(spark, d)
-    out = graph.export_topology(g, assets).where("not node1 like 'DeliveryPoint%' and not node2 like 'DeliveryPoint%'")
-    return out.select("lv_feeder", "transformer", "secondary_substation", F.least("node1", "node2").alias("a"), F.greatest("node1", "node2").alias("b"), "cable_id")
+    rows = graph.export_topology(g, assets)
+    points = g["node"].where("node_type = 'DeliveryPoint'").select(F.concat(F.lit("DeliveryPoint."), F.col("id").cast("string")).alias("node"), F.concat(F.lit("DeliveryPoint."), F.col("delivery_point_id").cast("string")).alias("point"))
+    for end in ("node1", "node2"):
+        rows = rows.join(points.select(F.col("node").alias(end), F.col("point").alias(f"{end}_point")), end, "left").withColumn(end, F.coalesce(f"{end}_point", end))
+    return rows.select("lv_feeder", "transformer", "secondary_substation", F.least("node1", "node2").alias("a"), F.greatest("node1", "node2").alias("b"), "cable_id")
 
 
 @query()
@@ -793,11 +822,12 @@ def transformer_list(spark: SparkSession, d: str) -> DataFrame:
     return mapping.transformer_ids(topology(spark, d))
 
 
-@query(f"""with {_CONNECT_SQL}, m as (select distinct meter_number from con), p as (select meter_number, phase from m cross join (values ('l1'), ('l2'), ('l3')) t(phase))
+@query(f"""with {_CONNECT_SQL.replace("usable > 0.1 * records", "usable > 0.6 * records")}, m as (select distinct meter_number from con), p as (select meter_number, phase from m cross join (values ('l1'), ('l2'), ('l3')) t(phase))
 select p.meter_number, 'voltage_' || p.phase || '_' || p.meter_number || '_nan_' || c_nationkey as label from p left join con using (meter_number, phase) join customer on cast(c_custkey as varchar) = p.meter_number where not coalesce(connected, false)""")
 def unconnected_phases(spark: SparkSession, d: str) -> DataFrame:
+    """Phases with usable rows in six tenths of their rows at most."""
     states = quality.voltage_states(_coarse(spark, d), _CFG)
-    con = quality.connectivity(states, quality.quality_fractions(states), _CFG)
+    con = quality.connectivity(states, quality.quality_fractions(states), replace(_CFG, no_data=0.6))
     lists = con.groupBy("meter_number").agg(F.collect_list(F.when(F.col("connected"), F.upper("phase"))).alias("connected_phases"))
     place = table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("meter_number"), F.lit(None).cast("string").alias("cabinet_id"), F.col("c_nationkey").alias("feeder_id"))
     return mapping.unconnected_phases(lists.join(place, "meter_number"))

@@ -126,13 +126,21 @@ def batch_promotion(spark: SparkSession, d: str) -> DataFrame:
     return files.groupBy("batch_id", "status").agg(F.count("*").alias("files")).join(batches.withColumnRenamed("status", "batch_status"), "batch_id")
 
 
-@query("""select 'ingest:' || substr(sha256('{"source": "' || event_type || '"}'), 1, 12) as workflow, true as completed from (values ('click'), ('view'), ('error')) t(event_type) union all select 'clean', true""")
+_STEPS = "select distinct o_orderpriority as mode, o_orderstatus as flag from orders"
+
+
+@query(f"""select 'ship:' || substr(sha256('{{"flag": "' || flag || '", "mode": "' || mode || '"}}'), 1, 12) as workflow, flag <> 'P' as completed, flag <> 'P' or mode = '1-URGENT' as skipped from ({_STEPS}) q""")
 def workflow_marks(spark: SparkSession, d: str) -> DataFrame:
-    """States of steps by the hash of what they work on; marking a step again changes nothing."""
+    """States of all steps of a table, by the hash of what they work on: completed ones stay so when they are marked again, and a step is
+    skipped if it, or the whole workflow under its bare name, is completed."""
+    steps = table(spark, d, "orders").select(F.col("o_orderpriority").alias("mode"), F.col("o_orderstatus").alias("flag")).distinct()
     states = spark.createDataFrame([], ingest.STATES)
-    for source in ("click", "view", "click", "error"):
-        states = meta.mark_workflow(states, "ingest", {"source": source})
-    return meta.mark_workflow(states, "clean")
+    states = meta.mark_workflows(states, "ship", steps, completed=False)
+    for _ in range(2):
+        states = meta.mark_workflows(states, "ship", steps.where("flag != 'P'"))
+    done = meta.mark_workflows(states, "ship", steps.where("mode = '1-URGENT'"))
+    skipped = meta.completed_workflows(done, "ship", steps).select("workflow", F.col("completed").alias("skipped"))
+    return states.join(skipped, "workflow").select("workflow", "completed", "skipped")
 
 
 @query("select c_custkey as id, case when c_acctbal < 0 then '{\"balance\": 0}' else c_name end as detail from customer")
