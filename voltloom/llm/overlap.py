@@ -411,11 +411,15 @@ def overlap_join(docs: DataFrame, text: str = "text", id_col: str = "doc_id") ->
     rooted = materialise(rooted, "rooted")
     discard(columns)
     more = materialise(_verified(_signed(_pairs_across(rooted), sets), sets, rows).union(_links_of_blocks(rooted, sets, rows)), "more")
-    if not more.isEmpty():
-        roots = materialise(connected_components(near.union(more)), "roots")
     discard(rooted)
     named = sets.select("digest", "sid").join(roots.withColumnRenamed("node", "sid").hint("merge"), "sid", "left")
-    firsts = ids.groupBy("digest").agg(F.min("doc_id").alias("first")).join(named.select("digest", F.coalesce("root", "sid").alias("root")).hint("merge"), "digest")
+    named = named.select("digest", F.coalesce("root", "sid").alias("root"))
+    if not more.isEmpty():  # what joins components is a graph over their roots, much smaller than that over rows
+        for end in ("a", "b"):
+            more = more.join(roots.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}")).hint("merge"), end, "left").withColumn(end, F.coalesce(f"root_{end}", end)).drop(f"root_{end}")
+        tops = materialise(connected_components(more), "tops")
+        named = named.join(tops.select(F.col("node").alias("root"), F.col("root").alias("top")).hint("merge"), "root", "left").select("digest", F.coalesce("top", "root").alias("root"))
+    firsts = ids.groupBy("digest").agg(F.min("doc_id").alias("first")).join(named.hint("merge"), "digest")
     firsts = materialise(firsts, "firsts")
     names = firsts.groupBy("root").agg(F.min("first").alias("component_id"))
     firsts = materialise(firsts.join(names.hint("merge"), "root").select("digest", "component_id"), "components")
