@@ -46,13 +46,15 @@ def components(edges: DataFrame, nodes: DataFrame, max_rounds: int = 1000) -> Da
     is about the logarithm of the longest path.
     """
     edges = materialise(edges, "graph")  # read in every round
-    labels = materialise(nodes.select(F.col("node"), F.col("node").alias("component")).distinct(), "labels")
+    held = labels = materialise(nodes.select(F.col("node"), F.col("node").alias("component")).distinct(), "labels")
     for _ in range(max_rounds):
         near = edges.join(labels.select(F.col("node").alias("dst"), F.col("component").alias("c")), "dst").groupBy("src").agg(F.min("c").alias("c"))
         low = labels.join(near.withColumnRenamed("src", "node"), "node", "left").select("node", F.col("component").alias("old"), F.least("component", "c").alias("component"))
         jump = low.select(F.col("node").alias("component"), F.col("component").alias("next"))
         new = materialise(low.join(jump, "component", "left").select("node", "old", F.least("component", "next").alias("component")), "labels")
         changed = not new.where("old != component").isEmpty()
+        discard(held)
+        held = new
         labels = new.select("node", "component")
         if not changed:
             return labels

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +11,7 @@ from ..functions import scalar
 from ..operators import clean, explorer, graph, labeler, levels, mapping, meta, phasemap, quality, resample, upsert
 from ..operators import topology as topo
 from ..schemas import METER_CABINET
-from ..sources.scratch import shared_dir
+from ..sources.scratch import folder
 from ..sources.store import Store
 from . import grid as stored_topologies
 from .frames import GRID_SQL, PHASE_OF, PHASE_SQL, PHASES_SQL, POWER_SQL, events, meter_places, meter_rows, phase_events, planted_voltages, power, recorded_places, table, topology
@@ -591,7 +590,7 @@ def _stored(spark: SparkSession, d: str) -> Store:
     """A store in the shared folder with the tables' grid. It is written once for a session, by the first query that asks for it."""
     key = (spark.sparkContext.applicationId, d)
     if key not in _STORES or not _STORES[key].exists("_commits"):
-        _STORES[key] = Store(spark, f"{shared_dir(spark)}/voltloom-grid-{uuid.uuid4().hex}")
+        _STORES[key] = Store(spark, folder(spark, "grid"))
         stored_topologies.ingest_topology(_STORES[key], topology(spark, d), meter_rows(spark, d))
     return _STORES[key]
 
@@ -648,7 +647,7 @@ _REACHED = "select {} as version, feeder_id, count(*) as meters from (with " + _
 def meters_by_version(spark: SparkSession, d: str) -> DataFrame:
     """Meters that each feeder reaches in two versions of the grid, both read from one store after the second was added. Feeders of
     the first stay known, so the second has nodes for those of its meters."""
-    store = Store(spark, f"{shared_dir(spark)}/voltloom-versions-{uuid.uuid4().hex}")
+    store = Store(spark, folder(spark, "versions"))
     rows, meters = topology(spark, d), meter_rows(spark, d)
     for part in (rows, rows.where("cable_length < 0")):
         stored_topologies.ingest_topology(store, part, meters)

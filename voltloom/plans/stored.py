@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import explorer, graph, meta, quality, resample, upsert
-from ..sources.scratch import shared_dir
+from ..sources.scratch import folder
 from ..sources.store import Store, month_order, scan_measurements
 from . import ingest
 from .frames import GRID_SQL, events, meter_rows, table, topology
@@ -19,7 +17,7 @@ _DAY = "2024-01-16"
 
 
 def _store(spark: SparkSession) -> Store:
-    return Store(spark, f"{shared_dir(spark)}/voltloom-files-{uuid.uuid4().hex}")
+    return Store(spark, folder(spark, "files"))
 
 
 def _csv(df: DataFrame, store: Store, name: str) -> str:

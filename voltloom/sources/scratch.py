@@ -28,6 +28,13 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def folder(spark: SparkSession, label: str) -> str:
+    """A new place in the shared folder; what is written there goes when the driver ends."""
+    path = f"{shared_dir(spark)}/voltloom-{label}-{uuid.uuid4().hex}"
+    _written.append((spark, path))
+    return path
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
@@ -35,9 +42,8 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     later reader sees the same rows. The table goes when the driver ends or :func:`discard` is called.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/voltloom-{label}-{uuid.uuid4().hex}"
+    path = folder(spark, label)
     df.write.option("compression", "zstd").parquet(path)
-    _written.append((spark, path))
     out = spark.read.schema(df.schema).parquet(path)
     out._voltloom_path = path
     return out
