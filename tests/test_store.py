@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from voltloom.plans import ingest
 from voltloom.plans.ingest import ingest_files
-from voltloom.sources.store import Store, month_order, resolve_backend
+from voltloom.sources.store import Store, month_order, resolve_backend, with_partitions
 from voltloom.streaming.ingest import ingest_stream, measurement_stream, streaming_means
 
 CSV = "timestamp_dst,meter_number,voltage_l1\n2024-01-01 00:00:00,100025,230\n2024-01-01 00:15:00,17,231\nbad,17,1\n2024-01-02 00:00:00,,1\n2024-01-02 00:00:00,100025,NaN\n"
@@ -273,3 +273,38 @@ def test_a_document_survives_a_lost_writer(store, monkeypatch):
     assert store.json("x.json") == {"a": 1}
     store.write_json({"a": 2}, "x.json")
     assert store.json("x.json") == {"a": 2} and not store.exists("x.json.old")
+
+
+def test_footers_tell_what_a_scan_tells(spark, tmp_path):
+    from voltloom.sources.footers import read_footers
+
+    store = Store(spark, f"file://{tmp_path}/lake")
+    rows = spark.sql("select cast(id % 7 as string) as meter_number, timestamp_seconds(1704067200 + id * 3600) as timestamp, cast(id as double) as voltage_l1 from range(200)")
+    before = spark.conf.get("spark.sql.parquet.outputTimestampType")
+    store.write_series(with_partitions(rows), "raw")
+    assert spark.conf.get("spark.sql.parquet.outputTimestampType") == before
+    scan = spark.read.parquet(store.path("raw")).groupBy(F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:///").alias("path"), F.col("_metadata.file_size").alias("bytes"))
+    want = {tuple(r) for r in scan.agg(F.min("timestamp"), F.max("timestamp"), F.count("*")).collect()}
+    got = store.file_stats("raw")
+    assert {tuple(r)[:5] for r in got.collect()} == want
+    assert got.where("dt is null or shard is null").isEmpty() and got.agg(F.sum("rows")).first()[0] == 200
+    assert "FileScan" not in read_footers(spark, store.path("raw"), "timestamp")._jdf.queryExecution().toString()
+    for tasks in (1, 2, 1000):  # folders of few or many tasks
+        spread = spark.read.format("parquet_footers").option("path", store.path("raw")).option("tasks", tasks).load()
+        assert {r.path for r in spread.collect()} == {w[0] for w in want}
+        assert spread.where("known").isEmpty()  # no column was asked for
+
+
+def test_files_without_statistics_of_times_are_scanned(spark, tmp_path):
+    store = Store(spark, f"file://{tmp_path}/old")
+    assert spark.conf.get("spark.sql.parquet.outputTimestampType") == "INT96"
+    rows = spark.sql("select timestamp_seconds(id) as timestamp, id from range(10)")
+    rows.repartition(2).write.parquet(store.path("raw"))
+    rows.where("id < 0").coalesce(1).write.mode("append").parquet(store.path("raw"))
+    spark.sql("select cast(null as timestamp) as timestamp, 1L as id").write.mode("append").parquet(store.path("raw"))
+    stats = store.file_stats("raw")
+    first, last, n = stats.agg(F.min(F.unix_seconds("first_seen")), F.max(F.unix_seconds("last_seen")), F.sum("rows")).first()
+    assert (first, last, n) == (0, 9, 11)
+    spark.range(0).write.parquet(store.path("none"))
+    store.at(store.path("none")).delete("part-*")
+    assert store.file_stats("none", ts="id").agg(F.sum("rows")).first()[0] in (0, None)

@@ -132,6 +132,39 @@ def topology_chain(meter_ids: DataFrame, graph: dict[str, DataFrame], assets: di
     return out.select("meter_id", "secondary_substation_id", "transformer_id", "feeder_id", "cabinet_id", "delivery_point_id", "depth").distinct().orderBy("meter_id", "depth", "feeder_id", "cabinet_id")
 
 
+def nearest_chains(meter_ids: DataFrame, graph: dict[str, DataFrame], assets: dict[str, DataFrame], max_rounds: int = 10000) -> DataFrame:
+    """The first row of :func:`topology_chain` for each delivery point's node, on any graph, meshed ones too.
+
+    All feeders search at once. Of the shortest ways to a node, that with the smallest feeder, then the smallest first cabinet as seen from
+    the node (none comes first), goes on; both are minima over neighbours one step nearer, so a node has one row, and the work is that
+    of one pass over the edges, whatever the number of paths. A node's neighbours are at most one step nearer or farther, so a
+    round looks back at two levels, never at all nodes.
+    """
+    nodes = graph["node"].select(F.col("id").alias("node"), "node_type", "feeder_id", "cabinet_id", "delivery_point_id")
+    above = assets["feeder"].select(F.col("id").alias("feeder_id"), "transformer_id").join(assets["transformer"].select(F.col("id").alias("transformer_id"), F.col("substation_id").alias("secondary_substation_id")), "transformer_id")
+    own = nodes.select(F.col("node").alias("dst"), (F.col("node_type") == "Cabinet").alias("is_cabinet"), F.col("cabinet_id").alias("own"))
+    edges = materialise(symmetric(graph["edge"]).withColumnRenamed("src", "node").join(own, "dst"), "graph")  # read in every round
+    feeders = nodes.where("node_type = 'LvFeeder'").join(above.select("feeder_id"), "feeder_id", "left_semi")
+    level = materialise(feeders.groupBy("node").agg(F.min("feeder_id").alias("feeder_id")).select("node", F.lit(0).alias("depth"), "feeder_id", F.lit(None).cast("long").alias("cabinet_id")), "levels")
+    before, out = None, level
+    best = F.struct("feeder_id", F.col("cabinet_id").isNotNull().alias("some"), "cabinet_id")
+    for depth in range(1, max_rounds + 1):
+        step = level.join(edges, "node").groupBy("dst").agg(F.min(best).alias("b"), F.any_value("is_cabinet").alias("is_cabinet"), F.any_value("own").alias("own"))
+        step = step.select(F.col("dst").alias("node"), F.lit(depth).alias("depth"), "b.feeder_id", F.when(F.col("is_cabinet"), F.col("own")).otherwise(F.col("b.cabinet_id")).cast("long").alias("cabinet_id"))
+        for known in filter(None, (before, level)):
+            step = step.join(known.select("node"), "node", "left_anti")
+        before, level = level, materialise(step, "levels")
+        if level.isEmpty():
+            break
+        out = out.unionByName(level)
+    else:
+        raise RuntimeError("the search from feeders didn't end")
+    points = nodes.where("node_type = 'DeliveryPoint'").select("node", "delivery_point_id")
+    start = meter_ids.join(assets["meter"].select(F.col("id").alias("meter_id"), "delivery_point_id"), "meter_id").join(points, "delivery_point_id")
+    found = start.join(out, "node").join(above, "feeder_id")
+    return found.select("meter_id", "secondary_substation_id", "transformer_id", "feeder_id", "cabinet_id", "delivery_point_id", "depth").distinct()
+
+
 def topology_map(meter_ids: DataFrame, chains: DataFrame, substations: DataFrame, with_data: DataFrame, order: str | None = None) -> DataFrame:
     """One row for each meter: its first chain, the substation's zip code, and whether it has data; order of input kept."""
     w = Window.partitionBy("meter_id").orderBy("depth", "feeder_id", "cabinet_id")

@@ -88,6 +88,18 @@ def upsert_phase_mappings(table: DataFrame, batch: DataFrame, order: str) -> Dat
     return merge(table, clean_phase_mappings(batch, order).drop(order), ["meter_id", "sm_phase"])
 
 
+def phase_mappings_of(results: DataFrame) -> DataFrame:
+    """What a phase mapper's rows say of the places of meters' phases, as a batch of mappings. Rows of transformers that couldn't be
+    mapped say nothing, so earlier mappings of their meters stay; of a meter under two transformers the larger transformer id counts."""
+    said = results.where("status is null or status not like 'failed: %'")
+    return said.select("meter_id", "sm_phase", F.col("true_feeder_id").alias("feeder_id"), "feeder_phase", F.col("true_transformer_id").alias("transformer_id"), "transformer_phase", clean_id(F.col("likely_cabinet_id")).alias("likely_cabinet_id"), F.col("transformer_id").alias("said_by"))
+
+
+def store_phase_results(table: DataFrame, results: DataFrame) -> DataFrame:
+    """Upsert a phase mapper's rows into the table of mappings."""
+    return upsert_phase_mappings(table, phase_mappings_of(results), "said_by")
+
+
 def workflow_name(base: str, identity: dict | None = None) -> str:
     return f"{base}:{identity_hash(identity)}" if identity else base
 

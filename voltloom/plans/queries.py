@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalar
-from ..operators import clean, explorer, graph, labeler, levels, mapping, meta, phasemap, quality, resample, upsert
+from ..operators import clean, explorer, graph, labeler, levels, mapping, meta, phasemap, quality, records, resample, upsert
 from ..operators import topology as topo
 from ..schemas import METER_CABINET
-from ..sources.scratch import folder
+from ..sources.scratch import folder, materialise
 from ..sources.store import Store
 from . import grid as stored_topologies
 from .frames import GRID_SQL, PHASE_OF, PHASE_SQL, PHASES_SQL, POWER_SQL, events, meter_places, meter_rows, phase_events, planted_voltages, power, recorded_places, table, topology
@@ -82,6 +82,16 @@ def ts_apply_corrections(spark: SparkSession, d: str) -> DataFrame:
     return levels.assemble("cleaned", _raw(spark, d), _flags(spark, d), _corrections(spark, d), keys=["event_id"]).drop("meter_number", "event_type")
 
 
+@query(f"with {_LEVEL_SQL} select event_id, v1 as voltage_l1, v2 as voltage_l2, v3 as voltage_l3 from cleaned")
+def ts_cleaned_bucketed(spark: SparkSession, d: str) -> DataFrame:
+    """Cleaned series from layers that are stored in buckets of the same keys, so that they join without a shuffle."""
+    store = Store(spark, folder(spark, "layers"))
+    for name, rows in (("raw", _raw(spark, d)), ("flags", _flags(spark, d)), ("corrections", _corrections(spark, d))):
+        store.write_bucketed(rows, name, by=["event_id"], buckets=16)
+    layers = [store.bucketed(name) for name in ("raw", "flags", "corrections")]
+    return levels.assemble("cleaned", *layers, keys=["event_id"]).drop("meter_number", "event_type")
+
+
 @query(f"""with {_LEVEL_SQL} select event_id, case when v < 50 then v2 when v > 100 then v2 else v1 end as voltage_l1,
   case when v < 50 then v1 when v > 100 then v3 else v2 end as voltage_l2, case when v < 50 then v3 when v > 100 then v1 else v3 end as voltage_l3
   from cleaned left join pmap using (meter_number)""")
@@ -490,6 +500,35 @@ def phase_clusters(spark: SparkSession, d: str) -> DataFrame:
     return phasemap.identify_phases(planted_voltages(spark, d), recorded_places(spark, d), off, phasemap.PhaseConfig(rows=500))
 
 
+@query(f"""select cast(meter_id as bigint) as meter_id, upper(sm_phase) as sm_phase, try_cast(true_feeder_id as bigint) as feeder_id, nullif(upper(feeder_phase), 'NAN') as feeder_phase, try_cast(true_transformer_id as bigint) as transformer_id,
+  nullif(upper(transformer_phase), 'NAN') as transformer_phase, try_cast(likely_cabinet_id as bigint) as likely_cabinet_id from ({PHASES_SQL}) q
+union all select -1, 'L1', 7, 'L1', null, null, null""")
+def mapped_phases(spark: SparkSession, d: str) -> DataFrame:
+    """The mapper's rows in the table of phase mappings, after rows of an earlier run of all meters and of one that is gone."""
+    held = materialise(phase_clusters(spark, d), "mapped")
+    none = {c: F.lit(None).cast(k) for c, k in (("transformer_id", "long"), ("transformer_phase", "string"), ("likely_cabinet_id", "long"))}
+    old = held.select(F.col("meter_id").cast("long").alias("meter_id"), F.lit("L1").alias("sm_phase")).distinct().unionByName(spark.range(1).select((F.col("id") - 1).alias("meter_id"), F.lit("L1").alias("sm_phase")))
+    old = old.select("meter_id", "sm_phase", F.lit(7).cast("long").alias("feeder_id"), F.lit("L1").alias("feeder_phase")).withColumns(none)
+    return meta.store_phase_results(old, held)
+
+
+@query(f"""with {_STATES_SQL} select meter_number, phase, {_grade_sql('corrupt_frac')} as v_summary, case when phase = 'l1' and c_acctbal < 0 then 'Bad' else {_grade_sql('p14_null_frac')} end as p14_summary, c_name as name
+from fr join customer on cast(c_custkey as varchar) = meter_number""")
+def classifier_records(spark: SparkSession, d: str) -> DataFrame:
+    """Grades of the classifier in nested records of meters, written again, one path of some changed, and read back as rows."""
+    c = table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("meter_number"), F.col("c_name"), F.col("c_acctbal"))
+    meters = c.select("meter_number", F.to_variant_object(F.struct(F.col("c_name").alias("name"))).alias("record"))
+    grades = records.nest(quality_summary(spark, d), "meter_number", "phase", ["v_summary", "p14_summary"])
+    for _ in range(2):
+        meters = records.write_records(meters, grades, "meter_number", ["classifier", "summary"])
+    l1 = ["classifier", "summary", "l1"]
+    poor = meters.where(records.get_path(F.col("record"), l1).isNotNull()).join(c.where("c_acctbal < 0"), "meter_number", "left_semi")
+    poor = poor.select("meter_number", F.parse_json(F.lit('"Bad"')).alias("value"))
+    meters = materialise(records.write_records(meters, poor, "meter_number", [*l1, "p14_summary"]), "records")
+    out = records.read_records(meters, "meter_number", ["classifier", "summary"], "phase", {"v_summary": "string", "p14_summary": "string"})
+    return out.join(meters.select("meter_number", records.get_path(F.col("record"), ["name"], "string").alias("name")), "meter_number")
+
+
 @query()
 def thermal_labels(spark: SparkSession, d: str) -> DataFrame:
     """Heat-pump labels of all meters by seeded sampling. Not expressible in SQL."""
@@ -679,7 +718,36 @@ def topology_map(spark: SparkSession, d: str) -> DataFrame:
     assets, g = _grid(spark, d)
     ids = assets["meter"].select(F.col("id").alias("meter_id"))
     have = events(spark, d).select(F.col("meter_number").cast("bigint").alias("meter_id")).distinct()
-    return graph.topology_map(ids, graph.topology_chain(ids, g, assets), assets["secondary_substation"], have)
+    return graph.topology_map(ids, graph.nearest_chains(ids, g, assets), assets["secondary_substation"], have)
+
+
+@query("""with e as (select distinct l_partkey as p, l_suppkey as s from lineitem), s1 as (select s_suppkey as s, s_nationkey as f from supplier where s_acctbal < 0),
+p2 as (select * from (select p, f, s as cab, row_number() over (partition by p order by f, s) as rn from e join s1 using (s)) q where rn = 1),
+s3 as (select s, min(f) as f from e join p2 using (p) where s not in (select s from s1) group by 1),
+p4 as (select * from (select p, f, s as cab, row_number() over (partition by p order by f, s) as rn from e join s3 using (s) where p not in (select p from p2)) q where rn = 1),
+s5 as (select s, min(f) as f from e join p4 using (p) where s not in (select s from s1 union all select s from s3) group by 1),
+p6 as (select * from (select p, f, s as cab, row_number() over (partition by p order by f, s) as rn from e join s5 using (s) where p not in (select p from p2 union all select p from p4)) q where rn = 1)
+select p as meter_id, f as feeder_id, cab as cabinet_id, 2 as depth from p2 union all select p, f, cab, 4 from p4 union all select p, f, cab, 6 from p6""")
+def nearest_feeders_meshed(spark: SparkSession, d: str) -> DataFrame:
+    """First chains on a meshed graph: parts are delivery points, suppliers cabinets, line items lines between them; suppliers in
+    debt stand at the feeder of their nation."""
+    part, s, n = (table(spark, d, t) for t in ("part", "supplier", "nation"))
+    no = F.lit(None).cast("long")
+    point, cabinet, feeder = F.col("p_partkey").cast("long"), F.col("s_suppkey").cast("long"), F.col("n_nationkey").cast("long")
+
+    def node(rows: DataFrame, kind: str, code: int, f, c, p) -> DataFrame:
+        key = next(x for x in (f, c, p) if x is not no)
+        return rows.select((key * 4 + code).alias("id"), F.lit(kind).alias("node_type"), f.alias("feeder_id"), c.alias("cabinet_id"), p.alias("delivery_point_id"))
+
+    nodes = node(part, "DeliveryPoint", 0, no, no, point).unionByName(node(s, "Cabinet", 1, no, cabinet, no)).unionByName(node(n, "LvFeeder", 2, feeder, no, no))
+    lines = table(spark, d, "lineitem").select((F.col("l_partkey").cast("long") * 4).alias("node1_id"), (F.col("l_suppkey").cast("long") * 4 + 1).alias("node2_id")).distinct()
+    edges = lines.unionByName(s.where("s_acctbal < 0").select((cabinet * 4 + 1).alias("node1_id"), (F.col("s_nationkey").cast("long") * 4 + 2).alias("node2_id")))
+    assets = {
+        "meter": part.select(point.alias("id"), point.alias("delivery_point_id")), "feeder": n.select(feeder.alias("id"), feeder.alias("transformer_id")),
+        "transformer": n.select(feeder.alias("id"), F.col("n_regionkey").alias("substation_id")),
+    }
+    out = graph.nearest_chains(part.select(point.alias("meter_id")), {"node": nodes, "edge": edges}, assets)
+    return out.select("meter_id", "feeder_id", "cabinet_id", "depth")
 
 
 _EXPORT_SQL = f"""{_REACH_SQL}, nf as (select distinct node, seed as feeder from walk)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import explorer, graph, meta, quality, resample, upsert
 from ..sources.scratch import folder
-from ..sources.store import Store, month_order, scan_measurements
+from ..sources.store import Store, month_order, scan_measurements, with_partitions
 from . import ingest
 from .frames import GRID_SQL, events, meter_rows, table, topology
 from .queries import _CHAIN_SQL, _grid
@@ -112,6 +112,19 @@ def appended_results(spark: SparkSession, d: str) -> DataFrame:
     return store.parquet("results").select("id", "name", "run")
 
 
+_FILES = "select strftime(ts, '%Y-%m-%d') as dt, count(*) as n_rows, strftime(min(date_trunc('second', ts)), '%Y-%m-%d %H:%M:%S') as first_seen, strftime(max(date_trunc('second', ts)), '%Y-%m-%d %H:%M:%S') as last_seen from events group by 1"
+
+
+@query(_FILES)
+def file_footers(spark: SparkSession, d: str) -> DataFrame:
+    """What the footers of a layer's files tell, by date."""
+    store = _store(spark)
+    rows = events(spark, d).select("meter_number", F.date_trunc("second", F.col("timestamp").cast("timestamp")).alias("timestamp"), F.col("value").alias("voltage_l1"))
+    store.write_series(with_partitions(rows), "raw")
+    out = store.file_stats("raw").groupBy("dt").agg(F.sum("rows").alias("n_rows"), F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"))
+    return out.select("dt", "n_rows", time_text("first_seen"), time_text("last_seen"))
+
+
 # --- states -----------------------------------------------------------------------------------------------------------------
 
 

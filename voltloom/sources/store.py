@@ -11,15 +11,19 @@ import os
 import re
 import time
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions.scalar import nan_to_null, shard
+from .footers import read_footers
+from .scratch import materialise
 
 #: Names of back ends and the URI schemes they stand for.
 BACKENDS = {"s3": "s3a", "minio": "s3a", "azure": "abfss", "az": "abfss", "azure_blob": "abfss", "local": "file", "file": "file"}
@@ -91,9 +95,17 @@ class Store:
         return found.select("path", F.col("length").alias("bytes"), F.nullif(dt, F.lit("")).alias("dt"), shard.try_cast("int").alias("shard"))
 
     def file_stats(self, *parts: str, ts: str = "timestamp") -> DataFrame:
-        """Rows and earliest and latest time of every file."""
-        df = self.spark.read.parquet(self.path(*parts))
-        return df.groupBy(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("bytes")).agg(F.min(ts).alias("first_seen"), F.max(ts).alias("last_seen"), F.count("*").alias("rows"))
+        """Rows, bytes and earliest and latest time of every file, from footers that executors read. Files whose footers don't tell
+        the times, as other writers' may not, are scanned for them."""
+        path = self.path(*parts)
+        found = materialise(read_footers(self.spark, path, ts), "footers")
+        out = found.select("path", "bytes", "first_seen", "last_seen", "rows", "row_groups", "dt", "shard")
+        if found.where("not known and rows > 0").isEmpty():
+            return out
+        name = F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:///").alias("path")
+        scanned = self.spark.read.parquet(path).groupBy(name).agg(F.min(ts).cast("timestamp").alias("a"), F.max(ts).cast("timestamp").alias("z"))
+        out = out.join(scanned, "path", "left").withColumns({"first_seen": F.coalesce("first_seen", "a"), "last_seen": F.coalesce("last_seen", "z")})
+        return out.drop("a", "z")
 
     # --- scans -----------------------------------------------------------------------------------------------------------
 
@@ -184,7 +196,19 @@ class Store:
         """Series by date and shard, sorted by meter and time within files. Rows of a date and shard come together; what is larger
         than a task should hold is split at run time, what is small is put together."""
         df = df.hint("rebalance", "dt", "shard").sortWithinPartitions("dt", "shard", "meter_number", "timestamp")
-        df.write.mode(mode).option("compression", "zstd").option("parquet.block.row.count.limit", row_group).partitionBy("dt", "shard").parquet(self.path(*parts))
+        with self._times_with_statistics():
+            df.write.mode(mode).option("compression", "zstd").option("parquet.block.row.count.limit", row_group).partitionBy("dt", "shard").parquet(self.path(*parts))
+
+    @contextmanager
+    def _times_with_statistics(self) -> Iterator[None]:
+        """Write times as whole numbers, so that footers tell the earliest and latest."""
+        conf, key = self.spark.conf, "spark.sql.parquet.outputTimestampType"
+        before = conf.get(key)
+        conf.set(key, "TIMESTAMP_MICROS")
+        try:
+            yield
+        finally:
+            conf.set(key, before)
 
     def write_layer(self, df: DataFrame, name: str) -> None:
         """Replace flags or corrections, nested by shard, then date."""
@@ -193,6 +217,27 @@ class Store:
     def write_parquet(self, df: DataFrame, *parts: str, mode: str = "overwrite", by: Sequence[str] = ()) -> None:
         df.write.mode(mode).partitionBy(*by).parquet(self.path(*parts))
 
+    def write_bucketed(self, df: DataFrame, *parts: str, by: Sequence[str], buckets: int) -> DataFrame:
+        """Replace a table dealt into buckets by keys and sorted by them. Tables with the same keys and number of buckets join, and
+        aggregate by the keys, without a shuffle: raw series, flags and corrections are dealt once, when they are written. A
+        bucket is what one task reads, so their number goes with the largest layer."""
+        path = self.path(*parts)
+        name = f"voltloom_{uuid.uuid4().hex}"
+        writer = df.repartition(buckets, *by).write.mode("overwrite").option("compression", "zstd").option("path", path)
+        writer.bucketBy(buckets, *by).sortBy(*by).saveAsTable(name)
+        self.write_json({"by": list(by), "buckets": buckets, "columns": df.schema.jsonValue()}, *parts[:-1], f"{parts[-1]}.buckets.json")
+        return self.spark.table(name)
+
+    def bucketed(self, *parts: str) -> DataFrame:
+        """A table of :meth:`write_bucketed`, with its buckets known to Spark in any session."""
+        layout = self.json(*parts[:-1], f"{parts[-1]}.buckets.json")
+        if layout is None:
+            raise FileNotFoundError(f"{self.path(*parts)} holds no bucketed table")
+        name, keys = f"voltloom_{uuid.uuid4().hex}", ", ".join(f"`{c}`" for c in layout["by"])
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in T.StructType.fromJson(layout["columns"]))
+        self.spark.sql(f"create table {name} ({columns}) using parquet location '{self.path(*parts)}' clustered by ({keys}) sorted by ({keys}) into {int(layout['buckets'])} buckets")
+        return self.spark.table(name)
+
     def write_json(self, data, *parts: str) -> None:
         """One JSON document; it is written beside its place and moved there, so that no reader sees a part of it. The document before
         stays beside it until the new one is in place: a reader that finds none takes that one."""
