@@ -103,6 +103,18 @@ def test_packing_odd_rows(spark, docs, odd_rows):
     assert packing.pack(docs([]), WORD).count() == 0
 
 
+def test_copies_of_a_row_spread_over_blocks(spark, docs, monkeypatch):
+    monkeypatch.setattr(packing, "BLOCK", 50)
+    monkeypatch.setattr(packing, "COPIES", 7)
+    rows = [(1, "the same row")] * 600 + [(i, f"row {i} of its own") for i in range(2, 400)] + [(5000, None), (5000, ""), (None, "x"), (None, "x")]
+    spread = docs(rows).repartition(8)
+    got = [packing.pack(d, WORD).drop("ids").collect() for d in (docs(rows).coalesce(1), spread)]
+    assert sorted(map(str, got[0])) == sorted(map(str, got[1]))  # however the rows are split
+    blocks = Counter(p.sequence_id >> packing.LOCAL_BITS for p in got[0] if p.start == 0)
+    assert len(blocks) == 21 and max(blocks.values()) < 100
+    assert Counter(p.doc_id for p in got[0] if p.start == 0)[1] == 600
+
+
 @settings(max_examples=50, deadline=None)
 @given(st.lists(st.integers(0, 50), max_size=40))
 def test_assignment(lengths):

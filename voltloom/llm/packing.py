@@ -11,7 +11,6 @@ cheapest one, and the rest goes on. So a block pads at most one sequence, whatev
 from __future__ import annotations
 
 import heapq
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,11 +19,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks_for
+from .common import blocks_for, materialise
 from .tokens import encoder, without_cycles
 
 #: Documents packed together. Padding is at most one sequence for each block.
 BLOCK = 1024
+#: Copies of one row that one row of a run stands for.
+COPIES = 1000
 #: Cost of a sequence: per id, and per pair of ids of one piece. At 2048 ids the quadratic part is half the linear one.
 LINEAR, QUADRATIC = 1.0, 1.0 / 4096
 #: Sequence ids: the block in the high bits, the sequence within the block in the low ones.
@@ -73,30 +74,29 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, capacity: int =
     in exactly one piece; pieces of one document may lie in several sequences. Repeated rows are packed once each, a
     null id stays null, an empty table gives no pieces, and other columns are ignored. A giant text becomes many full
     pieces, which spread over all blocks. One shuffle moves the ids (two bytes each while they fit), dealt by a hash of the
-    document's id, the piece's place and its ids; so the layout doesn't depend on how the rows are split over tasks. Equal
-    pieces of rows that are there several times are told apart by their number in a batch, so no key of the data can make a
+    document's id, the piece's place and its ids; so the layout doesn't depend on how the rows are split over tasks. Rows that
+    are there several times are numbered over the whole table and dealt by their number too, so no key of the data can make a
     task large; a block's memory is bounded by ``BLOCK`` documents' tails.
 
     Returns the pieces: ``doc_id``, ``start`` (ids of the document before it), ``length``, ``ids`` (little-endian
     unsigned 32-bit), ``doc_tokens``, ``sequence_id``, ``offset`` (place in the sequence, gapless from 0).
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    rows = _numbered(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")))
     blocks = blocks_for(docs.count(), BLOCK)
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc = encoder(tokenizer_path)
         each = enc.width
         for b in batches:
-            out, seen = [], Counter()
-            for doc, t in zip(b["doc_id"], b["text"], strict=True):
+            out = []
+            for doc, t, number in zip(b["doc_id"], b["text"], b["number"], strict=True):
                 with without_cycles():
-                    raw = enc.packed(t if isinstance(t, str) else "") + end_id.to_bytes(each, "little")
+                    raw = enc.packed(t) + end_id.to_bytes(each, "little")
                 n = len(raw) // each
                 for start in range(0, n, capacity):
                     ids = raw[start * each : (start + capacity) * each]
                     h = xxhash.xxh3_64_intdigest(ids, hash((none := bool(pd.isna(doc)), 0 if none else int(doc), start)) & _WORD)
-                    seen[h] += 1
-                    block = h if seen[h] == 1 else xxhash.xxh3_64_intdigest(seen[h].to_bytes(8, "little"), h)
+                    block = xxhash.xxh3_64_intdigest(int(number).to_bytes(8, "little"), h) if number else h
                     out.append((doc, start, min(capacity, n - start), ids, n, block % blocks))
                 if len(out) >= 4000:
                     yield _frame(out)
@@ -123,6 +123,24 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, capacity: int =
     return cuts.groupBy("block").applyInPandas(fill, PIECES)
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Rows with ``number``: 0, 1, ... for the copies of a row, over the whole table.
+
+    Only rows whose hash is there twice are brought together, as one row and its count, and then dealt out again in runs
+    of ``COPIES``, so that a row of a million copies is many tasks' work.
+    """
+    rows = rows.withColumn("key", F.xxhash64("doc_id", "text"))
+    twice = materialise(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "copies")
+    if twice.isEmpty():
+        return rows.select("doc_id", "text", F.lit(0).cast("long").alias("number"))
+    once = rows.join(twice, "key", "left_anti").select("doc_id", "text", F.lit(0).cast("long").alias("number"))
+    counted = rows.join(twice, "key", "left_semi").groupBy("doc_id", "text").agg(F.count("*").alias("n"))
+    runs = counted.withColumn("first", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(COPIES).cast("long"))))
+    runs = runs.repartition(F.xxhash64("doc_id", "text", "first"))
+    number = F.explode(F.sequence("first", F.least(F.col("n"), F.col("first") + COPIES) - 1)).alias("number")
+    return once.unionByName(runs.select("doc_id", "text", number))
+
+
 def _frame(rows: list[tuple]) -> pd.DataFrame:
     out = pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids", "doc_tokens", "block"])
     return out.assign(doc_id=out["doc_id"].astype("Int64"))
