@@ -563,3 +563,41 @@ def test_posterior_against_loops():
                 total = sum(joint)
                 want = [(j / total if total else 0.0) + 1e-6 for j in joint]
                 assert got[:, seen, h, t] == pytest.approx(np.array(want) / sum(want))
+
+
+def test_load_shares_are_those_of_sums_of_draws():
+    rng = np.random.default_rng(8)
+    mean, sd, top, steps, n = rng.uniform(0, 1000, (3, 6)), rng.uniform(5, 250, (3, 6)), 1000.0, 10, 200_000
+    pools = [np.zeros(0), np.array([0.0, 0.0, 350.0]), rng.uniform(0, 900, 7)]
+    got = labeler.load_shares(mean, sd, pools, top, steps)
+    for i, pool in enumerate(pools):
+        total = labeler.truncated_normal(rng, mean[i], sd[i], 0, top, n)
+        if len(pool):
+            total += rng.choice(pool, total.shape)
+        for j in range(6):
+            assert got[i, j, :-1] == pytest.approx(np.histogram(total[j], steps, (0, top))[0] / n, abs=0.006)
+    assert got.sum(2) == pytest.approx(np.ones((3, 6)))
+
+
+def test_counts_cost_less_than_their_sums(monkeypatch):
+    monkeypatch.setattr(labeler, "truncated_normal", lambda *_: pytest.fail("single sums are drawn"))
+    rng = np.random.default_rng(9)
+    got = labeler.load_counts(rng, rng.uniform(0, 1000, (2, 4)), rng.uniform(0, 250, (2, 4)), [np.zeros(0), np.array([100.0])], 1000.0, 10, 1000)
+    assert got.shape == (2, 4, 10) and (got.sum(2) <= 1000).all() and (got.sum(2)[0] == 1000).all()
+
+
+def test_counts_of_large_pools_are_drawn_as_sums():
+    pools = [np.linspace(0, 900, 100), np.linspace(0, 900, 100)[:20]]
+    mean, sd = np.full((2, 3), 300.0), np.full((2, 3), 50.0)
+    got = labeler.load_counts(np.random.default_rng(3), mean, sd, pools, 1000.0, 10, 1000)
+    assert got.reshape(2, -1).sum(1) / 3000 == pytest.approx(labeler.load_shares(mean, sd, pools, 1000.0, 10)[:, 0, :-1].sum(1), abs=0.03)
+
+
+def test_sampling_is_dealt_by_rows_not_bytes(spark, monkeypatch):
+    monkeypatch.setattr(labeler, "TASK_ROWS", 24)
+    plans = []
+    kept = labeler.materialise
+    monkeypatch.setattr(labeler, "materialise", lambda df, label: plans.append((label, df.rdd.getNumPartitions() if label == "sampled" else 0)) or kept(df, label))
+    hours = [(str(m), dt.datetime(2024, 1, 1, h), 1.0 + h, 0.0, 0.0, float(h)) for m in range(16) for h in range(24)]
+    labeler.label_heat_pumps(spark.createDataFrame(hours, "meter_number string, timestamp timestamp, l1 double, l2 double, l3 double, T double"), labeler.LabelConfig(max_bins=1, draws=2, samples=9))
+    assert dict(plans)["sampled"] == 17

@@ -234,33 +234,80 @@ def truncated_normal(rng: np.random.Generator, mean: np.ndarray, sd: np.ndarray,
     return np.clip(out, low, high, out=out)
 
 
+def _normal_cdf_even(x: np.ndarray) -> np.ndarray:
+    """:func:`_normal_cdf` for many values: the table's places are even, so they are computed, not searched."""
+    _, cdf = _normal_table()
+    place = np.clip((x + 9) * 1000, 0, len(cdf) - 1.000001)
+    low = place.astype(np.int32)
+    first = cdf[low]
+    return first + (place - low) * (cdf[low + 1] - first)
+
+
+def _parts(x: np.ndarray, top: float, steps: int) -> np.ndarray:
+    """In which of ``steps`` equal parts of 0 to ``top`` values lie; the last part is closed."""
+    return np.minimum(np.searchsorted(np.linspace(0, top, steps + 1), x, "right") - 1, steps - 1)
+
+
+#: Values of the distribution function that are held at once.
+HELD = 1 << 20
+
+
+def load_shares(mean: np.ndarray, sd: np.ndarray, pools: Sequence[np.ndarray], top: float, steps: int) -> np.ndarray:
+    """Probability of each of ``steps`` equal parts of 0 to ``top`` for a truncated normal draw plus a draw from a pool (an empty one adds
+    nothing). mean, sd: a row of parameters for each pool. Returns pools, parameters, parts; one more part is what lies outside."""
+    values = np.concatenate([p if len(p) else np.zeros(1) for p in pools])
+    sizes = np.array([max(1, len(p)) for p in pools])
+    owner, starts = np.repeat(np.arange(len(pools)), sizes), np.concatenate([[0], sizes.cumsum()[:-1]])
+    sd = np.maximum(sd, 1e-9)
+    edges = np.clip(np.linspace(0, top, steps + 1)[None, :] - values[:, None], 0, top)
+    below = _normal_cdf_even((edges[:, None, :] - mean[owner][:, :, None]) / sd[owner][:, :, None])
+    below = np.add.reduceat(below, starts, 0) / sizes[:, None, None]
+    mass = _normal_cdf_even((top - mean) / sd) - _normal_cdf_even(-mean / sd)
+    share = np.maximum(np.diff(below, axis=2) / mass[:, :, None], 0)
+    share = np.concatenate([share, np.maximum(1 - share.sum(2, keepdims=True), 0)], 2)
+    return share / share.sum(2, keepdims=True)
+
+
+def load_counts(rng: np.random.Generator, mean: np.ndarray, sd: np.ndarray, pools: Sequence[np.ndarray], top: float, steps: int, samples: int) -> np.ndarray:
+    """How many of ``samples`` sums of a truncated normal draw and a draw from a pool fall in each of ``steps`` parts of 0 to ``top``: pools,
+    parameters, parts. Such counts are multinomial, so they are drawn as that; where a pool is so large that the sums cost less, these are drawn."""
+    out = np.empty((*mean.shape, steps), int)
+    cost = np.array([(steps + 1) * max(1, len(p)) for p in pools])
+    few = np.flatnonzero(cost <= samples)
+    chunk = (cost[few].cumsum() * mean.shape[1]) // HELD
+    for c in np.unique(chunk):
+        at = few[chunk == c]
+        out[at] = rng.multinomial(samples, load_shares(mean[at], sd[at], [pools[i] for i in at], top, steps))[:, :, :-1]
+    for i in np.flatnonzero(cost > samples):
+        total = truncated_normal(rng, mean[i], sd[i], 0, top, samples)
+        if len(pools[i]):
+            total += pools[i][rng.integers(0, len(pools[i]), total.shape, np.uint32)]
+        place = np.minimum((total / top * steps).astype(int), steps - 1) + np.arange(mean.shape[1])[:, None] * steps
+        out[i] = np.bincount(place[(total >= 0) & (total <= top)], minlength=mean.shape[1] * steps).reshape(-1, steps)
+    return out
+
+
 def thermal_prior(load: np.ndarray, hour: np.ndarray, bins: np.ndarray, cold: int, n_bins: int, top: float, steps: int, cfg: LabelConfig, rng: np.random.Generator) -> np.ndarray:
     """Prior of the thermal load (steps, 24, bins) by rejection: of ``draws`` parameter pairs the closest hundredth, at
     least one, to the observed histogram in Kullback-Leibler distance. Hours and bins without rows stay even: no row asks for
     them."""
     centre = np.linspace(0, top, steps, endpoint=False)
     out = np.full((steps, 24, n_bins), 1e-6)
-    for h in range(24):
-        base = load[(hour == h) & (bins == cold)]
-        for t in range(n_bins):
-            own = load[(hour == h) & (bins == t)]
-            if not len(own):
-                continue
-            seen = np.histogram(own, steps, (0, top))[0] + 1e-6
-            seen /= seen.sum()
-            mean, sd = rng.uniform(0, top, cfg.draws), rng.uniform(0, top / 4, cfg.draws)
-            total = truncated_normal(rng, mean, sd, 0, top, cfg.samples)
-            if len(base):
-                total += base[rng.integers(0, len(base), total.shape, np.uint32)]
-            place = np.minimum((total / top * steps).astype(int), steps - 1) + np.arange(cfg.draws)[:, None] * steps
-            guess = np.bincount(place[total <= top], minlength=cfg.draws * steps).reshape(cfg.draws, steps) + 1e-6
-            guess /= guess.sum(1, keepdims=True)
-            distance = (seen * np.log(seen / guess)).sum(1)
-            best = np.argsort(distance, kind="stable")[: max(1, cfg.draws // 100)]
-            m, s = mean[best].mean(), max(sd[best].mean(), 1e-9)
-            density = np.exp(-0.5 * ((centre - m) / s) ** 2) / s
-            mass = np.diff(_normal_cdf((np.array([0, top]) - m) / s))[0]
-            out[:, h, t] += density / max(mass, 1e-12) / np.sqrt(2 * np.pi)
+    cells, of = np.unique(hour * n_bins + bins, return_inverse=True)
+    inside = (load >= 0) & (load <= top)
+    seen = np.bincount(of[inside] * steps + _parts(load[inside], top, steps), minlength=len(cells) * steps).reshape(-1, steps) + 1e-6
+    seen /= seen.sum(1, keepdims=True)
+    base = [load[(hour == h) & (bins == cold)] for h in range(24)]
+    mean, sd = rng.uniform(0, top, (len(cells), cfg.draws)), rng.uniform(0, top / 4, (len(cells), cfg.draws))
+    guess = load_counts(rng, mean, sd, [base[c // n_bins] for c in cells], top, steps, cfg.samples) + 1e-6
+    guess /= guess.sum(2, keepdims=True)
+    distance = (seen * np.log(seen)).sum(1)[:, None] - (seen[:, None] * np.log(guess)).sum(2)
+    best = np.argsort(distance, 1, kind="stable")[:, : max(1, cfg.draws // 100)]
+    m, s = (np.take_along_axis(x, best, 1).mean(1) for x in (mean, sd))
+    s = np.maximum(s, 1e-9)
+    density = np.exp(-0.5 * ((centre[:, None] - m) / s) ** 2) / s
+    mass = _normal_cdf((top - m) / s) - _normal_cdf(-m / s)
+    out[:, cells // n_bins, cells % n_bins] += density / np.maximum(mass, 1e-12) / np.sqrt(2 * np.pi)
     return out / out.sum(0)
 
 
@@ -269,12 +316,11 @@ def thermal_posterior(prior: np.ndarray, load: np.ndarray, hour: np.ndarray, bin
     base load at their difference. Columns sum to 1."""
     place = np.linspace(0, top, steps, endpoint=False)
     shift = np.clip(((place[None, :] - place[:, None]) / 100).astype(int), 0, steps - 1)  # thermal, load
-    out = np.empty((steps, steps, 24, prior.shape[2]))
-    for h in range(24):
-        base = np.histogram(load[(hour == h) & (bins == cold)], steps, (0, top))[0].astype(float)
-        joint = base[shift][:, :, None] * prior[:, None, h, :]
-        evidence = joint.sum(0, keepdims=True)
-        out[:, :, h, :] = np.divide(joint, evidence, out=np.zeros_like(joint), where=evidence > 0)
+    pool = (bins == cold) & (load >= 0) & (load <= top)
+    base = np.bincount(hour[pool] * steps + _parts(load[pool], top, steps), minlength=24 * steps).reshape(24, steps).astype(float)
+    joint = np.moveaxis(base[:, shift], 0, 2)[:, :, :, None] * prior[:, None]
+    evidence = joint.sum(0, keepdims=True)
+    out = np.divide(joint, evidence, out=np.zeros_like(joint), where=evidence > 0)
     out += 1e-6
     return out / out.sum(0)
 
@@ -304,6 +350,8 @@ def temperature_bins(t: np.ndarray, hour: np.ndarray, loads: list[np.ndarray], c
             bins = _bins_for(t, n)
         except ValueError:
             continue
+        if np.bincount(bins).max(initial=0) < 24:  # no bin covers the day
+            continue
         cold = [int(np.argmin([x[bins == b].mean() if (bins == b).any() else np.inf for b in range(n)])) for x in loads]
         if all(len(np.unique(hour[bins == c])) == 24 for c in cold):
             return bins, cold, n
@@ -467,19 +515,25 @@ def sample_meter(rows: pd.DataFrame, meter: str, cfg: LabelConfig) -> pd.DataFra
     return pd.concat(parts, ignore_index=True)
 
 
+#: Rows that a task samples: a few seconds of work.
+TASK_ROWS = 8192
+
 SAMPLED = "meter_number string, timestamp timestamp, phase string, T double, load double, base double, thermal double, dead boolean"
 
 
 def label_heat_pumps(hourly: DataFrame, cfg: LabelConfig = LabelConfig()) -> DataFrame:
     """Heat-pump labels of every meter and phase. hourly: meter_number, timestamp, l1, l2, l3, T (see :func:`with_weather`).
 
-    A group is one meter's hours: 8,760 rows a year.
+    A group is one meter's hours: 8,760 rows a year. Sampling takes long for few bytes, so rows go to as many tasks as they call for: by
+    size they would be put together in a few.
     """
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         return sample_meter(rows, key[0], cfg)
 
     rows = hourly.select(F.col("meter_number").cast("string").alias("meter_number"), F.col("timestamp").cast("timestamp").alias("timestamp"), *PHASES, "T")
+    rows = materialise(rows, "hours")
+    rows = rows.repartition(1 + rows.count() // TASK_ROWS, "meter_number")
     sampled = materialise(rows.groupBy("meter_number").applyInPandas(run, SAMPLED), "sampled")
     live = F.when(~F.col("dead"), F.col("thermal"))
     slopes = temperature_slope(sampled.withColumn("_live", live), load="_live", limit=cfg.filter_temp)
