@@ -67,3 +67,13 @@ def test_steps_of_a_table_are_those_of_one_by_one(spark):
     part = meta.mark_workflows(states, "clean", steps.where("k = 1"))
     assert rows(meta.completed_workflows(part, "clean", steps).where("completed"), "k") == [(1,), (1,)]
     assert meta.completed_workflows(meta.mark_workflow(part, "clean"), "clean", steps).where("completed").count() == 4
+
+
+def test_sides_that_grow_are_not_sent_by_way_of_the_driver(spark):
+    node = spark.range(9).select("id", F.when(F.col("id") == 0, "LvFeeder").otherwise("DeliveryPoint").alias("node_type"), F.when(F.col("id") == 0, 1).cast("long").alias("feeder_id"), F.lit(None).cast("long").alias("cabinet_id"), F.when(F.col("id") > 0, F.col("id")).alias("delivery_point_id"))
+    edge = spark.range(1, 9).select("id", F.lit(0).cast("long").alias("node1_id"), F.col("id").alias("node2_id"))
+    reached = graph.feeders_of_nodes({"node": node, "edge": edge})
+    assert reached.count() == 9
+    joined = node.select(F.col("id").alias("node")).join(graph.grown(reached), "node")
+    for df in (reached, joined):
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import code
-from ..sources.scratch import discard, materialise
+from ..sources.scratch import discard, grown, materialise
 
 
 def symmetric(edges: DataFrame, a: str = "node1_id", b: str = "node2_id") -> DataFrame:
@@ -29,8 +29,8 @@ def reachable(edges: DataFrame, seeds: DataFrame, max_rounds: int = 1000) -> Dat
     seen = materialise(seeds.select(F.col("seed"), F.col("seed").alias("node")).distinct(), "seen")
     frontier = seen
     for _ in range(max_rounds):
-        step = frontier.join(edges.withColumnRenamed("src", "node"), "node").select("seed", F.col("dst").alias("node")).distinct()
-        new = materialise(step.join(seen, ["seed", "node"], "left_anti"), "frontier")
+        step = frontier.join(grown(edges.withColumnRenamed("src", "node")), "node").select("seed", F.col("dst").alias("node")).distinct()
+        new = materialise(step.join(grown(seen), ["seed", "node"], "left_anti"), "frontier")
         if new.isEmpty():
             return seen
         before, frontier = seen, new
@@ -48,8 +48,8 @@ def components(edges: DataFrame, nodes: DataFrame, max_rounds: int = 1000) -> Da
     edges = materialise(edges, "graph")  # read in every round
     held = labels = materialise(nodes.select(F.col("node"), F.col("node").alias("component")).distinct(), "labels")
     for _ in range(max_rounds):
-        near = edges.join(labels.select(F.col("node").alias("dst"), F.col("component").alias("c")), "dst").groupBy("src").agg(F.min("c").alias("c"))
-        low = labels.join(near.withColumnRenamed("src", "node"), "node", "left").select("node", F.col("component").alias("old"), F.least("component", "c").alias("component"))
+        near = edges.join(grown(labels.select(F.col("node").alias("dst"), F.col("component").alias("c"))), "dst").groupBy("src").agg(F.min("c").alias("c"))
+        low = labels.join(grown(near.withColumnRenamed("src", "node")), "node", "left").select("node", F.col("component").alias("old"), F.least("component", "c").alias("component"))
         jump = low.select(F.col("node").alias("component"), F.col("component").alias("next"))
         new = materialise(low.join(jump, "component", "left").select("node", "old", F.least("component", "next").alias("component")), "labels")
         changed = not new.where("old != component").isEmpty()
@@ -67,7 +67,7 @@ def simple_paths(edges: DataFrame, seeds: DataFrame, max_depth: int = 100) -> Da
     level = materialise(seeds.select(F.col("seed"), F.col("seed").alias("node"), F.array("seed").alias("path"), F.lit(0).alias("depth")), "paths")
     out = level
     for _ in range(max_depth):
-        level = level.join(edges.withColumnRenamed("src", "node"), "node").where("not array_contains(path, dst)")
+        level = level.join(grown(edges.withColumnRenamed("src", "node")), "node").where("not array_contains(path, dst)")
         level = materialise(level.select("seed", F.col("dst").alias("node"), F.array_append("path", F.col("dst")).alias("path"), (F.col("depth") + 1).alias("depth")), "paths")
         if level.isEmpty():
             return out
@@ -79,15 +79,15 @@ def feeders_of_nodes(graph: dict[str, DataFrame]) -> DataFrame:
     """Every feeder of every node's component (``node``, ``feeder_id``)."""
     nodes = graph["node"]
     labels = components(symmetric(graph["edge"]), nodes.select(F.col("id").alias("node")))
-    feeders = nodes.where("node_type = 'LvFeeder'").select(F.col("id").alias("node"), "feeder_id").join(labels, "node").select("component", "feeder_id").distinct()
-    return labels.join(feeders, "component").select("node", "feeder_id")
+    feeders = nodes.where("node_type = 'LvFeeder'").select(F.col("id").alias("node"), "feeder_id").join(grown(labels), "node").select("component", "feeder_id").distinct()
+    return labels.join(grown(feeders), "component").select("node", "feeder_id")
 
 
 def meters_of_feeders(graph: dict[str, DataFrame], assets: dict[str, DataFrame], feeder_ids: DataFrame) -> DataFrame:
     """Meters whose delivery point some of the feeders reaches (distinct meters, ordered by id). feeder_ids: ``feeder_id``."""
     nodes = feeders_of_nodes(graph).join(feeder_ids.select("feeder_id").distinct(), "feeder_id", "left_semi")
-    points = graph["node"].where("node_type = 'DeliveryPoint'").select(F.col("id").alias("node"), "delivery_point_id").join(nodes, "node", "left_semi")
-    return assets["meter"].join(points.select("delivery_point_id").distinct(), "delivery_point_id", "left_semi").select(*assets["meter"].columns).orderBy("id")
+    points = graph["node"].where("node_type = 'DeliveryPoint'").select(F.col("id").alias("node"), "delivery_point_id").join(grown(nodes), "node", "left_semi")
+    return assets["meter"].join(grown(points.select("delivery_point_id").distinct()), "delivery_point_id", "left_semi").select(*assets["meter"].columns).orderBy("id")
 
 
 def meters_of(kind: str, entity: int, graph: dict[str, DataFrame], assets: dict[str, DataFrame]) -> DataFrame | None:
@@ -114,21 +114,21 @@ def topology_chain(meter_ids: DataFrame, graph: dict[str, DataFrame], assets: di
     """For each meter (``meter_id``) and feeder that a simple path from its delivery point meets: the chain above it, with the
     first cabinet on the path, by depth. Order: depth, then feeder, then cabinet."""
     nodes = graph["node"].select(F.col("id").alias("node"), "node_type", "feeder_id", "cabinet_id", "delivery_point_id")
-    start = meter_ids.join(assets["meter"].select(F.col("id").alias("meter_id"), "delivery_point_id"), "meter_id")
+    start = meter_ids.join(grown(assets["meter"].select(F.col("id").alias("meter_id"), "delivery_point_id")), "meter_id")
     points = nodes.where("node_type = 'DeliveryPoint'").select(F.col("node").alias("seed"), "delivery_point_id")
-    start = start.join(points, "delivery_point_id")
+    start = start.join(grown(points), "delivery_point_id")
     feeders = nodes.where("node_type = 'LvFeeder'").select("node", "feeder_id")
     edges = symmetric(graph["edge"])
     # no path to a feeder leads through a node with one neighbour, such as other delivery points
     through = edges.groupBy(F.col("src").alias("dst")).agg(F.count("*").alias("n")).where("n > 1").select("dst").union(feeders.select("node"))
-    paths = simple_paths(edges.join(through.distinct(), "dst", "left_semi").select("src", "dst"), start.select("seed").distinct())
+    paths = simple_paths(edges.join(grown(through.distinct()), "dst", "left_semi").select("src", "dst"), start.select("seed").distinct())
     ends = paths.join(feeders, "node")
     steps = ends.select("seed", "feeder_id", "path", "depth", F.posexplode("path").alias("pos", "step")).where("pos > 0")
     steps = steps.join(nodes.where("node_type = 'Cabinet'").select(F.col("node").alias("step"), "cabinet_id"), "step")
     first = steps.groupBy("seed", "path").agg(F.min_by("cabinet_id", "pos").alias("cabinet_id"))
-    chains = ends.join(first, ["seed", "path"], "left").select("seed", "feeder_id", "cabinet_id", "depth").distinct()
+    chains = ends.join(grown(first), ["seed", "path"], "left").select("seed", "feeder_id", "cabinet_id", "depth").distinct()
     above = assets["feeder"].select(F.col("id").alias("feeder_id"), "transformer_id").join(assets["transformer"].select(F.col("id").alias("transformer_id"), F.col("substation_id").alias("secondary_substation_id")), "transformer_id")
-    out = start.join(chains, "seed").join(above, "feeder_id")
+    out = start.join(grown(chains), "seed").join(above, "feeder_id")
     return out.select("meter_id", "secondary_substation_id", "transformer_id", "feeder_id", "cabinet_id", "delivery_point_id", "depth").distinct().orderBy("meter_id", "depth", "feeder_id", "cabinet_id")
 
 
@@ -143,16 +143,16 @@ def nearest_chains(meter_ids: DataFrame, graph: dict[str, DataFrame], assets: di
     nodes = graph["node"].select(F.col("id").alias("node"), "node_type", "feeder_id", "cabinet_id", "delivery_point_id")
     above = assets["feeder"].select(F.col("id").alias("feeder_id"), "transformer_id").join(assets["transformer"].select(F.col("id").alias("transformer_id"), F.col("substation_id").alias("secondary_substation_id")), "transformer_id")
     own = nodes.select(F.col("node").alias("dst"), (F.col("node_type") == "Cabinet").alias("is_cabinet"), F.col("cabinet_id").alias("own"))
-    edges = materialise(symmetric(graph["edge"]).withColumnRenamed("src", "node").join(own, "dst"), "graph")  # read in every round
+    edges = materialise(symmetric(graph["edge"]).withColumnRenamed("src", "node").join(grown(own), "dst"), "graph")  # read in every round
     feeders = nodes.where("node_type = 'LvFeeder'").join(above.select("feeder_id"), "feeder_id", "left_semi")
     level = materialise(feeders.groupBy("node").agg(F.min("feeder_id").alias("feeder_id")).select("node", F.lit(0).alias("depth"), "feeder_id", F.lit(None).cast("long").alias("cabinet_id")), "levels")
     before, out = None, level
     best = F.struct("feeder_id", F.col("cabinet_id").isNotNull().alias("some"), "cabinet_id")
     for depth in range(1, max_rounds + 1):
-        step = level.join(edges, "node").groupBy("dst").agg(F.min(best).alias("b"), F.any_value("is_cabinet").alias("is_cabinet"), F.any_value("own").alias("own"))
+        step = level.join(grown(edges), "node").groupBy("dst").agg(F.min(best).alias("b"), F.any_value("is_cabinet").alias("is_cabinet"), F.any_value("own").alias("own"))
         step = step.select(F.col("dst").alias("node"), F.lit(depth).alias("depth"), "b.feeder_id", F.when(F.col("is_cabinet"), F.col("own")).otherwise(F.col("b.cabinet_id")).cast("long").alias("cabinet_id"))
         for known in filter(None, (before, level)):
-            step = step.join(known.select("node"), "node", "left_anti")
+            step = step.join(grown(known.select("node")), "node", "left_anti")
         before, level = level, materialise(step, "levels")
         if level.isEmpty():
             break
@@ -160,8 +160,8 @@ def nearest_chains(meter_ids: DataFrame, graph: dict[str, DataFrame], assets: di
     else:
         raise RuntimeError("the search from feeders didn't end")
     points = nodes.where("node_type = 'DeliveryPoint'").select("node", "delivery_point_id")
-    start = meter_ids.join(assets["meter"].select(F.col("id").alias("meter_id"), "delivery_point_id"), "meter_id").join(points, "delivery_point_id")
-    found = start.join(out, "node").join(above, "feeder_id")
+    start = meter_ids.join(grown(assets["meter"].select(F.col("id").alias("meter_id"), "delivery_point_id")), "meter_id").join(grown(points), "delivery_point_id")
+    found = start.join(grown(out), "node").join(above, "feeder_id")
     return found.select("meter_id", "secondary_substation_id", "transformer_id", "feeder_id", "cabinet_id", "delivery_point_id", "depth").distinct()
 
 
@@ -171,7 +171,7 @@ def topology_map(meter_ids: DataFrame, chains: DataFrame, substations: DataFrame
     first = chains.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n", "depth", "delivery_point_id")
     zips = substations.select(F.col("id").alias("secondary_substation_id"), "zip_code")
     have = with_data.select("meter_id").distinct().withColumn("has_data", F.lit(True))
-    out = meter_ids.join(first, "meter_id", "left").join(zips, "secondary_substation_id", "left").join(have, "meter_id", "left")
+    out = meter_ids.join(grown(first), "meter_id", "left").join(grown(have), "meter_id", "left").join(zips, "secondary_substation_id", "left")
     out = out.withColumn("has_data", F.coalesce("has_data", F.lit(False)))
     return out.orderBy(order) if order else out
 
@@ -184,7 +184,7 @@ def characterisation(meter_ids: DataFrame, chains: DataFrame, inventory: DataFra
     further = F.slice("c", 2, F.greatest(F.size("c") - 1, F.lit(0)))
     rest = [further[n].alias(f"additional_{n}s") for n in ("feeder_id", "cabinet_id")]
     chain = lists.select("meter_id", *first, *rest)
-    return meter_ids.join(chain, "meter_id", "left").join(inventory, "meter_id", "left").join(records, "meter_id", "left")
+    return meter_ids.join(grown(chain), "meter_id", "left").join(grown(inventory), "meter_id", "left").join(grown(records), "meter_id", "left")
 
 
 def zip_codes(substations: DataFrame, ids: DataFrame) -> DataFrame:
@@ -192,7 +192,7 @@ def zip_codes(substations: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def with_data(inventory: DataFrame, ids: DataFrame) -> DataFrame:
-    return inventory.where("total_rows > 0").join(ids.select("meter_number").distinct(), "meter_number", "left_semi").select("meter_number")
+    return inventory.where("total_rows > 0").join(grown(ids.select("meter_number").distinct()), "meter_number", "left_semi").select("meter_number")
 
 
 # --- export -----------------------------------------------------------------------------------------------------------
@@ -214,14 +214,16 @@ def export_topology(graph: dict[str, DataFrame], assets: dict[str, DataFrame], d
     out = graph["edge"].select("id", "node1_id", "node2_id")
     for i in ("1", "2"):
         n = nodes.select(F.col("id").alias(f"node{i}_id"), F.col("node_type").alias(f"type{i}"), F.col("feeder_id").alias(f"f{i}"), F.col("cabinet_id").alias(f"c{i}"))
-        out = out.join(n, f"node{i}_id")
+        out = out.join(grown(n), f"node{i}_id")
     for i in ("1", "2"):
-        out = out.join(reach.select(F.col("node").alias(f"node{i}_id"), F.col("feeder_id").alias(f"nf{i}")), f"node{i}_id", "left")
+        out = out.join(grown(reach.select(F.col("node").alias(f"node{i}_id"), F.col("feeder_id").alias(f"nf{i}"))), f"node{i}_id", "left")
     out = out.withColumn("feeder_id", F.coalesce("nf1", "nf2"))
     out = out.join(assets["feeder"].select(F.col("id").alias("feeder_id"), "transformer_id", F.col("fuse_size_amps")), "feeder_id", "left")
     out = out.join(assets["transformer"].select(F.col("id").alias("transformer_id"), "substation_id", "capacity_kva"), "transformer_id", "left")
     out = out.join(assets["secondary_substation"].select(F.col("id").alias("substation_id"), "zip_code"), "substation_id", "left")
-    out = out.join(graph["edge_cable"].select(F.col("edge_id").alias("id"), "cable_id"), "id", "left").join(graph["cable"].drop("version"), "cable_id", "left")
+    out = out.join(grown(graph["edge_cable"].select(F.col("edge_id").alias("id"), "cable_id")), "id", "left")
+    lines = out.where("cable_id is not null").join(grown(graph["cable"].drop("version")), "cable_id", "left")
+    out = lines.unionByName(out.where("cable_id is null"), allowMissingColumns=True)
     rows = out.select(
         code("SecondarySubstation", F.col("substation_id")).alias("secondary_substation"), F.col("zip_code").cast("string").alias("zip_code_secondary_substation"),
         code("Transformer", F.col("transformer_id")).alias("transformer"), F.col("capacity_kva").cast("double").alias("transformer_capacity"),
@@ -238,10 +240,10 @@ def export_meter_cabinet(graph: dict[str, DataFrame], assets: dict[str, DataFram
     has no cabinet are left out."""
     points = assets["delivery_point"].select(F.col("id").alias("delivery_point_id"), "cabinet_id", F.col("fuse_size_amps").alias("service_fuse_size"))
     cabinets = assets["cabinet"].select(F.col("id").alias("cabinet_id"))
-    rows = assets["meter"].withColumnRenamed("id", "meter_number").join(points, "delivery_point_id").join(cabinets, "cabinet_id")
+    rows = assets["meter"].withColumnRenamed("id", "meter_number").join(grown(points), "delivery_point_id").join(cabinets, "cabinet_id")
     nodes = graph["node"].where("node_type = 'DeliveryPoint'").select(F.col("id").alias("node"), "delivery_point_id")
-    reach = nodes.join(feeders_of_nodes(graph), "node").select("delivery_point_id", "feeder_id").distinct()
-    rows = rows.join(reach, "delivery_point_id", "left")
+    reach = nodes.join(grown(feeders_of_nodes(graph)), "node").select("delivery_point_id", "feeder_id").distinct()
+    rows = rows.join(grown(reach), "delivery_point_id", "left")
     return rows.select(
         "meter_number", "delivery_point_id", code("Cabinet", F.col("cabinet_id")).alias("cabinet"), code("LvFeeder", F.col("feeder_id")).alias("lv_feeder"),
         "has_heat_pump", "has_solar_panel", "capacity_solar_panel", "service_fuse_size",

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import code, code_number, code_type, zero_to_null
-from ..sources.scratch import materialise
+from ..sources.scratch import grown, materialise
 from .upsert import insert_missing, make_current, merge, next_version
 
 _filled = lambda c: F.coalesce(F.col(c), F.lit("")) != ""
@@ -63,7 +63,7 @@ def existing_nodes(nodes: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
     for kind, table in (("LvFeeder", "feeder"), ("Cabinet", "cabinet"), ("DeliveryPoint", "delivery_point")):
         rows = tables[table].select(F.lit(kind).alias("node_type"), F.col("id").alias("asset_id"))
         known = rows if known is None else known.unionByName(rows)
-    return nodes.join(known, ["node_type", "asset_id"], "left_semi")
+    return nodes.join(grown(known), ["node_type", "asset_id"], "left_semi")
 
 
 def grouped_edges(topology: DataFrame, meters: DataFrame) -> DataFrame:
@@ -84,7 +84,7 @@ def resolved_edges(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """Edges whose ends are both nodes, with the nodes' ids, the smaller first. nodes: ``id``, ``code``."""
     a = nodes.select(F.col("code").alias("n1_code"), F.col("id").alias("_a"))
     b = nodes.select(F.col("code").alias("n2_code"), F.col("id").alias("_b"))
-    out = edges.join(a, "n1_code").join(b, "n2_code")
+    out = edges.join(grown(a), "n1_code").join(grown(b), "n2_code")
     return out.select(F.least("_a", "_b").alias("node1_id"), F.greatest("_a", "_b").alias("node2_id"), "n1_code", "n2_code", "cable_ids")
 
 
@@ -120,7 +120,7 @@ def edge_kinds(edges: DataFrame) -> DataFrame:
 def _ends(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     a = nodes.select(F.col("code").alias("n1_code"), F.lit(True).alias("has_1"))
     b = nodes.select(F.col("code").alias("n2_code"), F.lit(True).alias("has_2"))
-    return edges.join(a, "n1_code", "left").join(b, "n2_code", "left")
+    return edges.join(grown(a), "n1_code", "left").join(grown(b), "n2_code", "left")
 
 
 def edge_resolution(edges: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -135,7 +135,7 @@ def edge_resolution(edges: DataFrame, nodes: DataFrame) -> DataFrame:
 def missing_ends(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """Codes that edges name and that are no nodes, with the number of edges."""
     ends = edges.select(F.explode(F.array("n1_code", "n2_code")).alias("code"))
-    return ends.join(nodes.select("code"), "code", "left_anti").groupBy("code").agg(F.count("*").alias("edges"))
+    return ends.join(grown(nodes.select("code")), "code", "left_anti").groupBy("code").agg(F.count("*").alias("edges"))
 
 
 def dangling_edges(edges: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -143,7 +143,7 @@ def dangling_edges(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     ids = nodes.select("version", "id")
     out = None
     for end in ("node1_id", "node2_id"):
-        bad = edges.join(ids.withColumnRenamed("id", end), ["version", end], "left_anti").select(*edges.columns)
+        bad = edges.join(grown(ids.withColumnRenamed("id", end)), ["version", end], "left_anti").select(*edges.columns)
         out = bad if out is None else out.unionByName(bad)
     return out.distinct()
 
@@ -192,7 +192,7 @@ def ingest(topology: DataFrame, meters: DataFrame, level: str = "raw", grid: Gri
     known = cables(topology).withColumn("version", F.lit(version))
     parts = edge_cables(edges).where("cable_id is not null").withColumn("version", F.lit(version)).dropDuplicates(["edge_id", "cable_id"])
     check_edges(edges, nodes)
-    row = spark.createDataFrame([(version, level, True)], "version int, processing_level string, is_current boolean")
+    row = spark.range(1).select(F.lit(version).cast("int").alias("version"), F.lit(level).alias("processing_level"), F.lit(True).alias("is_current"))
     versions = make_current(grid.versions.unionByName(row) if grid.versions is not None else row, version)
     new = Grid(tables, versions, nodes, edges.drop("n1_code", "n2_code", "cable_ids"), known, parts.drop("code"))
     for n in ("node", "edge", "cable", "edge_cable"):

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..operators import graph as graphs
 from ..operators.topology import Grid, ingest
 from ..operators.upsert import latest_version
-from ..sources.scratch import materialise
+from ..sources.scratch import grown, materialise
 from ..sources.store import Store
 
 ASSETS = ("secondary_substation", "transformer", "feeder", "cabinet", "delivery_point", "meter")
@@ -37,7 +37,7 @@ def reach(graph: dict[str, DataFrame], assets: dict[str, DataFrame]) -> DataFram
     """Which meters the feeders of one version reach, with the transformer and the substation above."""
     points = graph["node"].where("node_type = 'DeliveryPoint'").select(F.col("id").alias("node"), "delivery_point_id")
     meters = assets["meter"].select(F.col("id").alias("meter_id"), "delivery_point_id")
-    rows = graphs.feeders_of_nodes(graph).join(points, "node").join(meters, "delivery_point_id").select("feeder_id", "meter_id").distinct()
+    rows = graphs.feeders_of_nodes(graph).join(grown(points), "node").join(grown(meters), "delivery_point_id").select("feeder_id", "meter_id").distinct()
     rows = rows.join(assets["feeder"].select(F.col("id").alias("feeder_id"), "transformer_id"), "feeder_id", "left")
     return rows.join(assets["transformer"].select(F.col("id").alias("transformer_id"), "substation_id"), "transformer_id", "left").select("substation_id", "transformer_id", "feeder_id", "meter_id")
 
@@ -85,4 +85,4 @@ def meters_for(store: Store, kind: str, entity: int, version: int | None = None)
         return graphs.meters_of(kind, entity, {}, stored_assets(store))
     ids = feeder_meters(store, version).where(F.col(columns[kind]) == entity).select(F.col("meter_id").alias("id")).distinct()
     meter = store.snapshot("asset_meter")
-    return meter.join(ids, "id", "left_semi").select(*meter.columns).orderBy("id")
+    return meter.join(grown(ids), "id", "left_semi").select(*meter.columns).orderBy("id")

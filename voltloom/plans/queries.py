@@ -11,7 +11,7 @@ from ..functions import scalar
 from ..operators import clean, explorer, graph, labeler, levels, mapping, meta, phasemap, quality, records, resample, upsert
 from ..operators import topology as topo
 from ..schemas import METER_CABINET
-from ..sources.scratch import folder, materialise
+from ..sources.scratch import folder, grown, materialise
 from ..sources.store import Store
 from . import grid as stored_topologies
 from .frames import GRID_SQL, PHASE_OF, PHASE_SQL, PHASES_SQL, POWER_SQL, events, meter_places, meter_rows, phase_events, planted_voltages, power, recorded_places, table, topology
@@ -763,7 +763,7 @@ def export_topology(spark: SparkSession, d: str) -> DataFrame:
     rows = graph.export_topology(g, assets)
     points = g["node"].where("node_type = 'DeliveryPoint'").select(F.concat(F.lit("DeliveryPoint."), F.col("id").cast("string")).alias("node"), F.concat(F.lit("DeliveryPoint."), F.col("delivery_point_id").cast("string")).alias("point"))
     for end in ("node1", "node2"):
-        rows = rows.join(points.select(F.col("node").alias(end), F.col("point").alias(f"{end}_point")), end, "left").withColumn(end, F.coalesce(f"{end}_point", end))
+        rows = rows.join(grown(points.select(F.col("node").alias(end), F.col("point").alias(f"{end}_point"))), end, "left").withColumn(end, F.coalesce(f"{end}_point", end))
     return rows.select("lv_feeder", "transformer", "secondary_substation", F.least("node1", "node2").alias("a"), F.greatest("node1", "node2").alias("b"), "cable_id")
 
 

@@ -49,6 +49,12 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return out
 
 
+def grown(df: DataFrame) -> DataFrame:
+    """A side of a join that grows with the data: it meets the other side in a shuffle, even while it is small enough that Spark
+    would send it to every executor by way of the driver."""
+    return df.hint("merge")
+
+
 def discard(*frames: DataFrame) -> None:
     """Delete tables of :func:`materialise` that nothing reads any more."""
     for df in frames:
