@@ -147,3 +147,10 @@ def test_planted_connections_are_all_found(spark):
     assert not rows["status"].str.startswith("failed").any()
     said = set(rows["status"])
     assert {"Normal", "Wrong Trafo", "Wrong Feeder", "SM Phase Twist", "Feeder Phase Twist", "SM Phase Insufficient Data", "SM Phase Unconnected"} <= said
+
+
+def test_voltages_are_made_by_as_many_tasks_as_their_meters_call_for(spark, monkeypatch):
+    from voltloom.plans import frames
+
+    monkeypatch.setattr(frames, "METERS_OF_A_TASK", 10)
+    assert frames.planted_voltages(spark, "/root/testdata/sf0.01").rdd.getNumPartitions() == 16  # 150 meters

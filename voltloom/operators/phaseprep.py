@@ -13,12 +13,15 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.scratch import materialise
+from ..sources.scratch import grown, materialise
 from .hclust import average_ranks
 
 #: Phases of a block, and times of a slice.
 BLOCK, SLICE = 256, 4096
 
+#: Rows that one task sorts, whatever the number of shuffle partitions.
+TASK_ROWS = 1 << 20
+
 
 def tolerances(first: float, step: float, least: float) -> list[float]:
     """The tolerances that are tried, from the highest on."""
@@ -53,6 +56,7 @@ def usable(long: DataFrame, cfg) -> tuple[DataFrame, DataFrame]:
     """
     limits = tolerances(cfg.tolerance, cfg.tolerance_step, cfg.least_tolerance)
     n_limits, w = len(limits), cfg.window
+    tasks = 1 + long.count() // TASK_ROWS
     known = long.where("used and v is not null")
     bounds = known.groupBy("unit").agg(F.min("timestamp").alias("first"), F.max("timestamp").alias("last"))
     grid = long.select("unit", "timestamp").distinct().join(bounds, "unit").where("timestamp between first and last").select("unit", "timestamp")
@@ -64,6 +68,7 @@ def usable(long: DataFrame, cfg) -> tuple[DataFrame, DataFrame]:
     phases = stats.select("unit", "leaf", sum(((missing < x) & (low <= x)).cast("int") for x in limits).alias("k"))
     own = Window.partitionBy("unit", "leaf").orderBy("r")
     rows = known.join(phases, ["unit", "leaf"]).join(grid, ["unit", "timestamp"])
+    rows = rows.repartition(tasks, "unit", "leaf")
     step = F.when(F.col("r") - F.lag("r").over(own) == 1, F.col("v") - F.lag("v").over(own))
     rows = materialise(rows.select("unit", "leaf", "r", "v", "k", step.alias("d")), "steps")
     at = rows.groupBy("unit", "r").agg(
@@ -87,7 +92,7 @@ def usable(long: DataFrame, cfg) -> tuple[DataFrame, DataFrame]:
     phases = phases.join(choice, "unit")
     sound = lines.select("unit", "r", "level").join(choice.where("choice is not null"), "unit")
     sound = sound.withColumn("ok", F.greatest("level", F.lag("level").over(around)) <= F.col("choice")).withColumn("ok", F.col("ok") & (F.col("r") > 1)).where("ok").select("unit", "r", "choice")
-    return phases, rows.join(sound, ["unit", "r"]).where("k > choice").select("unit", "leaf", "r", "d")
+    return phases, rows.repartition(tasks, "unit", "r").join(grown(sound), ["unit", "r"]).where("k > choice").select("unit", "leaf", "r", "d")
 
 
 def rank_vectors(differences: DataFrame) -> DataFrame:

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..sources.scratch import materialise
+
 #: Event types in the roles of phases.
 PHASE_OF = {"click": "l1", "view": "l2", "purchase": "l3"}
 
@@ -134,6 +136,10 @@ def recorded_places(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("unit").alias("transformer_id"), F.col("meter").alias("meter_number"), F.col("at").alias("feeder_id"), (F.col("at") * 1000 + F.col("cabinet") % 1000).alias("cabinet_id"))
 
 
+#: Meters whose voltages one task makes: 720 rows each.
+METERS_OF_A_TASK = 256
+
+
 def planted_voltages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly voltages of all meters over the hours of ``events``: 230 volts, a term of the transformer phase, one of the feeder phase,
     one of the cabinet, and noise. Terms are hashes of what they belong to and of the hour's events; those of a transformer's
@@ -152,7 +158,9 @@ def planted_voltages(spark: SparkSession, sf_dir: str) -> DataFrame:
     for p in range(3):  # the feeder phase and the transformer phase that each of a meter's phases is connected to
         meters = meters.withColumn(f"f{p}", F.when(F.col("kind") == "twisted", (1, 0, 2)[p]).otherwise(p))
         meters = meters.withColumn(f"t{p}", F.when(turned, (F.col(f"f{p}") + 1) % 3).otherwise(F.col(f"f{p}")))
-    rows = meters.repartition("m").crossJoin(F.broadcast(hours))
+    meters = materialise(meters, "places")
+    meters = meters.repartition(1 + meters.count() // METERS_OF_A_TASK, "m")  # by size, few tasks would make all rows
+    rows = meters.crossJoin(F.broadcast(hours))
     rows = rows.withColumn("mean", (term(F.lit("t"), "unit", F.lit(0)) + term(F.lit("t"), "unit", F.lit(1)) + term(F.lit("t"), "unit", F.lit(2))) / 3)
     foreign, fallen = F.col("kind") == "foreign", (F.col("m") % 60 == 0) & F.col("nth").isin(100, 300)
     known = (F.lit(True), F.col("kind") != "unconnected", (F.col("kind") != "missing") | (F.col("nth") % 20 == 0))
