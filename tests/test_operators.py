@@ -601,3 +601,14 @@ def test_sampling_is_dealt_by_rows_not_bytes(spark, monkeypatch):
     hours = [(str(m), dt.datetime(2024, 1, 1, h), 1.0 + h, 0.0, 0.0, float(h)) for m in range(16) for h in range(24)]
     labeler.label_heat_pumps(spark.createDataFrame(hours, "meter_number string, timestamp timestamp, l1 double, l2 double, l3 double, T double"), labeler.LabelConfig(max_bins=1, draws=2, samples=9))
     assert dict(plans)["sampled"] == 17
+
+
+@pytest.mark.parametrize("large", [1, 4, 1000])
+def test_large_groups_are_filled_without_a_shuffle_by_group(spark, monkeypatch, large):
+    monkeypatch.setattr(clean, "LARGE", large)
+    rows = [(i, "a", 4.0 if i % 2 else None) for i in range(40)] + [(100 + i, "bcd"[i % 3], float(i) if i > 2 else None) for i in range(9)] + [(200, None, None), (201, "e", None)]
+    out = clean.fill_numbers(spark.createDataFrame(rows, "k int, g string, x double"), ["x"], "g")
+    got = {r.k: r.x for r in out.collect()}
+    assert len(got) == len(rows) and (got[0], got[100], got[101], got[102], got[107]) == (4.0, 4.0, 6.0, 6.0, 7.0) and got[200] == got[201] == 4.0
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert ("hashpartitioning(g#" in plan) is False

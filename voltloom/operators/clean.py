@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import code_suffix
 from ..schemas import CABLE_TYPES, PHASE_MATERIALS
+from ..sources.scratch import materialise
+
+#: A group is large if it has more than one of so many of the rows.
+LARGE = 1000
 
 NUMBERS = ("cable_capacity", "cable_length", "phase_size", "resistance", "reactance", "lv_feeder_fuse_size")
 CATEGORIES = {"cable_type": CABLE_TYPES, "phase_material": PHASE_MATERIALS}
@@ -33,7 +37,8 @@ def fill(df: DataFrame, numbers: Sequence[str], categories: dict[str, Sequence[s
     the rows that groups have filled.
 
     One aggregation of the rows by group yields counts of the domains' values and sums; modes, means and the single row for
-    all rows, which is broadcast, follow from its result.
+    all rows, which is broadcast, follow from its result. Groups of more than a thousandth of the rows, a thousand at most, are broadcast
+    too: shuffled, all rows of such a group would come to one task.
     """
     out = df.withColumns({c: F.when(F.col(c).isin(*d), F.col(c)) for c, d in categories.items()})
     values = [(c, i, v) for c, domain in categories.items() for i, v in enumerate(domain)]
@@ -55,13 +60,26 @@ def fill(df: DataFrame, numbers: Sequence[str], categories: dict[str, Sequence[s
         known = sum((F.col(f"_n_{c}_{j}") for j in range(len(categories[c]))), F.lit(0))
         return F.coalesce(F.sum(F.col(f"_n_{c}_{i}") + F.when(F.col(f"_g_{c}") == categories[c][i], F.col("_rows") - known).otherwise(0)), F.lit(0))
 
+    groups = materialise(groups, "groups")
     overall = groups.agg(
         *(mode(c, filled).alias(f"_a_{c}") for c in categories),
         *(F.bround(F.try_divide(F.sum(f"_s_{c}"), F.sum(f"_m_{c}")), 0).alias(f"_a_{c}") for c in numbers),
     )
     columns = [*numbers, *categories]
-    means = groups.where(grouped).select(F.col("_group").alias(group), *(f"_g_{c}" for c in columns))
-    out = out.join(means, group, "left").crossJoin(F.broadcast(overall))
+    total = groups.agg(F.sum("_rows").alias("_all"))
+    large = groups.where(grouped).crossJoin(F.broadcast(total)).where(F.col("_rows") * LARGE > F.col("_all"))
+    large = large.select(F.col("_group").alias(group), F.struct(*(f"_g_{c}" for c in columns)).alias("_large"))
+    out = out.join(F.broadcast(large), group, "left")
+    rest = groups.where(grouped).crossJoin(F.broadcast(total)).where(F.col("_rows") * LARGE <= F.col("_all"))
+    if rest.isEmpty():
+        out = out.withColumns({f"_g_{c}": F.col(f"_large._g_{c}") for c in columns})
+    else:  # rows of large groups and without a group are spread: no key of theirs is one of the rest
+        spread = F.struct(F.lit(None).cast(df.schema[group].dataType).alias("g"), F.pmod(F.xxhash64(*df.columns), F.lit(1 << 20)).alias("n"))
+        own = F.struct(F.col(group).alias("g"), F.lit(-1).cast("long").alias("n"))
+        out = out.withColumn("_key", F.when(F.col(group).isNull() | F.col("_large").isNotNull(), spread).otherwise(own))
+        rest = rest.select(F.struct(F.col("_group").alias("g"), F.lit(-1).cast("long").alias("n")).alias("_key"), F.struct(*(f"_g_{c}" for c in columns)).alias("_rest"))
+        out = out.join(rest, "_key", "left").withColumns({f"_g_{c}": F.coalesce("_large", "_rest")[f"_g_{c}"] for c in columns})
+    out = out.crossJoin(F.broadcast(overall))
     return out.withColumns({c: F.coalesce(F.col(c).cast("double") if c in numbers else F.col(c), f"_g_{c}", f"_a_{c}") for c in columns}).select(*df.columns)
 
 
