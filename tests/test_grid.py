@@ -7,6 +7,8 @@ from voltloom.operators import graph, meta
 from voltloom.operators import topology as topo
 from voltloom.plans import grid
 from voltloom.plans.frames import meter_rows, topology
+from voltloom.plans.queries import QUERIES
+from voltloom.sources import scratch
 from voltloom.sources.store import Store
 
 DATA = "/root/testdata/sf0.001"
@@ -77,3 +79,14 @@ def test_sides_that_grow_are_not_sent_by_way_of_the_driver(spark):
     joined = node.select(F.col("id").alias("node")).join(graph.grown(reached), "node")
     for df in (reached, joined):
         assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_tasks_of_large_graphs_are_bounded_by_rows(spark, monkeypatch):
+    edges = spark.range(200).select(F.col("id").alias("node1_id"), (F.col("id") + 1).alias("node2_id"))
+    edges = edges.unionByName(edges.select(F.col("node2_id").alias("node1_id"), F.col("node1_id").alias("node2_id")))
+    want = rows(QUERIES["nearest_feeders_meshed"](spark, DATA), "meter_id", "feeder_id", "cabinet_id", "depth")
+    monkeypatch.setattr(scratch, "TASK_ROWS", 16)
+    sizes = [len(part) for part in graph.symmetric(edges).rdd.glom().collect()]
+    assert sum(sizes) == 400 and max(sizes) <= 60  # a task has about 16 edges in both directions
+    monkeypatch.setattr(scratch, "TASK_ROWS", 1000)
+    assert rows(QUERIES["nearest_feeders_meshed"](spark, DATA), "meter_id", "feeder_id", "cabinet_id", "depth") == want

@@ -10,13 +10,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import code
-from ..sources.scratch import discard, grown, materialise
+from ..sources.scratch import discard, grown, materialise, spread
 
 
 def symmetric(edges: DataFrame, a: str = "node1_id", b: str = "node2_id") -> DataFrame:
     """Both directions of every edge (``src``, ``dst``), once."""
-    e = edges.select(F.col(a).alias("src"), F.col(b).alias("dst"))
-    return e.union(e.select("dst", "src")).where("src != dst").distinct()
+    pairs = edges.where(F.col(a) != F.col(b)).select(F.least(a, b).alias("src"), F.greatest(a, b).alias("dst"))
+    e = spread(pairs, edges.count(), "src", "dst").distinct()
+    ways = F.array(F.struct("src", "dst"), F.struct(F.col("dst").alias("src"), F.col("src").alias("dst")))
+    return e.select(F.explode(ways).alias("e")).select("e.src", "e.dst")
 
 
 def reachable(edges: DataFrame, seeds: DataFrame, max_rounds: int = 1000) -> DataFrame:
@@ -143,13 +145,15 @@ def nearest_chains(meter_ids: DataFrame, graph: dict[str, DataFrame], assets: di
     nodes = graph["node"].select(F.col("id").alias("node"), "node_type", "feeder_id", "cabinet_id", "delivery_point_id")
     above = assets["feeder"].select(F.col("id").alias("feeder_id"), "transformer_id").join(assets["transformer"].select(F.col("id").alias("transformer_id"), F.col("substation_id").alias("secondary_substation_id")), "transformer_id")
     own = nodes.select(F.col("node").alias("dst"), (F.col("node_type") == "Cabinet").alias("is_cabinet"), F.col("cabinet_id").alias("own"))
-    edges = materialise(symmetric(graph["edge"]).withColumnRenamed("src", "node").join(grown(own), "dst"), "graph")  # read in every round
+    rows = 2 * graph["edge"].count()
+    edges = materialise(spread(symmetric(graph["edge"]).withColumnRenamed("src", "node"), rows, "dst").join(grown(own), "dst"), "graph")
+    edges = spread(edges, rows, "node")  # read in every round
     feeders = nodes.where("node_type = 'LvFeeder'").join(above.select("feeder_id"), "feeder_id", "left_semi")
     level = materialise(feeders.groupBy("node").agg(F.min("feeder_id").alias("feeder_id")).select("node", F.lit(0).alias("depth"), "feeder_id", F.lit(None).cast("long").alias("cabinet_id")), "levels")
     before, out = None, level
     best = F.struct("feeder_id", F.col("cabinet_id").isNotNull().alias("some"), "cabinet_id")
     for depth in range(1, max_rounds + 1):
-        step = level.join(grown(edges), "node").groupBy("dst").agg(F.min(best).alias("b"), F.any_value("is_cabinet").alias("is_cabinet"), F.any_value("own").alias("own"))
+        step = spread(level.join(grown(edges), "node"), rows, "dst").groupBy("dst").agg(F.min(best).alias("b"), F.any_value("is_cabinet").alias("is_cabinet"), F.any_value("own").alias("own"))
         step = step.select(F.col("dst").alias("node"), F.lit(depth).alias("depth"), "b.feeder_id", F.when(F.col("is_cabinet"), F.col("own")).otherwise(F.col("b.cabinet_id")).cast("long").alias("cabinet_id"))
         for known in filter(None, (before, level)):
             step = step.join(grown(known.select("node")), "node", "left_anti")

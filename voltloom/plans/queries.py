@@ -740,7 +740,7 @@ def nearest_feeders_meshed(spark: SparkSession, d: str) -> DataFrame:
         return rows.select((key * 4 + code).alias("id"), F.lit(kind).alias("node_type"), f.alias("feeder_id"), c.alias("cabinet_id"), p.alias("delivery_point_id"))
 
     nodes = node(part, "DeliveryPoint", 0, no, no, point).unionByName(node(s, "Cabinet", 1, no, cabinet, no)).unionByName(node(n, "LvFeeder", 2, feeder, no, no))
-    lines = table(spark, d, "lineitem").select((F.col("l_partkey").cast("long") * 4).alias("node1_id"), (F.col("l_suppkey").cast("long") * 4 + 1).alias("node2_id")).distinct()
+    lines = table(spark, d, "lineitem").select((F.col("l_partkey").cast("long") * 4).alias("node1_id"), (F.col("l_suppkey").cast("long") * 4 + 1).alias("node2_id"))
     edges = lines.unionByName(s.where("s_acctbal < 0").select((cabinet * 4 + 1).alias("node1_id"), (F.col("s_nationkey").cast("long") * 4 + 2).alias("node2_id")))
     assets = {
         "meter": part.select(point.alias("id"), point.alias("delivery_point_id")), "feeder": n.select(feeder.alias("id"), feeder.alias("transformer_id")),

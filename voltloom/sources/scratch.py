@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 _written: list[tuple[SparkSession, str]] = []
 
+#: Rows that one task of a join or an aggregation over a large graph gets.
+TASK_ROWS = 1 << 20
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``.
@@ -55,6 +58,16 @@ def grown(df: DataFrame) -> DataFrame:
     return df.hint("merge")
 
 
+def spread(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """Deal a table of about ``rows`` rows over tasks by keys, so that what a task holds doesn't grow with the table, whatever the number
+    of shuffle partitions. Few rows are left to Spark."""
+    if rows <= TASK_ROWS:
+        return df
+    spark = df.sparkSession
+    least = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))  # with fewer, a join would shuffle anew
+    return df.repartition(max(least, 1 + rows // TASK_ROWS), *keys)
+
+
 def discard(*frames: DataFrame) -> None:
     """Delete tables of :func:`materialise` that nothing reads any more."""
     for df in frames:
