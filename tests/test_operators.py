@@ -612,3 +612,18 @@ def test_large_groups_are_filled_without_a_shuffle_by_group(spark, monkeypatch,
     assert len(got) == len(rows) and (got[0], got[100], got[101], got[102], got[107]) == (4.0, 4.0, 6.0, 6.0, 7.0) and got[200] == got[201] == 4.0
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert ("hashpartitioning(g#" in plan) is False
+
+
+def test_only_resampled_rows_are_shuffled_to_a_grid(spark):
+    t = lambda m: dt.datetime(2025, 1, 1, 0, m)
+    rows = [("a", t(0), 1.0), ("a", t(30), 2.0), ("a", t(30), 3.0), ("a", t(7), 9.0), ("b", t(15), 4.0), ("c", t(7), 5.0), ("c", None, 6.0), (None, t(0), 7.0), (None, t(15), 8.0), ("d", t(45), None)]
+    means = spark.createDataFrame(rows, "meter_number string, timestamp timestamp, v double")
+    grid = spark.createDataFrame([(t(m),) for m in (0, 15, 30, 45)], "timestamp timestamp")
+    want = means.select("meter_number").distinct().crossJoin(grid).join(means, ["meter_number", "timestamp"], "left")
+    out = resample.on_grid(means, grid)
+    assert out.columns == want.columns
+    key = lambda r: tuple((x is not None, x) if x is not None else (False, 0) for x in r)
+    assert sorted(map(tuple, out.collect()), key=key) == sorted(map(tuple, want.collect()), key=key)
+    assert resample.on_grid(means, grid.limit(0)).isEmpty() and resample.on_grid(means.limit(0), grid).isEmpty()
+    plan = out.groupBy("meter_number").count()._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Generate") < plan.index("Exchange hashpartitioning(meter_number") and plan.count("Exchange hashpartitioning(meter_number") == 1

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,10 +36,26 @@ def time_grid(bounds: DataFrame, minutes: int = 15, keep: Sequence[str] = (), ts
 
 
 def on_grid(resampled: DataFrame, grid: DataFrame, by: Sequence[str] = ("meter_number",), ts: str = "timestamp") -> DataFrame:
-    """Resampled rows on a grid; bins without rows have null values. A grid without the keys holds for all of them."""
-    if not set(by) <= set(grid.columns):
-        grid = resampled.select(*by).distinct().join(F.broadcast(grid), how="cross")  # a calendar: 35,040 bins a year
-    return grid.join(resampled, [*by, ts], "left")
+    """Resampled rows on a grid; bins without rows have null values. A grid without the keys holds for all of them.
+
+    For such a grid only the resampled rows are shuffled: each makes its bin and the empty ones up to its key's next row.
+    """
+    if set(by) <= set(grid.columns):
+        return grid.join(resampled, [*by, ts], "left")
+    values = [c for c in resampled.columns if c not in (*by, ts)]
+    bins = grid.withColumn("_i", F.dense_rank().over(Window.orderBy(ts)) - 1)  # a calendar: 35,040 bins a year
+    size = bins.agg((F.coalesce(F.max("_i"), F.lit(-1)) + 1).alias("_n"))
+    rows = resampled.join(F.broadcast(bins.select(ts, "_i").distinct()), ts, "left").crossJoin(F.broadcast(size))
+    known = reduce(and_, (F.col(c).isNotNull() for c in by))  # keys that are null have no row of their own, like times off the grid
+    rows = rows.select(*by, F.when(known, F.col("_i")).alias("_i"), "_n", *values)
+    w = Window.partitionBy(*by).orderBy("_i")  # nulls come first; they only count where their key has nothing else
+    last = F.lead(F.lit(True)).over(w).isNull()
+    rows = rows.withColumns({"_a": F.when(F.lag("_i").over(w).isNull(), 0).otherwise(F.col("_i")), "_z": F.when(last, F.col("_n")).otherwise(F.lead("_i").over(w)) - 1})
+    rows = rows.where(F.col("_i").isNotNull() | (F.col("_z") == F.col("_n") - 1))
+    held = F.greatest("_z", "_i")  # rows of one bin are all kept
+    rows = rows.select(*by, "_i", *values, F.explode(F.when(F.col("_a") <= held, F.sequence("_a", held))).alias("_at"))
+    rows = rows.select(*by, F.col("_at").alias("_i"), *(F.when(F.col("_at") == F.col("_i"), F.col(c)).alias(c) for c in values))
+    return rows.join(F.broadcast(bins), "_i").select(*by, *grid.columns, *values)
 
 
 def wide_frame(df: DataFrame, meters: Sequence[str], columns: Sequence[str], ts: str = "timestamp", key: str = "meter_number") -> DataFrame:
