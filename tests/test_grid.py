@@ -1,5 +1,7 @@
 """The stored grid: versions, time travel, lost ingestions, and the index of meters under feeders; steps by the hash of what they work on."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -90,3 +92,18 @@ def test_tasks_of_large_graphs_are_bounded_by_rows(spark, monkeypatch):
     assert sum(sizes) == 400 and max(sizes) <= 60  # a task has about 16 edges in both directions
     monkeypatch.setattr(scratch, "TASK_ROWS", 1000)
     assert rows(QUERIES["nearest_feeders_meshed"](spark, DATA), "meter_id", "feeder_id", "cabinet_id", "depth") == want
+
+
+def test_ends_take_the_label_of_their_neighbour(spark):
+    """Random forests and meshes with pairs of ends, nodes without edges, and edges to what isn't a node, against plain merging."""
+    rng = random.Random(5)
+    pairs = [(rng.randrange(60), rng.randrange(60)) for _ in range(45)] + [(100, 70), (71, 101), (102, 103), (90, 200), (200, 91)]
+    nodes = [*range(75), 90, 91, *range(100, 105)]
+    want = {n: n for n in nodes}
+    for _ in nodes:
+        for a, b in pairs:
+            if a in want and b in want:
+                want[a] = want[b] = min(want[a], want[b])
+    edges = graph.symmetric(spark.createDataFrame(pairs, "node1_id long, node2_id long"))
+    got = graph.components(edges, spark.createDataFrame([(n,) for n in nodes], "node long"))
+    assert sorted(rows(got, "node", "component")) == sorted(want.items())

@@ -42,11 +42,30 @@ def reachable(edges: DataFrame, seeds: DataFrame, max_rounds: int = 1000) -> Dat
 
 
 def components(edges: DataFrame, nodes: DataFrame, max_rounds: int = 1000) -> DataFrame:
-    """Label every node with the smallest node of its component (``node``, ``component``).
+    """Label every node with the smallest node of its component (``node``, ``component``). edges: both directions of each.
 
-    Each round takes the smallest label among neighbours and then follows labels one step, so that the number of rounds
+    Ends, nodes with one neighbour, take no part in the rounds: they belong where their neighbour does, and most nodes of a grid are
+    ends. Each round takes the smallest label among neighbours and then follows labels one step, so that the number of rounds
     is about the logarithm of the longest path.
     """
+    known = materialise(nodes.select("node").distinct(), "known")
+    for end in ("dst", "src"):
+        edges = edges.join(grown(known.withColumnRenamed("node", end)), end, "left_semi")
+    edges = materialise(edges.select("src", "dst"), "graph")
+    near = materialise(edges.groupBy("src").agg(F.min("dst").alias("to"), F.max("dst").alias("last")), "near")
+    inner, ends = near.where("to < last").select("src"), near.where("to = last").select(F.col("src").alias("node"), "to")
+    core = edges.join(grown(inner), "src", "left_semi").join(grown(inner.withColumnRenamed("src", "dst")), "dst", "left_semi")
+    labels = _labels(core, inner.withColumnRenamed("src", "node"), max_rounds)
+    at = labels.select(F.col("node").alias("to"), "component")
+    ends = ends.join(grown(at), "to", "left").select("node", F.coalesce("component", F.least("node", "to")).alias("component"))  # else a pair of ends
+    found = materialise(labels.unionByName(ends), "found")
+    least = found.groupBy("component").agg(F.min("node").alias("least"))
+    out = found.join(grown(least), "component").select("node", F.col("least").alias("component"))
+    alone = known.join(grown(near.select(F.col("src").alias("node"))), "node", "left_anti").select("node", F.col("node").alias("component"))
+    return materialise(out.unionByName(alone), "labels")
+
+
+def _labels(edges: DataFrame, nodes: DataFrame, max_rounds: int) -> DataFrame:
     edges = materialise(edges, "graph")  # read in every round
     held = labels = materialise(nodes.select(F.col("node"), F.col("node").alias("component")).distinct(), "labels")
     for _ in range(max_rounds):

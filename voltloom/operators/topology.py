@@ -53,7 +53,8 @@ def node_codes(topology: DataFrame, meters: DataFrame) -> DataFrame:
     points = meters.where("delivery_point_id is not null").select(code("DeliveryPoint", F.col("delivery_point_id")).alias("code"))
     cabinets = meters.where(_filled("cabinet")).select(F.trim("cabinet").alias("code"))
     feeders = meters.where(_filled("lv_feeder")).select(F.trim("lv_feeder").alias("code"))
-    nodes = ends.unionByName(points).unionByName(cabinets).unionByName(feeders).distinct()
+    # written, so that filters and joins on what codes hold aren't moved before distinct(), to every flat row
+    nodes = materialise(ends.unionByName(points).unionByName(cabinets).unionByName(feeders).distinct(), "codes")
     return nodes.select("code", code_type(F.col("code")).alias("node_type"), code_number(F.col("code")).alias("asset_id")).where(F.col("node_type").isin("LvFeeder", "Cabinet", "DeliveryPoint") & F.col("asset_id").isNotNull())
 
 
@@ -181,6 +182,7 @@ def ingest(topology: DataFrame, meters: DataFrame, level: str = "raw", grid: Gri
     """
     grid = grid or Grid()
     spark = topology.sparkSession
+    topology, meters = _dealt(topology, "topology"), _dealt(meters, "meters")  # read by every table
     tables = upsert_assets(grid.assets, assets(topology, meters))
     version = next_version(grid.versions) if grid.versions is not None else 1
     nodes = _numbered(existing_nodes(node_codes(topology, meters), tables), ["node_type", "asset_id"], version)
@@ -201,9 +203,18 @@ def ingest(topology: DataFrame, meters: DataFrame, level: str = "raw", grid: Gri
     return new
 
 
+#: Flat rows of one task: codes are parsed for every table that reads them.
+FLAT_ROWS = 1 << 17
+
+
+def _dealt(flat: DataFrame, label: str) -> DataFrame:
+    """Flat rows in files of some rows each, however few files and row groups they came from."""
+    return materialise(flat.repartition(1 + flat.count() // FLAT_ROWS), label)
+
+
 def _numbered(df: DataFrame, order: list[str], version: int) -> DataFrame:
     """Ids from 1 without gaps: in the order of columns within hashed parts, which are offset by the sizes of those before."""
-    part = df.withColumn("_p", F.pmod(F.xxhash64(*order), F.lit(256)).cast("int"))
+    part = materialise(df.withColumn("_p", F.pmod(F.xxhash64(*order), F.lit(256)).cast("int")), "numbered")  # read twice
     sizes = part.groupBy("_p").agg(F.count("*").alias("_n"))
     before = F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # 256 rows
     place = F.row_number().over(Window.partitionBy("_p").orderBy(*order))
