@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from voltloom.operators import graph, meta
 from voltloom.operators import topology as topo
-from voltloom.plans import grid
+from voltloom.plans import grid, queries
 from voltloom.plans.frames import meter_rows, topology
 from voltloom.plans.queries import QUERIES
 from voltloom.sources import scratch
@@ -107,3 +107,18 @@ def test_ends_take_the_label_of_their_neighbour(spark):
     edges = graph.symmetric(spark.createDataFrame(pairs, "node1_id long, node2_id long"))
     got = graph.components(edges, spark.createDataFrame([(n,) for n in nodes], "node long"))
     assert sorted(rows(got, "node", "component")) == sorted(want.items())
+
+
+def test_exported_meters_come_from_the_index(spark, files, tmp_path, monkeypatch):
+    store = Store(spark, str(tmp_path))
+    t, m = files
+    monkeypatch.setattr(topo, "FLAT_ROWS", 20)
+    grid.ingest_topology(store, t, m)
+    assert len(topo._dealt(m, "meters").inputFiles()) > 1
+    assets, g = grid.grid_at(store)
+    want = rows(graph.export_meter_cabinet(g, assets), "meter_number", "delivery_point_id", "cabinet", "lv_feeder", "service_fuse_size")
+    monkeypatch.setattr(graph, "feeders_of_nodes", lambda g: pytest.fail("edges are followed"))
+    got = graph.export_meter_cabinet(g, assets, grid.feeder_meters(store))
+    assert rows(got, "meter_number", "delivery_point_id", "cabinet", "lv_feeder", "service_fuse_size") == want
+    monkeypatch.setattr(queries, "_stored", lambda *a: store)
+    assert QUERIES["export_sm_cabinet"](spark, DATA).count() == len(want)

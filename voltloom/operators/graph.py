@@ -258,15 +258,18 @@ def export_topology(graph: dict[str, DataFrame], assets: dict[str, DataFrame], d
     return rows.distinct() if distinct else rows
 
 
-def export_meter_cabinet(graph: dict[str, DataFrame], assets: dict[str, DataFrame]) -> DataFrame:
+def export_meter_cabinet(graph: dict[str, DataFrame], assets: dict[str, DataFrame], reach: DataFrame | None = None) -> DataFrame:
     """The flat meter rows of a version, one for each feeder that reaches the delivery point; meters whose delivery point
-    has no cabinet are left out."""
+    has no cabinet are left out. reach: the version's index (``feeder_id``, ``meter_id``), if there is one; else edges are followed."""
     points = assets["delivery_point"].select(F.col("id").alias("delivery_point_id"), "cabinet_id", F.col("fuse_size_amps").alias("service_fuse_size"))
     cabinets = assets["cabinet"].select(F.col("id").alias("cabinet_id"))
     rows = assets["meter"].withColumnRenamed("id", "meter_number").join(grown(points), "delivery_point_id").join(cabinets, "cabinet_id")
-    nodes = graph["node"].where("node_type = 'DeliveryPoint'").select(F.col("id").alias("node"), "delivery_point_id")
-    reach = nodes.join(grown(feeders_of_nodes(graph)), "node").select("delivery_point_id", "feeder_id").distinct()
-    rows = rows.join(grown(reach), "delivery_point_id", "left")
+    if reach is None:
+        nodes = graph["node"].where("node_type = 'DeliveryPoint'").select(F.col("id").alias("node"), "delivery_point_id")
+        reach = nodes.join(grown(feeders_of_nodes(graph)), "node").select("delivery_point_id", "feeder_id").distinct()
+        rows = rows.join(grown(reach), "delivery_point_id", "left")
+    else:
+        rows = rows.join(grown(reach.select(F.col("meter_id").alias("meter_number"), "feeder_id").distinct()), "meter_number", "left")
     return rows.select(
         "meter_number", "delivery_point_id", code("Cabinet", F.col("cabinet_id")).alias("cabinet"), code("LvFeeder", F.col("feeder_id")).alias("lv_feeder"),
         "has_heat_pump", "has_solar_panel", "capacity_solar_panel", "service_fuse_size",

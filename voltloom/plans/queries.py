@@ -777,7 +777,7 @@ def export_topology_edges(spark: SparkSession, d: str) -> DataFrame:
 @query(f"with {_REACH_SQL} select c_custkey as meter_number, 'Cabinet.' || c_nationkey as cabinet, 'LvFeeder.' || feeder_id as lv_feeder, c_mktsegment = 'BUILDING' as has_heat_pump from customer left join fm on meter_id = c_custkey where c_acctbal >= 0")
 def export_sm_cabinet(spark: SparkSession, d: str) -> DataFrame:
     assets, g = _grid(spark, d)
-    return graph.export_meter_cabinet(g, assets).select("meter_number", "cabinet", "lv_feeder", "has_heat_pump")
+    return graph.export_meter_cabinet(g, assets, stored_topologies.feeder_meters(_stored(spark, d))).select("meter_number", "cabinet", "lv_feeder", "has_heat_pump")
 
 
 @query(f"""with {GRID_SQL} select count(distinct n_regionkey) as substations, count(distinct n_nationkey) as transformers, count(distinct n_nationkey) as feeders, (select count(*) from nodes where node_type = 'Cabinet') as cabinets,
