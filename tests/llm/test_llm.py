@@ -240,6 +240,27 @@ def test_passages(spark, docs):
     assert sorted(((r.doc_id, [(x.start, x.end) for x in r.spans]) for r in cut.collect()), key=str) == want
 
 
+def test_query_gives_texts_without_passages(spark, docs, odd_rows, tmp_path):
+    """The contract's columns say what 400 bytes do; passages of over 50 words that are shorter are gone from ``text``."""
+    rng = np.random.default_rng(6)
+    passage = prose(rng, 1, 55)[0][:340]
+    assert len(passage.split()) > 50
+    plants = [(100 + i, f"{p} {passage} {q}") for i, (p, q) in enumerate(zip(prose(rng, 4, 40), prose(rng, 4, 60), strict=True))]
+    clean = list(enumerate(prose(rng, 3, 200), 200))
+    rows = [*plants, *clean, *odd_rows]
+    docs(rows).select("doc_id", "text").write.parquet(str(tmp_path / "documents.parquet"))
+    got = queries()["op5_suffix_dedup"](spark, str(tmp_path)).collect()
+    assert sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got), key=str) == brute_repeats(rows, 400)
+    text = {r.doc_id: r.text for r in got if (r.doc_id or 0) >= 100}
+    assert all(r.n_removed == 0 for r in got if r.doc_id in text)
+    assert [passage in text[i] for i, _ in plants] == [False] * 4 and [text[i] for i, _ in clean] == [t for _, t in clean]
+    raws = {i: (t or "").encode() for i, t in rows if i not in (None, 12)}  # ids of one text
+    runs = brute_passages(rows, 200, 50, 400)
+    want = {i: b"".join(raws[i][a:z] for a, z in zip([0, *(z for _, z in x)], [*(a for a, _ in x), len(raws[i])], strict=True)) for i, x in runs if i in raws}
+    assert {r.doc_id: r.text for r in got if r.doc_id in raws} == {i: b.decode("utf-8", "ignore") if i != 3 else None for i, b in want.items()}
+    assert sorted(((r.doc_id, r.n_passages) for r in got), key=str) == sorted(((i, len(x)) for i, x in runs), key=str)
+
+
 def test_passages_odd_rows(spark, docs, odd_rows):
     out = repeats.remove_repeats(docs(odd_rows), passages=(200, 40))
     assert got_repeats(out) == brute_repeats(odd_rows, 400)

@@ -15,7 +15,7 @@ from .overlap import overlap_join
 from .packing import pack
 from .pieces import encode
 from .quality import classify, fold, train
-from .repeats import remove_repeats
+from .repeats import PASSAGE, PASSAGE_GRAM, remove_repeats
 from .sharding import shard
 from .tokens import count_tokens
 from .vafile import book_text, compress
@@ -48,9 +48,11 @@ def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    out = remove_repeats(docs)
-    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", F.col("text").isNull().alias("none"))
+    out = remove_repeats(docs, passages=(PASSAGE, PASSAGE_GRAM))
+    n_spans, n_passages = (F.size(c).cast("long") for c in ("spans", "passages"))
+    text = F.when(~F.col("none"), F.when(n_passages > 0, F.col("rest")).otherwise(F.col("text")))
+    return out.select("doc_id", "n_bytes", "n_removed", n_spans.alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), n_passages.alias("n_passages"), text.alias("text"))
 
 
 def op6_one_bit_codes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -274,6 +274,12 @@ def _passages(raw: bytes, runs: list[dict], least: tuple[int, int]) -> list[dict
     return [r for r in runs if r["end"] - r["start"] >= size or len(raw[r["start"] : r["end"]].decode("utf-8", "ignore").split()) > words]
 
 
+def _without(raw: bytes, spans: list[dict]) -> bytes:
+    """What remains of a text without the spans."""
+    edges = [0, *(x for s in spans for x in (s["start"], s["end"])), len(raw)]
+    return b"".join(raw[a:z] for a, z in zip(edges[::2], edges[1::2], strict=True))
+
+
 _ARROW = {"string": pa.string(), "binary": pa.binary(), "long": pa.int64(), _SPANS: pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))}
 
 
@@ -307,13 +313,14 @@ def remove_repeats(
 
     With ``least``, words (parted by white space) and bytes, only runs of more words or of so many bytes are removed. With
     ``passages``, a window no longer than the other and the length of its anchors, runs of that window for which ``LEAST``
-    holds are listed too; what is removed stays as the longer window says.
+    holds are listed too, and the text without them is given; ``kept`` stays as the longer window says.
 
     Returns the input's columns with ``kept`` (what remains, binary; with ``as_text`` a string without the characters of
     which a byte is gone), ``n_bytes``, ``n_removed``, ``spans`` (maximal removed runs as start and end in bytes) and, if asked
-    for, ``passages`` (the same of passages). They replace columns with those names.
+    for, ``passages`` (the same of passages) and ``rest`` (the text without passages and the characters of which a byte is in
+    one, a string). They replace columns with those names.
     """
-    given = ("kept", "n_bytes", "n_removed", "spans", *(("passages",) if passages else ()))
+    given = ("kept", "n_bytes", "n_removed", "spans", *(("passages", "rest") if passages else ()))
     others = [c for c in docs.columns if c not in given]
     string = F.col(text).cast("string")
     rows = docs.select(
@@ -325,8 +332,7 @@ def remove_repeats(
 
     def cut(raw: bytes, runs: list[dict]) -> tuple:
         spans = _passages(raw, runs, least) if least else runs
-        edges = [0, *(x for s in spans for x in (s["start"], s["end"])), len(raw)]
-        left = b"".join(raw[a:z] for a, z in zip(edges[::2], edges[1::2], strict=True))
+        left = _without(raw, spans)
         return left.decode("utf-8", "ignore") if as_text else left, len(raw), len(raw) - len(left), spans
 
     result = f"kept {'string' if as_text else 'binary'}, n_bytes long, n_removed long, spans {_SPANS}"
@@ -337,7 +343,8 @@ def remove_repeats(
         wide = F.exists("runs", lambda r: r["end"] - r["start"] >= window)
         late = found.where(wide).join(long.hint("merge"), ["doc", "text_hash"], "left")
         found = found.where(~wide).withColumn("full", F.lit(None).cast(long.schema["full"].dataType)).unionByName(late)
-        out = _mapped(found.drop("doc", "text_hash", "runs"), ["row", "text", "passages"], result, lambda x: cut(x["text"], _runs(x["full"], None, window)))
+        both = lambda x: (*cut(x["text"], _runs(x["full"], None, window)), x["passages"], _without(x["text"], x["passages"]).decode("utf-8", "ignore"))
+        out = _mapped(found.drop("doc", "text_hash", "runs"), ["row", "text"], f"{result}, passages {_SPANS}, rest string", both)
     else:
         out = _mapped(found.drop("doc", "text_hash"), ["row", "text"], result, lambda x: cut(x["text"], _runs(x["full"], x["found"], window)))
     columns = [F.col("text").cast("string").alias(c) if c == text else F.col(f"row.`{c}`").alias(c) for c in others]
