@@ -154,3 +154,70 @@ def test_voltages_are_made_by_as_many_tasks_as_their_meters_call_for(spark, monk
 
     monkeypatch.setattr(frames, "METERS_OF_A_TASK", 10)
     assert frames.planted_voltages(spark, "/root/testdata/sf0.01").rdd.getNumPartitions() == 16  # 150 meters
+
+
+def test_scratch_tables_hold_few_bytes_a_value(spark, monkeypatch):
+    """Voltages are read once and go on as codes: neither stored nor shuffled."""
+    import os
+
+    from voltloom.plans import frames
+
+    paths = []
+
+    def kept(df, label, write=phasemap.materialise):
+        out = write(df, label)
+        paths.append(out._voltloom_path.removeprefix("file:"))
+        return out
+
+    for module in (phasemap, phaseprep):
+        monkeypatch.setattr(module, "materialise", kept)
+    assert QUERIES["phase_clusters"](spark, "/root/testdata/sf0.01").count() == 450
+    values = 450 * 720
+    assert sum(os.path.getsize(os.path.join(a, f)) for p in paths for a, _, files in os.walk(p) for f in files) < 4 * values
+    monkeypatch.setattr(frames, "METERS_OF_A_TASK", 10)
+    made = frames.planted_voltages(spark, "/root/testdata/sf0.01")
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in (made, phaseprep.coded(made, ["meter_number"], ["voltage_l1"], phasemap.PhaseConfig()))]
+    assert plans[0].count("Exchange hashpartitioning(meter") == plans[1].count("Exchange hashpartitioning(meter") == 1
+
+
+def test_codes_of_repeated_missing_and_split_rows(spark):
+    t = [dt.datetime(2024, 1, 1, h) for h in range(6)]
+    rows = [("a", t[0], 1.0), ("a", t[0], float("nan")), ("a", t[1], 2.0), ("a", t[1], 230.0), ("a", t[2], None), ("a", t[2], 231.0), ("a", t[4], 250.0), ("a", None, 9.0)]
+    rows += [("b", x, 230.0 + i % 2) for i, x in enumerate(t)] + [("c", None, 1.0), ("d", t[3], None)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    try:
+        got = {r.m: r for r in phaseprep.coded(spark.createDataFrame(rows, "m string, timestamp timestamp, v double"), ["m"], ["v"], phasemap.PhaseConfig()).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted(got) == ["a", "b", "c", "d"] and [(got[m].c, got[m].low) for m in "abcd"] == [(3, 0), (6, 0), (0, 0), (0, 0)]
+    codes = {m: np.frombuffer(got[m].codes, "<u2").tolist() for m in "abcd"}
+    assert codes == {"a": [0, 0, 1], "b": [0, 1, 0, 1, 0, 1], "c": [], "d": []}
+    assert phaseprep._flags(got["a"].mask, 4).tolist() == [False, True, True, True] and phaseprep._flags(got["a"].jumps, 3).tolist() == [False, False, True]
+    assert len(phaseprep._unpack(got["a"].times)) == 4 and len(phaseprep._unpack(got["c"].times)) == 0 and got["b"].mask is got["b"].jumps is got["b"].lows is None
+
+
+def test_units_of_more_than_a_block_and_uneven_times(spark):
+    rng = np.random.default_rng(11)
+    n, t0 = 70, dt.datetime(2024, 1, 1)
+    a = rng.uniform(-1, 1, (3, n))
+    a -= a.mean(0)
+    rows, places = [], []
+    for m in range(90):
+        v = 230 + 2 * a + rng.uniform(-1, 1, (3, n)) * 0.2
+        v[:, 20] = np.where(m == 3, 150.0, v[:, 20])
+        v[1, rng.random(n) < (0.6 if m == 5 else 0)] = np.nan
+        at = [t0 + dt.timedelta(hours=i) for i in range(n)]
+        if m == 7:  # a time that no other meter has, and one that it lacks
+            at[40] += dt.timedelta(minutes=20)
+        rows += [(f"m{m}", x, *(None if np.isnan(y) else float(y) for y in v[:, i])) for i, x in enumerate(at)]
+        places.append(("A", f"m{m}", str(m % 3), f"c{m // 5}"))
+    cfg = phasemap.PhaseConfig(window=2, rows=40, rows_step=10)
+    v = spark.createDataFrame(rows, "meter_number string, timestamp timestamp, voltage_l1 double, voltage_l2 double, voltage_l3 double").repartition(3)
+    where = spark.createDataFrame(places, "transformer_id string, meter_number string, feeder_id string, cabinet_id string")
+    got = phasemap.identify_phases(v, where, None, cfg).toPandas().sort_values(["meter_id", "sm_phase"]).reset_index(drop=True)
+    long = pd.DataFrame(rows, columns=["meter", "t", "l1", "l2", "l3"]).merge(pd.DataFrame(places, columns=["unit", "meter", "feeder", "cabinet"]))
+    long = long.melt(["meter", "t", "feeder", "cabinet"], ["l1", "l2", "l3"], "phase", "v")
+    long["label"] = "voltage_" + long["phase"] + "_" + long["meter"] + "_" + long["cabinet"] + "_" + long["feeder"]
+    want = phasemap.identify_transformer("A", long.pivot(index="t", columns="label", values="v"), [], cfg).sort_values(["meter_id", "sm_phase"]).reset_index(drop=True)
+    assert got.equals(want[got.columns]) and "Normal" in set(got["status"])
+    assert got.set_index(["meter_id", "sm_phase"])["status"]["m5", "l2"] == "SM Phase Insufficient Data"

@@ -19,9 +19,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import PHASES
-from ..sources.scratch import materialise
+from ..sources.scratch import grown, materialise
 from .hclust import complete_linkage, cut, leaves_of, spearman_distance
-from .phaseprep import assemble, distance_blocks, rank_vectors, usable
+from .phaseprep import BLOCK, TASK_VALUES, assemble, choices, code_vectors, coded, distance_blocks, distances_of_one_block, grids, phases_kept
 
 
 @dataclass(frozen=True)
@@ -386,7 +386,8 @@ def identify_phases(voltages: DataFrame, places: DataFrame, unconnected: DataFra
 
     voltages: meter_number, timestamp, voltage_l1, _l2, _l3 (repeated rows: the largest value counts); places: transformer_id,
     meter_number, feeder_id, cabinet_id; unconnected: meter_number, phase. A transformer that can't be mapped gives rows with
-    status 'failed: <reason>' and does not stop the others. One task holds a transformer's distances, never its series.
+    status 'failed: <reason>' and does not stop the others. One task holds a transformer's distances, and its series only as rank vectors of
+    at most a block of phases. Voltages are read once and aren't stored (see ``phaseprep``).
     """
     ids = [F.col(c).cast("string").alias(c) for c in ("transformer_id", "meter_number", "feeder_id")]
     where = places.select(*ids, F.coalesce(F.col("cabinet_id").cast("string"), F.lit("nan")).alias("cabinet_id"))
@@ -396,25 +397,36 @@ def identify_phases(voltages: DataFrame, places: DataFrame, unconnected: DataFra
     else:
         lists = unconnected.groupBy(F.col("meter_number").cast("string").alias("meter_number")).agg(F.collect_set(F.lower("phase")).alias("off"))
         where = where.join(lists, "meter_number", "left").withColumn("off", F.coalesce("off", off))
-    v = voltages.withColumn("meter_number", F.col("meter_number").cast("string"))
-    v = v.groupBy("meter_number", "timestamp").agg(*(F.max(f"voltage_{p}").alias(p) for p in PHASES))
+    v = voltages.select(F.col("meter_number").cast("string").alias("meter_number"), "timestamp", *(F.col(f"voltage_{p}").alias(p) for p in PHASES))
+    codes = materialise(coded(v, ["meter_number"], PHASES, cfg).withColumnRenamed("series", "phase"), "codes")
     phase = F.explode(F.array(*(F.lit(p) for p in PHASES))).alias("phase")
     label = F.concat_ws("_", F.lit("voltage"), "phase", "meter_number", "cabinet_id", "feeder_id").alias("label")
-    names = where.join(v.select("meter_number").distinct(), "meter_number", "left_semi").select(F.col("transformer_id").alias("unit"), "*", phase)
+    names = where.where("meter_number is not null").select(F.col("transformer_id").alias("unit"), "*", phase)
     names = names.select("unit", "meter_number", "phase", label, (~F.array_contains("off", F.col("phase"))).alias("used")).distinct()
+    names = grown(names).join(codes.drop("codes"), ["meter_number", "phase"])  # leaves out meters without voltages
     names = materialise(names.withColumn("leaf", F.monotonically_increasing_id()), "names")
-    series = F.explode(F.array(*(F.struct(F.lit(p).alias("phase"), F.when(~F.isnan(p), F.col(p)).alias("v")) for p in PHASES)))
-    rows = v.select("meter_number", "timestamp", series.alias("s")).select("meter_number", "timestamp", "s.*")
-    long = materialise(rows.join(names, ["meter_number", "phase"]).select("unit", "leaf", "timestamp", "v", "used"), "voltages")
-    phases, differences = usable(long, cfg)
-    phases = materialise(phases, "phases")
-    leaves = names.join(phases, ["unit", "leaf"], "left")
-    leaves = materialise(leaves.join(phases.select("unit").distinct().withColumn("some", F.lit(True)), "unit", "left"), "leaves")
-    kept = Window.partitionBy("unit")
-    numbers = leaves.where("k > choice").select("unit", "leaf", (F.row_number().over(kept.orderBy("label")) - 1).alias("idx"), F.count("*").over(kept).alias("size"))
-    blocks = distance_blocks(rank_vectors(differences), numbers)
-
-    def run(key: tuple, own: pd.DataFrame, blocks: pd.DataFrame) -> pd.DataFrame:
+    grid = materialise(grids(names), "grids")
+    phases = phases_kept(names, grid, cfg)
+    picked = materialise(choices(phases, cfg), "choices")
+    leaves = names.select("unit", "leaf", "meter_number", "phase", "label", "used", "c").join(phases.select("unit", "leaf", "k"), ["unit", "leaf"], "left")
+    leaves = leaves.join(grown(picked.select("unit", "choice", F.lit(True).alias("some"))), "unit", "left")
+    kept = Window.partitionBy("unit", F.expr("k > choice"))  # null for phases that aren't looked at
+    leaves = leaves.withColumn("idx", F.when(F.expr("k > choice"), F.row_number().over(kept.orderBy("label")) - 1)).withColumn("size", F.when(F.expr("k > choice"), F.count("*").over(kept)))
+    leaves = materialise(leaves, "leaves")
+    values, most = leaves.agg(F.sum("c"), F.max("size")).first()
+    tasks = max(int(codes.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1 + (values or 0) // TASK_VALUES)
+    numbers = leaves.where("idx is not null").select("unit", "leaf", "meter_number", "phase", "idx", "size")
+    one = codes.select("meter_number", "phase", "times", "mask", "codes").repartition(tasks, "meter_number", "phase").join(grown(numbers.repartition(tasks, "meter_number", "phase")), ["meter_number", "phase"])
+    held = grid.join(picked.where("choice is not null"), "unit").select("unit", "grid", "ok")
+    vectors = code_vectors(one.join(held, "unit"))
+    block = {"lo": "int", "hi": "int", "m": "binary"}
+    parts = vectors.select("*", *(F.lit(None).cast(k).alias(c) for c, k in block.items()))
+    if (most or 0) > BLOCK:  # blocks of large units are multiplied by tasks of their own
+        vectors = materialise(vectors, "vectors")
+        small = numbers.where(f"size <= {BLOCK}").select("unit").distinct()
+        parts = vectors.join(grown(small), "unit", "left_semi").unionByName(distance_blocks(vectors, numbers.where(f"size > {BLOCK}")), allowMissingColumns=True)
+
+    def run(key: tuple, own: pd.DataFrame, parts: pd.DataFrame) -> pd.DataFrame:
         own = own.sort_values("label")
         names = [parse_label(x) for x in own["label"]]
         gone = {x for x, used in zip(names, own["used"], strict=True) if not used}
@@ -423,8 +435,12 @@ def identify_phases(voltages: DataFrame, places: DataFrame, unconnected: DataFra
             if np.isnan(choice).all():
                 raise RuntimeError("no usable phase is left" if own["some"].notna().any() else "a transformer without any voltage")
             kept = [x for x, ok in zip(names, k > choice, strict=True) if ok]
-            return map_leaves(key[0], names, kept, assemble(len(kept), blocks), gone, cfg)
+            if len(kept) > BLOCK:
+                distance = assemble(len(kept), parts)
+            else:
+                distance = distances_of_one_block(len(kept), parts.assign(idx=parts["leaf"].map(own.set_index("leaf")["idx"])))
+            return map_leaves(key[0], names, kept, distance, gone, cfg)
         except (ValueError, RuntimeError) as e:
             return result_rows(key[0], names, None, names).assign(status=f"failed: {e}")
 
-    return leaves.groupBy("unit").cogroup(blocks.groupBy("unit")).applyInPandas(run, RESULT)
+    return leaves.repartition(tasks, "unit").groupBy("unit").cogroup(parts.repartition(tasks, "unit").groupBy("unit")).applyInPandas(run, RESULT)

@@ -159,7 +159,7 @@ def planted_voltages(spark: SparkSession, sf_dir: str) -> DataFrame:
         meters = meters.withColumn(f"f{p}", F.when(F.col("kind") == "twisted", (1, 0, 2)[p]).otherwise(p))
         meters = meters.withColumn(f"t{p}", F.when(turned, (F.col(f"f{p}") + 1) % 3).otherwise(F.col(f"f{p}")))
     meters = materialise(meters, "places")
-    meters = meters.repartition(1 + meters.count() // METERS_OF_A_TASK, "m")  # by size, few tasks would make all rows
+    meters = meters.repartition(1 + meters.count() // METERS_OF_A_TASK, "meter")  # by size, few tasks would make all rows; who groups them by meter needn't shuffle
     rows = meters.crossJoin(F.broadcast(hours))
     rows = rows.withColumn("mean", (term(F.lit("t"), "unit", F.lit(0)) + term(F.lit("t"), "unit", F.lit(1)) + term(F.lit("t"), "unit", F.lit(2))) / 3)
     foreign, fallen = F.col("kind") == "foreign", (F.col("m") % 60 == 0) & F.col("nth").isin(100, 300)
