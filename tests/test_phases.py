@@ -156,11 +156,12 @@ def test_voltages_are_made_by_as_many_tasks_as_their_meters_call_for(spark, monk
     assert frames.planted_voltages(spark, "/root/testdata/sf0.01").rdd.getNumPartitions() == 16  # 150 meters
 
 
-def test_scratch_tables_hold_few_bytes_a_value(spark, monkeypatch):
+@pytest.mark.parametrize("name, rows", [("phase_clusters", 450), ("mapped_phases", 451)])
+def test_scratch_tables_hold_few_bytes_a_value(spark, monkeypatch, name, rows):
     """Voltages are read once and go on as codes: neither stored nor shuffled."""
     import os
 
-    from voltloom.plans import frames
+    from voltloom.plans import frames, queries
 
     paths = []
 
@@ -169,9 +170,9 @@ def test_scratch_tables_hold_few_bytes_a_value(spark, monkeypatch):
         paths.append(out._voltloom_path.removeprefix("file:"))
         return out
 
-    for module in (phasemap, phaseprep):
+    for module in (phasemap, phaseprep, queries):
         monkeypatch.setattr(module, "materialise", kept)
-    assert QUERIES["phase_clusters"](spark, "/root/testdata/sf0.01").count() == 450
+    assert QUERIES[name](spark, "/root/testdata/sf0.01").count() == rows
     values = 450 * 720
     assert sum(os.path.getsize(os.path.join(a, f)) for p in paths for a, _, files in os.walk(p) for f in files) < 4 * values
     monkeypatch.setattr(frames, "METERS_OF_A_TASK", 10)
