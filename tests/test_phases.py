@@ -222,3 +222,11 @@ def test_units_of_more_than_a_block_and_uneven_times(spark):
     want = phasemap.identify_transformer("A", long.pivot(index="t", columns="label", values="v"), [], cfg).sort_values(["meter_id", "sm_phase"]).reset_index(drop=True)
     assert got.equals(want[got.columns]) and "Normal" in set(got["status"])
     assert got.set_index(["meter_id", "sm_phase"])["status"]["m5", "l2"] == "SM Phase Insufficient Data"
+
+
+def test_long_series_of_few_phases_go_by_blocks_too(spark, monkeypatch):
+    monkeypatch.setattr(phasemap, "TASK_VALUES", 50_000)
+    asked = []
+    monkeypatch.setattr(phasemap, "distance_blocks", lambda v, n: asked.append(n.count()) or phaseprep.distance_blocks(v, n))
+    rows = QUERIES["phase_clusters"](spark, "/root/testdata/sf0.01").toPandas()
+    assert asked and asked[0] > 0 and len(rows) == 450 and not rows["status"].str.startswith("failed").any()

@@ -387,7 +387,7 @@ def identify_phases(voltages: DataFrame, places: DataFrame, unconnected: DataFra
     voltages: meter_number, timestamp, voltage_l1, _l2, _l3 (repeated rows: the largest value counts); places: transformer_id,
     meter_number, feeder_id, cabinet_id; unconnected: meter_number, phase. A transformer that can't be mapped gives rows with
     status 'failed: <reason>' and does not stop the others. One task holds a transformer's distances, and its series only as rank vectors of
-    at most a block of phases. Voltages are read once and aren't stored (see ``phaseprep``).
+    at most a block of phases and ``TASK_VALUES`` values. Voltages are read once and aren't stored (see ``phaseprep``).
     """
     ids = [F.col(c).cast("string").alias(c) for c in ("transformer_id", "meter_number", "feeder_id")]
     where = places.select(*ids, F.coalesce(F.col("cabinet_id").cast("string"), F.lit("nan")).alias("cabinet_id"))
@@ -411,20 +411,21 @@ def identify_phases(voltages: DataFrame, places: DataFrame, unconnected: DataFra
     leaves = names.select("unit", "leaf", "meter_number", "phase", "label", "used", "c").join(phases.select("unit", "leaf", "k"), ["unit", "leaf"], "left")
     leaves = leaves.join(grown(picked.select("unit", "choice", F.lit(True).alias("some"))), "unit", "left")
     kept = Window.partitionBy("unit", F.expr("k > choice"))  # null for phases that aren't looked at
-    leaves = leaves.withColumn("idx", F.when(F.expr("k > choice"), F.row_number().over(kept.orderBy("label")) - 1)).withColumn("size", F.when(F.expr("k > choice"), F.count("*").over(kept)))
+    leaves = leaves.withColumn("idx", F.when(F.expr("k > choice"), F.row_number().over(kept.orderBy("label")) - 1)).withColumn("size", F.when(F.expr("k > choice"), F.count("*").over(kept))).withColumn("amount", F.sum("c").over(kept))
     leaves = materialise(leaves, "leaves")
-    values, most = leaves.agg(F.sum("c"), F.max("size")).first()
+    large = F.expr(f"size > {BLOCK} or amount > {TASK_VALUES}")
+    values, some_large = leaves.where("idx is not null").agg(F.sum("c"), F.max(large)).first()
     tasks = max(int(codes.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1 + (values or 0) // TASK_VALUES)
-    numbers = leaves.where("idx is not null").select("unit", "leaf", "meter_number", "phase", "idx", "size")
+    numbers = leaves.where("idx is not null").select("unit", "leaf", "meter_number", "phase", "idx", "size", "amount")
     one = codes.select("meter_number", "phase", "times", "mask", "codes").repartition(tasks, "meter_number", "phase").join(grown(numbers.repartition(tasks, "meter_number", "phase")), ["meter_number", "phase"])
     held = grid.join(picked.where("choice is not null"), "unit").select("unit", "grid", "ok")
     vectors = code_vectors(one.join(held, "unit"))
     block = {"lo": "int", "hi": "int", "m": "binary"}
     parts = vectors.select("*", *(F.lit(None).cast(k).alias(c) for c, k in block.items()))
-    if (most or 0) > BLOCK:  # blocks of large units are multiplied by tasks of their own
+    if some_large:  # blocks of units of many phases or long series are multiplied by tasks of their own
         vectors = materialise(vectors, "vectors")
-        small = numbers.where(f"size <= {BLOCK}").select("unit").distinct()
-        parts = vectors.join(grown(small), "unit", "left_semi").unionByName(distance_blocks(vectors, numbers.where(f"size > {BLOCK}")), allowMissingColumns=True)
+        small = numbers.where(~large).select("unit").distinct()
+        parts = vectors.join(grown(small), "unit", "left_semi").unionByName(distance_blocks(vectors, numbers.where(large).select("unit", "leaf", "idx", "size")), allowMissingColumns=True)
 
     def run(key: tuple, own: pd.DataFrame, parts: pd.DataFrame) -> pd.DataFrame:
         own = own.sort_values("label")
@@ -435,7 +436,7 @@ def identify_phases(voltages: DataFrame, places: DataFrame, unconnected: DataFra
             if np.isnan(choice).all():
                 raise RuntimeError("no usable phase is left" if own["some"].notna().any() else "a transformer without any voltage")
             kept = [x for x, ok in zip(names, k > choice, strict=True) if ok]
-            if len(kept) > BLOCK:
+            if parts["m"].notna().any():
                 distance = assemble(len(kept), parts)
             else:
                 distance = distances_of_one_block(len(kept), parts.assign(idx=parts["leaf"].map(own.set_index("leaf")["idx"])))

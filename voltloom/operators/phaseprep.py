@@ -2,7 +2,7 @@
 
 The mapper asks a series for three things only: where it is missing, low or jumping, and the order of its differences. So a series is read
 once and kept as the ranks of its differences (two bytes for a value, four if long) and three bitmaps; voltages are never stored, and never
-have a row for each value again. No task holds a transformer's series: a phase's own codes are the largest thing in one row, and a product of
+have a row for each value again. No task holds a long series of a transformer (``TASK_VALUES``): a phase's own codes are the largest thing in one row, and a product of
 two blocks of phases over a slice of time the largest in one task.
 """
 
